@@ -90,18 +90,19 @@ def filter_sales(mv: DataFrame) -> DataFrame:
     return mv.where(is_sale(mv["txn_type"]))
 
 
-def filter_sales_with_fallback(mv: DataFrame) -> DataFrame:
+def filter_sales_with_fallback(mv: DataFrame, type_col: str = "txn_type", quantity_col: str = "quantity") -> DataFrame:
     """Sales rows; if the whole table has none, rows with quantity < 0."""
-    return mv.where(F.when(any_sale_row(mv), is_sale(mv["txn_type"])).otherwise(mv["quantity"] < 0))
+    sale = is_sale(mv[type_col])
+    return mv.where(F.when(any_sale_row(mv, type_col), sale).otherwise(to_double(mv[quantity_col]) < 0))
 
 
-def any_sale_row(mv: DataFrame) -> Column:
+def any_sale_row(mv: DataFrame, type_col: str = "txn_type") -> Column:
     """EXISTS subquery: does any row of the table have a sale type?
 
     Planned as a limit-1 probe, so it stops at the first sale row; only when
     the table has none does it read the whole (single) type column.
     """
-    return mv.where(is_sale(mv["txn_type"])).exists()
+    return mv.where(is_sale(mv[type_col])).exists()
 
 
 def movement_summary(mv: DataFrame) -> DataFrame:

@@ -8,6 +8,8 @@ inputs is written once and then reused.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 
 from larder.operators import cleaning as C
@@ -15,7 +17,7 @@ from larder.plans import fixtures as fx
 from larder.session import scratch_path
 from larder.sources.writers import write_parquet
 
-_SILVER: dict[tuple, dict[str, str]] = {}
+_WRITTEN: dict[tuple, str] = {}
 
 SUPPLIER_VARIANTS = {
     "per_product": fx.suppliers_per_product,
@@ -39,20 +41,41 @@ def materialize(spark: SparkSession, df: DataFrame, name: str, num_files: int |
     return spark.read.parquet(path)
 
 
+def _memo(spark: SparkSession, key: tuple, build) -> DataFrame:
+    """Write ``build()`` once per application and key; re-read afterwards."""
+    full = (id(spark.sparkContext),) + key
+    path = _WRITTEN.get(full)
+    if path is None or not _exists(spark, path):
+        path = scratch_path(spark, re.sub(r"[^A-Za-z0-9.]+", "_", "-".join(str(k).strip() for k in key)))
+        write_parquet(build(), path)
+        _WRITTEN[full] = path
+    return spark.read.parquet(path)
+
+
+def silver_transactions(spark: SparkSession, sf_dir: str, sale_label: str = " sale ") -> DataFrame:
+    return _memo(spark, ("silver_transactions", sf_dir, sale_label),
+                 lambda: C.clean_transactions(fx.stock_move(spark, sf_dir, sale_label)))
+
+
+def silver_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _memo(spark, ("silver_inventory", sf_dir), lambda: C.clean_inventory(fx.inventory(spark, sf_dir)))
+
+
+def silver_suppliers(spark: SparkSession, sf_dir: str, variant: str = "per_product") -> DataFrame:
+    return _memo(spark, ("silver_suppliers", sf_dir, variant),
+                 lambda: C.clean_suppliers(SUPPLIER_VARIANTS[variant](spark, sf_dir)))
+
+
 def silver_tables(spark: SparkSession, sf_dir: str, suppliers: str = "per_product",
                   sale_label: str = " sale ") -> tuple[DataFrame, DataFrame, DataFrame]:
     """Silver transactions, inventory and suppliers for the fixture inputs."""
-    key = (id(spark.sparkContext), sf_dir, suppliers, sale_label)
-    paths = _SILVER.get(key)
-    if paths is None or not all(_exists(spark, p) for p in paths.values()):
-        raw = {
-            "transactions": C.clean_transactions(fx.stock_move(spark, sf_dir, sale_label)),
-            "inventory": C.clean_inventory(fx.inventory(spark, sf_dir)),
-            "suppliers": C.clean_suppliers(SUPPLIER_VARIANTS[suppliers](spark, sf_dir)),
-        }
-        paths = {}
-        for name, df in raw.items():
-            paths[name] = scratch_path(spark, f"silver-{name}")
-            write_parquet(df, paths[name])
-        _SILVER[key] = paths
-    return tuple(spark.read.parquet(paths[n]) for n in ("transactions", "inventory", "suppliers"))
+    return (silver_transactions(spark, sf_dir, sale_label), silver_inventory(spark, sf_dir),
+            silver_suppliers(spark, sf_dir, suppliers))
+
+
+def gold_table(spark: SparkSession, sf_dir: str, suppliers: str = "per_product") -> DataFrame:
+    """The written gold table (what reports and models read)."""
+    from larder.operators.features import gold_features
+
+    return _memo(spark, ("gold", sf_dir, suppliers),
+                 lambda: gold_features(*silver_tables(spark, sf_dir, suppliers)))

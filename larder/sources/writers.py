@@ -26,3 +26,28 @@ def write_csv(df: DataFrame, path: str, num_files: int | None = None, header: bo
      .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss")
      .option("timestampFormat", "yyyy-MM-dd HH:mm:ss")
      .csv(path))
+
+
+def write_json_documents(df: DataFrame, path: str, num_files: int | None = None) -> None:
+    """One multi-line JSON array document per output file (per partition).
+
+    Each partition is rendered independently (``mapInPandas``), so no row
+    leaves its task and the files are readable with ``multiLine``.
+    """
+    import pandas as pd
+    from pyspark.sql import functions as F
+
+    lines = _shaped(df, num_files).select(F.to_json(F.struct(*df.columns)).alias("value"))
+
+    def render(batches):
+        first, pending = True, None
+        for pdf in batches:
+            for v in pdf["value"]:
+                if pending is not None:
+                    yield pd.DataFrame({"value": [("[" if first else "") + pending + ","]})
+                    first = False
+                pending = v
+        if pending is not None:
+            yield pd.DataFrame({"value": [("[" if first else "") + pending + "]"]})
+
+    lines.mapInPandas(render, "value string").write.mode("overwrite").text(path)

@@ -14,6 +14,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from larder.functions.lineage import stage
+
 DEFAULT_BUCKETS = 64
 
 
@@ -32,7 +34,12 @@ def exclusive_prefix_sums(df: DataFrame, key: str, value_cols: Sequence[str],
                           descending: bool = False, n_buckets: int = DEFAULT_BUCKETS,
                           prefix: str = "before_") -> DataFrame:
     """For a frame with *unique* numeric ``key``: add, per value column, the sum
-    over all rows that come strictly earlier in key order."""
+    over all rows that come strictly earlier in key order.
+
+    The input is staged once (it feeds the quantile bounds, the bucket totals
+    and the per-bucket windows); pass an already aggregated, small frame.
+    """
+    df = stage(df, "prefix-input")
     b, ordcol = _bucketed(df, key, n_buckets, descending)
     totals = b.groupBy("_bucket").agg(*[F.sum(c).alias(c) for c in value_cols])
     w_buckets = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
@@ -52,11 +59,17 @@ def exclusive_prefix_sums(df: DataFrame, key: str, value_cols: Sequence[str],
     )
 
 
-def dense_rank(df: DataFrame, key: str, rank_col: str, descending: bool = True,
-               n_buckets: int = DEFAULT_BUCKETS) -> DataFrame:
-    """``dense_rank()`` over the whole frame by ``key`` (NULL keys get NULL)."""
+def dense_rank_table(df: DataFrame, key: str, rank_col: str, descending: bool = True,
+                     n_buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+    """``(key, rank)`` for every distinct non-NULL key: global ``dense_rank()``."""
     distinct = df.select(key).where(F.col(key).isNotNull()).distinct().withColumn("_one", F.lit(1))
     ranked = exclusive_prefix_sums(distinct, key, ["_one"], descending=descending, n_buckets=n_buckets)
-    ranks = ranked.select(F.col(key).alias("_rk"), (F.col("before__one") + 1).cast("int").alias(rank_col))
+    return ranked.select(key, (F.col("before__one") + 1).cast("int").alias(rank_col))
+
+
+def dense_rank(df: DataFrame, key: str, rank_col: str, descending: bool = True,
+               n_buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+    """``df`` plus a global ``dense_rank()`` by ``key`` (NULL keys get NULL)."""
+    ranks = dense_rank_table(df, key, rank_col, descending, n_buckets).withColumnRenamed(key, "_rk")
     joined = df.join(ranks, df[key] == ranks["_rk"], "left")
     return joined.select(*[df[c] for c in df.columns], ranks[rank_col])

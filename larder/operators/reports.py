@@ -9,7 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from larder.functions.ranking import dense_rank
+from larder.functions.lineage import stage
+from larder.functions.ranking import dense_rank_table
 from larder.operators.features import canonical_inventory, one_row_per_product
 from larder.functions.roles import resolve_inventory_roles, resolve_transaction_roles
 from larder.functions.columns import to_double
@@ -150,10 +151,16 @@ def supplier_review(trx: DataFrame, gold: DataFrame, supplier_key: str = "suppli
         )
         .withColumn("stable_share", F.when(F.col("n_rated") > 0, F.col("n_stable") / F.col("n_rated")))
     )
-    ranked = dense_rank(per, "n_products", "activity_rank", descending=True, n_buckets=n_buckets)
-    ranked = dense_rank(ranked, "stable_share", "stability_rank", descending=True, n_buckets=n_buckets)
-    return ranked.select("supplier_id", "n_products", "inbound_quantity", "n_stable", "n_rated",
-                         "stable_share", "activity_rank", "stability_rank")
+    # Supplier-grain and read by both rankings: written once, not recomputed.
+    per = stage(per, "supplier-review")
+    activity = dense_rank_table(per, "n_products", "activity_rank", n_buckets=n_buckets)
+    stability = dense_rank_table(per, "stable_share", "stability_rank", n_buckets=n_buckets)
+    out = (
+        per.join(activity.withColumnRenamed("n_products", "_a"), per["n_products"] == F.col("_a"), "left")
+        .join(stability.withColumnRenamed("stable_share", "_s"), per["stable_share"] == F.col("_s"), "left")
+    )
+    return out.select("supplier_id", "n_products", "inbound_quantity", "n_stable", "n_rated",
+                      "stable_share", "activity_rank", "stability_rank")
 
 
 def outflow_anomalies(sales: DataFrame, product_col: str, quantity_col: str, k: float = 3.0) -> DataFrame:

@@ -1,46 +1,64 @@
 """Global order statistics without a single-partition window.
 
 ``Window.orderBy(x)`` with no ``partitionBy`` moves every row into one task.
-Here the order is cut into ``n_buckets`` value ranges at approximate quantiles
-(a scalar subquery, so no driver round-trip); each range is ranked by its own
-window task, and the range offsets come from a table of at most ``n_buckets``
-rows. Rows with equal keys always share a range, so ties are exact.
+Here the order is cut into value ranges at approximate quantiles; each range
+is ordered by its own window task, and the range offsets come from a table
+with one row per range. Rows with equal keys always share a range, so ties
+are exact.
+
+The number of ranges grows with the input (about ``rows_per_bucket`` keys
+each), so no task's share grows with the data. Range assignment is MLlib's
+``Bucketizer`` (a JVM-side binary search); only the bounds — one number per
+range — pass through the driver.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from larder.functions.lineage import stage
 
-DEFAULT_BUCKETS = 64
+MIN_BUCKETS = 8
+MAX_BUCKETS = 100_000
+ROWS_PER_BUCKET = 500_000
+
+
+def bucket_count(n_rows: int, rows_per_bucket: int = ROWS_PER_BUCKET) -> int:
+    return int(min(MAX_BUCKETS, max(MIN_BUCKETS, math.ceil(n_rows / rows_per_bucket))))
 
 
-def _bucketed(df: DataFrame, key: str, n_buckets: int, descending: bool) -> tuple[DataFrame, str]:
+def _bucketed(df: DataFrame, key: str, descending: bool, n_buckets: int | None,
+              rows_per_bucket: int) -> DataFrame:
     ordered = (-F.col(key)) if descending else F.col(key)
+    with_ord = df.withColumn("_ord", ordered)
+    if n_buckets is None:
+        n_buckets = bucket_count(df.count(), rows_per_bucket)
     probs = [i / n_buckets for i in range(1, n_buckets)]
-    bounds = df.select(F.percentile_approx(ordered, probs, 10000)).scalar()
-    # The bounds are projected as a column first: a subquery may not appear
-    # inside the higher-order function itself.
-    with_ord = df.withColumn("_ord", ordered).withColumn("_bounds", bounds)
-    bucket = F.coalesce(F.size(F.filter(F.col("_bounds"), lambda b: b < F.col("_ord"))), F.lit(0))
-    return with_ord.withColumn("_bucket", bucket).drop("_bounds"), "_ord"
+    bounds = with_ord.select(F.percentile_approx(F.col("_ord").cast("double"), probs, 10000)).first()[0] or []
+    splits = [-math.inf] + sorted({float(b) for b in bounds if b is not None and not math.isnan(b)}) + [math.inf]
+    keyed = with_ord.withColumn("_ordd", F.col("_ord").cast("double"))
+    bucketizer = Bucketizer(splits=splits, inputCol="_ordd", outputCol="_bucketd", handleInvalid="keep")
+    out = bucketizer.transform(keyed)
+    return out.withColumn("_bucket", F.col("_bucketd").cast("int")).drop("_ordd", "_bucketd")
 
 
 def exclusive_prefix_sums(df: DataFrame, key: str, value_cols: Sequence[str],
-                          descending: bool = False, n_buckets: int = DEFAULT_BUCKETS,
-                          prefix: str = "before_") -> DataFrame:
-    """For a frame with *unique* numeric ``key``: add, per value column, the sum
-    over all rows that come strictly earlier in key order.
+                          descending: bool = False, n_buckets: int | None = None,
+                          prefix: str = "before_", rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
+    """For a frame with *unique*, non-NULL numeric ``key``: add, per value
+    column, the sum over all rows that come strictly earlier in key order.
 
-    The input is staged once (it feeds the quantile bounds, the bucket totals
-    and the per-bucket windows); pass an already aggregated, small frame.
+    The input is staged once (it feeds the bounds, the bucket totals and the
+    per-bucket windows); pass an already aggregated frame.
     """
     df = stage(df, "prefix-input")
-    b, ordcol = _bucketed(df, key, n_buckets, descending)
+    b = _bucketed(df, key, descending, n_buckets, rows_per_bucket)
+    ordcol = "_ord"
     totals = b.groupBy("_bucket").agg(*[F.sum(c).alias(c) for c in value_cols])
     w_buckets = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(
@@ -51,7 +69,7 @@ def exclusive_prefix_sums(df: DataFrame, key: str, value_cols: Sequence[str],
         *df.columns, "_bucket",
         *[F.coalesce(F.sum(c).over(w_in), F.lit(0)).alias(f"_in_{c}") for c in value_cols],
     )
-    # offsets holds at most n_buckets rows: a proven bound, safe to broadcast.
+    # offsets holds one row per bucket (≤ MAX_BUCKETS): a proven bound, safe to broadcast.
     joined = inner.join(F.broadcast(offsets), "_bucket", "left")
     return joined.select(
         *df.columns,
@@ -60,7 +78,7 @@ def exclusive_prefix_sums(df: DataFrame, key: str, value_cols: Sequence[str],
 
 
 def dense_rank_table(df: DataFrame, key: str, rank_col: str, descending: bool = True,
-                     n_buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+                     n_buckets: int | None = None) -> DataFrame:
     """``(key, rank)`` for every distinct non-NULL key: global ``dense_rank()``."""
     distinct = df.select(key).where(F.col(key).isNotNull()).distinct().withColumn("_one", F.lit(1))
     ranked = exclusive_prefix_sums(distinct, key, ["_one"], descending=descending, n_buckets=n_buckets)
@@ -68,7 +86,7 @@ def dense_rank_table(df: DataFrame, key: str, rank_col: str, descending: bool =
 
 
 def dense_rank(df: DataFrame, key: str, rank_col: str, descending: bool = True,
-               n_buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+               n_buckets: int | None = None) -> DataFrame:
     """``df`` plus a global ``dense_rank()`` by ``key`` (NULL keys get NULL)."""
     ranks = dense_rank_table(df, key, rank_col, descending, n_buckets).withColumnRenamed(key, "_rk")
     joined = df.join(ranks, df[key] == ranks["_rk"], "left")

@@ -86,7 +86,7 @@ def classifier_predictions(model: PipelineModel, df: DataFrame) -> DataFrame:
     return out.withColumn("p_risk", vector_to_array("probability")[1])
 
 
-def auc_by_aggregation(df: DataFrame, label: str, score: str, n_buckets: int = 64) -> DataFrame:
+def auc_by_aggregation(df: DataFrame, label: str, score: str, n_buckets: int | None = None) -> DataFrame:
     """Exact ROC AUC (ties count one half) as a one-row frame.
 
     Scores are reduced to ``(score, n_pos, n_neg)``; the negatives below each

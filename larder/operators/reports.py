@@ -131,7 +131,7 @@ def restock_list(gold: DataFrame, overstock_factor: float = 3.0) -> DataFrame:
 
 
 def supplier_review(trx: DataFrame, gold: DataFrame, supplier_key: str = "supplier_ref",
-                    n_buckets: int = 64) -> DataFrame:
+                    n_buckets: int | None = None) -> DataFrame:
     """Supplier activity and availability, ranked.
 
     ``stable_share`` is the share of a supplier's supplied products (inbound > 0)

@@ -94,8 +94,10 @@ def sink_parquet_roundtrip(spark, sf):
 
 
 def sink_parquet_single_file(spark, sf):
-    path = scratch_path(spark, "gold-single")
-    io_out.write_parquet(G.gold_features(*silver_tables(spark, sf)), path, num_files=1)
+    """Compact output: one file at this scale, size-bounded files beyond it
+    (never one task for the whole table)."""
+    path = scratch_path(spark, "gold-compact")
+    io_out.write_parquet(G.gold_features(*silver_tables(spark, sf)), path, compact=True)
     return spark.read.parquet(path)
 
 

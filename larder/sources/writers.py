@@ -5,15 +5,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 
-def _shaped(df: DataFrame, num_files: int | None) -> DataFrame:
-    # repartition(n) rather than coalesce(n): the upstream stages keep their
-    # parallelism and only the final write runs with n tasks.
-    return df.repartition(num_files) if num_files else df
+def _shaped(df: DataFrame, num_files: int | None, compact: bool = False) -> DataFrame:
+    if num_files:
+        # repartition(n) rather than coalesce(n): the upstream stages keep their
+        # parallelism and only the final write runs with n tasks.
+        return df.repartition(num_files)
+    if compact:
+        # As few files as the data allows: AQE sizes the final partitions to
+        # spark.sql.adaptive.advisoryPartitionSizeInBytes (one file for a small
+        # table, many right-sized files written in parallel for a large one).
+        return df.hint("rebalance")
+    return df
 
 
 def write_parquet(df: DataFrame, path: str, num_files: int | None = None,
-                  partition_by: list[str] | None = None, mode: str = "overwrite") -> None:
-    w = _shaped(df, num_files).write.mode(mode)
+                  partition_by: list[str] | None = None, mode: str = "overwrite",
+                  compact: bool = False) -> None:
+    w = _shaped(df, num_files, compact).write.mode(mode)
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)

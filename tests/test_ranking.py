@@ -40,3 +40,18 @@ def test_auc_matches_pairwise_count(spark):
     neg = [s for y, s in rows if y == 0]
     wins = sum(1.0 if p > n else 0.5 if p == n else 0.0 for p in pos for n in neg)
     assert abs(got - wins / (len(pos) * len(neg))) < 1e-12
+
+
+def test_bucket_count_grows_with_input():
+    from larder.functions.ranking import MAX_BUCKETS, MIN_BUCKETS, bucket_count
+
+    assert bucket_count(10) == MIN_BUCKETS
+    assert bucket_count(10**9) == 2000
+    assert bucket_count(10**13) == MAX_BUCKETS
+
+
+def test_prefix_sums_with_adaptive_buckets(spark):
+    rows = [(k, 1) for k in range(3000)]
+    df = spark.createDataFrame(rows, "k long, w long")
+    got = {r.k: r.before_w for r in exclusive_prefix_sums(df, "k", ["w"], rows_per_bucket=100).collect()}
+    assert got == {k: k for k in range(3000)}

@@ -48,14 +48,25 @@ def write_json_documents(df: DataFrame, path: str, num_files: int | None = None)
     lines = _shaped(df, num_files).select(F.to_json(F.struct(*df.columns)).alias("value"))
 
     def render(batches):
-        first, pending = True, None
+        # Each element is followed by "," except the partition's last, which
+        # is followed by "]"; the first is preceded by "[". One batch is held
+        # back so the last element of the partition is known when it is sent.
+        first, held = True, None
         for pdf in batches:
-            for v in pdf["value"]:
-                if pending is not None:
-                    yield pd.DataFrame({"value": [("[" if first else "") + pending + ","]})
+            if pdf.empty:
+                continue
+            if held is not None:
+                out = held + ","
+                if first:
+                    out.iloc[0] = "[" + out.iloc[0]
                     first = False
-                pending = v
-        if pending is not None:
-            yield pd.DataFrame({"value": [("[" if first else "") + pending + "]"]})
+                yield pd.DataFrame({"value": out})
+            held = pdf["value"].reset_index(drop=True)
+        if held is not None:
+            out = held + ","
+            if first:
+                out.iloc[0] = "[" + out.iloc[0]
+            out.iloc[-1] = out.iloc[-1][:-1] + "]"
+            yield pd.DataFrame({"value": out})
 
     lines.mapInPandas(render, "value string").write.mode("overwrite").text(path)

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from larder.functions.lineage import stage
+from larder.operators.cleaning import dedup_by_key
 from larder.functions.ranking import dense_rank_table
 from larder.operators.features import canonical_inventory, one_row_per_product
 from larder.functions.roles import resolve_inventory_roles, resolve_transaction_roles
@@ -33,14 +34,9 @@ def enriched_movements(trx: DataFrame, inv: DataFrame, sup: DataFrame,
     """
     r = resolve_transaction_roles(trx.columns)
     ir = resolve_inventory_roles(inv.columns)
-    products = (
-        inv.select(inv[ir.product].alias("_p"), *[inv[a] for a in product_attrs])
-        .groupBy("_p").agg(*[F.min(a).alias(a) for a in product_attrs])
-    )
-    suppliers = (
-        sup.select(sup[supplier_id].alias("_s"), *[sup[a] for a in supplier_attrs])
-        .groupBy("_s").agg(*[F.min(a).alias(a) for a in supplier_attrs])
-    )
+    # one whole row per key (attributes from the same row), chosen deterministically
+    products = dedup_by_key(inv.select(inv[ir.product].alias("_p"), *[inv[a] for a in product_attrs]), "_p")
+    suppliers = dedup_by_key(sup.select(sup[supplier_id].alias("_s"), *[sup[a] for a in supplier_attrs]), "_s")
     out = trx.join(products, trx[r.product] == products["_p"], "left")
     out = out.join(suppliers, out[supplier_key] == suppliers["_s"], "left")
     return out.drop("_p", "_s")

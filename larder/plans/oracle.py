@@ -399,9 +399,12 @@ ORDER BY CASE priority WHEN 'HIGH' THEN 0 WHEN 'MEDIUM' THEN 1 ELSE 2 END,
     # ---------------------------------------------------------- reports
     q["enriched_movements"] = fx_a + f""",
 sinv AS ({SILVER_INV}),
-p AS (SELECT product_id AS pid, min(product_name) AS product_name, min(category) AS category
-      FROM sinv GROUP BY product_id),
-s AS (SELECT supplier_id AS sid, min(supplier_name) AS supplier_name FROM ({SILVER_SUP_B}) GROUP BY supplier_id)
+p AS (SELECT pid, product_name, category FROM (
+        SELECT product_id AS pid, product_name, category, row_number() OVER (PARTITION BY product_id
+               ORDER BY product_name NULLS FIRST, category NULLS FIRST) AS rn FROM sinv) WHERE rn = 1),
+s AS (SELECT sid, supplier_name FROM (
+        SELECT supplier_id AS sid, supplier_name, row_number() OVER (PARTITION BY supplier_id
+               ORDER BY supplier_name NULLS FIRST) AS rn FROM ({SILVER_SUP_B})) WHERE rn = 1)
 SELECT t.order_ref, t.line_no, t.product_id, t.supplier_ref, t.transaction_type, t.quantity_change,
        t.transaction_date, p.product_name, p.category, s.supplier_name
 FROM trx t LEFT JOIN p ON t.product_id = p.pid LEFT JOIN s ON t.supplier_ref = s.sid"""

@@ -134,6 +134,22 @@ def bronze_landing_incremental(spark, sf):
                                         scratch_path(spark, "stream-ckpt"))
 
 
+def gold_from_landed_files(spark, sf):
+    """Bronze files → silver → gold, reading text formats with schema
+    inference as the source systems deliver them (CSV with header, JSON
+    documents). Keys are cast to bigint at the end for a stable schema."""
+    moves, inv, docs = (scratch_path(spark, n) for n in ("e2e-moves", "e2e-inventory", "e2e-suppliers"))
+    io_out.write_csv(fx.stock_move(spark, sf), moves)
+    io_out.write_csv(fx.inventory(spark, sf), inv)
+    io_out.write_json_documents(fx.suppliers_per_product(spark, sf), docs)
+    trx = C.clean_transactions(io_in.read_csv(spark, moves, infer_schema=True))
+    inventory = C.clean_inventory(io_in.read_csv(spark, inv, infer_schema=True))
+    suppliers = C.clean_suppliers(io_in.read_json_documents(spark, docs))
+    gold = G.gold_features(trx, inventory, suppliers)
+    return gold.withColumn("product_id", F.col("product_id").cast("bigint")).withColumn(
+        "supplier_product_ref", F.col("supplier_product_ref").cast("bigint"))
+
+
 # ------------------------------------------------------------------ cleaning
 
 def normalize_columns(spark, sf):
@@ -381,6 +397,7 @@ def queries() -> dict[str, Query]:
         "land_raw_files": land_raw_files,
         "bronze_landing": bronze_landing,
         "bronze_landing_incremental": bronze_landing_incremental,
+        "gold_from_landed_files": gold_from_landed_files,
         # cleaning
         "normalize_columns": normalize_columns,
         "normalize_columns_collapsed": normalize_columns_collapsed,

@@ -254,6 +254,7 @@ SELECT 'stock_transactions' AS dataset, CAST(count(*) AS BIGINT) AS n_rows FROM
 UNION ALL SELECT 'grocery_inventory', CAST(count(*) AS BIGINT) FROM part
 UNION ALL SELECT 'suppliers', CAST(count(*) AS BIGINT) FROM ({SUPPLIERS_A})"""
     q["bronze_landing_incremental"] = _sm() + "SELECT * FROM sm"
+    q["gold_from_landed_files"] = gold_sql()
 
     # ---------------------------------------------------------- cleaning
     raw_inv = f"""SELECT product_id, product_name, unit_price AS {{price}}, date_received, stock_quantity

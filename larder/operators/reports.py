@@ -95,9 +95,8 @@ def supplier_efficiency_metrics(trx: DataFrame, supplier_key: str = "supplier_re
         F.count(F.when(F.col("inbound") > 0, 1)).alias("n_products"),
         F.coalesce(F.sum("inbound"), F.lit(0.0)).alias("inbound_quantity"),
     )
-    return per.withColumn(
-        "inbound_share", F.when(total_inbound > 0, F.col("inbound_quantity") / total_inbound)
-    )
+    # one reference to the total: NULL (not an error) when nothing came in
+    return per.withColumn("inbound_share", F.col("inbound_quantity") / F.nullif(total_inbound, F.lit(0.0)))
 
 
 def inventory_status(gold: DataFrame, overstock_factor: float = 3.0) -> Column:

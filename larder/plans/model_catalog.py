@@ -91,6 +91,19 @@ def score_products(spark, sf):
     return scored.select("product_id", "stock_on_hand", "predicted_stockout", "predicted_rop")
 
 
+def recommendations_from_model_output(spark, sf):
+    """Model scores → ``model_output`` CSV → recommendations (the stage-4 to
+    stage-5 hand-over, through a written table)."""
+    from larder.operators import recommend as R
+    from larder.session import scratch_path
+    from larder.sources import readers, writers
+
+    path = scratch_path(spark, "model-output")
+    writers.write_csv(score_products(spark, sf), path)
+    schema = "product_id long, stock_on_hand double, predicted_stockout double, predicted_rop double"
+    return R.recommendations(readers.read_csv(spark, path, schema=schema))
+
+
 def feature_importance(spark, sf):
     _, feats = _frame(spark, sf)
     return M.feature_importance(_fitted(spark, sf, "clf"), feats, spark)
@@ -110,4 +123,5 @@ def model_queries():
         "regression_metrics_model": regression_metrics_model,
         "score_products": score_products,
         "feature_importance": feature_importance,
+        "recommendations_from_model_output": recommendations_from_model_output,
     }

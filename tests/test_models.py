@@ -32,3 +32,17 @@ def test_forest_is_deterministic_and_metrics_agree(spark):
     agg = M.regression_metrics(pr, M.REGRESSION_LABEL, "prediction").collect()[0]
     evr = M.evaluator_regression(pr)
     assert abs(agg.mae - evr["mae"]) < 1e-9 and abs(agg.r2 - evr["r2"]) < 1e-9
+
+
+def test_recommendations_from_model_output(spark):
+    from larder.plans.model_catalog import recommendations_from_model_output
+
+    recs = recommendations_from_model_output(spark, SF_SMALL)
+    rows = recs.collect()
+    assert len(rows) == 200
+    assert {r.priority for r in rows} <= {"HIGH", "MEDIUM", "LOW"}
+    assert all(r.recommended_order is None or r.recommended_order >= 0 for r in rows)
+    # HIGH exactly when a stockout is predicted and the predicted point exceeds stock
+    for r in rows:
+        high = r.predicted_stockout == 1 and r.predicted_rop > r.stock_on_hand
+        assert (r.priority == "HIGH") == high

@@ -36,7 +36,7 @@ def duck():
 
 def rows_of(df):
     """Order-insensitive, type-tolerant row multiset of a Spark frame."""
-    return sorted(tuple(_norm(v) for v in r) for r in df.collect())
+    return sorted((tuple(_norm(v) for v in r) for r in df.collect()), key=repr)
 
 
 def _norm(v):

@@ -68,9 +68,19 @@ def silver_suppliers(spark: SparkSession, sf_dir: str, variant: str = "per_produ
 
 def silver_tables(spark: SparkSession, sf_dir: str, suppliers: str = "per_product",
                   sale_label: str = " sale ") -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Silver transactions, inventory and suppliers for the fixture inputs."""
-    return (silver_transactions(spark, sf_dir, sale_label), silver_inventory(spark, sf_dir),
-            silver_suppliers(spark, sf_dir, suppliers))
+    """Silver transactions, inventory and suppliers for the fixture inputs.
+
+    The three tables are independent, so they are written as concurrent Spark
+    jobs: a small table's job does not leave executor slots idle while
+    another finishes.
+    """
+    from concurrent.futures import ThreadPoolExecutor
+
+    builds = (lambda: silver_transactions(spark, sf_dir, sale_label),
+              lambda: silver_inventory(spark, sf_dir),
+              lambda: silver_suppliers(spark, sf_dir, suppliers))
+    with ThreadPoolExecutor(max_workers=len(builds)) as pool:
+        return tuple(f.result() for f in [pool.submit(b) for b in builds])
 
 
 def gold_table(spark: SparkSession, sf_dir: str, suppliers: str = "per_product") -> DataFrame:

@@ -35,10 +35,10 @@ SELECT p_partkey AS product_id, p_name AS product_name, p_type AS category,
 FROM part"""
 
 SUPPLIERS_A = """
-SELECT l_partkey AS product_id, min(l_suppkey) AS supplier_id,
+SELECT CASE WHEN l_partkey % 9 = 0 THEN NULL ELSE l_partkey END AS product_id, min(l_suppkey) AS supplier_id,
        CASE WHEN l_partkey % 17 = 0 THEN NULL ELSE CAST(min(l_suppkey) % 14 + 1 AS DOUBLE) END
          AS avg_lead_time_days
-FROM lineitem WHERE l_partkey % 9 <> 0 GROUP BY l_partkey"""
+FROM lineitem GROUP BY l_partkey"""
 
 SUPPLIERS_FAN_OUT = """
 SELECT product_id, supplier_id,

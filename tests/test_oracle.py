@@ -18,8 +18,8 @@ def test_query_matches_oracle(spark, duck, name):
     orows = cur.fetchall()
     assert sorted(sdf.columns) == sorted(ocols)
     perm = [ocols.index(c) for c in sdf.columns]
-    got = sorted(tuple(_norm(v) for v in r) for r in sdf.collect())
-    want = sorted(tuple(_norm(r[i]) for i in perm) for r in orows)
+    got = sorted((tuple(_norm(v) for v in r) for r in sdf.collect()), key=repr)
+    want = sorted((tuple(_norm(r[i]) for i in perm) for r in orows), key=repr)
     assert len(got) == len(want)
     assert got == want
 

@@ -9,7 +9,7 @@ import uuid
 from pyspark.sql import SparkSession
 
 # Defaults for a local / test session. On a cluster the submitter's
-# configuration wins: builder options only fill what is unset.
+# configuration wins: these only fill keys it leaves unset.
 LOCAL_DEFAULTS = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
@@ -23,13 +23,27 @@ LOCAL_DEFAULTS = {
 
 def get_session(master: str | None = None, shuffle_partitions: int | None = None,
                 app_name: str = "larder", extra: dict | None = None) -> SparkSession:
+    """Session with local defaults that never override the submitter.
+
+    ``SparkConf()`` holds what spark-submit / spark-defaults set; a default
+    (including ``master`` and ``shuffle_partitions``) is applied only for keys
+    it leaves unset. ``extra`` is the caller's explicit choice and is applied.
+    """
+    from pyspark import SparkConf, SparkContext
+
+    # Attach to (or start) the JVM first: only then does SparkConf() load the
+    # properties spark-submit handed to the driver.
+    SparkContext._ensure_initialized()
+    submitted = SparkConf()
     builder = SparkSession.builder.appName(app_name)
-    if master:
+    if master and not submitted.contains("spark.master"):
         builder = builder.master(master)
-    for k, v in LOCAL_DEFAULTS.items():
-        builder = builder.config(k, v)
+    defaults = dict(LOCAL_DEFAULTS)
     if shuffle_partitions:
-        builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+        defaults["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    for k, v in defaults.items():
+        if not submitted.contains(k):
+            builder = builder.config(k, v)
     for k, v in (extra or {}).items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()

@@ -53,3 +53,30 @@ def test_object_store_conf_from_env():
     assert conf["spark.hadoop.fs.s3a.access.key"] == "k"
     assert conf["spark.hadoop.fs.s3a.connection.maximum"] == "100"
     assert conf["spark.hadoop.fs.s3a.attempts.maximum"] == "10"
+
+
+def test_session_defaults_do_not_override_submitted_conf(tmp_path):
+    import os
+    import subprocess
+    import sys
+
+    import pyspark
+
+    repo = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    script = tmp_path / "probe.py"
+    script.write_text(
+        "import sys; sys.path.insert(0, %r)\n"
+        "from larder.session import get_session\n"
+        "s = get_session('local[1]', shuffle_partitions=3)\n"
+        "print('TZ=' + s.conf.get('spark.sql.session.timeZone'))\n"
+        "print('SP=' + s.conf.get('spark.sql.shuffle.partitions'))\n"
+        "s.stop()\n" % repo)
+    submit = os.path.join(os.path.dirname(pyspark.__file__), "bin", "spark-submit")
+    env = dict(os.environ, PYSPARK_PYTHON=sys.executable, PYSPARK_DRIVER_PYTHON=sys.executable)
+    out = subprocess.run(
+        [submit, "--master", "local[1]", "--conf", "spark.sql.session.timeZone=Asia/Tokyo",
+         "--conf", "spark.ui.enabled=false", "--conf", "spark.checkpoint.dir=" + str(tmp_path / "ckpt"),
+         str(script)],
+        capture_output=True, text=True, timeout=300, env=env)
+    assert "TZ=Asia/Tokyo" in out.stdout, out.stderr[-2000:]
+    assert "SP=3" in out.stdout

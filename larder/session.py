@@ -22,12 +22,15 @@ LOCAL_DEFAULTS = {
 
 
 def get_session(master: str | None = None, shuffle_partitions: int | None = None,
-                app_name: str = "larder", extra: dict | None = None) -> SparkSession:
+                app_name: str = "larder", extra: dict | None = None,
+                object_store: bool = False) -> SparkSession:
     """Session with local defaults that never override the submitter.
 
     ``SparkConf()`` holds what spark-submit / spark-defaults set; a default
     (including ``master`` and ``shuffle_partitions``) is applied only for keys
     it leaves unset. ``extra`` is the caller's explicit choice and is applied.
+    ``object_store=True`` adds the S3A settings of ``object_store_conf()`` (from
+    the environment) as further defaults, so every layer can live in a bucket.
     """
     from pyspark import SparkConf, SparkContext
 
@@ -41,6 +44,8 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     defaults = dict(LOCAL_DEFAULTS)
     if shuffle_partitions:
         defaults["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if object_store:
+        defaults.update(object_store_conf())
     for k, v in defaults.items():
         if not submitted.contains(k):
             builder = builder.config(k, v)

@@ -9,6 +9,7 @@ inputs is written once and then reused.
 from __future__ import annotations
 
 import re
+import threading
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -18,6 +19,8 @@ from larder.session import scratch_path
 from larder.sources.writers import write_parquet
 
 _WRITTEN: dict[tuple, str] = {}
+_LOCKS: dict[tuple, threading.Lock] = {}
+_LOCKS_GUARD = threading.Lock()
 
 SUPPLIER_VARIANTS = {
     "per_product": fx.suppliers_per_product,
@@ -44,11 +47,14 @@ def materialize(spark: SparkSession, df: DataFrame, name: str, num_files: int |
 def _memo(spark: SparkSession, key: tuple, build) -> DataFrame:
     """Write ``build()`` once per application and key; re-read afterwards."""
     full = (id(spark.sparkContext),) + key
-    path = _WRITTEN.get(full)
-    if path is None or not _exists(spark, path):
-        path = scratch_path(spark, re.sub(r"[^A-Za-z0-9.]+", "_", "-".join(str(k).strip() for k in key)))
-        write_parquet(build(), path)
-        _WRITTEN[full] = path
+    with _LOCKS_GUARD:
+        lock = _LOCKS.setdefault(full, threading.Lock())
+    with lock:  # one writer per layer, even when queries run from several threads
+        path = _WRITTEN.get(full)
+        if path is None or not _exists(spark, path):
+            path = scratch_path(spark, re.sub(r"[^A-Za-z0-9.]+", "_", "-".join(str(k).strip() for k in key)))
+            write_parquet(build(), path)
+            _WRITTEN[full] = path
     return spark.read.parquet(path)
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import threading
+
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,6 +12,7 @@ from larder.operators import modeling as M
 from larder.plans.layers import gold_table
 
 _MODELS: dict[tuple, object] = {}
+_FIT_LOCK = threading.Lock()
 
 
 def _frame(spark: SparkSession, sf: str):
@@ -18,11 +21,12 @@ def _frame(spark: SparkSession, sf: str):
 
 def _fitted(spark: SparkSession, sf: str, kind: str):
     key = (id(spark.sparkContext), sf, kind)
-    if key not in _MODELS:
-        frame, _ = _frame(spark, sf)
-        train = frame.where(F.col("split") == "train")
-        _MODELS[key] = M.fit_classifier(train) if kind == "clf" else M.fit_regressor(train)
-    return _MODELS[key]
+    with _FIT_LOCK:
+        if key not in _MODELS:
+            frame, _ = _frame(spark, sf)
+            train = frame.where(F.col("split") == "train")
+            _MODELS[key] = M.fit_classifier(train) if kind == "clf" else M.fit_regressor(train)
+        return _MODELS[key]
 
 
 def _test(spark, sf) -> DataFrame:

@@ -187,3 +187,41 @@ def test_gold_invariants(spark):
                 F.min("stock_on_hand").alias("soh"), F.min("reorder_point").alias("rop")).collect()[0]
     assert agg.n == agg.k == 200
     assert agg.soh >= 0 and agg.rop >= 0
+
+
+def test_datetime_formats_list(spark):
+    df = spark.createDataFrame([("02/01/2024 07:30",), ("2024-01-03 00:00:00",), ("junk",)], "order_date string")
+    got = [r.order_date for r in C.parse_datetimes(df, ["dd/MM/yyyy HH:mm", "yyyy-MM-dd HH:mm:ss"]).collect()]
+    assert got == [dt.datetime(2024, 1, 2, 7, 30), dt.datetime(2024, 1, 3), None]
+
+
+def test_inventory_string_dates_and_missing_columns(spark):
+    trx = spark.createDataFrame([(1, "SALE", -4.0, D), (1, "SALE", -2.0, D + dt.timedelta(days=1))], TRX_SCHEMA)
+    inv = spark.createDataFrame([(1, " 50 ", "2024-01-01", " 2024-01-11 ")],
+                                "product_id long, stock_quantity string, last_order_date string, date_received string")
+    sup = spark.createDataFrame([(1, 4.0)], "product_id long, leadtime double")
+    r = G.gold_features(trx, inv, sup).collect()[0]
+    assert r.initial_stock_quantity == 50.0 and r.stock_on_hand == 44.0
+    assert r.actual_lead_time == 10.0 and r.procurement_lead_time == 7.0
+    assert r.daily_sales_velocity == 3.0 and r.safety_stock == 21.0 and r.stockout_risk == 0
+    assert "historical_reorder_level" not in G.gold_features(trx, inv, sup).columns
+
+
+def test_role_trap_and_explicit_override(spark):
+    from larder.functions.roles import resolve_inventory_roles
+
+    cols = ["product_name", "product_id", "stock_quantity"]
+    assert resolve_inventory_roles(cols).product == "product_name"      # first match, as specified
+    r = resolve_inventory_roles(cols, product="product_id")
+    trx = spark.createDataFrame([(7, "SALE", -1.0, D)], TRX_SCHEMA)
+    inv = spark.createDataFrame([("widget", 7, 5.0)], "product_name string, product_id long, stock_quantity double")
+    sup = spark.createDataFrame([(1, "s")], "supplier_id long, name string")
+    g = G.gold_features(trx, inv, sup, inv_roles=r).collect()[0]
+    assert g.product_id == 7 and g.stock_on_hand == 4.0
+
+
+def test_missing_mandatory_role_raises(spark):
+    from larder.functions.roles import resolve_transaction_roles
+
+    with pytest.raises(ValueError, match="transactions.quantity"):
+        resolve_transaction_roles(["product_id", "kind", "ts_date"])

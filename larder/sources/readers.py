@@ -12,25 +12,31 @@ def read_parquet(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None = None,
-             infer_schema: bool = False) -> DataFrame:
+             infer_schema: bool = False, sampling_ratio: float | None = None) -> DataFrame:
     """CSV with a header row. Give ``schema`` when known: inference costs a
-    full extra pass over the files."""
+    full extra pass over the files, or a sampled one with ``sampling_ratio``."""
     r = spark.read.option("header", True).option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss")
     if schema is not None:
         r = r.schema(schema)
     elif infer_schema:
         r = r.option("inferSchema", True)
+        if sampling_ratio:
+            r = r.option("samplingRatio", sampling_ratio)
     return r.csv(path)
 
 
-def read_json_documents(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:
+def read_json_documents(spark: SparkSession, path: str, schema: T.StructType | str | None = None,
+                        sampling_ratio: float | None = None) -> DataFrame:
     """JSON where one document spans many lines (an array of objects → rows).
 
     Each file is parsed by one task; prefer JSON Lines for very large inputs.
+    Without a schema, inference reads the files once more (or a sample).
     """
     r = spark.read.option("multiLine", True)
     if schema is not None:
         r = r.schema(schema)
+    elif sampling_ratio:
+        r = r.option("samplingRatio", sampling_ratio)
     return r.json(path)
 
 

@@ -26,3 +26,18 @@ def test_jobs_end_to_end(spark):
         "supplier_product_ref", gold["supplier_product_ref"].cast("bigint"))
     assert rows_of(cast) == rows_of(catalog.gold_features(spark, SF_SMALL))
     assert spark.read.parquet(result["reports"]["supplier_efficiency_metrics"]).count() > 0
+
+
+def test_silver_job_with_parquet_movements_and_sampled_inference(spark):
+    from larder.plans.jobs import run_silver
+
+    raw, silver = scratch_path(spark, "raw"), scratch_path(spark, "silver")
+    writers.write_parquet(fx.stock_move(spark, SF_SMALL), f"{raw}/stock_transactions")
+    writers.write_csv(fx.inventory(spark, SF_SMALL), f"{raw}/grocery_inventory")
+    writers.write_json_documents(fx.suppliers_per_product(spark, SF_SMALL), f"{raw}/suppliers")
+    counts = {r.dataset: r.n_rows for r in
+              run_silver(spark, raw, silver, sampling_ratio=0.5, movements_format="parquet").collect()}
+    assert counts["stock_transactions"] == fx.stock_move(spark, SF_SMALL).count()
+    assert counts["grocery_inventory"] == 200
+    moves = spark.read.parquet(f"{silver}/stock_transactions")
+    assert dict(moves.dtypes)["transaction_date"] == "timestamp_ntz"

@@ -36,7 +36,7 @@ def run_silver(spark: SparkSession, raw: str, silver: str, infer_schema: bool =
                sampling_ratio: float | None = None, movements_format: str = "csv") -> DataFrame:
     """Clean the three raw datasets into Parquet; returns (dataset, n_rows).
 
-    ``sampling_ratio`` bounds the cost of schema inference on large text inputs;
+    ``sampling_ratio`` bounds the cost of CSV schema inference on large inputs;
     ``movements_format="parquet"`` reads movements landed as Parquet (e.g. from
     the partitioned relational read), keeping their types.
     """
@@ -51,8 +51,7 @@ def run_silver(spark: SparkSession, raw: str, silver: str, infer_schema: bool =
         "grocery_inventory": C.clean_inventory(
             readers.read_csv(spark, f"{raw}/grocery_inventory", infer_schema=infer_schema,
                              sampling_ratio=sampling_ratio)),
-        "suppliers": C.clean_suppliers(
-            readers.read_json_documents(spark, f"{raw}/suppliers", sampling_ratio=sampling_ratio)),
+        "suppliers": C.clean_suppliers(readers.read_json_documents(spark, f"{raw}/suppliers")),
     }
     for name, df in cleaned.items():
         writers.write_parquet(df, f"{silver}/{name}")

@@ -25,18 +25,16 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None =
     return r.csv(path)
 
 
-def read_json_documents(spark: SparkSession, path: str, schema: T.StructType | str | None = None,
-                        sampling_ratio: float | None = None) -> DataFrame:
+def read_json_documents(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:
     """JSON where one document spans many lines (an array of objects → rows).
 
     Each file is parsed by one task; prefer JSON Lines for very large inputs.
-    Without a schema, inference reads the files once more (or a sample).
+    Without a schema, inference reads the files once more. (No sampling: a
+    sample of whole documents can be empty and yield an empty schema.)
     """
     r = spark.read.option("multiLine", True)
     if schema is not None:
         r = r.schema(schema)
-    elif sampling_ratio:
-        r = r.option("samplingRatio", sampling_ratio)
     return r.json(path)
 
 

@@ -26,20 +26,27 @@ def enriched_movements(trx: DataFrame, inv: DataFrame, sup: DataFrame,
                        supplier_key: str = "supplier_ref", supplier_id: str = "supplier_id",
                        product_attrs: tuple[str, ...] = ("product_name", "category"),
                        supplier_attrs: tuple[str, ...] = ("supplier_name",)) -> DataFrame:
-    """Movements with product and supplier attributes (two left equi-joins).
-
-    Both dimension sides are first reduced to one row per key, so the joins
-    never multiply movements. Join strategy is left to the planner (size
-    checked broadcast, else sort-merge; AQE splits a skewed product).
+    """Movements with product and supplier attributes (left joins on both keys).
+
+    Rather than joining the movements once per key (a full shuffle of the
+    fact per join when neither dimension fits a broadcast), the distinct
+    (product, supplier) pairs are enriched first — a map-side-combined table,
+    usually far smaller than the movements — and attached to the movements
+    with one null-safe equi-join on both keys: one shuffle of the fact.
+    Dimensions are reduced to one row per key, so no join multiplies rows.
     """
     r = resolve_transaction_roles(trx.columns)
     ir = resolve_inventory_roles(inv.columns)
-    # one whole row per key (attributes from the same row), chosen deterministically
     products = dedup_by_key(inv.select(inv[ir.product].alias("_p"), *[inv[a] for a in product_attrs]), "_p")
     suppliers = dedup_by_key(sup.select(sup[supplier_id].alias("_s"), *[sup[a] for a in supplier_attrs]), "_s")
-    out = trx.join(products, trx[r.product] == products["_p"], "left")
-    out = out.join(suppliers, out[supplier_key] == suppliers["_s"], "left")
-    return out.drop("_p", "_s")
+    pairs = trx.select(trx[r.product].alias("_pp"), trx[supplier_key].alias("_ps")).distinct()
+    enriched = (
+        pairs.join(products, pairs["_pp"] == products["_p"], "left")
+        .join(suppliers, pairs["_ps"] == suppliers["_s"], "left")
+        .select("_pp", "_ps", *product_attrs, *supplier_attrs)
+    )
+    cond = trx[r.product].eqNullSafe(enriched["_pp"]) & trx[supplier_key].eqNullSafe(enriched["_ps"])
+    return trx.join(enriched, cond, "left").drop("_pp", "_ps")
 
 
 def _in_out(trx: DataFrame) -> DataFrame:

@@ -281,6 +281,14 @@ def gold_features(spark, sf):
     return G.gold_features(*silver_tables(spark, sf))
 
 
+def gold_features_keyed_dedup(spark, sf):
+    """Gold over movements deduplicated by their ``id`` at silver."""
+    from larder.plans.layers import silver_transactions_with_id
+
+    return G.gold_features(silver_transactions_with_id(spark, sf), silver_inventory(spark, sf),
+                           silver_suppliers(spark, sf))
+
+
 def gold_features_fan_out(spark, sf):
     return G.gold_features(*silver_tables(spark, sf, "fan_out"))
 
@@ -441,6 +449,7 @@ def queries() -> dict[str, Query]:
         "reorder_point_formula_only": reorder_point_formula_only,
         "gold_features": gold_features,
         "gold_features_fan_out": gold_features_fan_out,
+        "gold_features_keyed_dedup": gold_features_keyed_dedup,
         "gold_features_global_lead": gold_features_global_lead,
         "gold_features_default_lead": gold_features_default_lead,
         "gold_validation": gold_validation,

@@ -63,6 +63,12 @@ def silver_transactions(spark: SparkSession, sf_dir: str, sale_label: str = " sa
                  lambda: C.clean_transactions(fx.stock_move(spark, sf_dir, sale_label)))
 
 
+def silver_transactions_with_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver movements from a source that carries a (non-unique) ``id``: one row per id."""
+    return _memo(spark, ("silver_transactions_id", sf_dir),
+                 lambda: C.clean_transactions(fx.stock_move_with_id(spark, sf_dir)))
+
+
 def silver_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _memo(spark, ("silver_inventory", sf_dir), lambda: C.clean_inventory(fx.inventory(spark, sf_dir)))
 

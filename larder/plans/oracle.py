@@ -60,11 +60,21 @@ SELECT DISTINCT order_ref, line_no, supplier_ref, product_id, trim(transaction_t
 FROM sm"""
 
 
-def fixtures(sale: str = " sale ", suppliers: str = SUPPLIERS_A) -> str:
+TRX_KEYED = """
+SELECT order_ref, line_no, supplier_ref, product_id, transaction_type, quantity_change, transaction_date
+FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY order_ref NULLS FIRST, line_no NULLS FIRST,
+        supplier_ref NULLS FIRST, product_id NULLS FIRST, transaction_type NULLS FIRST,
+        quantity_change NULLS FIRST, transaction_date NULLS FIRST) AS rn
+      FROM (SELECT order_ref * 8 + line_no AS id, order_ref, line_no, supplier_ref, product_id,
+                   trim(transaction_type) AS transaction_type, quantity_change, transaction_date FROM sm))
+WHERE rn = 1"""
+
+
+def fixtures(sale: str = " sale ", suppliers: str = SUPPLIERS_A, keyed: bool = False) -> str:
     """The common CTE prefix: sm (raw movements), trx (silver), inv, sup."""
     return (
         f"WITH sm AS ({STOCK_MOVE.format(sale=sale)}),\n"
-        f"trx AS ({TRX_CLEAN}),\n"
+        f"trx AS ({TRX_KEYED if keyed else TRX_CLEAN}),\n"
         f"inv AS ({INVENTORY}),\n"
         f"sup AS ({suppliers})"
     )
@@ -150,8 +160,8 @@ FROM gold"""
 
 
 def gold_sql(select: str = GOLD_SELECT_A, lead_mode: str = "per_product", sale: str = " sale ",
-             suppliers: str = SUPPLIERS_A, extra_ctes: str = "") -> str:
-    ctes = fixtures(sale, suppliers) + ",\n" + gold_ctes(lead_mode)
+             suppliers: str = SUPPLIERS_A, extra_ctes: str = "", keyed: bool = False) -> str:
+    ctes = fixtures(sale, suppliers, keyed) + ",\n" + gold_ctes(lead_mode)
     if extra_ctes:
         ctes += ",\n" + extra_ctes
     return ctes + "\n" + select
@@ -328,6 +338,7 @@ FROM base b LEFT JOIN net n ON b.product_id = n.product_id""")
     q["reorder_point_formula_only"] = _gold("SELECT product_id, reorder_point_formula AS reorder_point FROM gold")
     q["gold_features"] = gold_sql()
     q["gold_features_fan_out"] = gold_sql(suppliers=SUPPLIERS_FAN_OUT)
+    q["gold_features_keyed_dedup"] = gold_sql(keyed=True)
     q["gold_features_global_lead"] = _gold("""
 SELECT product_id, initial_stock AS initial_stock_quantity, stock_on_hand, total_sales, active_days,
        daily_sales_velocity, actual_lead_time, avg_lead_time_days, procurement_lead_time, order_buffer_index,

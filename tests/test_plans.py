@@ -45,3 +45,22 @@ def test_no_single_partition_window_in_supplier_review(spark):
     assert "CartesianProduct" not in plan
     for m in re.finditer(r"Window \[.*?\], \[\]", plan):
         pass  # windows without partition keys only run over the bucket-offset tables
+
+
+def test_no_query_plans_a_cross_join_or_unbounded_global_window(spark):
+    from larder.plans.model_catalog import model_queries
+
+    skip = set(model_queries()) - {"auc_exact"}  # model fits are MLlib jobs, not SQL plans
+    unpartitioned: set[str] = set()
+    for name, fn in catalog.queries().items():
+        if name in skip:
+            continue
+        plan = _planned(fn(spark, SF_SMALL))
+        assert "CartesianProduct" not in plan, name
+        assert "BroadcastNestedLoopJoin" not in plan, name
+        # a window without partition keys (its spec starts with the sort key) is
+        # only allowed over the bucket-offset table, ordered by the bucket number
+        for m in re.finditer(r"windowspecdefinition\(([^,()]+?) (ASC|DESC)", plan):
+            assert m.group(1).startswith("_bucket"), (name, m.group(0))
+        unpartitioned.update(m.group(1) for m in re.finditer(r"windowspecdefinition\(([^,()]+?) (ASC|DESC)", plan))
+    assert unpartitioned and all(u.startswith("_bucket") for u in unpartitioned)  # the check is not vacuous

@@ -4,7 +4,6 @@ import datetime as dt
 import random
 
 import pandas as pd
-from pyspark.sql import functions as F
 
 from larder.operators import cleaning as C
 from larder.operators import features as G

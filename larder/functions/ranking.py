@@ -40,7 +40,9 @@ def _bucketed(df: DataFrame, key: str, descending: bool, n_buckets: int | None,
         n_buckets = bucket_count(df.count(), rows_per_bucket)
     probs = [i / n_buckets for i in range(1, n_buckets)]
     bounds = with_ord.select(F.percentile_approx(F.col("_ord").cast("double"), probs, 10000)).first()[0] or []
-    splits = [-math.inf] + sorted({float(b) for b in bounds if b is not None and not math.isnan(b)}) + [math.inf]
+    inner = sorted({float(b) for b in bounds if b is not None and not math.isnan(b)})
+    # Bucketizer needs at least one inner split; an empty or constant input has none
+    splits = [-math.inf] + (inner or [0.0]) + [math.inf]
     keyed = with_ord.withColumn("_ordd", F.col("_ord").cast("double"))
     bucketizer = Bucketizer(splits=splits, inputCol="_ordd", outputCol="_bucketd", handleInvalid="keep")
     out = bucketizer.transform(keyed)

@@ -55,3 +55,12 @@ def test_prefix_sums_with_adaptive_buckets(spark):
     df = spark.createDataFrame(rows, "k long, w long")
     got = {r.k: r.before_w for r in exclusive_prefix_sums(df, "k", ["w"], rows_per_bucket=100).collect()}
     assert got == {k: k for k in range(3000)}
+
+
+def test_rank_helpers_on_empty_and_all_null_input(spark):
+    df = spark.createDataFrame([(1, None), (2, None)], "id long, v double")
+    assert {r.id: r.rk for r in dense_rank(df, "v", "rk").collect()} == {1: None, 2: None}
+    empty = spark.createDataFrame([], "k long, w long")
+    assert exclusive_prefix_sums(empty, "k", ["w"]).count() == 0
+    single = spark.createDataFrame([(5, 2)], "k long, w long")
+    assert [r.before_w for r in exclusive_prefix_sums(single, "k", ["w"]).collect()] == [0]

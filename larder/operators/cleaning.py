@@ -134,6 +134,8 @@ def rename_supplier_id(df: DataFrame) -> DataFrame:
 
 def layer_counts(datasets: dict[str, DataFrame]) -> DataFrame:
     """``(dataset, n_rows)`` for each named frame; one partial count each."""
+    if not datasets:
+        raise ValueError("layer_counts needs at least one dataset")
     frames = [
         df.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(name).alias("dataset"), "n_rows")
         for name, df in datasets.items()

@@ -41,11 +41,18 @@ def read_json_documents(spark: SparkSession, path: str, schema: T.StructType | s
 def read_jdbc(spark: SparkSession, url: str, table: str, partition_column: str | None = None,
               lower_bound: int | None = None, upper_bound: int | None = None,
               num_partitions: int | None = None, properties: dict | None = None,
-              fetch_size: int = 10000) -> DataFrame:
+              fetch_size: int = 10000, predicates: list[str] | None = None) -> DataFrame:
     """Relational table scan, split into ``num_partitions`` range queries on
-    ``partition_column`` so executors read in parallel (not one connection)."""
+    ``partition_column`` so executors read in parallel (not one connection).
+
+    ``predicates`` gives one WHERE clause per partition instead, for tables
+    without a numeric / date column to range over (e.g. one clause per month
+    or per hash bucket of a text key).
+    """
     props = dict(properties or {})
     props.setdefault("fetchsize", str(fetch_size))
+    if predicates:
+        return spark.read.jdbc(url, table, predicates=predicates, properties=props)
     if partition_column is not None:
         return spark.read.jdbc(url, table, column=partition_column, lowerBound=lower_bound,
                                upperBound=upper_bound, numPartitions=num_partitions, properties=props)

@@ -79,3 +79,25 @@ def test_session_defaults_do_not_override_submitted_conf(tmp_path):
         capture_output=True, text=True, timeout=300, env=env)
     assert "TZ=Asia/Tokyo" in out.stdout, out.stderr[-2000:]
     assert "SP=3" in out.stdout
+
+
+def test_read_jdbc_builds_partitioned_reads():
+    from larder.sources.readers import read_jdbc
+
+    calls = []
+
+    class FakeReader:
+        def jdbc(self, url, table, **kw):
+            calls.append((url, table, kw))
+            return "df"
+
+    class FakeSession:
+        read = FakeReader()
+
+    assert read_jdbc(FakeSession(), "jdbc:x", "stock_move", partition_column="id", lower_bound=0,
+                     upper_bound=1000, num_partitions=8) == "df"
+    url, table, kw = calls[-1]
+    assert (kw["column"], kw["lowerBound"], kw["upperBound"], kw["numPartitions"]) == ("id", 0, 1000, 8)
+    assert kw["properties"]["fetchsize"] == "10000"
+    read_jdbc(FakeSession(), "jdbc:x", "stock_move", predicates=["m = 1", "m = 2"])
+    assert calls[-1][2]["predicates"] == ["m = 1", "m = 2"]

@@ -41,3 +41,19 @@ def test_silver_job_with_parquet_movements_and_sampled_inference(spark):
     assert counts["grocery_inventory"] == 200
     moves = spark.read.parquet(f"{silver}/stock_transactions")
     assert dict(moves.dtypes)["transaction_date"] == "timestamp_ntz"
+
+
+def test_jobs_cli_silver_and_gold(spark, capsys):
+    import json
+
+    from larder.plans.jobs import main
+
+    raw, lake = scratch_path(spark, "raw"), scratch_path(spark, "lake")
+    writers.write_csv(fx.stock_move(spark, SF_SMALL), f"{raw}/stock_transactions")
+    writers.write_csv(fx.inventory(spark, SF_SMALL), f"{raw}/grocery_inventory")
+    writers.write_json_documents(fx.suppliers_per_product(spark, SF_SMALL), f"{raw}/suppliers")
+    main(["silver", "--raw", raw, "--silver", f"{lake}/silver", "--infer-sampling", "0.5"])
+    main(["gold", "--silver", f"{lake}/silver", "--gold", f"{lake}/gold"])
+    out = [json.loads(line) for line in capsys.readouterr().out.splitlines() if line.startswith(("[", "{"))]
+    assert {d["dataset"] for d in out[0]} == {"stock_transactions", "grocery_inventory", "suppliers"}
+    assert out[1]["total_products"] == 200 and out[1]["at_risk"] == 53

@@ -2,9 +2,9 @@
 
 Plan shape (the fact table is scanned once):
 
-    movements ─► partial agg (product, day) ─► agg (product) ─┐
-    inventory ─► canonical ─► keyed dedup ───────────────────┤ left joins on
-    suppliers ─► canonical ─► keyed dedup (case A) ──────────┘ product_id
+    movements ─► partial agg (product; day sets) ─► agg ─┐
+    inventory ─► canonical ─► keyed dedup ──────────────┤ left joins on
+    suppliers ─► canonical ─► keyed dedup (case A) ─────┘ product_id
 
 All three sides end up hash-partitioned on ``product_id``, so the two left
 joins share one partitioning. Aggregates combine map-side before any shuffle,
@@ -116,28 +116,18 @@ def movement_summary(mv: DataFrame) -> DataFrame:
     q = F.col("quantity")
     sale = is_sale(F.col("txn_type"))
     out = q < 0
-    daily = (
-        mv.groupBy("product_id", "txn_day")
-        .agg(
-            F.sum(q).alias("net"),
-            F.sum(F.when(sale, q)).alias("sale_qty"),
-            F.count(F.when(sale, 1)).alias("sale_rows"),
-            F.sum(F.when(out, q)).alias("out_qty"),
-            F.count(F.when(out, 1)).alias("out_rows"),
-        )
-    )
-    dated = F.col("txn_day").isNotNull()
-    product = (
-        daily.groupBy("product_id")
-        .agg(
-            F.sum("net").alias("net_quantity"),
-            F.sum("sale_qty").alias("sale_qty"),
-            F.sum("sale_rows").alias("sale_rows"),
-            F.count(F.when((F.col("sale_rows") > 0) & dated, 1)).alias("sale_days"),
-            F.sum("out_qty").alias("out_qty"),
-            F.sum("out_rows").alias("out_rows"),
-            F.count(F.when((F.col("out_rows") > 0) & dated, 1)).alias("out_days"),
-        )
+    # One aggregate per product, combined map-side: a map task emits one row
+    # per product it saw. Distinct active days are kept as sets of calendar
+    # days (collect_set skips NULL), so a row's size is bounded by the date
+    # range, not by how many movements the product has.
+    product = mv.groupBy("product_id").agg(
+        F.sum(q).alias("net_quantity"),
+        F.sum(F.when(sale, q)).alias("sale_qty"),
+        F.count(F.when(sale, 1)).alias("sale_rows"),
+        F.size(F.collect_set(F.when(sale, F.col("txn_day")))).cast("long").alias("sale_days"),
+        F.sum(F.when(out, q)).alias("out_qty"),
+        F.count(F.when(out, 1)).alias("out_rows"),
+        F.size(F.collect_set(F.when(out, F.col("txn_day")))).cast("long").alias("out_days"),
     )
     # One reference to the flag: pick the sale-based or the fallback triple.
     picked = F.when(

@@ -64,3 +64,16 @@ def test_no_query_plans_a_cross_join_or_unbounded_global_window(spark):
             assert m.group(1).startswith("_bucket"), (name, m.group(0))
         unpartitioned.update(m.group(1) for m in re.finditer(r"windowspecdefinition\(([^,()]+?) (ASC|DESC)", plan))
     assert unpartitioned and all(u.startswith("_bucket") for u in unpartitioned)  # the check is not vacuous
+
+
+def test_gold_at_scale_shape_three_shuffles_and_copartitioned_joins(spark):
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "-1")   # the 100 TB case: no product-grain side fits a broadcast
+    try:
+        plan = _planned(catalog.gold_features(spark, SF_SMALL))
+    finally:
+        spark.conf.set(key, old)
+    assert plan.count("SortMergeJoin") == 2
+    assert plan.count("Exchange hashpartitioning") == 3     # inventory, movements, suppliers
+    assert "partial_collect_set" in plan and "BroadcastExchange" not in plan

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import os
 import tempfile
 import uuid
@@ -106,7 +107,35 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 _LOCAL_CHECKPOINT: dict[int, str] = {}
 
 
+_SCRATCH: list[str] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh location under the shared checkpoint folder for written tables."""
+    """A fresh location under the shared checkpoint folder for written tables.
+
+    Locations handed out here are removed when the Python process exits (if
+    the Spark context is still up), so repeated runs do not accumulate data
+    in the shared folder. Nothing else under the folder is touched.
+    """
     root = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{root}/larder/{name}-{uuid.uuid4().hex}"
+    path = f"{root}/larder/{name}-{uuid.uuid4().hex}"
+    if not _SCRATCH:
+        atexit.register(drop_scratch)
+    _SCRATCH.append(path)
+    return path
+
+
+def drop_scratch() -> None:
+    from pyspark import SparkContext
+
+    sc = SparkContext._active_spark_context
+    if sc is None:
+        return
+    try:
+        jvm = sc._jvm
+        conf = sc._jsc.hadoopConfiguration()
+        for path in _SCRATCH:
+            hpath = jvm.org.apache.hadoop.fs.Path(path)
+            hpath.getFileSystem(conf).delete(hpath, True)
+    except Exception:  # noqa: BLE001 - best effort at interpreter exit
+        pass

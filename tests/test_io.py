@@ -101,3 +101,23 @@ def test_read_jdbc_builds_partitioned_reads():
     assert kw["properties"]["fetchsize"] == "10000"
     read_jdbc(FakeSession(), "jdbc:x", "stock_move", predicates=["m = 1", "m = 2"])
     assert calls[-1][2]["predicates"] == ["m = 1", "m = 2"]
+
+
+def test_scratch_locations_removed_at_exit(tmp_path):
+    import os
+    import subprocess
+    import sys
+
+    repo = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    ckpt = tmp_path / "ckpt"
+    script = tmp_path / "probe.py"
+    script.write_text(
+        "import sys; sys.path.insert(0, %r)\n"
+        "from larder.session import get_session, scratch_path\n"
+        "s = get_session('local[1]', 2, extra={'spark.checkpoint.dir': %r})\n"
+        "p = scratch_path(s, 'x'); s.range(3).write.parquet(p)\n"
+        "print('PATH=' + p)\n" % (repo, str(ckpt)))
+    out = subprocess.run([sys.executable, str(script)], capture_output=True, text=True, timeout=300)
+    path = [line[5:] for line in out.stdout.splitlines() if line.startswith("PATH=")][0]
+    assert not os.path.exists(path.replace("file:", "")), out.stderr[-1000:]
+    assert ckpt.exists()

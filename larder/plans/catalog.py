@@ -102,10 +102,12 @@ def sink_parquet_single_file(spark, sf):
 
 
 def land_raw_files(spark, sf):
+    """Land supplier documents as raw bytes, then read the records back out of
+    the landed bytes: any altered byte would show up as a value mismatch."""
     docs = scratch_path(spark, "supplier-docs")
     io_out.write_json_documents(fx.suppliers_per_product(spark, sf), docs)
     landed = land_raw_documents(spark, docs, scratch_path(spark, "raw-docs"), glob="part-*")
-    return landed.select("length", F.md5(F.col("content")).alias("content_md5"))
+    return io_in.parse_json_documents(landed, SUPPLIER_A_SCHEMA)
 
 
 def _landed(spark, sf):

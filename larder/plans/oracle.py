@@ -257,6 +257,7 @@ def statements() -> dict[str, str]:
     q["scan_parquet"] = _sm() + "SELECT * FROM sm"
     q["scan_csv"] = f"SELECT * FROM ({INVENTORY})"
     q["scan_json_multiline"] = f"SELECT * FROM ({SUPPLIERS_A})"
+    q["land_raw_files"] = f"SELECT * FROM ({SUPPLIERS_A})"
     q["sink_parquet_roundtrip"] = gold_sql()
     q["sink_parquet_single_file"] = gold_sql()
     q["bronze_landing"] = f"""

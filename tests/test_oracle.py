@@ -25,7 +25,7 @@ def test_query_matches_oracle(spark, duck, name):
 
 
 def test_every_query_has_oracle_or_is_model_output():
-    rows_only = {"land_raw_files", "assemble_features", "rf_stockout", "auc_model", "rf_reorder_point",
+    rows_only = {"assemble_features", "rf_stockout", "auc_model", "rf_reorder_point",
                  "regression_metrics_model", "score_products", "feature_importance",
                  "recommendations_from_model_output"}
     missing = set(queries()) - set(STATEMENTS)

@@ -1,7 +1,7 @@
 """Stock-performance, supplier and anomaly reports over silver and gold.
 
-The reports are documented for the gold layer but never coded in the
-reference; thresholds and ratios below are ours and are arguments.
+These reports are described only in words (no thresholds or formulas), so
+the definitions, thresholds and ratios below are ours and are arguments.
 """
 
 from __future__ import annotations

@@ -1,7 +1,7 @@
 """Project the driver's test tables into the three input datasets.
 
-The reference ships no data; its inputs are known only by the column-name
-patterns it looks for. These projections (see FIXTURES.md) give every role a
+No source data comes with the specification; the inputs are known only by
+the column-name patterns the roles look for. These projections (see FIXTURES.md) give every role a
 column and reach the NULL / unmatched branches. The modulo conditions below
 only *set values* (NULLs, malformed text, unmatched keys) inside full-size
 tables; no row is filtered out and no query runs on a subset of rows.

@@ -73,3 +73,25 @@ def test_aggregations_combine_map_side(spark):
     assert plan.split("== Initial Plan ==")[-1].count("Exchange hashpartitioning") <= 2  # + repartition(6) of the input
     dedup = C.dedup_by_key(sdf, "product_id")._jdf.queryExecution().executedPlan().toString()
     assert "partial_min" in dedup and "Window" not in dedup
+
+
+def test_enriched_movements_with_hot_and_null_keys_matches_brute_force(spark):
+    sdf, pdf = _movements(spark, n=1500)
+    extra = [(90001, None, 1, "SALE", -1.0, dt.datetime(2024, 2, 1)),
+             (90002, 3, None, "SALE", -2.0, dt.datetime(2024, 2, 2)),
+             (90003, None, None, "purchase", 5.0, None)]
+    schema = sdf.schema
+    trx = sdf.unionByName(spark.createDataFrame(extra, schema))
+    inv = spark.createDataFrame([(p, f"name{p}", f"cat{p % 3}") for p in range(1, 50)],
+                                "product_id long, product_name string, category string")
+    sup = spark.createDataFrame([(s, f"sup{s}") for s in range(1, 15)], "supplier_id long, supplier_name string")
+    got = sorted((r.order_ref, r.product_name, r.supplier_name) for r in
+                 D.enriched_movements(trx, inv, sup).collect())
+    p = pd.concat([pdf, pd.DataFrame(extra, columns=pdf.columns)]).astype({"product_id": "Int64", "supplier_ref": "Int64"})
+    m = p.merge(inv.toPandas().astype({"product_id": "Int64"}), on="product_id", how="left")
+    m = m.merge(sup.toPandas().astype({"supplier_id": "Int64"}), left_on="supplier_ref", right_on="supplier_id",
+                how="left")
+    norm = lambda v: None if (v is None or (isinstance(v, float) and v != v) or v is pd.NA) else v
+    want = sorted((int(r.order_ref), norm(r.product_name), norm(r.supplier_name)) for r in m.itertuples())
+    assert len(got) == len(want) == trx.count()
+    assert got == want

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from larder.functions.lineage import stage
+from larder.functions.skew import hot_keys, replicate_for_salts, salt_rows
 from larder.operators.cleaning import dedup_by_key
 from larder.functions.ranking import dense_rank_table
 from larder.operators.features import canonical_inventory, one_row_per_product
@@ -168,16 +169,24 @@ def supplier_review(trx: DataFrame, gold: DataFrame, supplier_key: str = "suppli
 def outflow_anomalies(sales: DataFrame, product_col: str, quantity_col: str, k: float = 3.0) -> DataFrame:
     """Outgoing rows whose |quantity| exceeds mean + k·stddev of their product.
 
-    Per-product statistics are a partial aggregate; the rows are joined back to
-    them by product (no window, so a hot product is not one task).
+    Per-product statistics are a partial aggregate (staged once); the rows are
+    joined back to them by product — no window, so a hot product is never one
+    task. Products holding a large share of the rows are salted (see
+    ``functions.skew``), so the join spreads them even without AQE.
     """
     out = sales.withColumn("_outflow", F.abs(to_double(sales[quantity_col])))
-    stats = out.groupBy(F.col(product_col).alias("_p")).agg(
-        F.avg("_outflow").alias("mean_outflow"), F.stddev_samp("_outflow").alias("stddev_outflow")
-    )
-    j = out.join(stats, out[product_col] == stats["_p"], "inner")
+    stats = stage(
+        out.groupBy(F.col(product_col).alias("_p")).agg(
+            F.avg("_outflow").alias("mean_outflow"), F.stddev_samp("_outflow").alias("stddev_outflow"),
+            F.count(F.lit(1)).alias("_n")),
+        "outflow-stats")
+    hot = hot_keys(stats, "_p", "_n")
+    rows = salt_rows(out, out[product_col], hot)
+    stats_salted = replicate_for_salts(stats.drop("_n"), stats["_p"], hot).withColumnRenamed("_salt", "_s")
+    j = rows.join(stats_salted, (rows[product_col] == stats_salted["_p"]) & (rows["_salt"] == stats_salted["_s"]),
+                  "inner")
     flagged = j.where(F.col("_outflow") > F.col("mean_outflow") + F.lit(k) * F.col("stddev_outflow"))
-    return flagged.drop("_p").withColumnRenamed("_outflow", "outflow")
+    return flagged.drop("_p", "_s", "_salt").withColumnRenamed("_outflow", "outflow")
 
 
 def top_k_velocity(gold: DataFrame, k: int = 20) -> DataFrame:

@@ -4,6 +4,7 @@ import datetime as dt
 import random
 
 import pandas as pd
+from pyspark.sql import functions as F
 
 from larder.operators import cleaning as C
 from larder.operators import features as G
@@ -95,3 +96,17 @@ def test_enriched_movements_with_hot_and_null_keys_matches_brute_force(spark):
     want = sorted((int(r.order_ref), norm(r.product_name), norm(r.supplier_name)) for r in m.itertuples())
     assert len(got) == len(want) == trx.count()
     assert got == want
+
+
+def test_hot_key_salting_spreads_only_hot_keys(spark):
+    from larder.functions.skew import SALT_BUCKETS, hot_keys, replicate_for_salts, salt_rows
+
+    sdf, _ = _movements(spark)
+    counts = sdf.groupBy("product_id").agg(F.count(F.lit(1)).alias("n"))
+    hot = hot_keys(counts, "product_id", "n")
+    assert [r._hk for r in hot.collect()] == [1]                  # the product with a third of the rows
+    salted = salt_rows(sdf, sdf["product_id"], hot)
+    per = {r.product_id: r.k for r in salted.groupBy("product_id").agg(F.countDistinct("_salt").alias("k")).collect()}
+    assert per[1] > SALT_BUCKETS // 2 and all(v == 1 for p, v in per.items() if p != 1)
+    rep = replicate_for_salts(counts, counts["product_id"], hot)
+    assert rep.where("product_id = 1").count() == SALT_BUCKETS and rep.where("product_id = 2").count() == 1

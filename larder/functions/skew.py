@@ -6,10 +6,13 @@ and is broadcast. Rows of a hot key get a deterministic salt (a hash of the
 row's content, stable across retries) in ``[0, buckets)``; the other side's
 row for that key is replicated once per salt. Joining on (key, salt) then
 spreads a hot key over ``buckets`` tasks, with or without AQE's skew join.
+Keys may span several columns and are compared NULL-safely.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -17,25 +20,43 @@ HOT_DIVISOR = 64
 SALT_BUCKETS = 32
 
 
-def hot_keys(counts: DataFrame, key: str, n_col: str, hot_divisor: int = HOT_DIVISOR) -> DataFrame:
-    """Keys whose count exceeds total / hot_divisor (at most hot_divisor − 1 rows)."""
+def _names(keys: str | Sequence[str]) -> list[str]:
+    return [keys] if isinstance(keys, str) else list(keys)
+
+
+def hot_keys(counts: DataFrame, keys: str | Sequence[str], n_col: str, hot_divisor: int = HOT_DIVISOR) -> DataFrame:
+    """Keys whose count exceeds total / hot_divisor (fewer than hot_divisor rows).
+
+    Columns: ``_hk0, _hk1, ...`` (one per key column) and ``_hot``.
+    """
+    names = _names(keys)
     total = counts.select(F.sum(n_col)).scalar()
     return counts.where(F.col(n_col) * hot_divisor > total).select(
-        F.col(key).alias("_hk"), F.lit(True).alias("_hot"))
+        *[F.col(k).alias(f"_hk{i}") for i, k in enumerate(names)], F.lit(True).alias("_hot"))
+
+
+def _mark_hot(df: DataFrame, key_cols: Sequence[Column], hot: DataFrame) -> DataFrame:
+    cond = None
+    for i, c in enumerate(key_cols):
+        term = c.eqNullSafe(hot[f"_hk{i}"])
+        cond = term if cond is None else cond & term
+    joined = df.join(F.broadcast(hot), cond, "left")
+    return joined.drop(*[f"_hk{i}" for i in range(len(key_cols))])
 
 
-def salt_rows(rows: DataFrame, key_col: Column, hot: DataFrame, buckets: int = SALT_BUCKETS) -> DataFrame:
+def salt_rows(rows: DataFrame, key_cols: Column | Sequence[Column], hot: DataFrame,
+              buckets: int = SALT_BUCKETS) -> DataFrame:
     """Add ``_salt``: a content hash in [0, buckets) for hot keys, 0 otherwise."""
+    key_cols = [key_cols] if isinstance(key_cols, Column) else list(key_cols)
     salt = F.pmod(F.xxhash64(*[rows[c] for c in rows.columns]), F.lit(buckets))
-    return (
-        rows.join(F.broadcast(hot), key_col.eqNullSafe(F.col("_hk")), "left")
-        .withColumn("_salt", F.when(F.col("_hot"), salt).otherwise(F.lit(0)))
-        .drop("_hk", "_hot")
-    )
+    marked = _mark_hot(rows, key_cols, hot)
+    return marked.withColumn("_salt", F.when(F.col("_hot"), salt).otherwise(F.lit(0))).drop("_hot")
 
 
-def replicate_for_salts(side: DataFrame, key_col: Column, hot: DataFrame, buckets: int = SALT_BUCKETS) -> DataFrame:
+def replicate_for_salts(side: DataFrame, key_cols: Column | Sequence[Column], hot: DataFrame,
+                        buckets: int = SALT_BUCKETS) -> DataFrame:
     """Add ``_salt``; hot keys' rows are replicated once per salt value."""
+    key_cols = [key_cols] if isinstance(key_cols, Column) else list(key_cols)
     salts = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(buckets - 1))).otherwise(F.array(F.lit(0)))
-    joined = side.join(F.broadcast(hot), key_col.eqNullSafe(F.col("_hk")), "left")
-    return joined.select(*[side[c] for c in side.columns], F.explode(salts).alias("_salt"))
+    marked = _mark_hot(side, key_cols, hot)
+    return marked.select(*[marked[c] for c in side.columns], F.explode(salts).alias("_salt"))

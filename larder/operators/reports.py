@@ -34,30 +34,22 @@ def enriched_movements(trx: DataFrame, inv: DataFrame, sup: DataFrame,
     (product, supplier) pairs are enriched first — a map-side-combined table,
     usually far smaller than the movements — and attached to the movements
     with one null-safe equi-join on both keys: one shuffle of the fact.
-    Dimensions are reduced to one row per key, so no join multiplies rows, and
-    a hot (product, supplier) pair is salted (``functions.skew``).
+    Dimensions are reduced to one row per key, so no join multiplies rows. A
+    hot (product, supplier) pair is left to AQE's skew join: staging the pairs
+    to salt them hides their runtime size and blocks AQE's broadcast.
     """
     r = resolve_transaction_roles(trx.columns)
     ir = resolve_inventory_roles(inv.columns)
     products = dedup_by_key(inv.select(inv[ir.product].alias("_p"), *[inv[a] for a in product_attrs]), "_p")
     suppliers = dedup_by_key(sup.select(sup[supplier_id].alias("_s"), *[sup[a] for a in supplier_attrs]), "_s")
-    # pairs with their row counts (map-side combined), written once: they feed
-    # the hot-pair detection, the enrichment and the salted join
-    pairs = stage(
-        trx.groupBy(trx[r.product].alias("_pp"), trx[supplier_key].alias("_ps")).agg(F.count(F.lit(1)).alias("_n")),
-        "movement-pairs")
-    hot = hot_keys(pairs, ["_pp", "_ps"], "_n")
+    pairs = trx.select(trx[r.product].alias("_pp"), trx[supplier_key].alias("_ps")).distinct()
     enriched = (
         pairs.join(products, pairs["_pp"] == products["_p"], "left")
         .join(suppliers, pairs["_ps"] == suppliers["_s"], "left")
         .select("_pp", "_ps", *product_attrs, *supplier_attrs)
     )
-    enriched = replicate_for_salts(enriched, [enriched["_pp"], enriched["_ps"]], hot).withColumnRenamed(
-        "_salt", "_es")
-    rows = salt_rows(trx, [trx[r.product], trx[supplier_key]], hot)
-    cond = (rows[r.product].eqNullSafe(enriched["_pp"]) & rows[supplier_key].eqNullSafe(enriched["_ps"])
-            & (rows["_salt"] == enriched["_es"]))
-    return rows.join(enriched, cond, "left").drop("_pp", "_ps", "_salt", "_es")
+    cond = trx[r.product].eqNullSafe(enriched["_pp"]) & trx[supplier_key].eqNullSafe(enriched["_ps"])
+    return trx.join(enriched, cond, "left").drop("_pp", "_ps")
 
 
 def _in_out(trx: DataFrame) -> DataFrame:

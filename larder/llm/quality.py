@@ -121,12 +121,11 @@ def thresholds(measured: DataFrame) -> DataFrame:
 
     own = fences(sketched, ["lang", "source"], "own", LEAST_ROWS)
     lang = fences(by_lang, ["lang"], "lang", LEAST_ROWS)
-    whole = fences(overall, [], "all", 1).withColumn("_one", F.lit(1))
+    whole = fences(overall, [], "all", 1)
     found = groups.join(own, F.col("lang").eqNullSafe(F.col("own_lang")) & F.col("source").eqNullSafe(F.col("own_source")), "left")
     found = found.join(lang.withColumnRenamed("lang_lang", "_lang"), F.col("lang").eqNullSafe(F.col("_lang")), "left")
-    found = found.withColumn("_one", F.lit(1)).join(whole, "_one", "left")
     return found.select("lang", "source", *[
-        F.coalesce(f"own_{m}", f"lang_{m}", f"all_{m}").alias(f"limit_{m}") for m in FLOOR])
+        F.coalesce(F.col(f"own_{m}"), F.col(f"lang_{m}"), whole.select(f"all_{m}").scalar()).alias(f"limit_{m}") for m in FLOOR])
 
 
 def quality_filter(docs: DataFrame, keep: list[str] | None = None) -> DataFrame:

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Callable, Iterator
+from types import ModuleType
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -12,8 +14,6 @@ from pyspark.sql import types as T
 
 from larder.functions.lineage import stage
 
-__all__ = ["TMP", "add_columns", "components", "number_rows", "stage", "table"]
-
 #: Prefix of working columns; an input column that starts with it is dropped.
 TMP = "__llm_"
 
@@ -89,6 +89,14 @@ def _arrow_type(t: T.DataType) -> pa.DataType:
     return simple[type(t).__name__]
 
 
+def once_a_worker(name: str, make: Callable):
+    """``make()``, kept for the later tasks of this Python worker (functions pickled by value share no globals)."""
+    kept = sys.modules.setdefault("_larder_llm_kept", ModuleType("_larder_llm_kept")).__dict__
+    if name not in kept:
+        kept[name] = make()
+    return kept[name]
+
+
 def number_rows(name: str = TMP + "row") -> Callable[[int], list[int]]:
     """Per-task source of row numbers, unique within one stage (stage the result to fix them)."""
     from pyspark import TaskContext

@@ -13,8 +13,8 @@ which are never padded, so there is no padding at all.
 Every document is indexed and packed; neighbours decide only the order. Terms in
 half of a shard's documents or more have no weight. Token ids are those of the
 tokenizer's own file; words of letters alone go straight to its merge model, all
-else through the whole tokenizer, and both are remembered within a task (at most
-``CACHE_WORDS`` words).
+else through the whole tokenizer, and both are remembered within a Python worker (at most
+``CACHE_WORDS`` words each).
 
 Edge cases: a null or empty text is its end id alone; repeated rows are packed
 each for itself, in a fixed order; a text longer than a window spans several;
@@ -33,14 +33,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from larder.llm.common import slices
+from larder.llm.common import once_a_worker, slices
 
 WINDOW = 2048
 END_ID = 1
 SHARD_BYTES = 4 << 20
 QUERY_TERMS = 32
 K1, B = 1.2, 0.75
-CACHE_WORDS = 400_000
+CACHE_WORDS = 1_000_000
 TOKENIZER = "word_bpe_49k.json"
 SCHEMA = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long")
 
@@ -51,44 +51,53 @@ def default_tokenizer() -> str:
     return public_tokenizers.path(TOKENIZER)
 
 
-def encoder(path: str) -> Callable[[str | None], bytes]:
-    """Text to little-endian 32-bit ids without special tokens (their strings are ordinary text).
+def encoder(path: str) -> tuple[Callable[[str | None], bytes], str]:
+    """Text to ids without special tokens (their strings are ordinary text), and the ids' type (16 bits if all fit).
 
     White space separates words for this tokenizer, so a text's ids are its
-    words' ids in a row.
+    words' ids in a row; within a word of Latin letters and ASCII marks, its
+    pieces are letters, single digits, runs of marks, and clitics.
     """
+    import struct
+
     from tokenizers import Tokenizer, pre_tokenizers
 
     whole = Tokenizer.from_file(path)
     whole.encode_special_tokens = True
     merges = whole.model
+    code = "H" if whole.get_vocab_size() <= 1 << 16 else "I"
     to_bytes = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
-    letters = [chr(c) for c in range(0x100) if chr(c).isalpha() and chr(c) not in "ªº"]
+    letters = "".join(chr(c) for c in range(0x100) if chr(c).isalpha())
     mapped = {ord(c): to_bytes.pre_tokenize_str(c.lower())[0][0] for c in letters}
-    plain = re.compile(f"([{''.join(letters)}]+)([.,]?)")
+    latin = re.compile(f"[!-~{letters}]+")
+    piece = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[a-z{letters}]+|[0-9]|[^0-9{letters}]+")
     odd_space = re.compile("[\x1c-\x1f]")
     blank = re.compile("[^ \t\n\r\x0b\x0c]+")
     known: dict[str, bytes] = {}
 
-    def full(word: str) -> bytes:
-        return np.array(whole.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
-
-    mark = {c: full(c) for c in (".", ",")} | {"": b""}
+    def merged(part: str) -> bytes:
+        """Ids of one piece, in byte symbols."""
+        got = known.get(part)
+        if got is None:
+            ids = [t.id for t in merges.tokenize(part)]
+            got = struct.pack(f"<{len(ids)}{code}", *ids)
+            if len(known) >= CACHE_WORDS:
+                known.clear()
+            known[part] = got
+        return got
 
     class Words(dict):
         def __missing__(self, word: str) -> bytes:
-            m = plain.fullmatch(word)
-            if m:
-                own = m[1].translate(mapped)
-                got = known.get(own)
-                if got is None:
-                    got = np.array([t.id for t in merges.tokenize(own)], "<u4").tobytes()
-                    if len(known) >= CACHE_WORDS:
-                        known.clear()
-                    known[own] = got
-                got += mark[m[2]]
+            body, mark = (word[:-1], word[-1]) if word[-1] in ".," else (word, "")
+            if body.isalpha() and body.isascii():
+                got = merged(body.lower())
+                if mark:
+                    got += merged(mark)
+            elif latin.fullmatch(word):
+                got = b"".join([merged(p.translate(mapped)) for p in piece.findall(word.lower())])
             else:
-                got = full(word)
+                ids = whole.encode(word, add_special_tokens=False).ids
+                got = struct.pack(f"<{len(ids)}{code}", *ids)
             if len(word) <= 64:
                 if len(self) >= CACHE_WORDS:
                     self.clear()
@@ -103,34 +112,25 @@ def encoder(path: str) -> Callable[[str | None], bytes]:
         parts = blank.findall(text) if odd_space.search(text) else text.split()
         return b"".join(map(words.__getitem__, parts))
 
-    return encode
+    return encode, "<u2" if code == "H" else "<u4"
 
 
 def tokenized(docs: DataFrame, path: str, shards: int) -> DataFrame:
-    """(doc_id, shard, ids): ids as little-endian 16 or 32 bits, the end id last."""
+    """(doc_id, shard, ids, kind): little-endian ids of that type, the end id last."""
     text = F.col("text").cast("string")
     shard = F.pmod(F.xxhash64(F.col("doc_id"), F.coalesce(text, F.lit(""))), F.lit(shards))
     source = docs.select(F.col("doc_id").cast("long"), shard.alias("shard"), text.alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(path)
-        end = np.array([END_ID], "<u4").tobytes()
+        encode, kind = once_a_worker(f"encoder:{path}", lambda: encoder(path))
+        end = np.array([END_ID], kind).tobytes()
         for batch in slices(batches, "text"):
-            ids = [_narrow(encode(t) + end) for t in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("shard"), pa.array(ids, pa.binary())],
-                                             names=["doc_id", "shard", "ids"])
-
-    return source.mapInArrow(run, "doc_id long, shard long, ids binary")
-
-
-def _narrow(ids: bytes) -> bytes:
-    """16 bits each where all ids fit; the first byte tells which."""
-    wide = np.frombuffer(ids, "<u4")
-    return b"\x02" + wide.astype("<u2").tobytes() if wide.max() < 1 << 16 else b"\x04" + ids
-
+            ids = [encode(t) + end for t in batch.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), batch.column("shard"), pa.array(ids, pa.binary()), pa.array([kind] * len(ids))],
+                names=["doc_id", "shard", "ids", "kind"])
 
-def _wide(ids: bytes) -> np.ndarray:
-    return np.frombuffer(ids, "<u2" if ids[0] == 2 else "<u4", offset=1).astype(np.uint32)
+    return source.mapInArrow(run, "doc_id long, shard long, ids binary, kind string")
 
 
 class Index:
@@ -225,11 +225,12 @@ def pack_documents(docs: DataFrame, tokenizer: str | None = None, window: int =
     def run(group: pa.Table) -> pa.Table:
         rows = sorted(zip(group.column("doc_id").to_pylist(), group.column("ids").to_pylist()),
                       key=lambda r: (r[0] is None, r[0] or 0, r[1]))
-        ids = [_wide(r[1]) for r in rows]
+        kind = group.column("kind")[0].as_py()
+        ids = [np.frombuffer(r[1], kind) for r in rows]
         shard = group.column("shard")[0].as_py()
         pieces = pack(ids, window)
         doc, start, length, sequence, offset = (np.array(c, np.int64) for c in zip(*pieces))
-        crc = [zlib.crc32(ids[d][s:s + n].tobytes()) for d, s, n, *_ in pieces]
+        crc = [zlib.crc32(ids[d][s:s + n].astype("<u4").tobytes()) for d, s, n, *_ in pieces]
         sizes = np.array([len(i) for i in ids], np.int64)
         return pa.table({
             "doc_id": pa.array([rows[d][0] for d in doc], pa.int64()), "start": start, "length": length,

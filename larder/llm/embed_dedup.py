@@ -6,8 +6,8 @@ centroids); the residual to the centroid is coded in ``SUBSPACES`` subspaces of
 ``CODES`` words each. Every class is a query. It probes each list that can hold
 a vector within the radius r of the similarity: a vector of list l lies on l's
 side of the plane between l and the query's own list 0, so l is needed only if
-d(q, l)^2 - d(q, 0)^2 <= 2 r |l - 0|; nothing within the radius lies elsewhere. In
-a probed list, distances come from the query's lookup tables (one a subspace) and
+d(q, l)^2 - d(q, 0)^2 <= 2 r |l - 0| and d(q, l) is at most r more than the
+distance of the list's widest member; nothing within the radius lies elsewhere. In a probed list, distances come from the query's lookup tables (one a subspace) and
 the codes. A member whose coded distance is within r plus its own coding error
 is a candidate, again a bound that loses nothing, and the exact cosine decides.
 
@@ -132,14 +132,14 @@ def _index(classes: DataFrame, quantisers, radius: float) -> DataFrame:
         models = quantisers.value
         for batch in batches:
             vectors = batch.column("embedding").to_pylist()
-            own, codes, errors, probes = ([None] * len(vectors) for _ in range(4))
+            own, codes, errors, away, probes, gaps = ([None] * len(vectors) for _ in range(6))
             lengths = np.array([len(v) for v in vectors])
             for length in np.unique(lengths):
                 at = np.flatnonzero(lengths == length)
                 q = models.get(int(length))
                 if q is None:  # a length the sample lacks: one list, searched whole
                     for i in at:
-                        own[i], codes[i], errors[i], probes[i] = -int(length), b"", 0.0, [-int(length)]
+                        own[i], codes[i], errors[i], away[i], probes[i], gaps[i] = -int(length), b"", 0.0, 0.0, [-int(length)], [0.0]
                     continue
                 x = _unit(np.array([vectors[i] for i in at], float))
                 far = _squares(x, q.centroids)
@@ -149,29 +149,38 @@ def _index(classes: DataFrame, quantisers, radius: float) -> DataFrame:
                 reach = gap <= 2 * radius * q.apart[near] + SLACK
                 for j, i in enumerate(at):
                     own[i], codes[i], errors[i] = q.first + int(near[j]), code[j].tobytes(), float(error[j])
-                    probes[i] = (q.first + np.flatnonzero(reach[j])).tolist()
+                    away[i] = float(np.sqrt(far[j, near[j]]))
+                    asked = np.flatnonzero(reach[j])
+                    probes[i], gaps[i] = (q.first + asked).tolist(), np.sqrt(far[j, asked]).tolist()
             packed = [np.array(v, "<f8").tobytes() for v in vectors]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("cid"), batch.column("label"), batch.column("n"), pa.array(packed, pa.binary()), pa.array(own, pa.int64()),
-                 pa.array(codes, pa.binary()), pa.array(errors, pa.float64()), pa.array(probes, pa.list_(pa.int64()))],
-                names=["cid", "label", "n", "vector", "list", "codes", "error", "probes"])
+                 pa.array(codes, pa.binary()), pa.array(errors, pa.float64()), pa.array(away, pa.float64()),
+                 pa.array(probes, pa.list_(pa.int64())), pa.array(gaps, pa.list_(pa.float64()))],
+                names=["cid", "label", "n", "vector", "list", "codes", "error", "away", "probes", "gaps"])
 
     return classes.select("cid", F.col("label").cast("string").alias("label"), "n", F.col("embedding").cast("array<double>").alias("embedding")).mapInArrow(
-        run, "cid long, label string, n long, vector binary, list long, codes binary, error double, probes array<long>")
+        run, "cid long, label string, n long, vector binary, list long, codes binary, error double, away double, "
+             "probes array<long>, gaps array<double>")
 
 
 def _search(index: DataFrame, quantisers, similarity: float, radius: float) -> DataFrame:
     """(cid, links, root): a query's linked rows in one block of a list, and the smallest class of its links' star."""
-    members = {r["list"]: r["count"] for r in index.groupBy("list").count().collect()}
-    asked = index.select(F.explode("probes").alias("list")).groupBy("list").count().collect()
-    spark = index.sparkSession
-    cuts = [(r["list"], -(-members.get(r["list"], 0) // BLOCK_ROWS), -(-r["count"] // BLOCK_ROWS)) for r in asked if r["list"] in members]
-    # one row a list: MOST_LISTS at most for each vector length
-    blocks = spark.createDataFrame(cuts, "at long, nm int, nq int")
-    own = index.join(blocks, F.col("list") == F.col("at")).select(
-        "label", "at", F.pmod(F.xxhash64("cid"), "nm").cast("int").alias("mb"), F.explode(F.sequence(F.lit(0), F.col("nq") - 1)).alias("qb"),
-        F.lit(False).alias("asks"), "cid", "n", "vector", "codes", "error")
-    queries = index.select("label", "cid", "n", "vector", F.explode("probes").alias("probe")).join(blocks, F.col("probe") == F.col("at")).select(
+    groups = index.groupBy("label", "list").agg(F.max("away").alias("widest"), F.count("*").alias("rows")).select(
+        F.col("label").alias("_label"), F.col("list").alias("at"), "widest", F.ceil(F.col("rows") / BLOCK_ROWS).cast("int").alias("nm"))
+
+    def probing(*columns: str) -> DataFrame:
+        """Queries and the lists of their label that they probe: nothing within the radius lies beyond a list's widest member either."""
+        each = index.select("label", *columns, F.explode(F.arrays_zip("probes", "gaps")).alias("probe"))
+        return each.join(groups, (F.col("label") == F.col("_label")) & (F.col("probe.probes") == F.col("at"))).where(
+            F.col("probe.gaps") <= F.col("widest") + radius + SLACK).drop("probe", "_label", "widest")
+
+    blocks = stage(probing().groupBy("label", "at", "nm").agg(F.ceil(F.count("*") / BLOCK_ROWS).cast("int").alias("nq")), "vector-blocks")
+    blocks = blocks.withColumnsRenamed({"label": "_of", "at": "_at"})
+    own = index.join(blocks, (F.col("label") == F.col("_of")) & (F.col("list") == F.col("_at"))).select(
+        "label", F.col("list").alias("at"), F.pmod(F.xxhash64("cid"), "nm").cast("int").alias("mb"),
+        F.explode(F.sequence(F.lit(0), F.col("nq") - 1)).alias("qb"), F.lit(False).alias("asks"), "cid", "n", "vector", "codes", "error")
+    queries = probing("cid", "n", "vector").drop("nm").join(blocks, (F.col("label") == F.col("_of")) & (F.col("at") == F.col("_at"))).select(
         "label", "at", F.explode(F.sequence(F.lit(0), F.col("nm") - 1)).alias("mb"), F.pmod(F.xxhash64("cid"), "nq").cast("int").alias("qb"),
         F.lit(True).alias("asks"), "cid", "n", "vector", F.lit(None).cast("binary").alias("codes"), F.lit(0.0).alias("error"))
 

@@ -37,7 +37,7 @@ from larder.llm.common import components, stage
 SIMILARITY = 0.98
 SUBSPACES = 8
 CODES = 64
-LIST_ROWS = 256
+LIST_ROWS = 2048
 MOST_LISTS = 4096
 SAMPLE_ROWS = 20_000
 BLOCK_ROWS = 1024
@@ -180,9 +180,14 @@ def _search(index: DataFrame, quantisers, similarity: float, radius: float) -> D
     own = index.join(blocks, (F.col("label") == F.col("_of")) & (F.col("list") == F.col("_at"))).select(
         "label", F.col("list").alias("at"), F.pmod(F.xxhash64("cid"), "nm").cast("int").alias("mb"),
         F.explode(F.sequence(F.lit(0), F.col("nq") - 1)).alias("qb"), F.lit(False).alias("asks"), "cid", "n", "vector", "codes", "error")
-    queries = probing("cid", "n", "vector").drop("nm").join(blocks, (F.col("label") == F.col("_of")) & (F.col("at") == F.col("_at"))).select(
-        "label", "at", F.explode(F.sequence(F.lit(0), F.col("nm") - 1)).alias("mb"), F.pmod(F.xxhash64("cid"), "nq").cast("int").alias("qb"),
-        F.lit(True).alias("asks"), "cid", "n", "vector", F.lit(None).cast("binary").alias("codes"), F.lit(0.0).alias("error"))
+    # the probes' rows stay slim until a query's lists are together: its vector is shuffled once, then repeated in place
+    lists = probing("cid").drop("nm").join(blocks, (F.col("label") == F.col("_of")) & (F.col("at") == F.col("_at"))).groupBy("cid").agg(
+        F.collect_list(F.struct("at", "nm", "nq")).alias("lists")).withColumnRenamed("cid", "_cid")
+    queries = index.select("label", "cid", "n", "vector").join(lists, F.col("cid") == F.col("_cid")).select(
+        "label", "cid", "n", "vector", F.explode("lists").alias("to")).select(
+        "label", F.col("to.at").alias("at"), F.explode(F.sequence(F.lit(0), F.col("to.nm") - 1)).alias("mb"),
+        F.pmod(F.xxhash64("cid"), "to.nq").cast("int").alias("qb"), F.lit(True).alias("asks"), "cid", "n", "vector",
+        F.lit(None).cast("binary").alias("codes"), F.lit(0.0).alias("error"))
 
     def run(group: pa.Table) -> pa.Table:
         asks = np.array(group.column("asks").to_pylist(), bool)

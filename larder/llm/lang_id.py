@@ -180,7 +180,7 @@ def _sums(codes: np.ndarray, starts: np.ndarray, table: np.ndarray, at_once: int
             last = int(np.searchsorted(starts, lo + len(h), "left"))
             cuts = np.maximum(starts[first:last] - lo, 0)
             weight = full[:, None] * table[h]
-            total[first:last] += np.add.reduceat(weight, cuts, axis=0)
+            total[first:last] += np.add.reduceat(weight, cuts, axis=0, dtype=np.float64)
             count[first:last] += np.add.reduceat(full.astype(np.int64), cuts)
     return total, count
 

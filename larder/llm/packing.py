@@ -40,7 +40,7 @@ END_ID = 1
 SHARD_BYTES = 4 << 20
 QUERY_TERMS = 32
 K1, B = 1.2, 0.75
-CACHE_WORDS = 1_000_000
+CACHE_WORDS = 700_000
 TOKENIZER = "word_bpe_49k.json"
 SCHEMA = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long")
 
@@ -75,7 +75,7 @@ def encoder(path: str) -> tuple[Callable[[str | None], bytes], str]:
     blank = re.compile("[^ \t\n\r\x0b\x0c]+")
     known: dict[str, bytes] = {}
 
-    def merged(part: str) -> bytes:
+    def merged(part: str, known: dict) -> bytes:
         """Ids of one piece, in byte symbols."""
         got = known.get(part)
         if got is None:
@@ -89,12 +89,12 @@ def encoder(path: str) -> tuple[Callable[[str | None], bytes], str]:
     class Words(dict):
         def __missing__(self, word: str) -> bytes:
             body, mark = (word[:-1], word[-1]) if word[-1] in ".," else (word, "")
-            if body.isalpha() and body.isascii():
-                got = merged(body.lower())
+            if body.isalpha() and body.isascii():  # its byte symbols are itself, so words and pieces share a place
+                got = merged(body.lower(), self)
                 if mark:
-                    got += merged(mark)
+                    got += merged(mark, self)
             elif latin.fullmatch(word):
-                got = b"".join([merged(p.translate(mapped)) for p in piece.findall(word.lower())])
+                got = b"".join([merged(p.translate(mapped), known) for p in piece.findall(word.lower())])
             else:
                 ids = whole.encode(word, add_special_tokens=False).ids
                 got = struct.pack(f"<{len(ids)}{code}", *ids)

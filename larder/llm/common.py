@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import sys
 from collections.abc import Callable, Iterator
 from types import ModuleType
@@ -29,7 +30,8 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, most: int = 2 << 20)
     """Batches cut so that the texts of one slice stay near ``most`` bytes.
 
     A batch of very long texts is then handled in several steps; no row is
-    dropped and a single text is never cut.
+    dropped and a single text is never cut. At the end the task's free memory
+    goes back to the system, since the Python worker lives on for other tasks.
     """
     for batch in batches:
         if batch.num_rows <= 1 or batch.nbytes <= most:
@@ -44,6 +46,16 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, most: int = 2 << 20)
                 start, total = i, 0
             total += n
         yield batch.slice(start)
+        del batch
+    release_memory()
+
+
+def release_memory() -> None:
+    """Give freed memory of Arrow's pool and, with glibc, of the heap back to the system."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
 
 
 def add_columns(df: DataFrame, column: str, added: T.StructType,

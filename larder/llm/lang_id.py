@@ -176,6 +176,9 @@ def _sums(codes: np.ndarray, starts: np.ndarray, table: np.ndarray, at_once: int
             h, full = _hashed(codes[lo:lo + at_once + order - 1], order)
             if not len(h):
                 continue
+            for k in range(1, order):  # grams that would reach into the next text
+                past = starts[1:] - k - lo
+                full[past[(past >= 0) & (past < len(h))]] = False
             first = max(0, int(np.searchsorted(starts, lo, "right")) - 1)
             last = int(np.searchsorted(starts, lo + len(h), "left"))
             cuts = np.maximum(starts[first:last] - lo, 0)
@@ -193,8 +196,7 @@ def _scorer(model: Model | None) -> Callable:
             known = [i for i, t in enumerate(texts) if model and t and LETTER.search(t)]
             langs, scores, rejected = [UNKNOWN] * len(texts), [0.0] * len(texts), [True] * len(texts)
             if known:
-                # three blanks between texts: no gram spans two of them and counts
-                codes = [np.concatenate([_codes(texts[i], letters), [np.uint32(32)] * 3]).astype(np.uint32) for i in known]
+                codes = [_codes(texts[i], letters).astype(np.uint32) for i in known]
                 sizes = np.array([len(c) for c in codes])
                 starts = np.concatenate([[0], np.cumsum(sizes)[:-1]])
                 total, count = _sums(np.concatenate(codes), starts, model.table)

@@ -40,7 +40,7 @@ END_ID = 1
 SHARD_BYTES = 4 << 20
 QUERY_TERMS = 32
 K1, B = 1.2, 0.75
-CACHE_WORDS = 700_000
+CACHE_WORDS = 500_000
 TOKENIZER = "word_bpe_49k.json"
 SCHEMA = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long")
 

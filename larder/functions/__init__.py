@@ -1,5 +1,4 @@
 from larder.functions.columns import (  # noqa: F401
-    DEFAULT_NULL_TOKEN,
     content_hash,
     normalize_name,
     normalized_names,

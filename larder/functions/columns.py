@@ -12,7 +12,6 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-DEFAULT_NULL_TOKEN = "\\N"
 
 _RUN = re.compile(r"[\s\-/]+")
 
@@ -77,7 +76,8 @@ def null_if_nan(col: Column) -> Column:
     return F.nanvl(col, F.lit(None).cast(T.DoubleType()))
 
 
-def content_hash(cols: list[Column], null_token: str = DEFAULT_NULL_TOKEN) -> Column:
-    """md5 over the text form of the given columns; NULLs become a token."""
-    parts = [F.coalesce(c.cast("string"), F.lit(null_token)) for c in cols]
+def content_hash(cols: list[Column]) -> Column:
+    """md5 over the text form of the given columns, each led by its length (NULL: a bare dash), so no two rows read alike."""
+    texts = [c.cast("string") for c in cols]
+    parts = [F.coalesce(F.concat(F.length(t).cast("string"), F.lit(":"), t), F.lit("-")) for t in texts]
     return F.md5(F.concat_ws("|", *parts))

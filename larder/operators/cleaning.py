@@ -98,7 +98,7 @@ def with_transaction_id(df: DataFrame, column: str = TRANSACTION_ID) -> DataFram
 
 
 def dedup_by_key(df: DataFrame, keys: str | Sequence[str], order_by: Sequence[str] | None = None) -> DataFrame:
-    """Keep one row per key: the first under ``order_by`` (ascending, NULLs first).
+    """Keep one row per key: the first under ``order_by`` (ascending, NULLs last).
 
     Default order is every non-key column in column order, so the kept row is
     fully determined. Implemented as ``min(struct(...))``: a partial aggregate,
@@ -112,7 +112,8 @@ def dedup_by_key(df: DataFrame, keys: str | Sequence[str], order_by: Sequence[st
     packed = order + [c for c in rest if c not in order]
     kept = (
         df.groupBy(*[df[k] for k in keys])
-        .agg(F.min(F.struct(*[df[c].alias(f"_{i}") for i, c in enumerate(packed)])).alias("_kept"))
+        .agg(F.min(F.struct(*[x for i, c in enumerate(packed)
+                              for x in (df[c].isNull().alias(f"_n{i}"), df[c].alias(f"_{i}"))])).alias("_kept"))
     )
     pos = {c: i for i, c in enumerate(packed)}
     return kept.select(*[

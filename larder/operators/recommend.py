@@ -53,8 +53,12 @@ def insight(priority_col: Column) -> Column:
 
 
 def recommendations(scored: DataFrame) -> DataFrame:
-    base = scored.select("product_id", "stock_on_hand", "predicted_stockout", "predicted_rop",
-                         priority().alias("priority"), recommended_order().alias("recommended_order"))
+    """Every input column, then priority, recommended_order and insight (which replace columns of these names).
+
+    Only ``predicted_stockout``, ``predicted_rop`` and ``stock_on_hand`` are needed.
+    """
+    kept = [f"`{c}`" for c in scored.columns if c not in ("priority", "recommended_order", "insight")]
+    base = scored.select(*kept, priority().alias("priority"), recommended_order().alias("recommended_order"))
     return base.withColumn("insight", insight(F.col("priority")))
 
 

@@ -29,27 +29,21 @@ def enriched_movements(trx: DataFrame, inv: DataFrame, sup: DataFrame,
                        supplier_attrs: tuple[str, ...] = ("supplier_name",)) -> DataFrame:
     """Movements with product and supplier attributes (left joins on both keys).
 
-    Rather than joining the movements once per key (a full shuffle of the
-    fact per join when neither dimension fits a broadcast), the distinct
-    (product, supplier) pairs are enriched first — a map-side-combined table,
-    usually far smaller than the movements — and attached to the movements
-    with one null-safe equi-join on both keys: one shuffle of the fact.
-    Dimensions are reduced to one row per key, so no join multiplies rows. A
-    hot (product, supplier) pair is left to AQE's skew join: staging the pairs
-    to salt them hides their runtime size and blocks AQE's broadcast.
+    Two joins to dimensions of one row per key: one scan of the movements, no
+    join multiplies rows, and the movements are shuffled once per dimension
+    that AQE cannot broadcast. Distinct (product, supplier) pairs would not be
+    a smaller table to enrich: almost every movement has its own pair. Hot
+    keys are split by AQE's skew join.
     """
     r = resolve_transaction_roles(trx.columns)
     ir = resolve_inventory_roles(inv.columns)
     products = dedup_by_key(inv.select(inv[ir.product].alias("_p"), *[inv[a] for a in product_attrs]), "_p")
     suppliers = dedup_by_key(sup.select(sup[supplier_id].alias("_s"), *[sup[a] for a in supplier_attrs]), "_s")
-    pairs = trx.select(trx[r.product].alias("_pp"), trx[supplier_key].alias("_ps")).distinct()
-    enriched = (
-        pairs.join(products, pairs["_pp"] == products["_p"], "left")
-        .join(suppliers, pairs["_ps"] == suppliers["_s"], "left")
-        .select("_pp", "_ps", *product_attrs, *supplier_attrs)
+    return (
+        trx.join(products, trx[r.product] == products["_p"], "left")
+        .join(suppliers, trx[supplier_key] == suppliers["_s"], "left")
+        .drop("_p", "_s")
     )
-    cond = trx[r.product].eqNullSafe(enriched["_pp"]) & trx[supplier_key].eqNullSafe(enriched["_ps"])
-    return trx.join(enriched, cond, "left").drop("_pp", "_ps")
 
 
 def _in_out(trx: DataFrame) -> DataFrame:

@@ -33,10 +33,9 @@ SILVER = ("stock_transactions", "grocery_inventory", "suppliers")
 
 
 def run_silver(spark: SparkSession, raw: str, silver: str, infer_schema: bool = True,
-               sampling_ratio: float | None = None, movements_format: str = "csv") -> DataFrame:
+               movements_format: str = "csv") -> DataFrame:
     """Clean the three raw datasets into Parquet; returns (dataset, n_rows).
 
-    ``sampling_ratio`` bounds the cost of CSV schema inference on large inputs;
     ``movements_format="parquet"`` reads movements landed as Parquet (e.g. from
     the partitioned relational read), keeping their types.
     """
@@ -44,13 +43,11 @@ def run_silver(spark: SparkSession, raw: str, silver: str, infer_schema: bool =
     if movements_format == "parquet":
         moves = spark.read.parquet(f"{raw}/stock_transactions")
     else:
-        moves = readers.read_csv(spark, f"{raw}/stock_transactions", infer_schema=infer_schema,
-                                 sampling_ratio=sampling_ratio)
+        moves = readers.read_csv(spark, f"{raw}/stock_transactions", infer_schema=infer_schema)
     cleaned = {
         "stock_transactions": C.clean_transactions(moves),
         "grocery_inventory": C.clean_inventory(
-            readers.read_csv(spark, f"{raw}/grocery_inventory", infer_schema=infer_schema,
-                             sampling_ratio=sampling_ratio)),
+            readers.read_csv(spark, f"{raw}/grocery_inventory", infer_schema=infer_schema)),
         "suppliers": C.clean_suppliers(readers.read_json_documents(spark, f"{raw}/suppliers")),
     }
     for name, df in cleaned.items():
@@ -79,8 +76,7 @@ def run_models(spark: SparkSession, gold: str, out: str) -> dict:
     metrics = {"auc": M.evaluator_auc(pred), **M.evaluator_regression(reg.transform(test))}
     imp = clf.stages[-1].featureImportances
     metrics["feature_importance"] = {f: round(float(imp[i]), 4) for i, f in enumerate(feats)}
-    scored = M.score_products(table, clf, reg).select(
-        "product_id", "stock_on_hand", "predicted_stockout", "predicted_rop")
+    scored = M.score_products(table, clf, reg)  # the scores stand beside the features
     writers.write_parquet(scored, f"{out.rstrip('/')}/model_output", compact=True)
     return metrics
 
@@ -105,13 +101,11 @@ def run_reports(spark: SparkSession, silver: str, gold: str) -> dict[str, str]:
     return {n: f"{gold}/{n}" for n in outputs}
 
 
-def run_all(spark: SparkSession, raw: str, root: str, sampling_ratio: float | None = None,
-            movements_format: str = "csv") -> dict:
+def run_all(spark: SparkSession, raw: str, root: str, movements_format: str = "csv") -> dict:
     root = root.rstrip("/")
     silver, gold, out = f"{root}/silver", f"{root}/gold", f"{root}/models"
     counts = {r.dataset: r.n_rows for r in
-              run_silver(spark, raw, silver, sampling_ratio=sampling_ratio,
-                         movements_format=movements_format).collect()}
+              run_silver(spark, raw, silver, movements_format=movements_format).collect()}
     validation = run_gold(spark, silver, gold).collect()[0].asDict()
     metrics = run_models(spark, gold, out)
     summary = {r.priority: r.n_products for r in
@@ -132,13 +126,12 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--scored")
     p.add_argument("--root")
     p.add_argument("--object-store", action="store_true", help="apply S3A settings from the environment")
-    p.add_argument("--infer-sampling", type=float, default=None, help="samplingRatio for schema inference")
     p.add_argument("--movements-format", choices=["csv", "parquet"], default="csv")
     a = p.parse_args(argv)
     spark = get_session(object_store=a.object_store)
     if a.job == "silver":
-        result = [r.asDict() for r in run_silver(spark, a.raw, a.silver, sampling_ratio=a.infer_sampling,
-                                                 movements_format=a.movements_format).collect()]
+        result = [r.asDict() for r in run_silver(
+            spark, a.raw, a.silver, movements_format=a.movements_format).collect()]
     elif a.job == "gold":
         result = run_gold(spark, a.silver, a.gold).collect()[0].asDict()
     elif a.job == "models":
@@ -148,7 +141,7 @@ def main(argv: list[str] | None = None) -> None:
     elif a.job == "reports":
         result = run_reports(spark, a.silver, a.gold)
     else:
-        result = run_all(spark, a.raw, a.root, a.infer_sampling, a.movements_format)
+        result = run_all(spark, a.raw, a.root, a.movements_format)
     print(json.dumps(result, default=str))
 
 

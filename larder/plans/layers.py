@@ -44,9 +44,20 @@ def materialize(spark: SparkSession, df: DataFrame, name: str, num_files: int |
     return spark.read.parquet(path)
 
 
+def input_state(spark: SparkSession, sf_dir: str) -> int:
+    """Hash of the input tables' files: names, sizes and modification times."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(sf_dir)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    files, found = fs.listFiles(path, True), []
+    while files.hasNext():
+        f = files.next()
+        found.append((f.getPath().toString(), f.getLen(), f.getModificationTime()))
+    return hash(tuple(sorted(found)))
+
+
 def _memo(spark: SparkSession, key: tuple, build) -> DataFrame:
-    """Write ``build()`` once per application and key; re-read afterwards."""
-    full = (id(spark.sparkContext),) + key
+    """Write ``build()`` once per application, key and state of the input files; re-read afterwards."""
+    full = (spark.sparkContext.applicationId, input_state(spark, key[1])) + key
     with _LOCKS_GUARD:
         lock = _LOCKS.setdefault(full, threading.Lock())
     with lock:  # one writer per layer, even when queries run from several threads

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from larder.operators import modeling as M
-from larder.plans.layers import gold_table
+from larder.plans.layers import gold_table, input_state
 
 _MODELS: dict[tuple, object] = {}
 _FIT_LOCK = threading.Lock()
@@ -20,7 +20,7 @@ def _frame(spark: SparkSession, sf: str):
 
 
 def _fitted(spark: SparkSession, sf: str, kind: str):
-    key = (id(spark.sparkContext), sf, kind)
+    key = (spark.sparkContext.applicationId, input_state(spark, sf), sf, kind)
     with _FIT_LOCK:
         if key not in _MODELS:
             frame, _ = _frame(spark, sf)

@@ -62,9 +62,9 @@ FROM sm"""
 
 TRX_KEYED = """
 SELECT order_ref, line_no, supplier_ref, product_id, transaction_type, quantity_change, transaction_date
-FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY order_ref NULLS FIRST, line_no NULLS FIRST,
-        supplier_ref NULLS FIRST, product_id NULLS FIRST, transaction_type NULLS FIRST,
-        quantity_change NULLS FIRST, transaction_date NULLS FIRST) AS rn
+FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY order_ref NULLS LAST, line_no NULLS LAST,
+        supplier_ref NULLS LAST, product_id NULLS LAST, transaction_type NULLS LAST,
+        quantity_change NULLS LAST, transaction_date NULLS LAST) AS rn
       FROM (SELECT order_ref * 8 + line_no AS id, order_ref, line_no, supplier_ref, product_id,
                    trim(transaction_type) AS transaction_type, quantity_change, transaction_date FROM sm))
 WHERE rn = 1"""
@@ -103,15 +103,15 @@ sv AS (SELECT product_id, total_sales, active_days,
     inv1 = """
 inv1 AS (SELECT product_id, stock_quantity AS initial_stock, date_received, last_order_date, reorder_level
          FROM (SELECT *, row_number() OVER (PARTITION BY product_id
-                 ORDER BY stock_quantity NULLS FIRST, date_received NULLS FIRST,
-                          last_order_date NULLS FIRST, reorder_level NULLS FIRST) AS rn FROM inv)
+                 ORDER BY stock_quantity NULLS LAST, date_received NULLS LAST,
+                          last_order_date NULLS LAST, reorder_level NULLS LAST) AS rn FROM inv)
          WHERE rn = 1)"""
     if lead_mode == "per_product":
         lead = """
 sup1 AS (SELECT product_id AS sup_product_id, avg_lead_time_days
          FROM (SELECT *, row_number() OVER (PARTITION BY product_id
-                 ORDER BY supplier_id NULLS FIRST, avg_lead_time_days IS NULL,
-                          avg_lead_time_days NULLS FIRST) AS rn FROM sup)
+                 ORDER BY supplier_id NULLS LAST, avg_lead_time_days IS NULL,
+                          avg_lead_time_days NULLS LAST) AS rn FROM sup)
          WHERE rn = 1)"""
         lead_join = "LEFT JOIN sup1 s ON i.product_id = s.sup_product_id"
         lead_cols = "s.sup_product_id, s.avg_lead_time_days"
@@ -169,11 +169,10 @@ def gold_sql(select: str = GOLD_SELECT_A, lead_mode: str = "per_product", sale:
 
 TRX_COLS = ["order_ref", "line_no", "supplier_ref", "product_id", "transaction_type",
             "quantity_change", "transaction_date"]
-NULL_TOKEN = "'\\N'"
 
 
 def md5_of(cols: list[str]) -> str:
-    parts = ", ".join(f"coalesce(CAST({c} AS VARCHAR), {NULL_TOKEN})" for c in cols)
+    parts = ", ".join(f"coalesce(length(CAST({c} AS VARCHAR)) || ':' || CAST({c} AS VARCHAR), '-')" for c in cols)
     return f"md5(concat_ws('|', {parts}))"
 
 
@@ -285,7 +284,7 @@ SELECT order_ref, line_no, product_id, transaction_type,
     q["impute_median"] = f"""WITH inv AS ({INVENTORY})
 SELECT product_id, coalesce(unit_price, (SELECT quantile_disc(unit_price, 0.5) FROM inv)) AS unit_price FROM inv"""
     q["generate_transaction_id"] = _sm() + f"SELECT *, {md5_of(TRX_COLS)} AS transaction_id FROM sm"
-    order = ", ".join(f"{c} NULLS FIRST" for c in TRX_COLS)
+    order = ", ".join(f"{c} NULLS LAST" for c in TRX_COLS)
     q["dedup_by_key"] = _sm() + f"""SELECT id, {trx_sel} FROM (
   SELECT *, row_number() OVER (PARTITION BY id ORDER BY {order}) AS rn
   FROM (SELECT order_ref * 8 + line_no AS id, * FROM sm)) WHERE rn = 1"""
@@ -414,10 +413,10 @@ ORDER BY CASE priority WHEN 'HIGH' THEN 0 WHEN 'MEDIUM' THEN 1 ELSE 2 END,
 sinv AS ({SILVER_INV}),
 p AS (SELECT pid, product_name, category FROM (
         SELECT product_id AS pid, product_name, category, row_number() OVER (PARTITION BY product_id
-               ORDER BY product_name NULLS FIRST, category NULLS FIRST) AS rn FROM sinv) WHERE rn = 1),
+               ORDER BY product_name NULLS LAST, category NULLS LAST) AS rn FROM sinv) WHERE rn = 1),
 s AS (SELECT sid, supplier_name FROM (
         SELECT supplier_id AS sid, supplier_name, row_number() OVER (PARTITION BY supplier_id
-               ORDER BY supplier_name NULLS FIRST) AS rn FROM ({SILVER_SUP_B})) WHERE rn = 1)
+               ORDER BY supplier_name NULLS LAST) AS rn FROM ({SILVER_SUP_B})) WHERE rn = 1)
 SELECT t.order_ref, t.line_no, t.product_id, t.supplier_ref, t.transaction_type, t.quantity_change,
        t.transaction_date, p.product_name, p.category, s.supplier_name
 FROM trx t LEFT JOIN p ON t.product_id = p.pid LEFT JOIN s ON t.supplier_ref = s.sid"""

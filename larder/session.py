@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import atexit
 import os
+import re
 import tempfile
 import uuid
 
@@ -84,8 +85,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     On a cluster this is set by the deployment to shared storage and is only
-    read here. Only when it is unset (local tests) a fresh folder is created
-    and registered with the context.
+    read here. Only when it is unset on a local master (tests) a fresh folder
+    is created and registered with the context; elsewhere that raises, since a
+    folder of the driver's own is out of the executors' sight.
     """
     sc = spark.sparkContext
     path = sc.getConf().get("spark.checkpoint.dir", None)
@@ -95,16 +97,18 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         except Exception:  # noqa: BLE001 - conf lookup differs across deployments
             path = None
     if not path:
-        path = _LOCAL_CHECKPOINT.get(id(sc))
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        path = _LOCAL_CHECKPOINT.get(sc.applicationId)
         if path is None:
             path = tempfile.mkdtemp(prefix="larder-ckpt-")
-            _LOCAL_CHECKPOINT[id(sc)] = path
+            _LOCAL_CHECKPOINT[sc.applicationId] = path
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(path)
     return path
 
 
-_LOCAL_CHECKPOINT: dict[int, str] = {}
+_LOCAL_CHECKPOINT: dict[str, str] = {}
 
 
 _SCRATCH: list[str] = []

@@ -7,22 +7,35 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+#: What a bare empty CSV field stands for while it is read, so that a quoted one stays empty text.
+NO_VALUE = "\ue000"
+
+
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None = None,
-             infer_schema: bool = False, sampling_ratio: float | None = None) -> DataFrame:
-    """CSV with a header row. Give ``schema`` when known: inference costs a
-    full extra pass over the files, or a sampled one with ``sampling_ratio``."""
-    r = spark.read.option("header", True).option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss")
-    if schema is not None:
-        r = r.schema(schema)
-    elif infer_schema:
-        r = r.option("inferSchema", True)
-        if sampling_ratio:
-            r = r.option("samplingRatio", sampling_ratio)
-    return r.csv(path)
+             infer_schema: bool = False, multi_line: bool = False) -> DataFrame:
+    """CSV with a header row and doubled quotes inside quoted fields.
+
+    With ``schema`` every field is read as text and cast leniently (ISO dates
+    and timestamps of any precision; what does not fit is NULL), padding kept.
+    Inference costs a full extra pass over the files; it never samples, since
+    a type guessed from a sample turns the values that do not fit into NULLs.
+    ``multi_line`` allows line breaks inside quoted fields; a file is then one
+    task, so it is off unless asked for.
+    """
+    r = spark.read.option("header", True).option("escape", '"').option("multiLine", multi_line).option("nullValue", NO_VALUE)
+    if schema is None:
+        return r.option("inferSchema", infer_schema).csv(path)
+    if isinstance(schema, str):
+        schema = T.StructType.fromDDL(schema)
+    text = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
+    fields = r.schema(text).csv(path)
+    return fields.select(*[
+        fields[f"`{f.name}`"] if isinstance(f.dataType, T.StringType)
+        else F.trim(fields[f"`{f.name}`"]).try_cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
 def read_json_documents(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:
@@ -41,13 +54,15 @@ def read_json_documents(spark: SparkSession, path: str, schema: T.StructType | s
 def read_jdbc(spark: SparkSession, url: str, table: str, partition_column: str | None = None,
               lower_bound: int | None = None, upper_bound: int | None = None,
               num_partitions: int | None = None, properties: dict | None = None,
-              fetch_size: int = 10000, predicates: list[str] | None = None) -> DataFrame:
+              fetch_size: int = 10000, predicates: list[str] | None = None,
+              single_connection: bool = False) -> DataFrame:
     """Relational table scan, split into ``num_partitions`` range queries on
     ``partition_column`` so executors read in parallel (not one connection).
 
     ``predicates`` gives one WHERE clause per partition instead, for tables
     without a numeric / date column to range over (e.g. one clause per month
-    or per hash bucket of a text key).
+    or per hash bucket of a text key). Reading the whole table over one
+    connection has to be asked for with ``single_connection``.
     """
     props = dict(properties or {})
     props.setdefault("fetchsize", str(fetch_size))
@@ -56,6 +71,8 @@ def read_jdbc(spark: SparkSession, url: str, table: str, partition_column: str |
     if partition_column is not None:
         return spark.read.jdbc(url, table, column=partition_column, lowerBound=lower_bound,
                                upperBound=upper_bound, numPartitions=num_partitions, properties=props)
+    if not single_connection:
+        raise ValueError(f"give partition_column with bounds or predicates to read {table}, or single_connection=True")
     return spark.read.jdbc(url, table, properties=props)
 
 
@@ -68,6 +85,23 @@ def read_raw_files(spark: SparkSession, path: str, glob: str | None = None) -> D
 
 
 def parse_json_documents(raw: DataFrame, element_schema: T.StructType) -> DataFrame:
-    """Rows of landed JSON-array documents (``content`` bytes) → one row per element."""
-    arr = F.from_json(F.decode(F.col("content"), "UTF-8"), T.ArrayType(element_schema))
-    return raw.select(F.explode(arr).alias("_e")).select("_e.*")
+    """Rows of landed JSON-array documents (``content`` bytes) → one row per element.
+
+    A document that is not a JSON array fails the job with its path; take
+    ``rejected_json_documents`` out first to go on without it. A blank
+    document has no elements.
+    """
+    arr = _elements(element_schema)
+    bad = F.raise_error(F.concat(F.lit("not a JSON array document: "), F.col("path"))).cast(T.ArrayType(element_schema))
+    return raw.select(F.explode(F.coalesce(arr, bad)).alias("_e")).select("_e.*")
+
+
+def rejected_json_documents(raw: DataFrame, element_schema: T.StructType) -> DataFrame:
+    """The landed documents that do not parse (path, length, content)."""
+    return raw.where(_elements(element_schema).isNull())
+
+
+def _elements(element_schema: T.StructType):
+    text = F.decode(F.col("content"), "UTF-8")
+    parsed = F.from_json(text, T.ArrayType(element_schema))
+    return F.when(F.trim(text) == "", F.array().cast(T.ArrayType(element_schema))).otherwise(parsed)

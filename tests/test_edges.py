@@ -149,7 +149,7 @@ def test_dedup_by_key_is_deterministic_and_idempotent(spark):
     two = rows_of(C.dedup_by_key(df.repartition(3), "id"))
     assert one == two
     assert rows_of(C.dedup_by_key(C.dedup_by_key(df, "id"), "id")) == one
-    assert {r.id: (r.t, r.q) for r in C.dedup_by_key(df, "id").collect()}[1] == ("a", None)
+    assert {r.id: (r.t, r.q) for r in C.dedup_by_key(df, "id").collect()}[1] == ("a", 1.0)
 
 
 def test_nan_and_null_scores(spark):

@@ -36,7 +36,7 @@ def test_silver_job_with_parquet_movements_and_sampled_inference(spark):
     writers.write_csv(fx.inventory(spark, SF_SMALL), f"{raw}/grocery_inventory")
     writers.write_json_documents(fx.suppliers_per_product(spark, SF_SMALL), f"{raw}/suppliers")
     counts = {r.dataset: r.n_rows for r in
-              run_silver(spark, raw, silver, sampling_ratio=0.5, movements_format="parquet").collect()}
+              run_silver(spark, raw, silver, movements_format="parquet").collect()}
     assert counts["stock_transactions"] == fx.stock_move(spark, SF_SMALL).count()
     assert counts["grocery_inventory"] == 200
     moves = spark.read.parquet(f"{silver}/stock_transactions")
@@ -52,7 +52,7 @@ def test_jobs_cli_silver_and_gold(spark, capsys):
     writers.write_csv(fx.stock_move(spark, SF_SMALL), f"{raw}/stock_transactions")
     writers.write_csv(fx.inventory(spark, SF_SMALL), f"{raw}/grocery_inventory")
     writers.write_json_documents(fx.suppliers_per_product(spark, SF_SMALL), f"{raw}/suppliers")
-    main(["silver", "--raw", raw, "--silver", f"{lake}/silver", "--infer-sampling", "0.5"])
+    main(["silver", "--raw", raw, "--silver", f"{lake}/silver"])
     main(["gold", "--silver", f"{lake}/silver", "--gold", f"{lake}/gold"])
     out = [json.loads(line) for line in capsys.readouterr().out.splitlines() if line.startswith(("[", "{"))]
     assert {d["dataset"] for d in out[0]} == {"stock_transactions", "grocery_inventory", "suppliers"}

@@ -13,6 +13,10 @@ from larder.llm import lang_id, mixing, packing, pii, simhash
 from larder.llm.common import stage, table
 
 
+#: Fewer remembered words than the operator's default: the Python workers also hold what earlier stages left.
+PACK_CACHE_WORDS = 500_000
+
+
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is identified; rejected ones go."""
     return lang_id.drop_rejected(docs, lang_id.train(docs))
@@ -35,7 +39,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of documents in sequences of tokens."""
-    return packing.pack_documents(docs)
+    return packing.pack_documents(docs, cache_words=PACK_CACHE_WORDS)
 
 
 STAGES = [("language", language), ("near_duplicates", near_duplicates), ("personal_data", personal_data), ("mix", mix),

@@ -40,7 +40,7 @@ END_ID = 1
 SHARD_BYTES = 4 << 20
 QUERY_TERMS = 32
 K1, B = 1.2, 0.75
-CACHE_WORDS = 500_000
+CACHE_WORDS = 850_000
 TOKENIZER = "word_bpe_49k.json"
 SCHEMA = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long")
 
@@ -51,7 +51,7 @@ def default_tokenizer() -> str:
     return public_tokenizers.path(TOKENIZER)
 
 
-def encoder(path: str) -> tuple[Callable[[str | None], bytes], str]:
+def encoder(path: str, cache_words: int = CACHE_WORDS) -> tuple[Callable[[str | None], bytes], str]:
     """Text to ids without special tokens (their strings are ordinary text), and the ids' type (16 bits if all fit).
 
     White space separates words for this tokenizer, so a text's ids are its
@@ -81,7 +81,7 @@ def encoder(path: str) -> tuple[Callable[[str | None], bytes], str]:
         if got is None:
             ids = [t.id for t in merges.tokenize(part)]
             got = struct.pack(f"<{len(ids)}{code}", *ids)
-            if len(known) >= CACHE_WORDS:
+            if len(known) >= cache_words:
                 known.clear()
             known[part] = got
         return got
@@ -99,7 +99,7 @@ def encoder(path: str) -> tuple[Callable[[str | None], bytes], str]:
                 ids = whole.encode(word, add_special_tokens=False).ids
                 got = struct.pack(f"<{len(ids)}{code}", *ids)
             if len(word) <= 64:
-                if len(self) >= CACHE_WORDS:
+                if len(self) >= cache_words:
                     self.clear()
                 self[word] = got
             return got
@@ -115,14 +115,14 @@ def encoder(path: str) -> tuple[Callable[[str | None], bytes], str]:
     return encode, "<u2" if code == "H" else "<u4"
 
 
-def tokenized(docs: DataFrame, path: str, shards: int) -> DataFrame:
+def tokenized(docs: DataFrame, path: str, shards: int, cache_words: int = CACHE_WORDS) -> DataFrame:
     """(doc_id, shard, ids, kind): little-endian ids of that type, the end id last."""
     text = F.col("text").cast("string")
     shard = F.pmod(F.xxhash64(F.col("doc_id"), F.coalesce(text, F.lit(""))), F.lit(shards))
     source = docs.select(F.col("doc_id").cast("long"), shard.alias("shard"), text.alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, kind = once_a_worker(f"encoder:{path}", lambda: encoder(path))
+        encode, kind = once_a_worker(f"encoder:{path}:{cache_words}", lambda: encoder(path, cache_words))
         end = np.array([END_ID], kind).tobytes()
         for batch in slices(batches, "text"):
             ids = [encode(t) + end for t in batch.column("text").to_pylist()]
@@ -216,7 +216,8 @@ def pack(docs: list[np.ndarray], window: int = WINDOW) -> list[tuple[int, int, i
     return out
 
 
-def pack_documents(docs: DataFrame, tokenizer: str | None = None, window: int = WINDOW, shard_bytes: int = SHARD_BYTES) -> DataFrame:
+def pack_documents(docs: DataFrame, tokenizer: str | None = None, window: int = WINDOW, shard_bytes: int = SHARD_BYTES,
+                   cache_words: int = CACHE_WORDS) -> DataFrame:
     """One row for each piece of a document: where it stands in it and in its sequence."""
     path = tokenizer or default_tokenizer()
     size = docs.agg(F.sum(F.octet_length(F.col("text").cast("string")).cast("long"))).first()[0] or 0
@@ -236,4 +237,4 @@ def pack_documents(docs: DataFrame, tokenizer: str | None = None, window: int =
             "doc_id": pa.array([rows[d][0] for d in doc], pa.int64()), "start": start, "length": length,
             "ids_crc32": pa.array(crc, pa.int64()), "doc_tokens": sizes[doc], "sequence_id": (shard << 32) + sequence, "offset": offset})
 
-    return tokenized(docs, path, shards).groupBy("shard").applyInArrow(run, SCHEMA)
+    return tokenized(docs, path, shards, cache_words).groupBy("shard").applyInArrow(run, SCHEMA)

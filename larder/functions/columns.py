@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -49,6 +49,26 @@ def to_double(col: Column) -> Column:
     return col.try_cast(T.DoubleType())
 
 
+def key_as(col: Column, dtype: T.DataType, wanted: T.DataType) -> Column:
+    """A join key in the type of the other side: text is cast leniently (``"7"`` and ``"7.0"`` are 7, ``"A1"`` matches nothing).
+
+    Keys of other types, and text that is wanted as text, stay as they are.
+    """
+    if not isinstance(dtype, T.StringType) or isinstance(wanted, T.StringType):
+        return col
+    text = F.trim(col)
+    if not isinstance(wanted, T.IntegralType):
+        return text.try_cast(wanted)
+    number = text.try_cast(T.DecimalType(38, 10))
+    return F.when(number == F.floor(number), number.try_cast(wanted))
+
+
+def same_key(left: DataFrame, left_key: str, right: DataFrame, right_key: str) -> Column:
+    """Equality of two join keys, a text key against a number included."""
+    lt, rt = left.schema[left_key].dataType, right.schema[right_key].dataType
+    return key_as(left[left_key], lt, rt) == key_as(right[right_key], rt, lt)
+
+
 def to_timestamp_lenient(col: Column, formats: list[str] | None = None) -> Column:
     """Parse text to a wall-clock timestamp (``timestamp_ntz``); unparseable → NULL.
 

@@ -1,12 +1,14 @@
 """Salting for joins where one key may hold a large share of the rows.
 
-A key is *hot* when it holds more than ``1/hot_divisor`` of the rows; fewer
-than ``hot_divisor`` keys can qualify, so the hot list has a proven size bound
-and is broadcast. Rows of a hot key get a deterministic salt (a hash of the
-row's content, stable across retries) in ``[0, buckets)``; the other side's
-row for that key is replicated once per salt. Joining on (key, salt) then
-spreads a hot key over ``buckets`` tasks, with or without AQE's skew join.
-Keys may span several columns and are compared NULL-safely.
+A key is *hot* when it holds more rows than one task should take of it:
+``rows_per_salt``, or the ``most_hot``-th part of all rows where that is more.
+Fewer than ``most_hot`` keys can qualify, so the hot list has a proven size
+bound and is broadcast. A hot key gets as many salts as it holds such shares,
+so its salts grow with its rows. Its rows take a deterministic salt (a hash of
+the row's content, stable across retries; copies of one row share it); the
+other side's row for that key is replicated once per salt. Joining on
+(key, salt) then spreads the key, with or without AQE's skew join. Keys may
+span several columns and are compared NULL-safely.
 """
 
 from __future__ import annotations
@@ -16,23 +18,25 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-HOT_DIVISOR = 64
-SALT_BUCKETS = 32
+ROWS_PER_SALT = 1_000_000
+MOST_HOT = 10_000
 
 
 def _names(keys: str | Sequence[str]) -> list[str]:
     return [keys] if isinstance(keys, str) else list(keys)
 
 
-def hot_keys(counts: DataFrame, keys: str | Sequence[str], n_col: str, hot_divisor: int = HOT_DIVISOR) -> DataFrame:
-    """Keys whose count exceeds total / hot_divisor (fewer than hot_divisor rows).
+def hot_keys(counts: DataFrame, keys: str | Sequence[str], n_col: str, rows_per_salt: int = ROWS_PER_SALT,
+             most_hot: int = MOST_HOT) -> DataFrame:
+    """Keys of more rows than one task's share (fewer than ``most_hot`` of them).
 
-    Columns: ``_hk0, _hk1, ...`` (one per key column) and ``_hot``.
+    Columns: ``_hk0, _hk1, ...`` (one per key column) and ``_salts``, the shares the key holds.
     """
     names = _names(keys)
-    total = counts.select(F.sum(n_col)).scalar()
-    return counts.where(F.col(n_col) * hot_divisor > total).select(
-        *[F.col(k).alias(f"_hk{i}") for i, k in enumerate(names)], F.lit(True).alias("_hot"))
+    share = counts.select(F.greatest(F.lit(float(rows_per_salt)), F.sum(n_col) / F.lit(most_hot))).scalar()
+    sized = counts.select(*[F.col(k).alias(f"_hk{i}") for i, k in enumerate(names)],
+                          (F.col(n_col) / share).alias("_shares"))
+    return sized.where(F.col("_shares") > 1).withColumn("_salts", F.ceil("_shares").cast("int")).drop("_shares")
 
 
 def _mark_hot(df: DataFrame, key_cols: Sequence[Column], hot: DataFrame) -> DataFrame:
@@ -44,19 +48,17 @@ def _mark_hot(df: DataFrame, key_cols: Sequence[Column], hot: DataFrame) -> Data
     return joined.drop(*[f"_hk{i}" for i in range(len(key_cols))])
 
 
-def salt_rows(rows: DataFrame, key_cols: Column | Sequence[Column], hot: DataFrame,
-              buckets: int = SALT_BUCKETS) -> DataFrame:
-    """Add ``_salt``: a content hash in [0, buckets) for hot keys, 0 otherwise."""
+def salt_rows(rows: DataFrame, key_cols: Column | Sequence[Column], hot: DataFrame) -> DataFrame:
+    """Add ``_salt``: a content hash below the key's salts for hot keys, 0 otherwise."""
     key_cols = [key_cols] if isinstance(key_cols, Column) else list(key_cols)
-    salt = F.pmod(F.xxhash64(*[rows[c] for c in rows.columns]), F.lit(buckets))
+    salt = F.pmod(F.xxhash64(*[rows[c] for c in rows.columns]), F.col("_salts")).cast("int")
     marked = _mark_hot(rows, key_cols, hot)
-    return marked.withColumn("_salt", F.when(F.col("_hot"), salt).otherwise(F.lit(0))).drop("_hot")
+    return marked.withColumn("_salt", F.coalesce(salt, F.lit(0))).drop("_salts")
 
 
-def replicate_for_salts(side: DataFrame, key_cols: Column | Sequence[Column], hot: DataFrame,
-                        buckets: int = SALT_BUCKETS) -> DataFrame:
+def replicate_for_salts(side: DataFrame, key_cols: Column | Sequence[Column], hot: DataFrame) -> DataFrame:
     """Add ``_salt``; hot keys' rows are replicated once per salt value."""
     key_cols = [key_cols] if isinstance(key_cols, Column) else list(key_cols)
-    salts = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(buckets - 1))).otherwise(F.array(F.lit(0)))
+    salts = F.sequence(F.lit(0), F.coalesce(F.col("_salts"), F.lit(1)) - 1)
     marked = _mark_hot(side, key_cols, hot)
     return marked.select(*[marked[c] for c in side.columns], F.explode(salts).alias("_salt"))

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from larder.functions.columns import to_day, to_double
+from larder.functions.columns import key_as, same_key, to_day, to_double
 from larder.functions.roles import (
     InventoryRoles,
     SupplierRoles,
@@ -74,6 +74,11 @@ def canonical_inventory(df: DataFrame, roles: InventoryRoles | None = None) -> D
     return df.select(*cols)
 
 
+def with_key_as(df: DataFrame, key: str, wanted: T.DataType) -> DataFrame:
+    """``key`` in the type of the products it joins (before grouping, so ``"7"`` and ``"07"`` are one product 7)."""
+    return df.withColumn(key, key_as(df[key], df.schema[key].dataType, wanted))
+
+
 def one_row_per_product(inv: DataFrame) -> DataFrame:
     """Keyed dedup of canonical inventory (deterministic row choice)."""
     return dedup_by_key(inv, "product_id")
@@ -113,34 +118,25 @@ def movement_summary(mv: DataFrame) -> DataFrame:
     for products without sales rows. Sales rows are the sale-typed rows, or,
     when no row of the whole table is sale-typed, the rows with quantity < 0.
     """
-    q = F.col("quantity")
-    sale = is_sale(F.col("txn_type"))
-    out = q < 0
+    q, sold = F.col("quantity"), F.col("_sold")
+    flag = F.when(any_sale_row(mv), is_sale(mv["txn_type"])).otherwise(mv["quantity"] < 0)
     # One aggregate per product, combined map-side: a map task emits one row
-    # per product it saw. Distinct active days are kept as sets of calendar
+    # per product it saw. Distinct active days are kept as one set of calendar
     # days (collect_set skips NULL), so a row's size is bounded by the date
     # range, not by how many movements the product has.
-    product = mv.groupBy("product_id").agg(
+    product = mv.withColumn("_sold", flag).groupBy("product_id").agg(
         F.sum(q).alias("net_quantity"),
-        F.sum(F.when(sale, q)).alias("sale_qty"),
-        F.count(F.when(sale, 1)).alias("sale_rows"),
-        F.size(F.collect_set(F.when(sale, F.col("txn_day")))).cast("long").alias("sale_days"),
-        F.sum(F.when(out, q)).alias("out_qty"),
-        F.count(F.when(out, 1)).alias("out_rows"),
-        F.size(F.collect_set(F.when(out, F.col("txn_day")))).cast("long").alias("out_days"),
+        F.count(F.when(sold, 1)).alias("sold_rows"),
+        F.sum(F.when(sold, q)).alias("_sum"),
+        F.size(F.collect_set(F.when(sold, F.col("txn_day")))).cast("long").alias("_days"),
     )
-    # One reference to the flag: pick the sale-based or the fallback triple.
-    picked = F.when(
-        any_sale_row(mv), F.struct(F.col("sale_rows").alias("n"), F.col("sale_qty").alias("q"), F.col("sale_days").alias("d"))
-    ).otherwise(F.struct(F.col("out_rows").alias("n"), F.col("out_qty").alias("q"), F.col("out_days").alias("d")))
-    chosen = product.select("product_id", "net_quantity", picked.alias("_s"))
-    sold_rows = F.col("_s.n")
-    summary = chosen.select(
+    any_sold = F.col("sold_rows") > 0
+    summary = product.select(
         "product_id",
         "net_quantity",
-        sold_rows.alias("sold_rows"),
-        F.when(sold_rows > 0, F.abs(F.col("_s.q"))).alias("total_sales"),
-        F.when(sold_rows > 0, F.col("_s.d")).alias("active_days"),
+        "sold_rows",
+        F.when(any_sold, F.abs(F.col("_sum"))).alias("total_sales"),
+        F.when(any_sold, F.col("_days")).alias("active_days"),
     )
     return summary.withColumn("daily_sales_velocity", sales_velocity(F.col("total_sales"), F.col("active_days")))
 
@@ -161,7 +157,8 @@ def sales_features(summary: DataFrame) -> DataFrame:
 
 def stock_balance(inv: DataFrame, summary: DataFrame) -> DataFrame:
     """Left join inventory ⟕ movements; ``stock = initial + coalesce(net, 0)``."""
-    joined = inv.join(summary, "product_id", "left")
+    moved = summary.withColumnRenamed("product_id", "_moved")
+    joined = inv.join(moved, same_key(inv, "product_id", moved, "_moved"), "left").drop("_moved")
     return joined.withColumn(
         "stock_balance", F.col("initial_stock") + F.coalesce(F.col("net_quantity"), F.lit(0.0))
     )
@@ -192,11 +189,12 @@ def supplier_lead_mode(roles: SupplierRoles) -> LeadTimeMode:
     return LeadTimeMode("default")
 
 
-def supplier_lead_per_product(sup: DataFrame, roles: SupplierRoles) -> DataFrame:
+def supplier_lead_per_product(sup: DataFrame, roles: SupplierRoles, key_type: T.DataType | None = None) -> DataFrame:
     """One supplier row per product: lowest supplier id, then known lead time first.
 
     Reducing before the join keeps the join 1:1 instead of fanning out.
-    Columns: ``sup_product_id, avg_lead_time_days``.
+    ``key_type`` is the type of the products to join; text keys take it before
+    they are reduced. Columns: ``sup_product_id, avg_lead_time_days``.
     """
     cols = [sup[roles.product].alias("sup_product_id")]
     order = []
@@ -206,7 +204,10 @@ def supplier_lead_per_product(sup: DataFrame, roles: SupplierRoles) -> DataFrame
     lead = to_double(sup[roles.lead_time])
     cols += [lead.isNull().alias("_lead_missing"), lead.alias("avg_lead_time_days")]
     order += ["_lead_missing", "avg_lead_time_days"]
-    reduced = dedup_by_key(sup.select(*cols), "sup_product_id", order_by=order)
+    canonical = sup.select(*cols)
+    if key_type is not None:
+        canonical = with_key_as(canonical, "sup_product_id", key_type)
+    reduced = dedup_by_key(canonical, "sup_product_id", order_by=order)
     return reduced.select("sup_product_id", "avg_lead_time_days")
 
 
@@ -219,8 +220,8 @@ def with_supplier_lead_time(stock: DataFrame, sup: DataFrame, roles: SupplierRol
     """Add ``avg_lead_time_days`` (and ``sup_product_id`` when joined per product)."""
     mode = supplier_lead_mode(roles)
     if mode.kind == "per_product":
-        per_product = supplier_lead_per_product(sup, roles)
-        return stock.join(per_product, stock["product_id"] == per_product["sup_product_id"], "left")
+        per_product = supplier_lead_per_product(sup, roles, stock.schema["product_id"].dataType)
+        return stock.join(per_product, same_key(stock, "product_id", per_product, "sup_product_id"), "left")
     if mode.kind == "global":
         return stock.withColumn("avg_lead_time_days", supplier_lead_global(sup, roles))
     return stock.withColumn("avg_lead_time_days", F.lit(DEFAULT_LEAD_TIME_DAYS))
@@ -282,8 +283,8 @@ def prepare_inputs(trx: DataFrame, inv: DataFrame, sup: DataFrame,
 
 def gold_wide(g: GoldInputs) -> DataFrame:
     """Every intermediate column, one row per inventory product."""
-    mv = canonical_movements(g.movements, g.trx_roles)
     inv = one_row_per_product(canonical_inventory(g.inventory, g.inv_roles))
+    mv = with_key_as(canonical_movements(g.movements, g.trx_roles), "product_id", inv.schema["product_id"].dataType)
     summary = movement_summary(mv)
     stock = stock_balance(inv, summary)
     stock = stock.withColumn("stock_on_hand", stock_on_hand(F.col("stock_balance")))

@@ -110,17 +110,14 @@ def auc_by_aggregation(df: DataFrame, label: str, score: str, n_buckets: int | N
 
 
 def regression_metrics(df: DataFrame, label: str, prediction: str) -> DataFrame:
-    """MAE and R2 = 1 − SSE/SST in one aggregate (mean label as a scalar subquery)."""
+    """MAE and R2 = 1 − SSE/SST in one aggregate over one pass."""
     rows = df.where(F.col(label).isNotNull() & F.col(prediction).isNotNull()).select(label, prediction)
-    # The mean is projected as a column; an aggregate may not take a subquery argument.
-    centred = rows.withColumn("_my", rows.select(F.avg(label)).scalar())
     err = F.col(prediction) - F.col(label)
-    dev = F.col(label) - F.col("_my")
-    agg = centred.agg(
+    agg = rows.agg(
         F.count(F.lit(1)).alias("n"),
         F.avg(F.abs(err)).alias("mae"),
         F.sum(err * err).alias("_sse"),
-        F.sum(dev * dev).alias("_sst"),
+        (F.var_pop(label) * F.count(F.lit(1))).alias("_sst"),
     )
     return agg.select(
         "n", "mae",

@@ -8,14 +8,15 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from larder.functions.lineage import stage
 from larder.functions.skew import hot_keys, replicate_for_salts, salt_rows
 from larder.operators.cleaning import dedup_by_key
 from larder.functions.ranking import dense_rank_table
-from larder.operators.features import canonical_inventory, one_row_per_product
+from larder.operators.features import canonical_inventory, one_row_per_product, with_key_as
 from larder.functions.roles import resolve_inventory_roles, resolve_transaction_roles
-from larder.functions.columns import to_double
+from larder.functions.columns import same_key, to_double
 
 # Status labels.
 LOW_STOCK = "Low Stock"
@@ -37,21 +38,23 @@ def enriched_movements(trx: DataFrame, inv: DataFrame, sup: DataFrame,
     """
     r = resolve_transaction_roles(trx.columns)
     ir = resolve_inventory_roles(inv.columns)
-    products = dedup_by_key(inv.select(inv[ir.product].alias("_p"), *[inv[a] for a in product_attrs]), "_p")
-    suppliers = dedup_by_key(sup.select(sup[supplier_id].alias("_s"), *[sup[a] for a in supplier_attrs]), "_s")
+    products = inv.select(inv[ir.product].alias("_p"), *[inv[a] for a in product_attrs])
+    suppliers = sup.select(sup[supplier_id].alias("_s"), *[sup[a] for a in supplier_attrs])
+    products = dedup_by_key(with_key_as(products, "_p", trx.schema[r.product].dataType), "_p")
+    suppliers = dedup_by_key(with_key_as(suppliers, "_s", trx.schema[supplier_key].dataType), "_s")
     return (
-        trx.join(products, trx[r.product] == products["_p"], "left")
-        .join(suppliers, trx[supplier_key] == suppliers["_s"], "left")
+        trx.join(products, same_key(trx, r.product, products, "_p"), "left")
+        .join(suppliers, same_key(trx, supplier_key, suppliers, "_s"), "left")
         .drop("_p", "_s")
     )
 
 
-def _in_out(trx: DataFrame) -> DataFrame:
+def _in_out(trx: DataFrame, key_type: T.DataType) -> DataFrame:
     r = resolve_transaction_roles(trx.columns)
     q = to_double(trx[r.quantity])
     return (
-        trx.select(trx[r.product].alias("product_id"), q.alias("q"))
-        .groupBy("product_id")
+        with_key_as(trx.select(trx[r.product].alias("_moved"), q.alias("q")), "_moved", key_type)
+        .groupBy("_moved")
         .agg(F.sum(F.when(F.col("q") > 0, F.col("q"))).alias("total_in"),
              (-F.sum(F.when(F.col("q") < 0, F.col("q")))).alias("total_out"))
     )
@@ -60,8 +63,8 @@ def _in_out(trx: DataFrame) -> DataFrame:
 def inventory_performance_report(trx: DataFrame, inv: DataFrame) -> DataFrame:
     """Per product: initial stock, total in, total out, final (unfloored) balance."""
     stock = one_row_per_product(canonical_inventory(inv))
-    moves = _in_out(trx)
-    j = stock.join(moves, "product_id", "left")
+    moves = _in_out(trx, stock.schema["product_id"].dataType)
+    j = stock.join(moves, same_key(stock, "product_id", moves, "_moved"), "left")
     t_in = F.coalesce(F.col("total_in"), F.lit(0.0))
     t_out = F.coalesce(F.col("total_out"), F.lit(0.0))
     return j.select(
@@ -91,15 +94,14 @@ def supplier_efficiency_metrics(trx: DataFrame, supplier_key: str = "supplier_re
     Two-level aggregation (pair, then supplier) instead of a distinct count:
     both levels combine map-side, so a dominant supplier is not one hot task.
     """
-    r = resolve_transaction_roles(trx.columns)
-    q = to_double(trx[r.quantity])
-    total_inbound = trx.select(F.sum(F.when(q > 0, q))).scalar()
     pairs = _supplier_products(trx, supplier_key)
     per = pairs.groupBy("supplier_id").agg(
         F.count(F.when(F.col("inbound") > 0, 1)).alias("n_products"),
         F.coalesce(F.sum("inbound"), F.lit(0.0)).alias("inbound_quantity"),
     )
-    # one reference to the total: NULL (not an error) when nothing came in
+    # The total comes from the suppliers, whose pair exchange is reused, so the movements are read once.
+    # One reference to it: NULL (not an error) when nothing came in.
+    total_inbound = per.select(F.sum("inbound_quantity")).scalar()
     return per.withColumn("inbound_share", F.col("inbound_quantity") / F.nullif(total_inbound, F.lit(0.0)))
 
 
@@ -138,9 +140,9 @@ def supplier_review(trx: DataFrame, gold: DataFrame, supplier_key: str = "suppli
     value range, not by a single-partition window.
     """
     pairs = _supplier_products(trx, supplier_key).where(F.col("inbound") > 0)
-    risk = gold.select("product_id", "stockout_risk")
+    risk = gold.select(gold["product_id"].alias("_rated"), "stockout_risk")
     per = (
-        pairs.join(risk, "product_id", "left")
+        pairs.join(risk, same_key(pairs, "product_id", risk, "_rated"), "left")
         .groupBy("supplier_id")
         .agg(
             F.count(F.lit(1)).alias("n_products"),
@@ -167,7 +169,7 @@ def outflow_anomalies(sales: DataFrame, product_col: str, quantity_col: str, k:
 
     Per-product statistics are a partial aggregate (staged once); the rows are
     joined back to them by product — no window, so a hot product is never one
-    task. Products holding a large share of the rows are salted (see
+    task. Products of many rows are salted by their number (see
     ``functions.skew``), so the join spreads them even without AQE.
     """
     out = sales.withColumn("_outflow", F.abs(to_double(sales[quantity_col])))

@@ -19,6 +19,7 @@ from larder.operators import cleaning as C
 from larder.operators import features as G
 from larder.operators import recommend as R
 from larder.operators import reports as D
+from larder.operators import validation as V
 from larder.plans import fixtures as fx
 from larder.plans.layers import (
     gold_table,
@@ -30,6 +31,7 @@ from larder.plans.layers import (
 from larder.session import scratch_path
 from larder.sources import readers as io_in
 from larder.sources import writers as io_out
+from larder.plans.jobs import SILVER, run_silver
 from larder.sources.landing import land_bronze, land_raw_documents
 from larder.streaming.landing import land_movements_incrementally
 
@@ -115,13 +117,13 @@ def _landed(spark, sf):
     io_out.write_csv(fx.inventory(spark, sf), inv_csv)
     docs = scratch_path(spark, "supplier-src")
     io_out.write_json_documents(fx.suppliers_per_product(spark, sf), docs)
-    return land_bronze(spark, fx.stock_move(spark, sf), inv_csv, INVENTORY_SCHEMA, docs,
-                       scratch_path(spark, "raw"), documents_glob="part-*")
+    return land_bronze(spark, fx.stock_move(spark, sf), inv_csv, docs,
+                       scratch_path(spark, "raw"), inventory_schema=INVENTORY_SCHEMA, documents_glob="part-*")
 
 
 def bronze_landing(spark, sf):
     landed = _landed(spark, sf)
-    suppliers = io_in.parse_json_documents(landed["suppliers_documents"], SUPPLIER_A_SCHEMA)
+    suppliers = io_in.parse_json_documents(landed["suppliers"], SUPPLIER_A_SCHEMA)
     return C.layer_counts({
         "stock_transactions": landed["stock_transactions"],
         "grocery_inventory": landed["grocery_inventory"],
@@ -129,6 +131,18 @@ def bronze_landing(spark, sf):
     })
 
 
+def bronze_movements(spark, sf):
+    return _landed(spark, sf)["stock_transactions"]
+
+
+def bronze_inventory(spark, sf):
+    return _landed(spark, sf)["grocery_inventory"]
+
+
+def bronze_suppliers(spark, sf):
+    return io_in.parse_json_documents(_landed(spark, sf)["suppliers"], SUPPLIER_A_SCHEMA)
+
+
 def bronze_landing_incremental(spark, sf):
     src = scratch_path(spark, "movement-files")
     io_out.write_parquet(fx.stock_move(spark, sf), src)
@@ -308,42 +322,44 @@ def reorder_point_formula_only(spark, sf):
 
 
 def gold_validation(spark, sf):
-    g = gold_table(spark, sf)
-    total = F.count(F.lit(1))
-    risk = F.count(F.when(F.col("stockout_risk") == 1, 1))
-    safe = F.count(F.when(F.col("stockout_risk") == 0, 1))
-    agg = g.agg(total.alias("total_products"), risk.alias("at_risk"), safe.alias("safe"))
-    denom = F.greatest(F.col("total_products"), F.lit(1))
-    return agg.select(
-        "total_products", "at_risk", "safe",
-        F.round(100.0 * F.col("at_risk") / denom, 1).alias("pct_at_risk"),
-        F.round(100.0 * F.col("safe") / denom, 1).alias("pct_safe"),
-    )
-
-
-STAT_FEATURES = ("daily_sales_velocity", "stock_on_hand", "procurement_lead_time",
-                 "order_buffer_index", "safety_stock", "reorder_point")
+    return V.target_balance(gold_table(spark, sf))
 
 
 def feature_stats(spark, sf):
-    g = gold_table(spark, sf)
-    aggs = []
-    for f in STAT_FEATURES:
-        aggs += [F.count(f).alias(f"{f}__n"), F.avg(f).alias(f"{f}__mean"), F.stddev_samp(f).alias(f"{f}__sd"),
-                 F.min(f).alias(f"{f}__min"), F.max(f).alias(f"{f}__max")]
-    wide = g.agg(*aggs)
-    rows = F.array(*[
-        F.struct(F.lit(f).alias("feature"), F.col(f"{f}__n").alias("n"), F.col(f"{f}__mean").alias("mean"),
-                 F.col(f"{f}__sd").alias("stddev"), F.col(f"{f}__min").alias("min"), F.col(f"{f}__max").alias("max"))
-        for f in STAT_FEATURES
-    ])
-    out = wide.select(F.inline(rows))
-    return out.select("feature", "n", F.round("mean", 6).alias("mean"), F.round("stddev", 6).alias("stddev"),
-                      "min", "max")
+    return V.feature_stats(gold_table(spark, sf))
 
 
 def gold_sample(spark, sf):
-    return gold_table(spark, sf).orderBy("product_id").limit(5)
+    return V.gold_sample(gold_table(spark, sf))
+
+
+def _text_keyed(df, key, by):
+    """``key`` as text, spelled in three ways."""
+    n, text = F.col(by) % 3, F.col(key).cast("string")
+    return df.withColumn(key, F.when(n == 0, F.concat(F.lit(" 0"), text)).when(
+        n == 1, F.concat(text, F.lit(".0"))).otherwise(text))
+
+
+def gold_features_text_keys(spark, sf):
+    """Movements and suppliers with text keys, some of no product, against inventory with numeric ones."""
+    trx, inv, sup = silver_tables(spark, sf)
+    odd = trx.where("line_no = 1").withColumn("product_id", F.concat(F.lit("A"), F.col("order_ref")))
+    trx = _text_keyed(trx, "product_id", "order_ref").unionByName(odd)
+    gold = G.gold_features(trx, inv, _text_keyed(sup, "product_id", "product_id"))
+    return gold.withColumn("supplier_product_ref", F.col("supplier_product_ref").cast("bigint"))
+
+
+def gold_from_bronze(spark, sf):
+    """Bronze landing → silver → gold, each reading only what the one before wrote."""
+    raw, silver = scratch_path(spark, "chain-raw"), scratch_path(spark, "chain-silver")
+    inv_csv, docs = scratch_path(spark, "chain-inventory"), scratch_path(spark, "chain-suppliers")
+    io_out.write_csv(fx.inventory(spark, sf), inv_csv)
+    io_out.write_json_documents(fx.suppliers_per_product(spark, sf), docs)
+    land_bronze(spark, fx.stock_move(spark, sf), inv_csv, docs, raw, documents_glob="part-*")
+    run_silver(spark, raw, silver, landed=True)
+    gold = G.gold_features(*(spark.read.parquet(f"{silver}/{n}") for n in SILVER))
+    return gold.withColumn("product_id", F.col("product_id").cast("bigint")).withColumn(
+        "supplier_product_ref", F.col("supplier_product_ref").cast("bigint"))
 
 
 # ------------------------------------------------------------------ recommendations
@@ -406,6 +422,9 @@ def queries() -> dict[str, Query]:
         "sink_parquet_single_file": sink_parquet_single_file,
         "land_raw_files": land_raw_files,
         "bronze_landing": bronze_landing,
+        "bronze_movements": bronze_movements,
+        "bronze_inventory": bronze_inventory,
+        "bronze_suppliers": bronze_suppliers,
         "bronze_landing_incremental": bronze_landing_incremental,
         "gold_from_landed_files": gold_from_landed_files,
         # cleaning
@@ -454,6 +473,8 @@ def queries() -> dict[str, Query]:
         "gold_features_keyed_dedup": gold_features_keyed_dedup,
         "gold_features_global_lead": gold_features_global_lead,
         "gold_features_default_lead": gold_features_default_lead,
+        "gold_features_text_keys": gold_features_text_keys,
+        "gold_from_bronze": gold_from_bronze,
         "gold_validation": gold_validation,
         "feature_stats": feature_stats,
         "gold_sample": gold_sample,

@@ -3,15 +3,18 @@
 Each job reads the previous layer from storage and writes its own, so they can
 be scheduled separately (and retried) like the stages they replace::
 
-    python -m larder.plans.jobs silver  --raw R --silver S
+    python -m larder.plans.jobs bronze  --jdbc-url U --table T --partition-column C --lower L --upper H \\
+        --partitions N --inventory I --documents D --raw R
+    python -m larder.plans.jobs silver  --raw R --silver S [--landed]
     python -m larder.plans.jobs gold    --silver S --gold G
     python -m larder.plans.jobs models  --gold G --out O
     python -m larder.plans.jobs recommend --scored O/model_output --out O/business_recommendations
     python -m larder.plans.jobs reports --silver S --gold G
-    python -m larder.plans.jobs all --raw R --root T
+    python -m larder.plans.jobs all --raw R --root T [--landed]
 
 Raw inputs follow the landing layout: ``stock_transactions`` (CSV with header),
-``grocery_inventory`` (CSV with header), ``suppliers`` (JSON documents).
+``grocery_inventory`` (CSV with header), ``suppliers`` (JSON documents), or, with
+``--landed``, what the bronze job wrote.
 """
 
 from __future__ import annotations
@@ -27,20 +30,35 @@ from larder.operators import features as G
 from larder.operators import modeling as M
 from larder.operators import recommend as R
 from larder.operators import reports as D
-from larder.sources import readers, writers
+from larder.operators import validation as V
+from larder.functions.lineage import stage
+from larder.functions.roles import resolve_transaction_roles
+from larder.sources import landing, readers, writers
 
 SILVER = ("stock_transactions", "grocery_inventory", "suppliers")
 
 
-def run_silver(spark: SparkSession, raw: str, silver: str, infer_schema: bool = True,
-               movements_format: str = "csv") -> DataFrame:
+def run_bronze(spark: SparkSession, movements: DataFrame, inventory_csv: str, documents: str, raw: str) -> DataFrame:
+    """Land the three sources; returns (dataset, n_rows), for ``suppliers`` the number of documents."""
+    return C.layer_counts(landing.land_bronze(spark, movements, inventory_csv, documents, raw))
+
+
+def run_silver(spark: SparkSession, raw: str, silver: str, infer_schema: bool = False,
+               movements_format: str = "csv", landed: bool = False) -> DataFrame:
     """Clean the three raw datasets into Parquet; returns (dataset, n_rows).
 
+    CSV fields are read as text, which the cleaning and the features cast
+    leniently; ``infer_schema`` reads every file once more to type them.
     ``movements_format="parquet"`` reads movements landed as Parquet (e.g. from
-    the partitioned relational read), keeping their types.
+    the partitioned relational read), keeping their types. ``landed`` reads what
+    ``run_bronze`` wrote: Parquet movements and documents as landed bytes.
     """
     raw, silver = raw.rstrip("/"), silver.rstrip("/")
-    if movements_format == "parquet":
+    if landed:
+        suppliers = readers.json_document_records(spark.read.parquet(f"{raw}/suppliers"))
+    else:
+        suppliers = readers.read_json_documents(spark, f"{raw}/suppliers")
+    if landed or movements_format == "parquet":
         moves = spark.read.parquet(f"{raw}/stock_transactions")
     else:
         moves = readers.read_csv(spark, f"{raw}/stock_transactions", infer_schema=infer_schema)
@@ -48,7 +66,7 @@ def run_silver(spark: SparkSession, raw: str, silver: str, infer_schema: bool =
         "stock_transactions": C.clean_transactions(moves),
         "grocery_inventory": C.clean_inventory(
             readers.read_csv(spark, f"{raw}/grocery_inventory", infer_schema=infer_schema)),
-        "suppliers": C.clean_suppliers(readers.read_json_documents(spark, f"{raw}/suppliers")),
+        "suppliers": C.clean_suppliers(suppliers),
     }
     for name, df in cleaned.items():
         writers.write_parquet(df, f"{silver}/{name}")
@@ -56,14 +74,14 @@ def run_silver(spark: SparkSession, raw: str, silver: str, infer_schema: bool =
 
 
 def run_gold(spark: SparkSession, silver: str, gold: str) -> DataFrame:
-    """Gold feature table (compact Parquet) plus its validation row."""
+    """Gold feature table (compact Parquet) with its statistics beside it; returns the validation row."""
     silver, gold = silver.rstrip("/"), gold.rstrip("/")
     trx, inv, sup = (spark.read.parquet(f"{silver}/{n}") for n in SILVER)
     writers.write_parquet(G.gold_features(trx, inv, sup), f"{gold}/gold_features", compact=True)
     table = spark.read.parquet(f"{gold}/gold_features")
-    n = F.count(F.lit(1))
-    risk = F.count(F.when(F.col("stockout_risk") == 1, 1))
-    return table.agg(n.alias("total_products"), risk.alias("at_risk"), (n - risk).alias("safe"))
+    writers.write_parquet(V.feature_stats(table), f"{gold}/feature_stats", compact=True)
+    writers.write_parquet(V.gold_sample(table), f"{gold}/gold_sample", compact=True)
+    return V.target_balance(table)
 
 
 def run_models(spark: SparkSession, gold: str, out: str) -> dict:
@@ -72,8 +90,10 @@ def run_models(spark: SparkSession, gold: str, out: str) -> dict:
     frame, feats = M.model_frame(table)
     train, test = frame.where(F.col("split") == "train"), frame.where(F.col("split") == "test")
     clf, reg = M.fit_classifier(train), M.fit_regressor(train)
-    pred = M.classifier_predictions(clf, test)
-    metrics = {"auc": M.evaluator_auc(pred), **M.evaluator_regression(reg.transform(test))}
+    # Written once: each metric reads the predictions, not the forests again.
+    risk = stage(M.classifier_predictions(clf, test).select(M.CLASS_LABEL, "rawPrediction"), "class-predictions")
+    points = stage(reg.transform(test).select(M.REGRESSION_LABEL, "prediction"), "reorder-predictions")
+    metrics = {"auc": M.evaluator_auc(risk), **M.evaluator_regression(points)}
     imp = clf.stages[-1].featureImportances
     metrics["feature_importance"] = {f: round(float(imp[i]), 4) for i, f in enumerate(feats)}
     scored = M.score_products(table, clf, reg)  # the scores stand beside the features
@@ -89,23 +109,40 @@ def run_recommendations(spark: SparkSession, scored: str, out: str) -> DataFrame
 
 
 def run_reports(spark: SparkSession, silver: str, gold: str) -> dict[str, str]:
-    """The two documented gold reports, written beside the feature table."""
+    """Every report, written beside the feature table.
+
+    Those by supplier are left out when the movements have no supplier column;
+    movements are enriched with the names and categories that there are.
+    """
     silver, gold = silver.rstrip("/"), gold.rstrip("/")
-    trx, inv = (spark.read.parquet(f"{silver}/{n}") for n in SILVER[:2])
+    trx, inv, sup = (spark.read.parquet(f"{silver}/{n}") for n in SILVER)
+    table = spark.read.parquet(f"{gold}/gold_features")
+    r = resolve_transaction_roles(trx.columns)
     outputs = {
         "inventory_performance_report": D.inventory_performance_report(trx, inv),
-        "supplier_efficiency_metrics": D.supplier_efficiency_metrics(trx),
+        "inventory_status": D.with_inventory_status(table),
+        "restock_list": D.restock_list(table),
+        "top_k_velocity": D.top_k_velocity(table),
+        "outflow_anomalies": D.outflow_anomalies(
+            G.filter_sales_with_fallback(trx, r.type, r.quantity), r.product, r.quantity),
     }
+    if "supplier_ref" in trx.columns:
+        outputs["supplier_efficiency_metrics"] = D.supplier_efficiency_metrics(trx)
+        outputs["supplier_review"] = D.supplier_review(trx, table)
+        if "supplier_id" in sup.columns:
+            outputs["enriched_movements"] = D.enriched_movements(
+                trx, inv, sup, product_attrs=tuple(c for c in ("product_name", "category") if c in inv.columns),
+                supplier_attrs=tuple(c for c in ("supplier_name",) if c in sup.columns))
     for name, df in outputs.items():
         writers.write_parquet(df, f"{gold}/{name}", compact=True)
     return {n: f"{gold}/{n}" for n in outputs}
 
 
-def run_all(spark: SparkSession, raw: str, root: str, movements_format: str = "csv") -> dict:
+def run_all(spark: SparkSession, raw: str, root: str, movements_format: str = "csv", landed: bool = False) -> dict:
     root = root.rstrip("/")
     silver, gold, out = f"{root}/silver", f"{root}/gold", f"{root}/models"
     counts = {r.dataset: r.n_rows for r in
-              run_silver(spark, raw, silver, movements_format=movements_format).collect()}
+              run_silver(spark, raw, silver, movements_format=movements_format, landed=landed).collect()}
     validation = run_gold(spark, silver, gold).collect()[0].asDict()
     metrics = run_models(spark, gold, out)
     summary = {r.priority: r.n_products for r in
@@ -118,7 +155,16 @@ def main(argv: list[str] | None = None) -> None:
     from larder.session import get_session
 
     p = argparse.ArgumentParser(prog="larder.plans.jobs")
-    p.add_argument("job", choices=["silver", "gold", "models", "recommend", "reports", "all"])
+    p.add_argument("job", choices=["bronze", "silver", "gold", "models", "recommend", "reports", "all"])
+    p.add_argument("--jdbc-url")
+    p.add_argument("--table")
+    p.add_argument("--partition-column")
+    p.add_argument("--lower", type=int)
+    p.add_argument("--upper", type=int)
+    p.add_argument("--partitions", type=int)
+    p.add_argument("--inventory")
+    p.add_argument("--documents")
+    p.add_argument("--landed", action="store_true", help="the raw zone is what the bronze job wrote")
     p.add_argument("--raw")
     p.add_argument("--silver")
     p.add_argument("--gold")
@@ -129,9 +175,12 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--movements-format", choices=["csv", "parquet"], default="csv")
     a = p.parse_args(argv)
     spark = get_session(object_store=a.object_store)
-    if a.job == "silver":
+    if a.job == "bronze":
+        moves = readers.read_jdbc(spark, a.jdbc_url, a.table, a.partition_column, a.lower, a.upper, a.partitions)
+        result = [r.asDict() for r in run_bronze(spark, moves, a.inventory, a.documents, a.raw).collect()]
+    elif a.job == "silver":
         result = [r.asDict() for r in run_silver(
-            spark, a.raw, a.silver, movements_format=a.movements_format).collect()]
+            spark, a.raw, a.silver, movements_format=a.movements_format, landed=a.landed).collect()]
     elif a.job == "gold":
         result = run_gold(spark, a.silver, a.gold).collect()[0].asDict()
     elif a.job == "models":
@@ -141,7 +190,7 @@ def main(argv: list[str] | None = None) -> None:
     elif a.job == "reports":
         result = run_reports(spark, a.silver, a.gold)
     else:
-        result = run_all(spark, a.raw, a.root, a.movements_format)
+        result = run_all(spark, a.raw, a.root, a.movements_format, a.landed)
     print(json.dumps(result, default=str))
 
 

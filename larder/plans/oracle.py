@@ -263,6 +263,9 @@ def statements() -> dict[str, str]:
 SELECT 'stock_transactions' AS dataset, CAST(count(*) AS BIGINT) AS n_rows FROM lineitem
 UNION ALL SELECT 'grocery_inventory', CAST(count(*) AS BIGINT) FROM part
 UNION ALL SELECT 'suppliers', CAST(count(*) AS BIGINT) FROM ({SUPPLIERS_A})"""
+    q["bronze_movements"] = _sm() + "SELECT * FROM sm"
+    q["bronze_inventory"] = f"SELECT * FROM ({INVENTORY})"
+    q["bronze_suppliers"] = f"SELECT * FROM ({SUPPLIERS_A})"
     q["bronze_landing_incremental"] = _sm() + "SELECT * FROM sm"
     q["gold_from_landed_files"] = gold_sql()
 
@@ -337,6 +340,8 @@ FROM base b LEFT JOIN net n ON b.product_id = n.product_id""")
     q["reorder_point"] = _gold("SELECT product_id, reorder_point FROM gold")
     q["reorder_point_formula_only"] = _gold("SELECT product_id, reorder_point_formula AS reorder_point FROM gold")
     q["gold_features"] = gold_sql()
+    q["gold_features_text_keys"] = gold_sql()
+    q["gold_from_bronze"] = gold_sql()
     q["gold_features_fan_out"] = gold_sql(suppliers=SUPPLIERS_FAN_OUT)
     q["gold_features_keyed_dedup"] = gold_sql(keyed=True)
     q["gold_features_global_lead"] = _gold("""
@@ -368,9 +373,22 @@ FROM (SELECT CAST(count(*) AS BIGINT) AS total_products,
     filled = ", ".join(f"coalesce({f}, 0) AS {f}" for f in FEATURES)
     q["fill_null_features"] = _gold(f"SELECT product_id, {filled}, stockout_risk, reorder_point FROM gnamed",
                                     GOLD_NAMED)
+    q["assembled_values"] = _gold("\nUNION ALL ".join(
+        f"SELECT product_id, {i} AS position, CAST(coalesce({f}, 0) AS DOUBLE) AS value FROM gnamed"
+        for i, f in enumerate(FEATURES)), GOLD_NAMED)
     q["train_test_split"] = _gold(
         f"SELECT product_id, CASE WHEN {SPLIT_BUCKET} < 80 THEN 'train' ELSE 'test' END AS split FROM gold")
     test_rows = f"test AS (SELECT * FROM gold WHERE {SPLIT_BUCKET} >= 80)"
+    q["rf_stockout_rows"] = _gold("SELECT product_id, stockout_risk, true AS p_in_range, true AS is_class FROM test", test_rows)
+    q["rf_reorder_point_rows"] = _gold(
+        "SELECT product_id, coalesce(reorder_point, 0) AS reorder_point, true AS in_label_range FROM test", test_rows)
+    q["score_products_rows"] = _gold(
+        "SELECT product_id, coalesce(stock_on_hand, 0) AS stock_on_hand, true AS is_class, true AS in_label_range FROM gold")
+    q["feature_importance_rows"] = "\nUNION ALL ".join(
+        f"SELECT {i} AS position, '{f}' AS feature, true AS in_range, true AS sums_to_one" for i, f in enumerate(FEATURES))
+    q["auc_model_agreement"] = _gold("""
+SELECT CAST(count(CASE WHEN stockout_risk = 1 THEN 1 END) AS BIGINT) AS n_pos,
+       CAST(count(CASE WHEN stockout_risk = 0 THEN 1 END) AS BIGINT) AS n_neg, true AS metrics_agree FROM test""", test_rows)
     q["auc_exact"] = _gold("""
 SELECT CASE WHEN sum(n_pos) > 0 AND sum(n_neg) > 0
             THEN sum(CAST(n_pos AS DOUBLE) * (before + CAST(n_neg AS DOUBLE) * 0.5))

@@ -1,15 +1,14 @@
 """Bronze landing: copy the three sources into the raw zone, as a Spark job.
 
 Movements come from a relational table (or any DataFrame), inventory from CSV,
-supplier documents as raw file bytes. Types are kept: the movement table lands
-as Parquet, CSV inputs stay CSV, documents are stored byte-for-byte.
+supplier documents as raw file bytes. Nothing is interpreted: the movement table
+lands as Parquet with its types, CSV fields as text in CSV, documents byte-for-byte.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from larder.operators.cleaning import layer_counts
 from larder.sources.readers import read_csv, read_raw_files
 from larder.sources.writers import write_csv, write_parquet
 
@@ -21,20 +20,15 @@ def land_raw_documents(spark: SparkSession, src: str, dest: str, glob: str | Non
     return spark.read.parquet(dest)
 
 
-def land_bronze(spark: SparkSession, movements: DataFrame, inventory_csv: str, inventory_schema,
-                documents_dir: str, raw_root: str, documents_glob: str | None = "*.json") -> dict[str, DataFrame]:
-    """Write the raw zone and return the landed datasets (re-read)."""
+def land_bronze(spark: SparkSession, movements: DataFrame, inventory_csv: str, documents_dir: str, raw_root: str,
+                inventory_schema=None, documents_glob: str | None = "*.json", multi_line: bool = False) -> dict[str, DataFrame]:
+    """Write the raw zone and return the landed datasets (re-read; ``inventory_schema`` only types what is returned)."""
     root = raw_root.rstrip("/")
     write_parquet(movements, f"{root}/stock_transactions")
-    inv = read_csv(spark, inventory_csv, schema=inventory_schema)
-    write_csv(inv, f"{root}/grocery_inventory")
-    docs = land_raw_documents(spark, documents_dir, f"{root}/suppliers_documents", glob=documents_glob)
+    write_csv(read_csv(spark, inventory_csv, multi_line=multi_line), f"{root}/grocery_inventory")
+    docs = land_raw_documents(spark, documents_dir, f"{root}/suppliers", glob=documents_glob)
     return {
         "stock_transactions": spark.read.parquet(f"{root}/stock_transactions"),
-        "grocery_inventory": read_csv(spark, f"{root}/grocery_inventory", schema=inventory_schema),
-        "suppliers_documents": docs,
+        "grocery_inventory": read_csv(spark, f"{root}/grocery_inventory", schema=inventory_schema, multi_line=multi_line),
+        "suppliers": docs,
     }
-
-
-def landing_counts(landed: dict[str, DataFrame]) -> DataFrame:
-    return layer_counts(landed)

@@ -91,9 +91,25 @@ def parse_json_documents(raw: DataFrame, element_schema: T.StructType) -> DataFr
     ``rejected_json_documents`` out first to go on without it. A blank
     document has no elements.
     """
+    return _exploded(raw, element_schema).select("_e.*")
+
+
+def _exploded(raw: DataFrame, element_schema: T.DataType) -> DataFrame:
     arr = _elements(element_schema)
     bad = F.raise_error(F.concat(F.lit("not a JSON array document: "), F.col("path"))).cast(T.ArrayType(element_schema))
-    return raw.select(F.explode(F.coalesce(arr, bad)).alias("_e")).select("_e.*")
+    return raw.select(F.explode(F.coalesce(arr, bad)).alias("_e"))
+
+
+def json_document_records(raw: DataFrame) -> DataFrame:
+    """Rows of landed JSON-array documents with every value as text, a column for each name found.
+
+    For documents of unknown schema: names come from all records (collected: one
+    string a column), nested values stay JSON text, numbers are written as doubles
+    print. Bad documents fail as in ``parse_json_documents``.
+    """
+    rows = _exploded(raw, T.MapType(T.StringType(), T.StringType()))
+    names = sorted(r[0] for r in rows.select(F.explode(F.map_keys("_e"))).distinct().collect())
+    return rows.select(*[F.col("_e")[n].alias(n) for n in names])
 
 
 def rejected_json_documents(raw: DataFrame, element_schema: T.StructType) -> DataFrame:
@@ -101,7 +117,7 @@ def rejected_json_documents(raw: DataFrame, element_schema: T.StructType) -> Dat
     return raw.where(_elements(element_schema).isNull())
 
 
-def _elements(element_schema: T.StructType):
+def _elements(element_schema: T.DataType):
     text = F.decode(F.col("content"), "UTF-8")
     parsed = F.from_json(text, T.ArrayType(element_schema))
     return F.when(F.trim(text) == "", F.array().cast(T.ArrayType(element_schema))).otherwise(parsed)

@@ -225,3 +225,28 @@ def test_missing_mandatory_role_raises(spark):
 
     with pytest.raises(ValueError, match="transactions.quantity"):
         resolve_transaction_roles(["product_id", "kind", "ts_date"])
+
+
+def test_keys_of_text_meet_keys_of_numbers(spark):
+    from larder.operators import reports as D
+
+    moves = [("A1", 1, "SALE", -5.0), ("7", 1, "SALE", -3.0), (" 07", 1, "SALE", -2.0), ("7.0", 1, "IN", 4.0), ("7.5", 1, "IN", 9.0),
+             (None, 1, "IN", 1.0)]
+    inv = [(7, 10.0, "n7"), (8, 5.0, "n8")]
+    mv = spark.createDataFrame(moves, "product_id string, supplier_ref int, transaction_type string, quantity_change double").selectExpr(
+        "*", "date'2024-01-01' AS transaction_date")
+    iv = spark.createDataFrame(inv, "product_id long, stock_quantity double, product_name string").withColumn("category", F.lit("c"))
+    sup = spark.createDataFrame([("1", "7", 3.0, "s1"), ("x", "B", 4.0, "s2")],
+                                "supplier_id string, product_id string, lead_time_days double, supplier_name string")
+    want = {7: (9.0, 5.0), 8: (5.0, None)}
+    got = {int(r.product_id): (r.stock_on_hand, r.total_sales) for r in G.gold_features(mv, iv, sup).collect()}
+    assert got == want
+    # the other way round: text in the inventory, numbers in the movements
+    flipped = mv.where("product_id in ('7', ' 07', '7.0')").withColumn("product_id", F.lit(7))
+    text = iv.withColumn("product_id", F.col("product_id").cast("string")).union(spark.createDataFrame([("A1", 1.0, "a", "c")], iv.withColumn("product_id", F.lit("")).schema))
+    got = {r.product_id: (r.stock_on_hand, r.total_sales) for r in G.gold_features(flipped, text, sup).collect()}
+    assert got == {"7": (9.0, 5.0), "8": (5.0, None), "A1": (1.0, None)}
+    named = sorted((r.product_id or "", r.product_name, r.supplier_name) for r in D.enriched_movements(mv, iv, sup).collect())
+    assert named == [("", None, "s1"), (" 07", "n7", "s1"), ("7", "n7", "s1"), ("7.0", "n7", "s1"), ("7.5", None, "s1"), ("A1", None, "s1")]
+    report = {r.product_id: r.final_balance for r in D.inventory_performance_report(mv, iv).collect()}
+    assert report == {7: 9.0, 8: 5.0}

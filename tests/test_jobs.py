@@ -25,7 +25,47 @@ def test_jobs_end_to_end(spark):
     cast = gold.withColumn("product_id", gold["product_id"].cast("bigint")).withColumn(
         "supplier_product_ref", gold["supplier_product_ref"].cast("bigint"))
     assert rows_of(cast) == rows_of(catalog.gold_features(spark, SF_SMALL))
-    assert spark.read.parquet(result["reports"]["supplier_efficiency_metrics"]).count() > 0
+    assert result["gold"]["pct_at_risk"] + result["gold"]["pct_safe"] == 100.0
+    assert set(result["reports"]) == {
+        "inventory_performance_report", "supplier_efficiency_metrics", "inventory_status", "restock_list",
+        "supplier_review", "outflow_anomalies", "top_k_velocity", "enriched_movements"}
+    for path in result["reports"].values():
+        assert spark.read.parquet(path).columns
+    moves = spark.read.parquet(f"{root}/silver/stock_transactions").count()
+    assert spark.read.parquet(result["reports"]["enriched_movements"]).count() == moves
+    assert spark.read.parquet(f"{root}/gold/feature_stats").count() == 6
+
+
+def test_bronze_to_recommendations_on_the_landed_folder_only(spark):
+    from larder.plans.jobs import run_bronze
+
+    src, raw, root = scratch_path(spark, "src"), scratch_path(spark, "landed"), scratch_path(spark, "lake")
+    writers.write_csv(fx.inventory(spark, SF_SMALL), f"{src}/inventory")
+    writers.write_json_documents(fx.suppliers_per_product(spark, SF_SMALL).withColumnRenamed("supplier_id", "id"),
+                                 f"{src}/documents.json")
+    from larder.sources import landing
+    landing.land_bronze(spark, fx.stock_move(spark, SF_SMALL), f"{src}/inventory", f"{src}/documents.json", raw,
+                        documents_glob="part-*")
+    result = run_all(spark, raw, root, landed=True)
+    assert result["silver"]["stock_transactions"] > 0 and result["gold"]["total_products"] == 200
+    assert "supplier_id" in spark.read.parquet(f"{root}/silver/suppliers").columns
+    gold = spark.read.parquet(f"{root}/gold/gold_features")
+    for c in ("product_id", "supplier_product_ref"):
+        gold = gold.withColumn(c, gold[c].cast("bigint"))
+    assert rows_of(gold) == rows_of(catalog.gold_features(spark, SF_SMALL))
+    counts = run_bronze(spark, fx.stock_move(spark, SF_SMALL), f"{src}/inventory", f"{src}/documents.json", f"{src}/again")
+    assert {r.dataset: r.n_rows for r in counts.collect()}["grocery_inventory"] == 200
+
+
+def test_documents_of_unknown_schema(spark, tmp_path):
+    from larder.sources import readers
+
+    (tmp_path / "a.json").write_text('[{"k": 1, "n": {"x": [1, 2]}},\n {"k": "b"}]')
+    (tmp_path / "b.json").write_text('[]')
+    (tmp_path / "c.json").write_text('[{"z": null, "k": 2.50}]')
+    got = readers.json_document_records(readers.read_raw_files(spark, str(tmp_path)))
+    assert got.columns == ["k", "n", "z"]
+    assert sorted(map(tuple, got.collect())) == [("1", '{"x":[1,2]}', None), ("2.5", None, None), ("b", None, None)]
 
 
 def test_silver_job_with_parquet_movements_and_sampled_inference(spark):

@@ -39,14 +39,6 @@ def test_movement_scan_reads_only_needed_columns(spark):
     assert movement_schemas and all("order_ref" not in r and "transaction_id" not in r for r in movement_schemas)
 
 
-def test_no_single_partition_window_in_supplier_review(spark):
-    plan = _planned(catalog.supplier_review(spark, SF_SMALL))
-    # the only SinglePartition exchanges allowed are over bounded bucket tables
-    assert "CartesianProduct" not in plan
-    for m in re.finditer(r"Window \[.*?\], \[\]", plan):
-        pass  # windows without partition keys only run over the bucket-offset tables
-
-
 def test_no_query_plans_a_cross_join_or_unbounded_global_window(spark):
     from larder.plans.model_catalog import model_queries
 

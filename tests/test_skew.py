@@ -98,15 +98,32 @@ def test_enriched_movements_with_hot_and_null_keys_matches_brute_force(spark):
     assert got == want
 
 
-def test_hot_key_salting_spreads_only_hot_keys(spark):
-    from larder.functions.skew import SALT_BUCKETS, hot_keys, replicate_for_salts, salt_rows
+def test_salts_follow_a_keys_rows(spark):
+    from larder.functions.skew import hot_keys, replicate_for_salts, salt_rows
+
+    # 13,000 rows: key 1 holds a third, key 2 one in 65, the rest 20 rows each
+    n, share = 13_000, 100
+    key = F.when(F.col("id") < n // 3, 1).when(F.col("id") < n // 3 + n // 65, 2).otherwise(3 + F.col("id") % 430)
+    rows = spark.range(n).withColumn("k", key)
+    counts = rows.groupBy("k").agg(F.count(F.lit(1)).alias("n"))
+    hot = hot_keys(counts, "k", "n", rows_per_salt=share)
+    assert {r._hk0: r._salts for r in hot.collect()} == {1: 44, 2: 2}
+    salted = salt_rows(rows, rows["k"], hot).groupBy("k", "_salt").count()
+    most = {r.k: r.m for r in salted.groupBy("k").agg(F.max("count").alias("m")).collect()}
+    assert max(most.values()) < 1.5 * share
+    assert salted.where("k > 2 and _salt > 0").count() == 0
+    rep = {r.k: r["count"] for r in replicate_for_salts(counts, counts["k"], hot).groupBy("k").count().collect()}
+    assert rep[1] == 44 and rep[2] == 2 and rep[3] == 1
+    # the list of hot keys stays below its bound, whatever the share asked for
+    assert hot_keys(counts, "k", "n", rows_per_salt=1, most_hot=50).count() < 50
+
+
+def test_salted_anomalies_equal_unsalted(spark, monkeypatch):
+    from larder.functions import skew
 
     sdf, _ = _movements(spark)
-    counts = sdf.groupBy("product_id").agg(F.count(F.lit(1)).alias("n"))
-    hot = hot_keys(counts, "product_id", "n")
-    assert [r._hk0 for r in hot.collect()] == [1]                  # the product with a third of the rows
-    salted = salt_rows(sdf, sdf["product_id"], hot)
-    per = {r.product_id: r.k for r in salted.groupBy("product_id").agg(F.countDistinct("_salt").alias("k")).collect()}
-    assert per[1] > SALT_BUCKETS // 2 and all(v == 1 for p, v in per.items() if p != 1)
-    rep = replicate_for_salts(counts, counts["product_id"], hot)
-    assert rep.where("product_id = 1").count() == SALT_BUCKETS and rep.where("product_id = 2").count() == 1
+    sales = G.filter_sales_with_fallback(sdf, "transaction_type", "quantity_change")
+    plain = sorted(map(tuple, D.outflow_anomalies(sales, "product_id", "quantity_change", k=1.0).collect()))
+    monkeypatch.setattr(D, "hot_keys", lambda c, k, n: skew.hot_keys(c, k, n, rows_per_salt=50))
+    salted = sorted(map(tuple, D.outflow_anomalies(sales, "product_id", "quantity_change", k=1.0).collect()))
+    assert plain == salted and plain

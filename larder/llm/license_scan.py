@@ -158,9 +158,11 @@ def scan(words: list[bytes], by_start: dict[bytes, list]) -> tuple[list[int], se
     joined = b" " + b" ".join(words) + b" "
     for phrase, label in PHRASES.items():
         needle = f" {phrase} ".encode()
-        at = joined.find(needle)
+        at, counted, before = joined.find(needle), 0, 0  # blanks are counted on from the place before
         while at >= 0:
-            places.append(joined.count(b" ", 0, at))
+            before += joined.count(b" ", counted, at)
+            counted = at
+            places.append(before)
             base.add(label)
             at = joined.find(needle, at + 1)
     added: set[str] = set()

@@ -28,6 +28,7 @@ from __future__ import annotations
 import html
 import random
 import re
+from collections import Counter
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -103,6 +104,7 @@ class Tree:
 def parse(page: str | None, labelled: bool = False) -> Tree:
     tree = Tree()
     stack = [(0, "html")]
+    opened: Counter[str] = Counter()  # open elements by name, so that a name that is not open costs no search
     held: list[str] = []
     linked = in_link = 0
 
@@ -118,9 +120,12 @@ def parse(page: str | None, labelled: bool = False) -> Tree:
         linked = 0
 
     def pop_to(names: set | frozenset, limits: set | frozenset) -> None:
+        if not any(opened[n] for n in names):
+            return
         for i in range(len(stack) - 1, 0, -1):
             if stack[i][1] in names:
                 close_segment()
+                opened.subtract(t for _, t in stack[i:])
                 del stack[i:]
                 return
             if stack[i][1] in limits:
@@ -153,7 +158,7 @@ def parse(page: str | None, labelled: bool = False) -> Tree:
             continue
         close_segment()
         in_link = 0
-        if name in ("html", "body") and any(t == name for _, t in stack[1:]):
+        if name in ("html", "body") and opened[name]:
             continue
         if name in ENDS_P:
             pop_to({"p"}, {"td", "th", "table", "button", "object"})
@@ -167,6 +172,7 @@ def parse(page: str | None, labelled: bool = False) -> Tree:
             if labelled and (y := LABEL.search(token)):
                 label = y[1]
         stack.append((tree.add(stack[-1][0], name, hints, label), name))
+        opened[name] += 1
     close_segment()
     return tree
 
@@ -209,7 +215,8 @@ class Forest:
                 at += 1
             for node, text, linked in t.segments:
                 own[base + node] += (len(text), min(linked, len(text)), len(SENTENCE.findall(text)))
-        self.levels = [np.flatnonzero(depth == d) for d in range(1, int(depth.max()) + 1)] if n else []
+        order = np.argsort(depth, kind="stable")
+        self.levels = np.split(order, np.cumsum(np.bincount(depth)))[1:-1] if n else []
         whole = own.copy()
         for nodes in reversed(self.levels):
             np.add.at(whole, self.parent[nodes], whole[nodes])

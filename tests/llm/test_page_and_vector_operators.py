@@ -143,6 +143,19 @@ def test_html_edges(spark, model):
     assert html_extract.html_extract(none, html_extract.train(none)).count() == 0
 
 
+def test_html_deep_pages_take_time_in_proportion(model):
+    import time
+
+    started = time.time()
+    n = 40_000
+    page = "<div>" * n + "<p>one, two.</p>" + "</nav></li>" * n + "</div>" * n
+    assert html_extract.parse(page).segments == [(n + 1, "one, two.", 0)]
+    forest = html_extract.Forest([html_extract.parse(page)])
+    assert len(forest.levels) == n + 1 and all(len(level) == 1 for level in forest.levels)
+    assert isinstance(html_extract.extract([page], model)[0], str)
+    assert time.time() - started < 60
+
+
 # --- embeddings
 
 def _brute(rows, least=0.98):

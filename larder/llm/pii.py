@@ -24,6 +24,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -39,7 +40,8 @@ from larder.llm.common import add_columns, slices
 KINDS = ("email", "ip", "card", "phone")
 LOCAL = frozenset("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789._%+-")
 DOMAIN = re.compile(r"[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
-IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+#: ``[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)``, tried at the first digit of a run only, so a long run is read once.
+IP = re.compile(r"[0-9](?<![0-9]{2})[0-9]*+(\.[0-9]++)(\.[0-9]++)(\.[0-9]++)")
 CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 
@@ -140,8 +142,15 @@ def features(text: str, span: tuple[int, int, int]) -> list[float]:
     return [float(v) for v in row]
 
 
-def _covered(span: tuple, spans: list) -> bool:
-    return any(k == span[1] and s < span[2] and span[0] < e for s, k, e in spans)
+def _by_kind(base: list) -> list[tuple[list, list]]:
+    """Starts and ends of the base spans of each kind; both rise, since spans of one kind don't overlap."""
+    return [([s for s, k, _ in base if k == kind], [e for _, k, e in base if k == kind]) for kind in range(len(KINDS))]
+
+
+def _covered(span: tuple, by_kind: list) -> bool:
+    starts, ends = by_kind[span[1]]
+    last = bisect_left(starts, span[2]) - 1
+    return last >= 0 and ends[last] > span[0]
 
 
 class Model:
@@ -164,7 +173,7 @@ def sample(docs: DataFrame, most_docs: int = SAMPLE_DOCS, most: int = SAMPLE_CAN
             for text in batch.column("text").to_pylist():
                 if not CUE.search(text):
                     continue
-                base = base_spans(text)
+                base = _by_kind(base_spans(text))
                 for span in candidates(text):
                     key = f"{text[max(0, span[0] - 20):span[2] + 20]}:{span[1]}"
                     h.append(int.from_bytes(hashlib.md5(key.encode("utf-8", "replace")).digest()[:7], "big"))
@@ -207,12 +216,17 @@ def spans(text: str | None, model: Model | None) -> tuple[list, list]:
         return [], []
     base = base_spans(text)
     kept = list(base)
-    more = [c for c in candidates(text) if not _covered(c, base)] if model else []
+    by_kind = _by_kind(base)
+    more = [c for c in candidates(text) if not _covered(c, by_kind)] if model else []
     if more:
         p = model.trees.probability(np.array([features(text, c) for c in more]))
         good = [(-q, c[0], c[0] - c[2], c) for q, c in zip(p, more) if q >= model.thresholds[c[1]]]
+        taken = bytearray(len(text)) if good else b""
+        for s, _, e in base if good else ():
+            taken[s:e] = b"\1" * (e - s)
         for *_, c in sorted(good):
-            if not any(s < c[2] and c[0] < e for s, _, e in kept):
+            if taken.find(1, c[0], c[2]) < 0:
+                taken[c[0]:c[2]] = b"\1" * (c[2] - c[0])
                 kept.append(c)
     return base, sorted(kept)
 

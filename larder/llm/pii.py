@@ -8,11 +8,18 @@ their kind's threshold are added, best first, unless they overlap a kept span.
 
 The trees learn from a bounded sample of documents
 (``SAMPLE_DOCS``, chosen by a hash over the whole table; at most
-``SAMPLE_CANDIDATES`` candidates): candidates that a base span covers are
-positive, all others negative. A third of the sample is held aside to
-calibrate the probabilities and to set each kind's threshold: the lowest at
-which the share of positives among all held candidates above it is at least
-``PRECISION``, and never under ``LEAST``.
+``SAMPLE_CANDIDATES`` candidates), and only from candidates that no base span
+covers, the kind they are asked about later. Each base span is written again in
+its place in forms that the strict patterns miss (other separators, no ``+``, ``@``
+spelled out, in a list, beside other numbers): the candidate that is such a copy is
+positive, others that touch it have the wrong extent or kind and are negative.
+Negative are also made look-alikes (failed check digits, order and version
+numbers, dates, prose with ``@``) and the text's own candidates that speak
+against themselves (``_refuted``); its other candidates are not judged and not used.
+A third of the documents is held aside to calibrate the probabilities and to set
+each kind's threshold: the lowest at which the share of positives among all held
+candidates above it is at least ``PRECISION``, and never under ``LEAST``. A kind
+without base spans in the sample gets no additions.
 
 Edge cases: a null text is empty, no span; without candidates or with one class
 only in the sample nothing is added; equal scores go to the earlier, then
@@ -23,6 +30,7 @@ searched whole. Input columns named like an output are replaced.
 from __future__ import annotations
 
 import hashlib
+import random
 import re
 from bisect import bisect_left
 from collections.abc import Callable, Iterator
@@ -57,13 +65,18 @@ WIDE_EMAIL = re.compile(
     r"(?:\s?(?:\.|\(dot\)|\[dot\]|\{dot\})\s?[A-Za-z0-9-]{1,63}){1,5}")
 WIDE_IP = re.compile(r"[0-9]{1,4}(?:\s?(?:\.|\[\.\]|\(\.\))\s?[0-9]{1,4}){3}")
 WIDE_NUMBER = re.compile(r"[+(]?[0-9](?:[\x20()./-]{0,3}[0-9]){6,24}")
-CUE = re.compile("[@0-9]")
+CUE = re.compile(r"[@0-9]|[(\[{][aA][tT][)\]}]|\s[dD][oO][tT]\s")
 WORDS = {
     "email": ("mail", "contact", "write to", "kontakt", "correo"),
     "ip": ("ip", "host", "server", "address", "login"),
     "card": ("card", "visa", "credit", "karte", "tarjeta", "carte"),
     "phone": ("phone", "call", "tel", "fax", "mobile", "telefon", "llame"),
 }
+DATE = re.compile(r"(?:(?:19|20)[0-9]{2}[./ -]{1,2}[0-9]{1,2}[./ -]{1,2}[0-9]{1,2}|[0-9]{1,2}[./ -]{1,2}[0-9]{1,2}[./ -]{1,2}(?:19|20)[0-9]{2}"
+                  r"|(?:19|20)[0-9]{2}[/ -]{1,3}(?:19|20)[0-9]{2})(?![0-9])")
+#: What parts a span of numbers from digits beside it.
+GAP_BEFORE = re.compile(r"(?<=[0-9])[^0-9A-Za-z]{1,3}$")
+GAP_AFTER = re.compile(r"[^0-9A-Za-z]{1,3}(?=[0-9])")
 NOT_PERSONAL = ("version", "token", "password", "isbn", "order", "id", "key", "license", "http", "www")
 
 
@@ -132,6 +145,8 @@ def features(text: str, span: tuple[int, int, int]) -> list[float]:
     before, after = left[-1:], right[:1]
     parts = re.findall("[0-9]+", s)
     stuck = len(re.search("[^\\W_]*$", left).group()) + len(re.match("[^\\W_]*", right).group())
+    last = re.search("[A-Za-z0-9-]*$", s).group()
+    first_gap, last_gap = GAP_BEFORE.search(left), GAP_AFTER.match(right)
     row = [float(kind == k) for k in range(4)]
     row += [len(s), len(digits), len(groups), max(groups, default=0), min(groups, default=0), groups[0] if groups else 0,
             groups[-1] if groups else 0, max((int(p[:6]) for p in parts), default=0), float(bool(digits) and luhn(digits)),
@@ -139,6 +154,9 @@ def features(text: str, span: tuple[int, int, int]) -> list[float]:
             "(at)" in s or "[at]" in s, "dot" in s, sum(c.isalpha() for c in s), len(s.rsplit(".", 1)[-1]),
             before.isalnum(), after.isalnum(), before in "=:#$/_", after in "=:#$/_%",
             any(w in left for w in WORDS[KINDS[kind]]), any(w in left for w in NOT_PERSONAL), len(set(digits)), stuck]
+    row += [*(groups + [0] * 5)[:5], int(digits[:1] or -1), len(set(re.findall("[^0-9+(]+", s))), len(last), last[:1].isupper(), last.isdigit(),
+            ")" in s, all(_small(p) for p in parts), bool(DATE.match(s)), any(re.search(rf"\\b{w}\\b", left) for w in NOT_PERSONAL),
+            len(first_gap.group()) if first_gap else -1, len(last_gap.group()) if last_gap else -1, s.count("\n")]
     return [float(v) for v in row]
 
 
@@ -158,8 +176,143 @@ class Model:
         self.trees, self.thresholds = trees, thresholds
 
 
+def _refuted(text: str, span: tuple) -> bool:
+    """What speaks against a candidate without asking the strict patterns: check digit, range, named otherwise, inside a word, a date."""
+    start, kind, end = span
+    s, left, after = text[start:end], text[max(0, start - CONTEXT):start].lower(), text[end:end + 1]
+    if kind == 0:
+        return not any(c.isalpha() for c in s.rsplit(".", 1)[-1])
+    if kind == 1 and not all(_small(p) for p in re.findall("[0-9]+", s)) or kind == 2 and not luhn(_digits(s)):
+        return True
+    named = any(re.search(rf"\b{w}\b[^\w]*\w{{0,3}}[^\w]*$", left) for w in NOT_PERSONAL)
+    return named or left[-1:].isalnum() or after.isalnum() or bool(kind == 3 and DATE.match(s))
+
+
+def _regrouped(digits: str, sizes: list[int], gap: str) -> str:
+    parts, at = [], 0
+    for n in sizes:
+        parts.append(digits[at:at + n])
+        at += n
+    return gap.join([p for p in [*parts, digits[at:]] if p])
+
+
+def _phone(groups: list[str], r: random.Random) -> str:
+    """The number without ``+``, with or without its first group, its groups joined anew."""
+    digits = "".join(groups)
+    if len(groups) < 3:
+        groups = [g for g in (digits[:-10], digits[-10:-7], digits[-7:-4], digits[-4:]) if g]
+    if sum(map(len, groups[1:])) >= 7 and r.random() < 0.7:
+        groups = groups[1:]
+    gap = r.choice(("-", " ", ".", "/", "-", " "))
+    if len(groups) > 2 and r.random() < 0.3:
+        at = 0 if len(groups) == 3 else 1
+        return gap.join([*groups[:at], f"({groups[at]}) " + gap.join(groups[at + 1:])])
+    return gap.join(groups)
+
+
+def _card(digits: str, r: random.Random, loose: bool = True) -> str:
+    sizes = [4, 6] if len(digits) == 15 else [4] * 4
+    return _regrouped(digits, sizes, r.choice((".", "/", "  ", " - ", "--") if loose else (" ", "-", ".", "")))
+
+
+def loosened(kind: int, s: str, r: random.Random) -> tuple[str, list[tuple[int, int]]]:
+    """A base span's value in a form that the strict patterns miss: text and the places of the values in it."""
+    digits = _digits(s)
+    if kind == 0:
+        local, domain = s.split("@", 1)
+        at = r.choice((" @ ", "@ ", " @", " (at) ", "(at)", " [at] ", "[at]", "{at}", " (AT) ", " at "))
+        dot = " dot " if at == " at " else r.choice((".", ".", " . ") if "@" in at else (".", " (dot) ", "(dot)", " [dot] ", "[dot]", "{dot}"))
+        got = local + at + domain.replace(".", dot)
+        return got + r.choice(("", "", "", ". The", " . And")), [(0, len(got))]
+    if kind == 1:
+        got = s.replace(".", r.choice((" . ", ". ", " .", "[.]", "(.)")))
+        return got, [(0, len(got))]
+    if kind == 2 and r.random() < 0.5:
+        got, tail = _card(digits, r), ""
+    elif kind == 2:  # as strict, but beside other digits
+        got = _regrouped(digits, [4, 6] if len(digits) == 15 else [4] * 4, r.choice((" ", "-")))
+        tail = r.choice((f" {r.randint(1, 12):02d}/{r.randint(24, 35)}", f" {r.randint(1, 12):02d}/{r.randint(24, 35)} {r.randint(100, 999)}",
+                         f" {r.randint(1, 12):02d} {r.randint(24, 35)}", f" {got}"))
+    else:
+        groups = re.findall("[0-9]+", s)
+        got = _phone(groups, r)
+        tail = r.choice(("", "", " ", ", ", " / "))
+        tail = tail and tail + _phone([*groups[:-1], str(r.randint(10 ** (len(groups[-1]) - 1), 10 ** len(groups[-1]) - 1))], r)
+    at = len(got) + len(tail) - len(tail.lstrip(" ,/"))
+    return got + tail, [(0, len(got))] + ([(at, len(got + tail))] if kind == 3 and tail or tail == f" {got}" else [])
+
+
+def lookalike(kind: int, s: str, left: str, r: random.Random) -> str:
+    """Text of a like form that is no value of the kind."""
+    digits = _digits(s)
+
+    def number(n: int) -> str:
+        return str(r.randint(10 ** (n - 1), 10 ** n - 1))
+
+    if kind == 0:
+        words = (re.findall("[A-Za-z]{2,}", left) or ["we"])[-3:]
+        a, b, c = (r.choice(words) for _ in range(3))
+        at = r.choice((" @ ", " (at) ", " [at] ", "@ "))
+        return r.choice((f"{a}{at}{b}. {c.capitalize()}", f"{a}{at}{b}. {c.capitalize()}", f"{a}{at}{b} . {c.capitalize()}", f"{number(1)} @ {number(1)}.{number(2)}",
+                         f"{a} @ {number(2)}.{number(2)}"))
+    if kind == 1:
+        p = s.split(".")
+        wrong = list(p)
+        wrong[r.randrange(len(p))] = str(r.randint(256, 1999))
+        gap = r.choice((" . ", ". ", " .", "[.]"))
+        return r.choice((gap.join(wrong), gap.join(wrong), "version " + gap.join(p), gap.join([*p, number(1)]), "1. 2. 3. 4", f"{number(1)}. {number(1)}. {number(4)}. {number(1)}"))
+    if kind == 2:
+        at = r.randrange(len(digits))
+        wrong = digits[:at] + str((int(digits[at]) + r.randint(1, 9)) % 10) + digits[at + 1:]
+        if luhn(wrong):
+            wrong = wrong[:-1] + str((int(wrong[-1]) + 1) % 10)
+        return r.choice(("order ", "id: ", "", "", "")) + _card(wrong, r, r.random() < 0.5) + r.choice(("", "", " 12/27"))
+    name = r.choice(("order ", "order no. ", "id ", "id: ", "isbn ", "version ", "key ", "token "))
+    groups = re.findall("[0-9]+", s)
+    date = f"{r.randint(1950, 2035)}-{r.randint(1, 12):02d}-{r.randint(1, 28):02d}"
+    return r.choice((name + _phone(groups, r), name + number(r.randint(7, 12)), number(r.randint(7, 12)), date, f"{date} {r.randint(0, 23):02d}{r.choice(': -')}{r.randint(0, 59):02d}",
+                     ".".join(reversed(date.split("-"))), f"{r.randint(1900, 1999)}-{r.randint(2000, 2035)}", "isbn 978-3-16-" + number(6) + "-0",
+                     "-".join(number(r.choice((2, 4, 5, 6))) for _ in range(3)), " ".join(number(r.choice((1, 2, 3))) for _ in range(r.randint(5, 9)))))
+
+
+#: Copies and look-alikes of each base span, and the words kept around each.
+COPIES = 3
+AROUND = 200
+
+
+def _touch(a: tuple, b: tuple) -> bool:
+    return a[0] < b[2] and b[0] < a[2]
+
+
+def examples(text: str) -> Iterator[tuple[str, tuple, bool]]:
+    """(text, candidate, positive) for every candidate that no base span covers and whose label is known."""
+    base = base_spans(text)
+    by_kind = _by_kind(base)
+    for c in candidates(text):
+        if not any(_covered((c[0], k, c[2]), by_kind) for k in range(len(KINDS))) and _refuted(text, c):
+            yield text, c, False
+    for start, kind, end in base:
+        if end - start > AROUND:
+            continue
+        s, left, right = text[start:end], text[max(0, start - AROUND):start], text[end:end + AROUND]
+        r = random.Random(hashlib.md5(f"{left}|{s}|{kind}".encode("utf-8", "replace")).digest())
+        for copy in range(2 * COPIES):
+            piece, places = loosened(kind, s, r) if copy < COPIES else (lookalike(kind, s, left, r), [])
+            cue = r.choice(("", "", f"{r.choice(WORDS[KINDS[kind]])} ", f"{r.choice(WORDS[KINDS[kind]])}: "))
+            if kind == 3 and copy >= COPIES and not DATE.match(piece):
+                cue = ""  # a number that a cue calls a phone may be one
+            before = left if r.random() < 0.7 else left[-left[::-1].find(" "):] if " " in left else ""
+            new, at = before + cue + piece + right, len(before + cue)
+            whole = (at, kind, at + len(piece))
+            good = {(at + a, kind, at + b) for a, b in places}
+            now = _by_kind(base_spans(new))
+            for c in candidates(new):
+                if _touch(c, whole) and not _covered(c, now):
+                    yield new, c, c in good
+
+
 def sample(docs: DataFrame, most_docs: int = SAMPLE_DOCS, most: int = SAMPLE_CANDIDATES) -> list:
-    """Candidates (features, positive) of a bounded sample of the documents that may hold one."""
+    """Labelled candidates (features, positive, held aside) of a bounded sample of the documents that may hold one."""
     texts = docs.select(F.col("text").cast("string").alias("text")).where("text is not null")
     total = docs.count()
     if not total:
@@ -167,22 +320,29 @@ def sample(docs: DataFrame, most_docs: int = SAMPLE_DOCS, most: int = SAMPLE_CAN
     draw = F.pmod(F.xxhash64("text", F.lit("pii")), F.lit(1 << 30)) / F.lit(float(1 << 30))
     chosen = texts.where(draw < min(1.0, most_docs / total))
 
+    def batch_of(rows: list) -> pa.RecordBatch:
+        h, x, y, aside = zip(*rows)
+        return pa.RecordBatch.from_arrays([pa.array(h, pa.int64()), pa.array(x, pa.list_(pa.float64())), pa.array(y, pa.bool_()),
+                                           pa.array(aside, pa.bool_())], names=["h", "x", "y", "aside"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows: list[tuple] = []
         for batch in slices(batches, "text"):
-            h, rows, good = [], [], []
             for text in batch.column("text").to_pylist():
                 if not CUE.search(text):
                     continue
-                base = _by_kind(base_spans(text))
-                for span in candidates(text):
-                    key = f"{text[max(0, span[0] - 20):span[2] + 20]}:{span[1]}"
-                    h.append(int.from_bytes(hashlib.md5(key.encode("utf-8", "replace")).digest()[:7], "big"))
-                    rows.append(features(text, span))
-                    good.append(_covered(span, base))
-            yield pa.RecordBatch.from_arrays([pa.array(h, pa.int64()), pa.array(rows, pa.list_(pa.float64())), pa.array(good, pa.bool_())],
-                                             names=["h", "x", "y"])
+                aside = hashlib.md5(text.encode("utf-8", "replace")).digest()[0] % 3 == 2
+                for where, span, good in examples(text):
+                    key = f"{where[max(0, span[0] - 20):span[2] + 20]}:{span}"
+                    h = int.from_bytes(hashlib.md5(key.encode("utf-8", "replace")).digest()[:7], "big")
+                    rows.append((h, features(where, span), good, aside))
+                    if len(rows) >= 4096:
+                        yield batch_of(rows)
+                        rows = []
+        if rows:
+            yield batch_of(rows)
 
-    return chosen.mapInArrow(run, "h long, x array<double>, y boolean").orderBy("h", "y", "x").limit(most).collect()
+    return chosen.mapInArrow(run, "h long, x array<double>, y boolean, aside boolean").orderBy("h", "y", "x").limit(most).collect()
 
 
 def fit(rows: list) -> Model | None:
@@ -191,7 +351,9 @@ def fit(rows: list) -> Model | None:
     if len(y) < 30 or y.min() == y.max():
         return None
     x = np.array([r["x"] for r in rows], float)
-    aside = np.arange(len(y)) % 3 == 2
+    aside = np.array([r["aside"] for r in rows], bool) if "aside" in rows[0] else np.arange(len(y)) % 3 == 2
+    if not 0 < y[aside].sum() < aside.sum() or y[~aside].min() == y[~aside].max():
+        aside = np.arange(len(y)) % 3 == 2
     trees = boosting.fit(x[~aside], y[~aside])
     boosting.calibrate(trees, x[aside], y[aside])
     p = trees.probability(x[aside])
@@ -212,7 +374,7 @@ def train(docs: DataFrame) -> Model | None:
 
 def spans(text: str | None, model: Model | None) -> tuple[list, list]:
     """Base spans and all kept spans (start, kind, end), each sorted."""
-    if not text or not CUE.search(text) and "(at)" not in text and "[at]" not in text and "{at}" not in text:
+    if not text or not CUE.search(text):
         return [], []
     base = base_spans(text)
     kept = list(base)

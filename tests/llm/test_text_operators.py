@@ -168,6 +168,36 @@ def test_pii_model_adds_what_the_patterns_miss():
     assert not base and len(kept) <= 1
 
 
+def _pii_corpus(spark):
+    """Strict forms only, between prose."""
+    rows = []
+    for i in range(900):
+        email, ip = f"{'jkmno'[i % 5]}{'aeiou'[i % 4]}{i % 70 or ''}@mail{i % 9 or ''}.{'example.' * (i % 2)}{('com', 'org', 'net')[i % 3]}", f"{i % 223 + 1}.{i * 7 % 256}.{i * 13 % 256}.{i * 31 % 256}"
+        card = f"4{i * 7919 % 10**7:07d}{i * 104729 % 10**7:07d}"
+        card += next(c for c in "0123456789" if pii.luhn(card + c))
+        value = (email, ip, card, f"+1 ({200 + i % 700}) 555-{i * 37 % 10000:04d}")[i % 4]
+        rows.append((f"and then the words {'stay go come leave'.split()[i % 3]} {value} so it went on and on",))
+    return spark.createDataFrame(rows, "text string")
+
+
+@pytest.fixture(scope="module")
+def pii_model(spark):
+    return pii.train(_pii_corpus(spark))
+
+
+@pytest.mark.parametrize("text, added", [
+    ("please write to jo.doe @ mail3.example.com today", "jo.doe @ mail3.example.com"),
+    ("contact jo (at) mail (dot) com now", "jo (at) mail (dot) com"),
+    ("tel 555-123-4567 please", "555-123-4567"),
+    ("the host 10 . 0 . 0 . 255 is up", "10 . 0 . 0 . 255"),
+    ("the card 4111.1111.1111.1111 of theirs", "4111.1111.1111.1111"),
+    ("the card 4111.1111.1111.1112 of theirs", None), ("order no. 5551234567 was sent", None), ("version 1. 2. 3. 4 is out", None),
+    ("we met @ noon. Then we left", None), ("on 2020-12-31 we left", None)])
+def test_pii_trees_add_loose_forms_only(pii_model, text, added):
+    base, kept = pii.spans(text, pii_model)
+    assert not base and [text[s:e] for s, _, e in kept] == ([added] if added else [])
+
+
 # --- licences
 
 def test_license_words_and_places(docs, clashing, no_docs):

@@ -2,11 +2,12 @@
 
 Strict patterns give the base spans (email, ip, card, phone), which always
 stay. High-recall generators propose further, overlapping candidates of each
-kind (spaced or bracketed addresses, numbers with other separators or lengths);
+kind (spaced or bracketed addresses with each start of the local part and each end
+of the domain, every run of neighbouring digit groups with a fitting digit count);
 boosted trees score them from format and context features, and those at or above
 their kind's threshold are added, best first, unless they overlap a kept span.
 
-The trees learn from a bounded sample of documents
+Each kind's trees learn from a bounded sample of documents
 (``SAMPLE_DOCS``, chosen by a hash over the whole table; at most
 ``SAMPLE_CANDIDATES`` candidates), and only from candidates that no base span
 covers, the kind they are asked about later. Each base span is written again in
@@ -34,6 +35,7 @@ import random
 import re
 from bisect import bisect_left
 from collections.abc import Callable, Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -60,11 +62,17 @@ LEAST = 0.9
 CONTEXT = 40
 
 # generators: looser forms of the same kinds
-WIDE_EMAIL = re.compile(
-    r"[A-Za-z0-9._%+-]{1,64}\s?(?:@|\(at\)|\[at\]|\{at\})\s?[A-Za-z0-9-]{1,63}"
-    r"(?:\s?(?:\.|\(dot\)|\[dot\]|\{dot\})\s?[A-Za-z0-9-]{1,63}){1,5}")
-WIDE_IP = re.compile(r"[0-9]{1,4}(?:\s?(?:\.|\[\.\]|\(\.\))\s?[0-9]{1,4}){3}")
-WIDE_NUMBER = re.compile(r"[+(]?[0-9](?:[\x20()./-]{0,3}[0-9]){6,24}")
+WIDE_AT = re.compile(r"\s?(?:@|\(at\)|\[at\]|\{at\})\s?|\sat\s(?=[A-Za-z0-9-]{1,63}\sdot\s)", re.I)
+WIDE_LABEL = re.compile("[A-Za-z0-9-]{1,63}")
+WIDE_DOT = re.compile(r"\s?(?:\.|\(dot\)|\[dot\]|\{dot\})\s?(?=[A-Za-z0-9-])|\sdot\s(?=[A-Za-z0-9-])", re.I)
+MOST_LOCAL = 64
+MOST_DOTS = 5
+#: Tried at the start of every digit group, so a run of five groups gives two.
+WIDE_IP = re.compile(r"(?<![0-9])(?=([0-9]{1,4}(?:\s?(?:\.|\[\.\]|\(\.\))\s?[0-9]{1,4}){3})(?![0-9]))")
+GROUP = re.compile("[0-9]+")
+GAP = re.compile(r"[\x20()./-]{0,3}")
+#: Fewest and most digits of a card and of a phone.
+CARD_DIGITS, PHONE_DIGITS = (12, 20), (7, 15)
 CUE = re.compile(r"[@0-9]|[(\[{][aA][tT][)\]}]|\s[dD][oO][tT]\s")
 WORDS = {
     "email": ("mail", "contact", "write to", "kontakt", "correo"),
@@ -75,8 +83,8 @@ WORDS = {
 DATE = re.compile(r"(?:(?:19|20)[0-9]{2}[./ -]{1,2}[0-9]{1,2}[./ -]{1,2}[0-9]{1,2}|[0-9]{1,2}[./ -]{1,2}[0-9]{1,2}[./ -]{1,2}(?:19|20)[0-9]{2}"
                   r"|(?:19|20)[0-9]{2}[/ -]{1,3}(?:19|20)[0-9]{2})(?![0-9])")
 #: What parts a span of numbers from digits beside it.
-GAP_BEFORE = re.compile(r"(?<=[0-9])[^0-9A-Za-z]{1,3}$")
-GAP_AFTER = re.compile(r"[^0-9A-Za-z]{1,3}(?=[0-9])")
+GAP_BEFORE = re.compile(r"(?<![0-9])([0-9]+)([^0-9A-Za-z]{1,3})$")
+GAP_AFTER = re.compile(r"([^0-9A-Za-z]{1,3})([0-9]+)")
 NOT_PERSONAL = ("version", "token", "password", "isbn", "order", "id", "key", "license", "http", "www")
 
 
@@ -122,17 +130,60 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(found)
 
 
-def candidates(text: str) -> list[tuple[int, int, int]]:
+def _emails(text: str) -> Iterator[tuple[int, int, int]]:
+    """At each mark every start of the local part (after each of its separators) with every end of the domain."""
+    for at in WIDE_AT.finditer(text):
+        left = at.start()
+        while left > max(0, at.start() - MOST_LOCAL) and text[left - 1] in LOCAL:
+            left -= 1
+        starts = [i for i in range(left, at.start()) if text[i].isalnum() and (i == left or not text[i - 1].isalnum())]
+        if left < at.start() and left not in starts:
+            starts.append(left)
+        ends, end = [], WIDE_LABEL.match(text, at.end())
+        while starts and end and len(ends) < MOST_DOTS and (dot := WIDE_DOT.match(text, end.end())):
+            end = WIDE_LABEL.match(text, dot.end())
+            ends.append(end.end())
+        for start in starts:
+            for e in ends:
+                yield start, 0, e
+
+
+def _numbers(text: str) -> Iterator[tuple[int, int, int]]:
+    """Every run of neighbouring digit groups whose digits fit a card or a phone, with ``+`` and an opened bracket before it."""
+    run: list[tuple[int, int]] = []  # the last groups, as many as a number from them may hold
+
+    def ending(group: tuple[int, int]) -> Iterator[tuple[int, int, int]]:
+        run.append(group)
+        n = 0
+        for i in range(len(run) - 1, -1, -1):
+            n += run[i][1] - run[i][0]
+            if n > CARD_DIGITS[1]:
+                del run[:i + 1]
+                break
+            start, end = run[i][0], group[1]
+            if text[start - 1:start] == "(" and text.find(")", start, end) >= 0:
+                start -= 1
+            if text[start - 1:start] == "+":
+                start -= 1
+            if CARD_DIGITS[0] <= n:
+                yield start, 2, end
+            if PHONE_DIGITS[0] <= n <= PHONE_DIGITS[1]:
+                yield start, 3, end
+
+    last = None
+    for m in GROUP.finditer(text):
+        if last is None or not GAP.fullmatch(text, last, m.start()):
+            run.clear()
+        last = m.end()
+        yield from ending(m.span())
+
+
+def candidates(text: str) -> Iterator[tuple[int, int, int]]:
     """Overlapping (start, kind, end) proposals of the generators; one number is proposed as card and as phone."""
-    out = [(m.start(), 0, m.end()) for m in WIDE_EMAIL.finditer(text)]
-    out += [(m.start(), 1, m.end()) for m in WIDE_IP.finditer(text)]
-    for m in WIDE_NUMBER.finditer(text):
-        n = len(_digits(m.group()))
-        if 12 <= n <= 20:
-            out.append((m.start(), 2, m.end()))
-        if 7 <= n <= 15:
-            out.append((m.start(), 3, m.end()))
-    return out
+    yield from _emails(text)
+    for m in WIDE_IP.finditer(text):
+        yield m.start(1), 1, m.end(1)
+    yield from _numbers(text)
 
 
 def features(text: str, span: tuple[int, int, int]) -> list[float]:
@@ -146,6 +197,7 @@ def features(text: str, span: tuple[int, int, int]) -> list[float]:
     parts = re.findall("[0-9]+", s)
     stuck = len(re.search("[^\\W_]*$", left).group()) + len(re.match("[^\\W_]*", right).group())
     last = re.search("[A-Za-z0-9-]*$", s).group()
+    more = WIDE_DOT.match(text, end) if kind == 0 else None
     first_gap, last_gap = GAP_BEFORE.search(left), GAP_AFTER.match(right)
     row = [float(kind == k) for k in range(4)]
     row += [len(s), len(digits), len(groups), max(groups, default=0), min(groups, default=0), groups[0] if groups else 0,
@@ -156,7 +208,10 @@ def features(text: str, span: tuple[int, int, int]) -> list[float]:
             any(w in left for w in WORDS[KINDS[kind]]), any(w in left for w in NOT_PERSONAL), len(set(digits)), stuck]
     row += [*(groups + [0] * 5)[:5], int(digits[:1] or -1), len(set(re.findall("[^0-9+(]+", s))), len(last), last[:1].isupper(), last.isdigit(),
             ")" in s, all(_small(p) for p in parts), bool(DATE.match(s)), any(re.search(rf"\\b{w}\\b", left) for w in NOT_PERSONAL),
-            len(first_gap.group()) if first_gap else -1, len(last_gap.group()) if last_gap else -1, s.count("\n")]
+            *((len(first_gap[1]), len(first_gap[2]), first_gap[2] in s) if first_gap else (0, -1, False)),
+            *((len(more.group()), more.group() in s, text[more.end()].isupper()) if more else (0, False, False)),
+            text[start - 1:start] in LOCAL if start else False,
+            *((len(last_gap[2]), len(last_gap[1]), last_gap[1] in s) if last_gap else (0, -1, False)), s.count("\n")]
     return [float(v) for v in row]
 
 
@@ -172,9 +227,19 @@ def _covered(span: tuple, by_kind: list) -> bool:
 
 
 class Model:
-    def __init__(self, trees: boosting.Boosted, thresholds: list[float]):
+    """Each kind's trees (None without both classes) and threshold."""
+
+    def __init__(self, trees: list[boosting.Boosted | None], thresholds: list[float]):
         self.trees, self.thresholds = trees, thresholds
 
+    def probability(self, text: str, spans: list[tuple]) -> np.ndarray:
+        out = np.zeros(len(spans))
+        for kind, trees in enumerate(self.trees):
+            own = [i for i, c in enumerate(spans) if c[1] == kind] if trees else []
+            if own:
+                out[own] = trees.probability(np.array([features(text, spans[i]) for i in own]))
+        return out
+
 
 def _refuted(text: str, span: tuple) -> bool:
     """What speaks against a candidate without asking the strict patterns: check digit, range, named otherwise, inside a word, a date."""
@@ -215,8 +280,25 @@ def _card(digits: str, r: random.Random, loose: bool = True) -> str:
     return _regrouped(digits, sizes, r.choice((".", "/", "  ", " - ", "--") if loose else (" ", "-", ".", "")))
 
 
+def _varied(kind: int, s: str, r: random.Random) -> str:
+    """Another strict value of the kind, so that the trees don't hold on to the few shapes of a corpus."""
+    if kind == 0:
+        local, domain = s.split("@", 1)
+        labels = domain.split(".")
+        local = r.choice((local, local[:2], re.split("[._%+-]", local)[0] or local, f"{local[:2]}.{local}", f"{local}_{r.randint(1, 99)}"))
+        labels = r.choice((labels, labels[-2:], [labels[0], labels[-1]]))
+        return local + "@" + ".".join([*labels[:-1], r.choice((labels[-1], "com", "org", "de", "io"))])
+    if kind == 1:
+        return ".".join(r.choice((p, str(r.randint(0, 255)), r.choice(("0", "1", "10", "255")))) for p in s.split("."))
+    if kind == 3:
+        return re.sub("[0-9]", lambda m: r.choice((m.group(), str(r.randint(1, 9)))), s)
+    body = r.choice("3456") + "".join(r.choice((d, str(r.randint(0, 9)))) for d in _digits(s)[1:-1])
+    return body + next(c for c in "0123456789" if luhn(body + c))
+
+
 def loosened(kind: int, s: str, r: random.Random) -> tuple[str, list[tuple[int, int]]]:
     """A base span's value in a form that the strict patterns miss: text and the places of the values in it."""
+    s = _varied(kind, s, r) if r.random() < 0.5 else s
     digits = _digits(s)
     if kind == 0:
         local, domain = s.split("@", 1)
@@ -351,19 +433,26 @@ def fit(rows: list) -> Model | None:
     if len(y) < 30 or y.min() == y.max():
         return None
     x = np.array([r["x"] for r in rows], float)
-    aside = np.array([r["aside"] for r in rows], bool) if "aside" in rows[0] else np.arange(len(y)) % 3 == 2
-    if not 0 < y[aside].sum() < aside.sum() or y[~aside].min() == y[~aside].max():
-        aside = np.arange(len(y)) % 3 == 2
-    trees = boosting.fit(x[~aside], y[~aside])
-    boosting.calibrate(trees, x[aside], y[aside])
-    p = trees.probability(x[aside])
-    thresholds = []
+    by_place = np.arange(len(y)) % 3 == 2
+    by_doc = np.array([r["aside"] for r in rows], bool) if "aside" in rows[0] else by_place
+    trees, thresholds = [], []
     for k in range(len(KINDS)):
-        own = x[aside][:, k] == 1
-        order = np.argsort(-p[own], kind="stable")
-        right = np.cumsum(y[aside][own][order]) / np.arange(1, own.sum() + 1)
+        own = x[:, k] == 1
+        # few documents may leave a side with one class: then candidates are dealt
+        aside = next((a[own] for a in (by_doc, by_place) if all(0 < y[own & s].sum() < (own & s).sum() for s in (a, ~a))), None)
+        if aside is None:
+            trees.append(None)
+            thresholds.append(2.0)
+            continue
+        x_own, y_own = x[own], y[own]
+        fitted = boosting.fit(x_own[~aside], y_own[~aside])
+        boosting.calibrate(fitted, x_own[aside], y_own[aside])
+        p = fitted.probability(x_own[aside])
+        order = np.argsort(-p, kind="stable")
+        right = np.cumsum(y_own[aside][order]) / np.arange(1, aside.sum() + 1)
         good = np.flatnonzero(right >= PRECISION)
-        lowest = float(p[own][order][good[-1]]) if len(good) else 2.0
+        lowest = float(p[order][good[-1]]) if len(good) else 2.0
+        trees.append(fitted)
         thresholds.append(max(LEAST, lowest))
     return Model(trees, thresholds)
 
@@ -379,12 +468,14 @@ def spans(text: str | None, model: Model | None) -> tuple[list, list]:
     base = base_spans(text)
     kept = list(base)
     by_kind = _by_kind(base)
-    more = [c for c in candidates(text) if not _covered(c, by_kind)] if model else []
-    if more:
-        p = model.trees.probability(np.array([features(text, c) for c in more]))
-        good = [(-q, c[0], c[0] - c[2], c) for q, c in zip(p, more) if q >= model.thresholds[c[1]]]
-        taken = bytearray(len(text)) if good else b""
-        for s, _, e in base if good else ():
+    more = (c for c in candidates(text) if not _covered(c, by_kind)) if model else iter(())
+    good = []
+    while part := list(islice(more, 4096)):
+        p = model.probability(text, part)
+        good += [(-q, c[0], c[0] - c[2], c) for q, c in zip(p, part) if q >= model.thresholds[c[1]]]
+    if good:
+        taken = bytearray(len(text))
+        for s, _, e in base:
             taken[s:e] = b"\1" * (e - s)
         for *_, c in sorted(good):
             if taken.find(1, c[0], c[2]) < 0:

@@ -172,7 +172,7 @@ def _pii_corpus(spark):
     """Strict forms only, between prose."""
     rows = []
     for i in range(900):
-        email, ip = f"{'jkmno'[i % 5]}{'aeiou'[i % 4]}{i % 70 or ''}@mail{i % 9 or ''}.{'example.' * (i % 2)}{('com', 'org', 'net')[i % 3]}", f"{i % 223 + 1}.{i * 7 % 256}.{i * 13 % 256}.{i * 31 % 256}"
+        email, ip = f"{'jkmno'[i % 5]}{'aeiou'[i % 4]}{i % 70 or ''}@mail{i % 9 or ''}.{'example.' * (i // 4 % 2)}{('com', 'org', 'net')[i % 3]}", f"{i % 223 + 1}.{i * 7 % 256}.{i * 13 % 256}.{i * 31 % 256}"
         card = f"4{i * 7919 % 10**7:07d}{i * 104729 % 10**7:07d}"
         card += next(c for c in "0123456789" if pii.luhn(card + c))
         value = (email, ip, card, f"+1 ({200 + i % 700}) 555-{i * 37 % 10000:04d}")[i % 4]
@@ -198,6 +198,32 @@ def test_pii_trees_add_loose_forms_only(pii_model, text, added):
     assert not base and [text[s:e] for s, _, e in kept] == ([added] if added else [])
 
 
+def test_pii_candidates_overlap():
+    def texts(text, kind):
+        return {text[s:e] for s, k, e in pii.candidates(text) if k == kind}
+
+    assert {"555-123-4567", "555-987-6543"} <= texts("tel 555-123-4567 555-987-6543", 3)
+    assert "4111 1111 1111 1111" in texts("4111 1111 1111 1111 12/27 123", 2)
+    assert texts("1. 2. 3. 4. 5", 1) == {"1. 2. 3. 4", "2. 3. 4. 5"}
+    assert texts("--a.b @ c.de.f", 0) == {x + " @ " + y for x in ("--a.b", "a.b", "b") for y in ("c.de", "c.de.f")}
+    rng = np.random.default_rng(6)
+    for _ in range(300):
+        text = "".join(rng.choice(list("00123456789 .-/()x"), rng.integers(1, 60)))
+        groups = [m.span() for m in re.finditer("[0-9]+", text)]
+        for kind, least, most in ((2, 12, 20), (3, 7, 15)):
+            want = {(groups[i][0], groups[j][1]) for i in range(len(groups)) for j in range(i, len(groups))
+                    if all(re.fullmatch("[ ()./-]{1,3}", text[groups[k][1]:groups[k + 1][0]]) for k in range(i, j))
+                    and least <= sum(b - a for a, b in groups[i:j + 1]) <= most}
+            assert {(s + (text[s] == "("), e) for s, k, e in pii.candidates(text) if k == kind} == want, text
+
+
+@pytest.mark.parametrize("text, added", [("tel 555-123-4567 555-987-6543", ["555-123-4567", "555-987-6543"]),
+                                         ("paid 4111 1111 1111 1111 12/27 123 ok", ["4111 1111 1111 1111"])])
+def test_pii_neighbouring_numbers_are_found(pii_model, text, added):
+    base, kept = pii.spans(text, pii_model)
+    assert not base and [text[s:e] for s, _, e in kept] == added
+
+
 # --- licences
 
 def test_license_words_and_places(docs, clashing, no_docs):

@@ -8,10 +8,14 @@ its log-likelihoods per character under the accepted and the rejected model; it
 is blocked when the calibrated difference is below the threshold.
 
 The counts are gathered from all labelled URLs of the table outside the calibration
-fold (a fifth, by a hash of the URL). Contexts of order 3 and up are hashed, so a
-model has a fixed most of ``SLOTS`` counts whatever the input's size: what the
-driver collects and sends out is bounded, what the tasks gather grows with the
-input. The threshold is the cut of the fold's score histogram (``BINS`` bins) with
+fold (a fifth, by a hash of the URL) into a written table keyed by the exact context
+and character, which grows with the input like the work of the tasks. Every distinct
+URL is laid out as its runs of ``ORDER`` + 1 characters; the distinct runs get both
+classes' probabilities from the counts of their ends (orders 0 to 2, at most
+262,144 rows by the alphabet, are sent to all tasks; 3 and 4 are joined), and the
+runs' log ratios are joined back and summed by URL, in whole steps of
+1 / ``STEPS``, so the sum does not depend on the order. The driver gets
+the fold's score histogram (``BINS`` bins) only; the threshold is its cut with
 the best mean of both classes' rates.
 
 Edge cases: a null URL or one without ``://`` has an empty host and path and
@@ -26,18 +30,23 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from larder.llm.common import add_columns
+from larder.llm.common import TMP, add_columns, number_rows, slices, stage
 
 #: (host, path, verdict); the rules of the contract.
 RULES = (("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow"))
 ORDER = 4
 SYMBOLS = 64
+#: Bits of a character, and the steps of a log ratio's unit in sums.
+BITS = 6
+STEPS = float(1 << 32)
+#: Orders with so few contexts that their counts are sent to all tasks.
+SMALL_ORDERS = 2
+#: The dense small-table form (``slots``, ``Model``), which the tests hold the interpolation against; no query uses it.
 HASHED = 1 << 14
-#: Contexts of each order, and where an order's contexts begin.
 CONTEXTS = [min(SYMBOLS**k, HASHED) if k > 2 else SYMBOLS**k for k in range(ORDER + 1)]
 STARTS = np.concatenate([[0], np.cumsum(CONTEXTS)])
 SLOTS = int(STARTS[-1]) * SYMBOLS
@@ -108,13 +117,12 @@ def slots(urls: list[bytes], symbols: np.ndarray) -> tuple[np.ndarray, np.ndarra
 
 
 class Model:
-    """Both classes' counts, summed per context, and the threshold."""
+    """Both classes' counts in dense arrays, summed per context."""
 
     def __init__(self, counts: np.ndarray):
         self.counts = counts.reshape(2, -1, SYMBOLS)
         self.total = self.counts.sum(2)
         self.kinds = (self.counts > 0).sum(2).astype(np.float32)
-        self.threshold, self.slope = 0.0, 1.0
 
     def scores(self, urls: list[bytes], symbols: np.ndarray) -> np.ndarray:
         """Mean log-likelihood difference per character, accepted minus rejected."""
@@ -132,6 +140,13 @@ class Model:
         return np.add.reduceat(logs[0] - logs[1], np.concatenate([[0], np.cumsum(n)[:-1]])) / n
 
 
+class Counts:
+    """The written table (run, n0, n1) of both classes' runs, and the threshold."""
+
+    def __init__(self, runs: DataFrame):
+        self.runs, self.threshold = runs, 0.0
+
+
 def _judge(urls: list, rules: dict[str, list]) -> tuple[list, list, list, list]:
     got = [parts(u) for u in urls]
     ruled = [rule_for(h, p, rules) for h, p in got]
@@ -148,66 +163,102 @@ def _fold(urls: list[bytes]) -> np.ndarray:
     return np.array([zlib.crc32(u) % FOLDS == 0 for u in urls], bool)
 
 
-def train(pages: DataFrame, rules: tuple = RULES) -> Model | None:
-    """Counts of both classes from all labelled URLs outside the fold, then the fold's threshold."""
-    urls = pages.select(F.col("url").cast("string").alias("url")).where("url is not null")
-    spark = pages.sparkSession
+def runs_of(urls: list[bytes], symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Runs of ``ORDER`` + 1 characters (the latest in the lowest bits) that end at each character, and the URLs' lengths (with an end mark)."""
+    joined = np.frombuffer(b"".join(b"\0" * ORDER + u + b"\n" for u in urls), np.uint8)
+    codes = symbols[joined]
+    codes[joined == 0] = 0
+    n = np.array([len(u) + 1 for u in urls], np.int64)
+    ends = np.cumsum(n + ORDER)
+    real = np.ones(len(codes), bool)
+    real[(ends - n - ORDER)[:, None] + np.arange(ORDER)] = False
+    at = np.flatnonzero(real)
+    out = np.zeros(len(at), np.int64)
+    for k in range(ORDER, -1, -1):
+        out = (out << BITS) + codes[at - k]
+    return out, n
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        symbols, hosts = _symbols(), by_host(rules)
-        counts = np.zeros((2, SLOTS), np.int64)
-        for batch in batches:
-            texts = batch.column("url").to_pylist()
-            verdicts = _judge(texts, hosts)[3]
-            raw = _bytes(texts)
-            fold = _fold(raw)
-            for c, verdict in enumerate(("allow", "block")):
-                own = [u for u, v, f in zip(raw, verdicts, fold) if v == verdict and not f]
-                for i in range(0, len(own), 4096):
-                    counts[c] += np.bincount(slots(own[i:i + 4096], symbols)[0].ravel(), minlength=SLOTS)
-        for c in range(2):
-            at = np.flatnonzero(counts[c])
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), c, np.int32)), pa.array(at), pa.array(counts[c][at])],
-                                             names=["c", "slot", "n"])
-
-    summed = urls.mapInArrow(count, "c int, slot long, n long").groupBy("c", "slot").agg(F.sum("n").alias("n"))
-    got = summed.toArrow()
-    c, slot, n = (got.column(k).to_numpy() for k in ("c", "slot", "n"))
-    if len(np.unique(c)) < 2:
-        return None
-    counts = np.zeros((2, SLOTS), np.float32)
-    counts[c, slot] = n
-    model = Model(counts)
-    shared = spark.sparkContext.broadcast((c.astype(np.int8), slot, n))
-
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        symbols, hosts, own = _symbols(), by_host(rules), _load(shared)
-        tally = np.zeros((2, BINS), np.int64)
-        for batch in batches:
+
+def _numbered(urls: DataFrame, rules: tuple) -> DataFrame:
+    """The distinct ``url`` with the rule's class (0 allowed, 1 blocked), whether in the fold, times and a row number; written."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hosts, take = by_host(rules), number_rows()
+        for batch in slices(batches, "url"):
             texts = batch.column("url").to_pylist()
-            verdicts = _judge(texts, hosts)[3]
-            raw = _bytes(texts)
-            some = [i for i, f in enumerate(_fold(raw)) if f and verdicts[i]]
-            for lo in range(0, len(some), 4096):
-                part = some[lo:lo + 4096]
-                bins = _bins(own.scores([raw[i] for i in part], symbols))
-                np.add.at(tally, ([int(verdicts[i] == "block") for i in part], bins), 1)
-        at = np.nonzero(tally)
-        yield pa.RecordBatch.from_arrays([pa.array(at[0].astype(np.int32)), pa.array(at[1].astype(np.int64)), pa.array(tally[at])],
-                                         names=["c", "bin", "n"])
+            c = [{"allow": 0, "block": 1}.get(v) for v in _judge(texts, hosts)[3]]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("url"), batch.column("times"), pa.array(c, pa.int32()), pa.array(_fold(_bytes(texts))),
+                 pa.array(take(batch.num_rows), pa.int64())], names=["url", "times", "c", "fold", "row"])
+
+    distinct = urls.groupBy("url").agg(F.count("*").alias("times"))
+    return stage(distinct.mapInArrow(run, "url string, times long, c int, fold boolean, row long"), "urls")
+
 
+def _laid_out(urls: DataFrame) -> DataFrame:
+    """(row, times, c, run) for each character of ``urls``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        symbols = _symbols()
+        for batch in slices(batches, "url", 1 << 18):
+            runs, n = runs_of(_bytes(batch.column("url").to_pylist()), symbols)
+            at = pa.array(np.repeat(np.arange(len(n)), n))
+            yield pa.RecordBatch.from_arrays([batch.column(k).take(at) for k in ("row", "times", "c")] + [pa.array(runs)],
+                                             names=["row", "times", "c", "run"])
+
+    return urls.select("url", "row", "times", "c").mapInArrow(run, "row long, times long, c int, run long")
+
+
+def _end(order: int) -> Column:
+    """The last ``order`` + 1 characters of a run."""
+    return F.col("run").bitwiseAND(F.lit((1 << BITS * (order + 1)) - 1).cast("long"))
+
+
+def ratios(runs: DataFrame, counts: DataFrame) -> DataFrame:
+    """(run, ratio) of the distinct ``runs``: log-likelihood of the last character as accepted minus as rejected."""
+    out = runs.select("run").distinct().withColumns({f"p{c}": F.lit(1 / SYMBOLS) for c in range(2)})
+    for k in range(ORDER + 1):
+        sums = [F.sum(f"n{c}").alias(f"n{c}") for c in range(2)]
+        own = counts.groupBy(_end(k).alias("end")).agg(*sums)
+        context = F.shiftright("end", BITS).alias("context")
+        whole = own.groupBy(context).agg(*[F.sum(f"n{c}").alias(f"t{c}") for c in range(2)],
+                                         *[F.sum((F.col(f"n{c}") > 0).cast("int")).alias(f"k{c}") for c in range(2)])
+        if k <= SMALL_ORDERS:
+            own, whole = F.broadcast(own), F.broadcast(whole)
+        out = out.withColumn("end", _end(k)).withColumn("context", F.shiftright(_end(k), BITS))
+        out = out.join(own, "end", "left").join(whole, "context", "left")
+        n, t, kinds = ([F.coalesce(F.col(f"{name}{c}"), F.lit(0)).cast("double") for c in range(2)] for name in ("n", "t", "k"))
+        out = out.select("run", *[((n[c] + kinds[c] * F.col(f"p{c}") + 1e-9 * F.col(f"p{c}")) / (t[c] + kinds[c] + 1e-9)).alias(f"p{c}")
+                                  for c in range(2)])
+    return out.select("run", (F.log("p0") - F.log("p1")).alias("ratio"))
+
+
+def scores(urls: DataFrame, model: Counts) -> DataFrame:
+    """(row, score) of numbered URLs: mean log-likelihood difference per character, accepted minus rejected."""
+    laid = _laid_out(urls)
+    step = F.round(F.col("ratio") * F.lit(STEPS)).cast("long")
+    known = ratios(laid, model.runs).select("run", step.alias("steps"))
+    return laid.join(known, "run").groupBy("row").agg((F.sum(F.col("steps").cast("decimal(20,0)")) / F.lit(STEPS) / F.count("*")).cast("double").alias("score"))
+
+
+def train(pages: DataFrame, rules: tuple = RULES) -> Counts | None:
+    """Counts of both classes from all labelled URLs outside the fold, then the fold's threshold."""
+    urls = _numbered(pages.select(F.col("url").cast("string").alias("url")).where("url is not null"), rules).where("c is not null")
+    each = [F.coalesce(F.sum(F.when(F.col("c") == c, F.col("times"))), F.lit(0)).alias(f"n{c}") for c in range(2)]
+    runs = stage(_laid_out(urls.where("not fold")).groupBy("run").agg(*each), "url-counts")
+    if not all(runs.agg(*[F.max(f"n{c}") for c in range(2)]).first()):
+        return None
+    model = Counts(runs)
+    fold = urls.where("fold")
+    place = F.rint((F.col("score") + SPREAD) / (2 * SPREAD) * (BINS - 1))
+    place = F.least(F.greatest(place, F.lit(0.0)), F.lit(BINS - 1.0)).cast("int")
     tally = np.zeros((2, BINS))
-    for r in urls.mapInArrow(score, "c int, bin long, n long").groupBy("c", "bin").agg(F.sum("n").alias("n")).collect():
+    for r in fold.join(scores(fold, model), "row").groupBy("c", place.alias("bin")).agg(F.sum("times").alias("n")).collect():
         tally[r["c"], r["bin"]] = r["n"]
     model.threshold = cut(tally)
-    model.parts = shared
     return model
 
 
-def _bins(scores: np.ndarray) -> np.ndarray:
-    return np.clip(np.rint((scores + SPREAD) / (2 * SPREAD) * (BINS - 1)), 0, BINS - 1).astype(np.int64)
-
-
 def cut(tally: np.ndarray) -> float:
     """The score from which a URL is allowed: best mean of the shares of allowed above and blocked below."""
     if not tally[0].sum() or not tally[1].sum():
@@ -220,33 +271,23 @@ def cut(tally: np.ndarray) -> float:
     return float((middle - 0.5) / (BINS - 1) * 2 * SPREAD - SPREAD)
 
 
-def _load(shared) -> Model:
-    c, slot, n = shared.value
-    counts = np.zeros((2, SLOTS), np.float32)
-    counts[c, slot] = n
-    return Model(counts)
-
-
 FIELDS = [T.StructField("host", T.StringType()), T.StructField("path", T.StringType()), T.StructField("rule", T.StringType()),
-          T.StructField("verdict", T.StringType()), T.StructField("score", T.DoubleType())]
+          T.StructField("verdict", T.StringType())]
 
 
-def url_filter(pages: DataFrame, model: Model | None, rules: tuple = RULES) -> DataFrame:
+def url_filter(pages: DataFrame, model: Counts | None, rules: tuple = RULES) -> DataFrame:
     """``pages`` with host, path, rule, verdict and the method's score (0 without a model)."""
-    shared, threshold = (model.parts, model.threshold) if model else (None, 0.0)
 
     def start() -> Callable:
-        symbols, hosts = _symbols(), by_host(rules)
-        own = _load(shared) if shared else None
-
-        def run(texts: list) -> dict:
-            host, path, rule, verdict = _judge(texts, hosts)
-            raw = _bytes(texts)
-            score = np.concatenate([own.scores(raw[i:i + 4096], symbols) for i in range(0, len(raw), 4096)] or [np.zeros(0)]) \
-                if own else np.zeros(len(texts))
-            verdict = [v or ("allow" if s >= threshold else "block") for v, s in zip(verdict, score)]
-            return {"host": host, "path": path, "rule": rule, "verdict": verdict, "score": score}
-
-        return run
-
-    return add_columns(pages, "url", T.StructType(FIELDS), start)
+        hosts = by_host(rules)
+        return lambda texts: dict(zip(("host", "path", "rule", "verdict"), _judge(texts, hosts)))
+
+    found = add_columns(pages.drop("score"), "url", T.StructType(FIELDS), start)
+    if not model:
+        return found.withColumn("verdict", F.coalesce("verdict", F.lit("allow"))).withColumn("score", F.lit(0.0))
+    key = F.coalesce(F.col("url").cast("string"), F.lit(""))
+    urls = _numbered(pages.select(key.alias("url")), rules)
+    scored = urls.join(scores(urls, model), "row").select(F.col("url").alias(TMP + "url"), "score")
+    found = found.withColumn(TMP + "key", key).join(scored, F.col(TMP + "key") == F.col(TMP + "url"), "left").drop(TMP + "key", TMP + "url")
+    judged = F.when(F.col("score") >= model.threshold, "allow").otherwise("block")
+    return found.withColumn("verdict", F.coalesce("verdict", judged))

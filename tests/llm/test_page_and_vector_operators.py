@@ -79,6 +79,43 @@ def test_url_scores_equal_a_direct_model():
     assert model.scores([url], symbols)[0] == pytest.approx((logs[0] - logs[1]) / (len(url) + 1), abs=1e-4)
 
 
+def test_url_scores_equal_exact_counts(spark):
+    """Far more contexts than any fixed table: each URL's score is that of exact counts."""
+    rng = np.random.default_rng(2)
+
+    def name():
+        return "".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz0123456789-_~"), 30))
+
+    urls = [f"http://{name()}.{('net', 'org')[i % 2]}/{('', 'fr/')[i % 2]}{name()}" for i in range(1200)] + [None, "http://a.example/q", "http://a.example/q"]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    model = url_filter.train(pages)
+    got = {r["page_id"]: r for r in url_filter.url_filter(pages, model).collect()}
+    hosts = url_filter.by_host()
+    verdicts = [url_filter.rule_for(*url_filter.parts(u), hosts)[1] for u in urls]
+    counts = {"allow": {}, "block": {}}
+    for u, v in zip(urls, verdicts):
+        if v and not url_filter._fold([u.encode()])[0]:
+            text = "\0" * 4 + u + "\n"
+            for i in range(4, len(text)):
+                for k in range(5):
+                    after = counts[v].setdefault(text[i - k:i], {})
+                    after[text[i]] = after.get(text[i], 0) + 1
+    assert len({c for v in counts.values() for c in v if len(c) == 4}) > 1 << 14
+    for j in [*range(0, 1200, 40), 1200, 1201, 1202]:
+        text, logs = "\0" * 4 + (urls[j] or "") + "\n", []
+        for v in counts.values():
+            total = 0.0
+            for i in range(4, len(text)):
+                p = 1 / 64
+                for k in range(5):
+                    after = v.get(text[i - k:i], {})
+                    p = (after.get(text[i], 0) + len(after) * p + 1e-9 * p) / (sum(after.values()) + len(after) + 1e-9)
+                total += np.log(p)
+            logs.append(total)
+        assert got[j]["score"] == pytest.approx((logs[0] - logs[1]) / (len(text) - 4), abs=1e-6), urls[j]
+        assert got[j]["verdict"] == (verdicts[j] or ("allow" if got[j]["score"] >= model.threshold else "block"))
+
+
 def test_url_edges(spark):
     rows = [(1, None), (2, ""), (3, "http://a.net/x" * 500), (4, "http://a.net/x"), (4, "http://a.net/x"), (None, "é\0")]
     own = spark.createDataFrame(rows, "page_id long, url string").withColumn("rule", F.lit(1)).withColumn("score", F.lit("s"))

@@ -14,7 +14,7 @@ with just one article or main element, labelled by their semantic tags.
 
 Text: character references are decoded, white space inside a block becomes one
 space (a line break is white space), blocks are joined in page order by a
-line feed. Scripts, styles and controls never hold text. A block left open
+line feed. Scripts, styles and controls never hold text; formulas are inline text. A block left open
 ends where HTML ends it; a tag that closes nothing is ignored.
 
 Edge cases: a null or empty page, or one without content, has an empty text;
@@ -54,7 +54,7 @@ TAGS = {
     "blockquote": "quote", "pre": "quote", "address": "address", "details": "section", "summary": "p", "dialog": "dialog",
     "hgroup": "section", "center": "div", "html": "html", "head": "hidden", "noscript": "hidden", "template": "hidden",
     "select": "hidden", "button": "hidden", "iframe": "hidden", "object": "hidden", "svg": "hidden", "canvas": "hidden",
-    "audio": "hidden", "video": "hidden", "label": "hidden", "math": "hidden"}
+    "audio": "hidden", "video": "hidden", "label": "hidden"}
 KINDS = sorted(set(TAGS.values()))
 ENDS_P = frozenset(t for t, k in TAGS.items() if k not in ("hidden", "cell") and t not in ("html", "body", "tr", "thead", "tbody", "tfoot"))
 #: A start tag ends an open element of its group, up to the element that holds such groups.
@@ -84,13 +84,17 @@ SENTENCE = re.compile(r"[.!?,;:](?:\s|$)")
 
 
 class Tree:
-    """Nodes of a page in page order: parent, tag, hints, label; segments are (node, text, link characters)."""
+    """Nodes of a page in page order: parent, tag, hints, label; segments are (node, text, link characters).
 
-    __slots__ = ("parent", "tag", "hints", "label", "segments", "hidden")
+    A training page holds its segments' ``measures`` instead of their texts.
+    """
+
+    __slots__ = ("parent", "tag", "hints", "label", "segments", "hidden", "measures")
 
     def __init__(self) -> None:
         self.parent, self.tag, self.hints, self.label, self.hidden = [-1], ["html"], [()], [None], [False]
         self.segments: list[tuple[int, str, int]] = []
+        self.measures: list[tuple[int, int, int, int]] | None = None
 
     def add(self, parent: int, tag: str, hints: tuple, label: str | None) -> int:
         self.parent.append(parent)
@@ -100,6 +104,12 @@ class Tree:
         self.hidden.append(self.hidden[parent] or TAGS[tag] == "hidden")
         return len(self.parent) - 1
 
+    def measured(self) -> list[tuple[int, int, int, int]]:
+        """(node, characters, characters in links, sentence marks) of each segment."""
+        if self.measures is not None:
+            return self.measures
+        return [(node, len(text), min(linked, len(text)), len(SENTENCE.findall(text))) for node, text, linked in self.segments]
+
 
 def parse(page: str | None, labelled: bool = False) -> Tree:
     tree = Tree()
@@ -213,8 +223,8 @@ class Forest:
                 for h in t.hints[i]:
                     hint[at, h] = above[at, h] = 1
                 at += 1
-            for node, text, linked in t.segments:
-                own[base + node] += (len(text), min(linked, len(text)), len(SENTENCE.findall(text)))
+            for node, *measures in t.measured():
+                own[base + node] += measures
         order = np.argsort(depth, kind="stable")
         self.levels = np.split(order, np.cumsum(np.bincount(depth)))[1:-1] if n else []
         whole = own.copy()
@@ -382,8 +392,8 @@ def seed_pages(n: int = SEEDS, seed: int = 5) -> list[str]:
     return pages
 
 
-def train(pages: DataFrame, most: int = SAMPLE_PAGES) -> Model:
-    """Model of the seed layouts and a bounded sample of the table's pages (of each at most its parsed tree reaches the driver)."""
+def sample(pages: DataFrame, most: int = SAMPLE_PAGES) -> list[Tree]:
+    """Whole trees, without texts, of a bounded number of the table's pages that label themselves."""
     source = pages.select(F.col("html").cast("string").alias("html")).where("html is not null")
     total = pages.count()
     draw = F.pmod(F.xxhash64("html", F.lit("sample")), F.lit(1 << 30)) / F.lit(float(1 << 30))
@@ -397,22 +407,26 @@ def train(pages: DataFrame, most: int = SAMPLE_PAGES) -> Model:
             key, out = [], []
             for page in batch.column("html").to_pylist():
                 tree = parse(page)
-                if len(tree.parent) <= 2000 and labels(tree) is not None:  # a sample's bound, not a limit on pages
-                    # features need a segment's length and marks only
-                    tree.segments = [(n, "x" * min(len(t), 400), link) if not SENTENCE.search(t) else (n, t[:400], link) for n, t, link in tree.segments]
+                if labels(tree) is not None:
+                    tree.measures, tree.segments = tree.measured(), []
                     key.append(zlib.crc32(page.encode("utf-8", "replace")))
                     out.append(pickle.dumps([(getattr(tree, s)) for s in Tree.__slots__]))
             yield pa.RecordBatch.from_arrays([pa.array(key, pa.int64()), pa.array(out, pa.binary())], names=["h", "tree"])
 
     import pickle
 
-    trees = [parse(p, labelled=True) for p in seed_pages()]
+    trees = []
     for r in chosen.mapInArrow(run, "h long, tree binary").orderBy("h", "tree").limit(most).collect():
         tree = Tree()
         for name, value in zip(Tree.__slots__, pickle.loads(bytes(r["tree"]))):
             setattr(tree, name, value)
         trees.append(tree)
-    return fit(trees)
+    return trees
+
+
+def train(pages: DataFrame, most: int = SAMPLE_PAGES) -> Model:
+    """Model of the seed layouts and a bounded sample of the table's pages (of each at most its parsed tree reaches the driver)."""
+    return fit([parse(p, labelled=True) for p in seed_pages()] + sample(pages, most))
 
 
 def extract(texts: list, model: Model) -> list[str]:

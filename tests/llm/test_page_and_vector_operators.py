@@ -162,6 +162,24 @@ def test_marginals_equal_enumeration():
     assert np.allclose(p, ones / total) and z[0] == pytest.approx(np.log(total))
 
 
+def test_html_formulas_are_inline_text(model):
+    page = "<body><nav><a href=/>Menu</a></nav><article><p>Here <math><mi>x</mi><mo>=</mo><mn>2</mn></math> holds, as seen.</p></article></body>"
+    assert html_extract.extract([page], model) == ["Here x=2 holds, as seen."]
+
+
+def test_html_training_pages_have_the_features_of_whole_pages(spark):
+    long = f"<article><p>{'some words here, '* 94}<a href=/x>{'link ' * 80}</a></p></article>"
+    many = "<main>" + "<p>One, two.</p>" * 2500 + "</main>"
+    trees = html_extract.sample(spark.createDataFrame([(long,), (many,)], "html string"))
+    assert sorted(len(t.parent) for t in trees) == [3, 2502]
+    for page in (long, many):
+        whole = html_extract.Forest([html_extract.parse(page)]).x
+        got = next(t for t in trees if len(t.parent) == len(whole))
+        assert np.array_equal(html_extract.Forest([got]).x, whole) and not got.segments
+    p = next(t for t in trees if len(t.parent) == 3).measured()[0]
+    assert p[1] > 1900 and 0.15 < p[2] / p[1] < 0.25
+
+
 def test_html_held_out_layouts(model):
     trees = [html_extract.parse(p, labelled=True) for p in html_extract.seed_pages(120, seed=99)]
     forest = html_extract.Forest(trees)

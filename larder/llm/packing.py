@@ -4,8 +4,10 @@ Documents are dealt by a hash of their content into shards of about
 ``SHARD_BYTES`` of text. A shard's task builds a BM25 inverted index of its documents
 (token ids are the terms; weights by frequency, rarity and length). The seed of
 a window, the lowest unused document or the rest of a cut one, asks the index
-with its ``QUERY_TERMS`` weightiest terms; the unused documents that share one
-fill the window in falling order of score, then the next unused ones. A document
+with all its weighted terms; the unused documents that share one fill the window
+in falling order of score. Where they run out before it is full, the window's other
+documents ask, the latest first; only when none of them shares a term with an
+unused document the next unused one follows, and asks in turn. A document
 that does not fit is cut at the window's end, and its rest is the next seed: every
 window is full. A shard's last tokens go to sequences of falling powers of two,
 which are never padded, so there is no padding at all.
@@ -38,7 +40,6 @@ from larder.llm.common import once_a_worker, slices
 WINDOW = 2048
 END_ID = 1
 SHARD_BYTES = 4 << 20
-QUERY_TERMS = 32
 K1, B = 1.2, 0.75
 CACHE_WORDS = 850_000
 TOKENIZER = "word_bpe_49k.json"
@@ -158,20 +159,28 @@ class Index:
         order = np.argsort(term, kind="stable")
         self.doc, self.weight = doc[order], weight[order]
         self.first = np.concatenate([[0], np.cumsum(np.bincount(term, minlength=len(df)))])
+        self.open = np.ones(len(df), bool)
 
     def neighbours(self, seed: int, unused: np.ndarray) -> np.ndarray:
-        """Unused documents that share a query term, best first (ties: lowest first)."""
-        lo, hi = self.bounds[seed], self.bounds[seed + 1]
-        query = self.terms[lo:hi]
-        if hi - lo > QUERY_TERMS:
-            query = query[np.argpartition(-self.own[lo:hi], QUERY_TERMS)[:QUERY_TERMS]]
-        spans = [slice(self.first[t], self.first[t + 1]) for t in query]
-        if not spans:
+        """Unused documents that share a weighted term, best first (ties: lowest first)."""
+        query = self.terms[self.bounds[seed]:self.bounds[seed + 1]]
+        query = query[self.open[query]]
+        sizes = self.first[query + 1] - self.first[query]
+        at = np.repeat(self.first[query] - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())
+        found = self.doc[at]
+        left = unused[found].astype(bool)
+        if not left.any():
+            self.open[query] = False  # documents are never unused again, so such a term finds nothing later
             return np.zeros(0, np.int64)
-        found = np.concatenate([self.doc[s] for s in spans])
-        score = np.bincount(found, np.concatenate([self.weight[s] for s in spans]), self.n) * unused
-        some = np.flatnonzero(score)
-        return some[np.argsort(-score[some], kind="stable")]
+        found, weight = found[left], self.weight[at][left]
+        if len(found) * 8 < self.n:
+            some, place = np.unique(found, return_inverse=True)
+            score = np.bincount(place, weight)
+        else:
+            score = np.bincount(found, weight, self.n)
+            some = np.flatnonzero(score)
+            score = score[some]
+        return some[np.argsort(-score, kind="stable")]
 
 
 def pack(docs: list[np.ndarray], window: int = WINDOW) -> list[tuple[int, int, int, int, int]]:
@@ -184,14 +193,16 @@ def pack(docs: list[np.ndarray], window: int = WINDOW) -> list[tuple[int, int, i
     seed, at = -1, 0  # the rest of a cut document
     room = 0
     near: list[int] = []
+    to_ask: list[int] = []  # the window's documents that have not asked, the latest last
     while left:
         if not room:
             if out:
                 sequence += 1
             room = size = window if left >= window else 1 << (left.bit_length() - 1)
-            near = []
-            asked = False
+            near, to_ask = [], []
         if seed < 0:
+            while not near and to_ask:
+                near = index.neighbours(to_ask.pop(), unused)[::-1].tolist()
             if near:
                 seed = near.pop()
                 if not unused[seed]:
@@ -207,12 +218,10 @@ def pack(docs: list[np.ndarray], window: int = WINDOW) -> list[tuple[int, int, i
         out.append((seed, at, n, sequence, size - room))
         room -= n
         left -= n
-        first, at = seed, at + n
+        at += n
         if at == sizes[seed]:
+            to_ask.append(seed)
             seed = -1
-        if room and not asked:  # the window's seed ended inside it
-            near = index.neighbours(first, unused)[::-1].tolist()
-            asked = True
     return out
 
 

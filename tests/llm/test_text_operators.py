@@ -419,3 +419,24 @@ def test_neighbours_come_first():
     index = packing.Index(docs)
     assert index.neighbours(0, np.array([0, 1, 1, 1, 1])).tolist() == [3]
     assert [p[0] for p in packing.pack(docs, window=8)][:2] == [0, 3]
+
+
+def test_neighbours_by_any_term_and_of_later_documents():
+    def doc(*terms):
+        return np.array([*terms, 1], np.uint16)
+
+    # the seed's last term is its lightest of 40, and only document 5 shares one
+    rare, filler = range(100, 139), [doc(900 + i, 950 + i) for i in range(4)]
+    docs = [doc(*[t for t in rare for _ in range(3)], 500), *filler, doc(500, 501), doc(700, 701)]
+    assert packing.Index(docs).neighbours(0, np.ones(7) * (np.arange(7) > 0)).tolist() == [5]
+    # 0 shares with 4, 4 with 5, 5 with 6; the others share nothing
+    docs = [doc(10, 11), doc(20, 21), doc(30, 31), doc(40, 41), doc(11, 12), doc(12, 13), doc(13, 14), doc(50, 51), doc(60, 61)]
+    assert [p[0] for p in packing.pack(docs, window=16)][:6] == [0, 4, 5, 6, 1, 2]
+
+
+def test_unlike_short_documents_pack_in_proportion():
+    import time
+
+    started = time.time()
+    docs = [np.array([2 + i % 60000, 2 + (i * 7 + 1) % 60000, 1], np.uint16) for i in range(60_000)]
+    assert len({p[0] for p in packing.pack(docs)}) == 60_000 and time.time() - started < 30

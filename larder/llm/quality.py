@@ -45,26 +45,19 @@ def _let(value: Column, body) -> Column:
 def _repeated_words(words: Column) -> Column:
     """Words in three-word windows that stand twice or more.
 
-    The windows' hashes carry their place in the low bits and are sorted as
-    longs; equal neighbours are repeats. Sorted places then give the covered words:
-    each place adds the words up to the next one, three at most. Words must have
-    three elements at least. 2^20 windows have 44 bits of hash; longer texts take
-    hash and place as a pair.
+    The windows are sorted by hash, then by their words (read only where hashes are
+    equal), then place; neighbours with equal words are repeats. Sorted places then give
+    the covered words: each place adds the words up to the next one, three at most.
+    Words must have three elements at least.
     """
-    shift = 20
 
     def of(w: Column) -> Column:
-        n = F.size(w) - 3
-        places = F.sequence(F.lit(0), n)
-        hashed = F.transform(places, lambda i: F.xxhash64(F.get(w, i), F.get(w, i + 1), F.get(w, i + 2)))
-        packed = F.sort_array(F.transform(places, lambda i: F.xxhash64(
-            F.get(w, i), F.get(w, i + 1), F.get(w, i + 2)).bitwiseAND(F.lit(-1 << shift)).bitwiseOR(i.cast("long"))))
-        short = _let(packed, lambda s: F.transform(
-            F.filter(s, lambda v, k: _equal(s, v, k, lambda x: F.shiftright(x, shift))),
-            lambda v: v.bitwiseAND(F.lit((1 << shift) - 1))))
-        pairs = F.array_sort(F.transform(hashed, lambda h, i: F.struct(h.alias("h"), i.cast("long").alias("i"))))
-        long = _let(pairs, lambda s: F.transform(F.filter(s, lambda v, k: _equal(s, v, k, lambda x: x["h"])), lambda v: v["i"]))
-        repeats = F.sort_array(F.when(F.size(w) < 1 << shift, short).otherwise(long))
+        def window(i: Column) -> Column:
+            three = [F.get(w, i + k) for k in range(3)]
+            return F.struct(F.xxhash64(*three).alias("h"), *[t.alias(f"w{k}") for k, t in enumerate(three)], i.cast("long").alias("i"))
+
+        windows = F.sort_array(F.transform(F.sequence(F.lit(0), F.size(w) - 3), window))
+        repeats = F.sort_array(_let(windows, lambda s: F.transform(F.filter(s, lambda v, k: _equal(s, v, k)), lambda v: v["i"])))
         return _let(repeats, lambda p: F.aggregate(
             F.transform(p, lambda x, k: F.least(F.coalesce(F.get(p, k + 1) - x, F.lit(3)), F.lit(3)).cast("long")),
             F.lit(0).cast("long"), lambda a, x: a + x))
@@ -72,10 +65,15 @@ def _repeated_words(words: Column) -> Column:
     return F.when(F.size(words) < 4, F.lit(0).cast("long")).otherwise(_let(words, of))
 
 
-def _equal(s: Column, v: Column, k: Column, key) -> Column:
-    before = F.get(s, k - 1)
-    after = F.get(s, k + 1)
-    return F.coalesce(key(before) == key(v), F.lit(False)) | F.coalesce(key(after) == key(v), F.lit(False))
+def _equal(s: Column, v: Column, k: Column) -> Column:
+    """Whether a window's words are those of the one before or after it; the hash is compared first."""
+    def same(other: Column) -> Column:
+        equal = other["h"] == v["h"]
+        for name in ("w0", "w1", "w2"):
+            equal = equal & (other[name] == v[name])
+        return F.coalesce(equal, F.lit(False))
+
+    return same(F.get(s, k - 1)) | same(F.get(s, k + 1))
 
 
 def measures(docs: DataFrame, keep: list[str]) -> DataFrame:

@@ -279,6 +279,20 @@ def test_quality_measures_equal_brute_force(spark, docs, no_docs, clashing):
     assert quality.quality_filter(clashing).count() == docs.count()
 
 
+def test_quality_repeats_compare_words(spark, monkeypatch):
+    """With a hash of few values many windows collide; only equal words are repeats."""
+    texts = ["a b c d e f g h a b c", "one two three four five six", "x y x y x y", "p q r s p q r s t u p q r", _prose_variant(1), _prose_variant(2) * 2]
+    good = F.xxhash64
+    monkeypatch.setattr(quality.F, "xxhash64", lambda *c: F.pmod(good(*c), F.lit(2)))
+    own = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    got = {r["doc_id"]: r["n_repeat_words"] for r in quality.measures(own, ["doc_id"]).collect()}
+    for i, text in enumerate(texts):
+        w = re.findall(WS, text)
+        n = Counter(tuple(w[j:j + 3]) for j in range(len(w) - 2))
+        covered = {j + k for j in range(len(w) - 2) if n[tuple(w[j:j + 3])] > 1 for k in range(3)}
+        assert got[i] == len(covered), text
+
+
 def test_quality_bounds_follow_the_groups(spark):
     rows = [(i, " ".join([f"w{i}x{k}" for k in range(60)]) + " ##" * (i % 3), "en", "a" if i % 2 else "b", 0) for i in range(600)]
     rows += [(1000, " ".join(f"q{k} ####" for k in range(60)), "en", "a", 0)]

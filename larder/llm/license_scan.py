@@ -37,7 +37,7 @@ PHRASES = {"mit license": "mit", "apache license": "apache", "general public lic
 #: Lower-cases A-Z and turns every ASCII byte outside a word into a blank.
 WORDS = bytes(b if b >= 128 or chr(b).isdigit() or chr(b).islower() else 32 for b in LOWER)
 
-#: Label and wording of the templates.
+#: Label and wording of the templates: the notices and openings by which texts name a licence, not whole licences.
 TEMPLATES = {
     "apache-2.0-notice": "licensed under the apache license <<opt: version >> 2 0 <<opt: the license you may not use this "
                          "<<any: 2 >> except in compliance with the license >>",
@@ -60,7 +60,7 @@ TEMPLATES = {
                           "retain the above copyright notice this list of conditions and the following disclaimer",
     "isc-permission": "permission to use copy modify and or distribute this software for any purpose with or without fee is "
                       "hereby granted provided that the above copyright notice and this permission notice appear in all copies",
-    "mpl-2.0-notice": "this source code form is subject to the terms of the mozilla public license v <<opt: 2 0 >>",
+    "mpl-2.0-notice": "this source code form is subject to the terms of the mozilla public license v 2 0",
     "all-rights-reserved": "copyright <<any: 8 >> all rights reserved",
 }
 

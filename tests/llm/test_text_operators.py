@@ -250,6 +250,13 @@ def test_license_templates(text, places, base, labels, score):
     assert got[3] == score if score is not None else 0.5 <= got[3] < 1
 
 
+@pytest.mark.parametrize("version, labels", [("v. 2.0", {"mpl-2.0-notice"}), ("v. 1.1", set()), ("v.", set())])
+def test_license_version_is_mandatory(version, labels):
+    text = f"This Source Code Form is subject to the terms of the Mozilla Public License, {version} If a copy"
+    got = license_scan.scan(license_scan.words_of(text), license_scan.compiled())
+    assert set(got[2]) == labels and (got[3] == 1) == bool(labels)
+
+
 def test_automaton_regions():
     a = license_scan.Automaton("a <<opt: b <<any: 1 >> >> c")
     assert [a.run(x.encode().split(), 0)[0] for x in ("a c", "a b c", "a b z c", "a b z z c", "a z c")] == [True, True, True, False, False]

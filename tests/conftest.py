@@ -5,11 +5,9 @@ import tempfile
 import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-SF_SMALL = "/root/testdata/sf0.001"
-SF_MID = "/root/testdata/sf0.01"
-TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages "
-          "benchmark labels conversations").split()
+from support import SF_SMALL, TABLES  # noqa: E402
 
 
 @pytest.fixture(scope="session")
@@ -32,20 +30,3 @@ def duck():
         if os.path.exists(path):
             con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{path}')")
     return con
-
-
-def rows_of(df):
-    """Order-insensitive, type-tolerant row multiset of a Spark frame."""
-    return sorted((tuple(_norm(v) for v in r) for r in df.collect()), key=repr)
-
-
-def _norm(v):
-    if v is None:
-        return "∅"
-    if isinstance(v, float):
-        return "∅" if v != v else round(v, 9)
-    if isinstance(v, bool):
-        return v
-    if isinstance(v, int):
-        return float(v)
-    return str(v)

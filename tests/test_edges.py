@@ -5,7 +5,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows_of
+from support import rows_of
 
 from larder.operators import cleaning as C
 from larder.operators import features as G
@@ -179,7 +179,7 @@ def test_single_class_auc_is_null(spark):
 
 
 def test_gold_invariants(spark):
-    from conftest import SF_SMALL
+    from support import SF_SMALL
     from larder.plans.catalog import gold_features
 
     g = gold_features(spark, SF_SMALL)

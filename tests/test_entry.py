@@ -30,7 +30,7 @@ def test_oracle_keys_are_query_keys(entry_module):
 
 
 def test_oracle_columns_match_query_columns(spark, duck, entry_module):
-    from conftest import SF_SMALL
+    from support import SF_SMALL
 
     q, o = entry_module.queries(), entry_module.oracle_sql()
     for name in ("gold_features", "supplier_review", "feature_stats", "recommendations"):

@@ -3,7 +3,7 @@
 import os
 
 
-from conftest import SF_SMALL
+from support import SF_SMALL
 
 from larder.plans import catalog
 from larder.plans import fixtures as fx

@@ -1,6 +1,6 @@
 """The layer jobs end to end, from landed text files."""
 
-from conftest import SF_SMALL, rows_of
+from support import SF_SMALL, rows_of
 
 from larder.plans import catalog
 from larder.plans import fixtures as fx

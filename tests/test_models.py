@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from support import SF_SMALL
 
 from larder.operators import modeling as M
 from larder.plans.layers import gold_table

@@ -2,7 +2,7 @@
 
 import pytest
 
-from conftest import SF_SMALL, _norm
+from support import SF_SMALL, _norm
 
 from larder.plans.catalog import queries
 from larder.plans.oracle import statements

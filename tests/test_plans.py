@@ -2,7 +2,7 @@
 
 import re
 
-from conftest import SF_SMALL
+from support import SF_SMALL
 
 from larder.plans import catalog
 

@@ -5,7 +5,7 @@ import datetime as dt
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
-from conftest import rows_of
+from support import rows_of
 
 from larder.operators import cleaning as C
 from larder.operators import features as G

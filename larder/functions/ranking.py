@@ -1,24 +1,24 @@
 """Global order statistics without a single-partition window.
 
 ``Window.orderBy(x)`` with no ``partitionBy`` moves every row into one task.
-Here the order is cut into value ranges at approximate quantiles; each range
-is ordered by its own window task, and the range offsets come from a table
-with one row per range. Rows with equal keys always share a range, so ties
-are exact.
-
-The number of ranges grows with the input (about ``rows_per_bucket`` keys
-each), so no task's share grows with the data. Range assignment is MLlib's
-``Bucketizer`` (a JVM-side binary search); only the bounds — one number per
-range — pass through the driver.
+Here a range shuffle (``repartitionByRange``) deals the rows into ranges, each
+range is sorted by its own task, and one aggregate by range gives every range
+the total of those before it. Equal keys always share a range, so callers pass
+frames with one row a key (or aggregated to it) and ties are exact.
+
+Spark samples the bounds of the ranges itself, a fixed number of keys a range,
+so there is no limit on how finely the order can be cut: the number of ranges
+grows with the input (about ``rows_per_bucket`` keys each). The dealt rows are
+written with their range number, which fixes the ranges for every later reader,
+also when tasks are retried.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.ml.feature import Bucketizer
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from larder.functions.lineage import stage
@@ -27,69 +27,107 @@ MIN_BUCKETS = 8
 MAX_BUCKETS = 100_000
 ROWS_PER_BUCKET = 500_000
 
+#: Row numbers within a task are the low bits of ``monotonically_increasing_id``.
+_ROW_BITS = 33
+
 
 def bucket_count(n_rows: int, rows_per_bucket: int = ROWS_PER_BUCKET) -> int:
     return int(min(MAX_BUCKETS, max(MIN_BUCKETS, math.ceil(n_rows / rows_per_bucket))))
 
 
-def _bucketed(df: DataFrame, key: str, descending: bool, n_buckets: int | None,
-              rows_per_bucket: int) -> DataFrame:
-    ordered = (-F.col(key)) if descending else F.col(key)
-    with_ord = df.withColumn("_ord", ordered)
+def _dealt(df: DataFrame, order: Sequence[Column], n_buckets: int | None, rows_per_bucket: int) -> DataFrame:
+    """``df`` cut into ordered ranges: ``_range`` ascends with the order, ``_at`` numbers the rows of a range from 0.
+
+    The input is staged (Spark reads it once to sample the bounds, once to deal)
+    and so is the result.
+    """
+    df = stage(df, "rank-input")
     if n_buckets is None:
         n_buckets = bucket_count(df.count(), rows_per_bucket)
-    probs = [i / n_buckets for i in range(1, n_buckets)]
-    bounds = with_ord.select(F.percentile_approx(F.col("_ord").cast("double"), probs, 10000)).first()[0] or []
-    inner = sorted({float(b) for b in bounds if b is not None and not math.isnan(b)})
-    # Bucketizer needs at least one inner split; an empty or constant input has none
-    splits = [-math.inf] + (inner or [0.0]) + [math.inf]
-    keyed = with_ord.withColumn("_ordd", F.col("_ord").cast("double"))
-    bucketizer = Bucketizer(splits=splits, inputCol="_ordd", outputCol="_bucketd", handleInvalid="keep")
-    out = bucketizer.transform(keyed)
-    return out.withColumn("_bucket", F.col("_bucketd").cast("int")).drop("_ordd", "_bucketd")
+    return stage(_ranged(df, order, n_buckets), "rank-ranges")
+
+
+def _ranged(df: DataFrame, order: Sequence[Column], n_buckets: int) -> DataFrame:
+    at = F.monotonically_increasing_id()
+    dealt = df.repartitionByRange(n_buckets, *order).sortWithinPartitions(*order)
+    return dealt.withColumns({"_range": F.shiftright(at, _ROW_BITS), "_at": at.bitwiseAND(F.lit((1 << _ROW_BITS) - 1))})
+
+
+def _offsets(dealt: DataFrame, values: Mapping[str, Column]) -> DataFrame:
+    """Per range the sums of ``values`` over the ranges before it (one row a range, at most ``MAX_BUCKETS``)."""
+    totals = dealt.groupBy("_range").agg(*[F.sum(v).alias(c) for c, v in values.items()])
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    return totals.select(F.col("_range").alias("_of"),
+                         *[F.coalesce(F.sum(c).over(before), F.lit(0)).alias(f"_off_{c}") for c in values])
+
+
+def ordinals(df: DataFrame, order: Sequence[Column | str], name: str = "position", n_buckets: int | None = None,
+             rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
+    """``df`` plus the 0-based place of each row in the global order (``order`` must tell all rows apart).
+
+    One range shuffle; a row's place is its number in the range plus the rows
+    of the ranges before.
+    """
+    order = [F.col(c) if isinstance(c, str) else c for c in order]
+    dealt = _dealt(df, order, n_buckets, rows_per_bucket)
+    # One row a range, at most MAX_BUCKETS: a proven bound, safe to broadcast.
+    joined = dealt.join(F.broadcast(_offsets(dealt, {"n": F.lit(1)})), F.col("_range") == F.col("_of"))
+    return joined.select(*[dealt[c] for c in df.columns], (F.col("_off_n") + F.col("_at")).alias(name))
 
 
 def exclusive_prefix_sums(df: DataFrame, key: str, value_cols: Sequence[str],
                           descending: bool = False, n_buckets: int | None = None,
                           prefix: str = "before_", rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
-    """For a frame with *unique*, non-NULL numeric ``key``: add, per value
-    column, the sum over all rows that come strictly earlier in key order.
+    """For a frame with *unique*, non-NULL ``key``: add, per value column, the
+    sum over all rows that come strictly earlier in key order.
 
-    The input is staged once (it feeds the bounds, the bucket totals and the
-    per-bucket windows); pass an already aggregated frame.
+    Pass an already aggregated frame; it is staged once before it is dealt.
+    """
+    order = F.col(key).desc() if descending else F.col(key).asc()
+    dealt = _dealt(df, [order], n_buckets, rows_per_bucket)
+    earlier = Window.partitionBy("_range").orderBy("_at").rowsBetween(Window.unboundedPreceding, -1)
+    inner = dealt.select(*df.columns, "_range",
+                         *[F.coalesce(F.sum(c).over(earlier), F.lit(0)).alias(f"_in_{c}") for c in value_cols])
+    # One row a range, at most MAX_BUCKETS: a proven bound, safe to broadcast.
+    offsets = F.broadcast(_offsets(dealt, {c: F.col(c) for c in value_cols}))
+    joined = inner.join(offsets, F.col("_range") == F.col("_of"))
+    return joined.select(*df.columns, *[(F.col(f"_off_{c}") + F.col(f"_in_{c}")).alias(f"{prefix}{c}")
+                                        for c in value_cols])
+
+
+def dense_rank_tables(df: DataFrame, ranks: Mapping[str, str], descending: bool = True,
+                      n_buckets: int | None = None, rows_per_bucket: int = ROWS_PER_BUCKET) -> dict[str, DataFrame]:
+    """``{rank_col: (value double, rank)}`` for ``ranks`` = ``{rank_col: key}``: global ``dense_rank()`` of each key.
+
+    All keys share one pass: their distinct non-NULL values are stacked as
+    (which, value), aggregated map-side and numbered by one range shuffle. A
+    key's ranks begin at its own first place.
     """
-    df = stage(df, "prefix-input")
-    b = _bucketed(df, key, descending, n_buckets, rows_per_bucket)
-    ordcol = "_ord"
-    totals = b.groupBy("_bucket").agg(*[F.sum(c).alias(c) for c in value_cols])
-    w_buckets = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(
-        "_bucket", *[F.coalesce(F.sum(c).over(w_buckets), F.lit(0)).alias(f"_off_{c}") for c in value_cols]
-    )
-    w_in = Window.partitionBy("_bucket").orderBy(ordcol).rowsBetween(Window.unboundedPreceding, -1)
-    inner = b.select(
-        *df.columns, "_bucket",
-        *[F.coalesce(F.sum(c).over(w_in), F.lit(0)).alias(f"_in_{c}") for c in value_cols],
-    )
-    # offsets holds one row per bucket (≤ MAX_BUCKETS): a proven bound, safe to broadcast.
-    joined = inner.join(F.broadcast(offsets), "_bucket", "left")
-    return joined.select(
-        *df.columns,
-        *[(F.coalesce(F.col(f"_off_{c}"), F.lit(0)) + F.col(f"_in_{c}")).alias(f"{prefix}{c}") for c in value_cols],
-    )
-
-
-def dense_rank_table(df: DataFrame, key: str, rank_col: str, descending: bool = True,
+    stacked = F.explode(F.array(*[F.struct(F.lit(i).alias("which"), F.col(k).cast("double").alias("value"))
+                                  for i, k in enumerate(ranks.values())]))
+    distinct = df.select(stacked.alias("e")).select("e.*").where(F.col("value").isNotNull()).distinct()
+    value = F.col("value").desc() if descending else F.col("value").asc()
+    placed = ordinals(distinct, [F.col("which"), value], "_place", n_buckets, rows_per_bucket)
+    # One row a key of the caller.
+    firsts = placed.groupBy(F.col("which").alias("_w")).agg(F.min("_place").alias("_first"))
+    ranked = placed.join(F.broadcast(firsts), F.col("which") == F.col("_w")).select(
+        "which", "value", (F.col("_place") - F.col("_first") + 1).cast("int").alias("_rank"))
+    ranked = stage(ranked, "ranks")
+    return {name: ranked.where(F.col("which") == i).select("value", F.col("_rank").alias(name))
+            for i, name in enumerate(ranks)}
+
+
+def with_dense_ranks(df: DataFrame, ranks: Mapping[str, str], descending: bool = True,
                      n_buckets: int | None = None) -> DataFrame:
-    """``(key, rank)`` for every distinct non-NULL key: global ``dense_rank()``."""
-    distinct = df.select(key).where(F.col(key).isNotNull()).distinct().withColumn("_one", F.lit(1))
-    ranked = exclusive_prefix_sums(distinct, key, ["_one"], descending=descending, n_buckets=n_buckets)
-    return ranked.select(key, (F.col("before__one") + 1).cast("int").alias(rank_col))
+    """``df`` plus a global ``dense_rank()`` column for each of ``{rank_col: key}`` (NULL keys get NULL)."""
+    out = df
+    for name, table in dense_rank_tables(df, ranks, descending, n_buckets).items():
+        keyed = table.withColumnRenamed("value", "_value")
+        out = out.join(keyed, out[ranks[name]].cast("double") == keyed["_value"], "left").drop("_value")
+    return out.select(*df.columns, *ranks)
 
 
 def dense_rank(df: DataFrame, key: str, rank_col: str, descending: bool = True,
                n_buckets: int | None = None) -> DataFrame:
     """``df`` plus a global ``dense_rank()`` by ``key`` (NULL keys get NULL)."""
-    ranks = dense_rank_table(df, key, rank_col, descending, n_buckets).withColumnRenamed(key, "_rk")
-    joined = df.join(ranks, df[key] == ranks["_rk"], "left")
-    return joined.select(*[df[c] for c in df.columns], ranks[rank_col])
+    return with_dense_ranks(df, {rank_col: key}, descending, n_buckets)

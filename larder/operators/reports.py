@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 from larder.functions.lineage import stage
 from larder.functions.skew import hot_keys, replicate_for_salts, salt_rows
 from larder.operators.cleaning import dedup_by_key
-from larder.functions.ranking import dense_rank_table
+from larder.functions.ranking import with_dense_ranks
 from larder.operators.features import canonical_inventory, one_row_per_product, with_key_as
 from larder.functions.roles import resolve_inventory_roles, resolve_transaction_roles
 from larder.functions.columns import same_key, to_double
@@ -137,7 +137,7 @@ def supplier_review(trx: DataFrame, gold: DataFrame, supplier_key: str = "suppli
 
     ``stable_share`` is the share of a supplier's supplied products (inbound > 0)
     that are not at stockout risk. Ranks are global dense ranks computed by
-    value range, not by a single-partition window.
+    value range, in one pass for both, not by a single-partition window.
     """
     pairs = _supplier_products(trx, supplier_key).where(F.col("inbound") > 0)
     risk = gold.select(gold["product_id"].alias("_rated"), "stockout_risk")
@@ -152,14 +152,9 @@ def supplier_review(trx: DataFrame, gold: DataFrame, supplier_key: str = "suppli
         )
         .withColumn("stable_share", F.when(F.col("n_rated") > 0, F.col("n_stable") / F.col("n_rated")))
     )
-    # Supplier-grain and read by both rankings: written once, not recomputed.
+    # Supplier-grain: written once; both rankings come from one range shuffle of their distinct values.
     per = stage(per, "supplier-review")
-    activity = dense_rank_table(per, "n_products", "activity_rank", n_buckets=n_buckets)
-    stability = dense_rank_table(per, "stable_share", "stability_rank", n_buckets=n_buckets)
-    out = (
-        per.join(activity.withColumnRenamed("n_products", "_a"), per["n_products"] == F.col("_a"), "left")
-        .join(stability.withColumnRenamed("stable_share", "_s"), per["stable_share"] == F.col("_s"), "left")
-    )
+    out = with_dense_ranks(per, {"activity_rank": "n_products", "stability_rank": "stable_share"}, n_buckets=n_buckets)
     return out.select("supplier_id", "n_products", "inbound_quantity", "n_stable", "n_rated",
                       "stable_share", "activity_rank", "stability_rank")
 

@@ -2,6 +2,8 @@
 
 import random
 
+from pyspark.sql import functions as F
+
 from larder.functions.ranking import dense_rank, exclusive_prefix_sums
 from larder.operators import modeling as M
 
@@ -64,3 +66,29 @@ def test_rank_helpers_on_empty_and_all_null_input(spark):
     assert exclusive_prefix_sums(empty, "k", ["w"]).count() == 0
     single = spark.createDataFrame([(5, 2)], "k long, w long")
     assert [r.before_w for r in exclusive_prefix_sums(single, "k", ["w"]).collect()] == [0]
+
+
+def test_ordinals_and_two_ranks_in_one_pass(spark):
+    from larder.functions.ranking import dense_rank_tables, ordinals, with_dense_ranks
+
+    rnd = random.Random(5)
+    names = [f"n{rnd.randint(0, 10**9)}é" for _ in range(500)]
+    df = spark.createDataFrame([(n,) for n in set(names)], "name string").repartition(7)
+    got = {r.name: r.at for r in ordinals(df, ["name"], "at", n_buckets=9).collect()}
+    assert got == {n: i for i, n in enumerate(sorted(set(names), key=lambda n: n.encode()))}
+    rows = [(i, rnd.choice([None, 1, 2, 5]), rnd.choice([None, 0.5, 0.25])) for i in range(200)]
+    df = spark.createDataFrame(rows, "id long, a long, b double")
+    got = {r.id: (r.ra, r.rb) for r in with_dense_ranks(df, {"ra": "a", "rb": "b"}).collect()}
+    assert got == {i: ({5: 1, 2: 2, 1: 3}.get(a), {0.5: 1, 0.25: 2}.get(b)) for i, a, b in rows}
+    assert set(dense_rank_tables(df, {"ra": "a", "rb": "b"})) == {"ra", "rb"}
+
+
+def test_more_than_ten_thousand_ranges(spark):
+    from larder.functions.ranking import _ranged
+
+    df = spark.range(0, 24_000, numPartitions=8).select((F.col("id") * 3).alias("k"))
+    ranged = _ranged(df, [F.col("k").desc()], 12_000)
+    assert ranged.rdd.getNumPartitions() > 11_000  # bounds are chosen, the tiny tasks themselves are not run
+    few = _ranged(df, [F.col("k").desc()], 40)
+    edges = few.groupBy("_range").agg(F.min("k").alias("lo"), F.max("k").alias("hi")).orderBy("_range").collect()
+    assert len(edges) > 30 and all(a.lo > b.hi for a, b in zip(edges, edges[1:]))

@@ -75,16 +75,18 @@ def ordinals(df: DataFrame, order: Sequence[Column | str], name: str = "position
     return joined.select(*[dealt[c] for c in df.columns], (F.col("_off_n") + F.col("_at")).alias(name))
 
 
-def exclusive_prefix_sums(df: DataFrame, key: str, value_cols: Sequence[str],
+def exclusive_prefix_sums(df: DataFrame, key: str | Sequence[Column], value_cols: Sequence[str],
                           descending: bool = False, n_buckets: int | None = None,
                           prefix: str = "before_", rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
     """For a frame with *unique*, non-NULL ``key``: add, per value column, the
     sum over all rows that come strictly earlier in key order.
 
-    Pass an already aggregated frame; it is staged once before it is dealt.
+    ``key`` may also be a list of ordered columns that together tell all rows
+    apart. Pass an already aggregated frame; it is staged once before it is dealt.
     """
-    order = F.col(key).desc() if descending else F.col(key).asc()
-    dealt = _dealt(df, [order], n_buckets, rows_per_bucket)
+    if isinstance(key, str):
+        key = [F.col(key).desc() if descending else F.col(key).asc()]
+    dealt = _dealt(df, key, n_buckets, rows_per_bucket)
     earlier = Window.partitionBy("_range").orderBy("_at").rowsBetween(Window.unboundedPreceding, -1)
     inner = dealt.select(*df.columns, "_range",
                          *[F.coalesce(F.sum(c).over(earlier), F.lit(0)).alias(f"_in_{c}") for c in value_cols])

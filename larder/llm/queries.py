@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larder.llm import (embed_dedup, html_extract, lang_id, license_scan, mixing, packing, pii, quality, simhash,
-                        url_filter)
+from larder.llm import (decontaminate, embed_dedup, filter_audit, html_extract, lang_id, license_scan, merkle, mixing,
+                        packing, pii, quality, simhash, sql, url_filter)
 from larder.llm.common import table
 
 
@@ -65,6 +65,22 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
                         *quality.FLOOR, *[f"limit_{m}" for m in quality.FLOOR])
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = merkle.manifest(docs, merkle.tampered_leaf(docs), keep_paths=False)
+    return found.select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.corpus_audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op13_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.decontaminate(table(spark, sf_dir, "documents").select("doc_id", "text"),
+                                        table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -73,14 +89,16 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     own = (op1_url_filter, op2_pii, op3_license_scan, op4_html_extract, op5_mix_sources, op6_language_id, op7_simhash_dedup,
-           op8_embedding_dedup, op9_lexical_packing, op10_quality_rules, pipeline)
+           op8_embedding_dedup, op9_lexical_packing, op10_quality_rules, op11_merkle_manifest, op12_filter_audit,
+           op13_decontamination, pipeline)
     return {f.__name__: f for f in own}
 
 
 def oracle_sql() -> dict[str, str]:
-    """None: each result holds a learned, drawn or hashed column that SQL can't express.
+    """SQL for the results that hold no learned, drawn or sketched column.
 
-    The tests hold every query against a brute-force version, held-out labels or
-    an exact round trip instead, and the base columns against their definitions.
+    The tests hold the other queries against a brute-force version, held-out
+    labels or an exact round trip, and their base columns against the definitions.
     """
-    return {}
+    return {"op11_merkle_manifest": sql.MERKLE, "op12_filter_audit": sql.FILTER_AUDIT,
+            "op13_decontamination": sql.DECONTAMINATION}

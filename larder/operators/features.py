@@ -2,7 +2,7 @@
 
 Plan shape (the fact table is scanned once):
 
-    movements ─► partial agg (product; day sets) ─► agg ─┐
+    movements ─► agg (product, 64-day word) ─► agg ──────┐
     inventory ─► canonical ─► keyed dedup ──────────────┤ left joins on
     suppliers ─► canonical ─► keyed dedup (case A) ─────┘ product_id
 
@@ -110,26 +110,34 @@ def any_sale_row(mv: DataFrame, type_col: str = "txn_type") -> Column:
     return mv.where(is_sale(mv[type_col])).exists()
 
 
-def movement_summary(mv: DataFrame) -> DataFrame:
-    """Product-grain movement facts from a single pass over the movements.
+#: Days of one calendar word: a long of the days (since 1970) that share ``day >> 6``.
+DAY_WORD_BITS = 6
 
-    Columns: ``product_id, net_quantity, sold_rows, total_sales, active_days,
-    daily_sales_velocity``. ``total_sales``/``active_days``/velocity are NULL
-    for products without sales rows. Sales rows are the sale-typed rows, or,
-    when no row of the whole table is sale-typed, the rows with quantity < 0.
+
+def _sums_and_days(mv: DataFrame, kinds: dict[str, Column]) -> DataFrame:
+    """Per product and calendar word: the net quantity and, for each kind of row, its number, sum and day bits.
+
+    Days are bits of mergeable words (``bit_or``) instead of a set of values:
+    every aggregate is a primitive, so the plan is hash aggregation with code
+    generation, combined map-side; a hot product spreads over its words. Rows
+    without a day form a word of their own with no bits.
     """
-    q, sold = F.col("quantity"), F.col("_sold")
-    flag = F.when(any_sale_row(mv), is_sale(mv["txn_type"])).otherwise(mv["quantity"] < 0)
-    # One aggregate per product, combined map-side: a map task emits one row
-    # per product it saw. Distinct active days are kept as one set of calendar
-    # days (collect_set skips NULL), so a row's size is bounded by the date
-    # range, not by how many movements the product has.
-    product = mv.withColumn("_sold", flag).groupBy("product_id").agg(
-        F.sum(q).alias("net_quantity"),
-        F.count(F.when(sold, 1)).alias("sold_rows"),
-        F.sum(F.when(sold, q)).alias("_sum"),
-        F.size(F.collect_set(F.when(sold, F.col("txn_day")))).cast("long").alias("_days"),
-    )
+    q = F.col("quantity")
+    aggs = [F.sum(q).alias("net")]
+    for name, flag in kinds.items():
+        bit = F.expr("shiftleft(1L, cast(unix_date(txn_day) & 63 as int))")
+        aggs += [F.count(F.when(flag, 1)).alias(f"{name}_rows"), F.sum(F.when(flag, q)).alias(f"{name}_sum"),
+                 F.bit_or(F.when(flag & F.col("txn_day").isNotNull(), bit).otherwise(F.lit(0).cast("long")))
+                 .alias(f"{name}_days")]
+    word = F.shiftright(F.unix_date("txn_day"), DAY_WORD_BITS)
+    return mv.groupBy("product_id", word.alias("day_word")).agg(*aggs)
+
+
+def _summed(words: DataFrame, rows: Column, total: Column, days: Column) -> DataFrame:
+    """Product-grain summary of the words; the columns name the kind of row that counts as sold."""
+    product = words.groupBy("product_id").agg(
+        F.sum("net").alias("net_quantity"), F.sum(rows).alias("sold_rows"), F.sum(total).alias("_sum"),
+        F.sum(F.bit_count(days)).cast("long").alias("_days"))
     any_sold = F.col("sold_rows") > 0
     summary = product.select(
         "product_id",
@@ -141,6 +149,55 @@ def movement_summary(mv: DataFrame) -> DataFrame:
     return summary.withColumn("daily_sales_velocity", sales_velocity(F.col("total_sales"), F.col("active_days")))
 
 
+def movement_summary(mv: DataFrame) -> DataFrame:
+    """Product-grain movement facts from a single pass over the movements.
+
+    Columns: ``product_id, net_quantity, sold_rows, total_sales, active_days,
+    daily_sales_velocity``. ``total_sales``/``active_days``/velocity are NULL
+    for products without sales rows. Sales rows are the sale-typed rows, or,
+    when no row of the whole table is sale-typed, the rows with quantity < 0.
+    """
+    flag = F.when(any_sale_row(mv), is_sale(mv["txn_type"])).otherwise(mv["quantity"] < 0)
+    words = _sums_and_days(mv.withColumn("_sold", flag), {"sold": F.col("_sold")})
+    return _summed(words, F.col("sold_rows"), F.col("sold_sum"), F.col("sold_days"))
+
+
+# ------------------------------------------------------------ incremental movement state
+
+#: The two kinds of row that may count as sold: which one does is known only from the whole table.
+STATE_KINDS = ("typed", "negative")
+
+
+def movement_state(mv: DataFrame) -> DataFrame:
+    """What gold needs of movements, in a form that merges: per (product, calendar word) sums, counts and day bits.
+
+    Both readings of "sold" are kept (sale-typed rows; rows with quantity < 0),
+    since a later batch may bring the first sale-typed row of the table.
+    """
+    return _sums_and_days(mv, {"typed": is_sale(mv["txn_type"]),
+                               "negative": F.coalesce(mv["quantity"] < 0, F.lit(False))})
+
+
+def merge_states(first: DataFrame, *others: DataFrame) -> DataFrame:
+    """The state of all movements from the states of disjoint batches (in any order and grouping)."""
+    union = first
+    for o in others:
+        union = union.unionByName(o)
+    aggs = [F.sum("net").alias("net")]
+    for k in STATE_KINDS:
+        aggs += [F.sum(f"{k}_rows").alias(f"{k}_rows"), F.sum(f"{k}_sum").alias(f"{k}_sum"),
+                 F.bit_or(f"{k}_days").alias(f"{k}_days")]
+    return union.groupBy("product_id", "day_word").agg(*aggs)
+
+
+def summary_from_state(state: DataFrame) -> DataFrame:
+    """The same columns as ``movement_summary``, from a (written) state instead of the movements."""
+    typed = state.where(F.col("typed_rows") > 0).exists()
+    rows, total, days = (F.when(typed, F.col(f"typed_{c}")).otherwise(F.col(f"negative_{c}")) for c in ("rows", "sum", "days"))
+    chosen = state.select("product_id", "net", rows.alias("_r"), total.alias("_s"), days.alias("_d"))
+    return _summed(chosen, F.col("_r"), F.col("_s"), F.col("_d"))
+
+
 def sales_velocity(total_sales: Column, active_days: Column) -> Column:
     """total / active days; the total itself when there are no dated days."""
     return F.when(active_days > 0, total_sales / active_days).otherwise(total_sales)
@@ -281,11 +338,21 @@ def prepare_inputs(trx: DataFrame, inv: DataFrame, sup: DataFrame,
     )
 
 
-def gold_wide(g: GoldInputs) -> DataFrame:
-    """Every intermediate column, one row per inventory product."""
+def gold_movements(g: GoldInputs) -> DataFrame:
+    """Canonical movements whose product key has the type of the inventory's."""
+    key_type = g.inventory.schema[g.inv_roles.product].dataType
+    return with_key_as(canonical_movements(g.movements, g.trx_roles), "product_id", key_type)
+
+
+def gold_wide(g: GoldInputs, summary: DataFrame | None = None) -> DataFrame:
+    """Every intermediate column, one row per inventory product.
+
+    ``summary`` (as of ``movement_summary``) stands in for the movements, which
+    are then not read.
+    """
     inv = one_row_per_product(canonical_inventory(g.inventory, g.inv_roles))
-    mv = with_key_as(canonical_movements(g.movements, g.trx_roles), "product_id", inv.schema["product_id"].dataType)
-    summary = movement_summary(mv)
+    if summary is None:
+        summary = movement_summary(gold_movements(g))
     stock = stock_balance(inv, summary)
     stock = stock.withColumn("stock_on_hand", stock_on_hand(F.col("stock_balance")))
     stock = stock.withColumn("actual_lead_time", actual_lead_time())
@@ -319,10 +386,13 @@ def gold_columns(g: GoldInputs) -> list[str]:
     return cols
 
 
-def gold_features(trx: DataFrame, inv: DataFrame, sup: DataFrame, **roles) -> DataFrame:
-    """The gold feature table: features plus the two targets, one row per product."""
+def gold_features(trx: DataFrame, inv: DataFrame, sup: DataFrame, summary: DataFrame | None = None, **roles) -> DataFrame:
+    """The gold feature table: features plus the two targets, one row per product.
+
+    With a ``summary`` only the columns of ``trx`` are looked at, not its rows.
+    """
     g = prepare_inputs(trx, inv, sup, **roles)
-    wide = gold_wide(g)
+    wide = gold_wide(g, summary)
     rename = {
         "supplier_product_ref": "sup_product_id",
         "initial_stock_quantity": "initial_stock",

@@ -1,8 +1,20 @@
-"""Sinks: Parquet and CSV datasets, replaced as a whole."""
+"""Sinks: Parquet and CSV datasets, replaced as a whole.
+
+A replace fills a folder beside the old one and swaps the two when it is whole,
+so a write that fails midway leaves the old rows as they were. The swap is two
+renames (atomic each on a file system; for object stores use the versioned
+tables of ``sources.tables``, which rename nothing). Writers return the number of
+rows written, observed while they pass, so nothing is read again to count them.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import uuid
+
+from pyspark.sql import DataFrame, DataFrameWriter, Observation, SparkSession
+from pyspark.sql import functions as F
+
+from larder.sources import files
 
 
 def _shaped(df: DataFrame, num_files: int | None, compact: bool = False) -> DataFrame:
@@ -18,26 +30,56 @@ def _shaped(df: DataFrame, num_files: int | None, compact: bool = False) -> Data
     return df
 
 
+def _save(df: DataFrame, path: str, fmt: str, mode: str, shape) -> int:
+    """Write ``shape(df.write)`` to ``path``; the rows written."""
+    spark, seen = df.sparkSession, Observation()
+    counted = df.observe(seen, F.count(F.lit(1)).alias("n"))
+
+    def save(to: str, how: str) -> None:
+        shape(counted.write.format(fmt).mode(how)).save(to)
+
+    if mode == "overwrite" and files.exists(spark, path):
+        replace_folder(spark, path, lambda aside: save(aside, "error"))
+    else:
+        save(path, mode)
+    return int(seen.get["n"])
+
+
+def replace_folder(spark: SparkSession, path: str, fill) -> None:
+    """``fill(new)`` writes a new folder, which then takes the place of ``path``; if it fails, ``path`` is untouched."""
+    path = path.rstrip("/")
+    parent, name = path.rsplit("/", 1)
+    tag = uuid.uuid4().hex
+    aside, old = f"{parent}/_next-{name}-{tag}", f"{parent}/_old-{name}-{tag}"
+    try:
+        fill(aside)
+    except Exception:
+        files.delete(spark, aside)
+        raise
+    files.rename(spark, path, old)
+    try:
+        files.rename(spark, aside, path)
+    except Exception:
+        files.rename(spark, old, path)
+        raise
+    files.delete(spark, old)
+
+
 def write_parquet(df: DataFrame, path: str, num_files: int | None = None,
                   partition_by: list[str] | None = None, mode: str = "overwrite",
-                  compact: bool = False) -> None:
-    w = _shaped(df, num_files, compact).write.mode(mode)
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(path)
+                  compact: bool = False) -> int:
+    def shape(w: DataFrameWriter) -> DataFrameWriter:
+        return w.partitionBy(*partition_by) if partition_by else w
+
+    return _save(_shaped(df, num_files, compact), path, "parquet", mode, shape)
 
 
 def write_csv(df: DataFrame, path: str, num_files: int | None = None, header: bool = True,
-              mode: str = "overwrite") -> None:
+              mode: str = "overwrite") -> int:
     """CSV that loses nothing: padding, microseconds, quotes (doubled), NULL (bare) and empty text (quoted)."""
-    (_shaped(df, num_files).write.mode(mode)
-     .option("header", header)
-     .option("escape", '"')
-     .option("ignoreLeadingWhiteSpace", False)
-     .option("ignoreTrailingWhiteSpace", False)
-     .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss.SSSSSS")
-     .option("timestampFormat", "yyyy-MM-dd HH:mm:ss.SSSSSSXXX")
-     .csv(path))
+    return _save(_shaped(df, num_files), path, "csv", mode, lambda w: w.options(
+        header=header, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False,
+        timestampNTZFormat="yyyy-MM-dd HH:mm:ss.SSSSSS", timestampFormat="yyyy-MM-dd HH:mm:ss.SSSSSSXXX"))
 
 
 def write_json_documents(df: DataFrame, path: str, num_files: int | None = None) -> None:

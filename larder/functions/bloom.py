@@ -8,6 +8,8 @@ or more, rounded up to a power of two: 16 to 32 bits a key, well under two wrong
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -36,15 +38,14 @@ def build(df: DataFrame, key: Column, slots: int) -> DataFrame:
     return df.select(slot.alias("slot"), bits.alias("b")).groupBy("slot").agg(F.bit_or("b").alias("bits"))
 
 
-def maybe_in(df: DataFrame, key: Column, filters: DataFrame) -> DataFrame:
+def maybe_in(df: DataFrame, key: Column, filters: DataFrame, sizes: Sequence[int]) -> DataFrame:
     """Rows of ``df`` with each filter that may hold their key, named in ``_filter``.
 
-    ``filters``: ``(_filter, slots, slot, bits)``, filters of any sizes. A key is
-    looked up once for each size there is (powers of two, so a few dozen at most).
+    ``filters``: ``(_filter, slots, slot, bits)``; ``sizes`` are the numbers of
+    slots that occur. A key is looked up once a size (powers of two: a few dozen
+    at most), whatever the number of filters of that size.
     """
-    sizes = filters.select(F.col("slots").alias("_slots")).distinct()
-    # Distinct powers of two below 2^63: a proven bound of 63 rows.
-    wanted = df.join(F.broadcast(sizes), F.lit(True))
+    wanted = df.withColumn("_slots", F.explode(F.array(*[F.lit(s).cast("long") for s in sorted(set(sizes))])))
     slot, bits = _parts(key, F.col("_slots"))
     wanted = wanted.withColumns({"_slot": slot, "_bits": bits})
     found = wanted.join(filters, (wanted["_slots"] == filters["slots"]) & (wanted["_slot"] == filters["slot"]))

@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 
 from larder.functions.roles import resolve_transaction_roles
 from larder.plans.model_catalog import model_queries
+from larder.plans.table_catalog import queries as table_queries
 from larder.operators import cleaning as C
 from larder.operators import features as G
 from larder.operators import recommend as R
@@ -496,4 +497,5 @@ def queries() -> dict[str, Query]:
         "top_k_velocity": top_k_velocity,
     }
     q.update(model_queries())
+    q.update(table_queries())
     return q

@@ -247,6 +247,29 @@ pairs AS (SELECT supplier_ref AS supplier_id, product_id,
           FROM trx GROUP BY supplier_ref, product_id)"""
 
 
+def sketch_sql(key: str | None, quantiles: list[tuple[str, float]]) -> str:
+    """Quantiles of the price by buckets of ten mantissa bits: the middle of the values of the bucket with the wanted rank."""
+    part = f"PARTITION BY {key}" if key else ""
+    picked = ", ".join(
+        f"max(CASE WHEN upto >= greatest(ceil(total * {p}), 1) AND upto - n < greatest(ceil(total * {p}), 1) "
+        f"THEN low + (high - low) / 2 END) AS {name}" for name, p in quantiles)
+    head = f"{key}, " if key else ""
+    tail = f"GROUP BY {key}" if key else ""
+    count = "" if key else ", CAST(sum(n) AS BIGINT) AS n_rows"
+    return f"""
+WITH prices AS (
+  SELECT {head}unit_price AS v, floor(log2(unit_price)) AS e FROM ({INVENTORY}) WHERE unit_price IS NOT NULL
+),
+buckets AS (
+  SELECT {head}e, floor((v / pow(2, e) - 1) * 1024) AS m, count(*) AS n, min(v) AS low, max(v) AS high
+  FROM prices GROUP BY {head}e, m
+),
+ranked AS (
+  SELECT *, sum(n) OVER ({part} ORDER BY e, m ROWS UNBOUNDED PRECEDING) AS upto, sum(n) OVER ({part}) AS total FROM buckets
+)
+SELECT {head}{picked}{count} FROM ranked {tail}"""
+
+
 def statements() -> dict[str, str]:
     fx_a = fixtures()
     trx_sel = ", ".join(TRX_COLS)
@@ -267,6 +290,11 @@ UNION ALL SELECT 'suppliers', CAST(count(*) AS BIGINT) FROM ({SUPPLIERS_A})"""
     q["bronze_inventory"] = f"SELECT * FROM ({INVENTORY})"
     q["bronze_suppliers"] = f"SELECT * FROM ({SUPPLIERS_A})"
     q["bronze_landing_incremental"] = _sm() + "SELECT * FROM sm"
+    q["replace_survives_failure"] = f"""SELECT i.*, k.kept_by FROM ({INVENTORY}) i, (VALUES ('folder'), ('version')) k(kept_by)"""
+    q["gold_incremental"] = gold_sql()
+    q["silver_incremental"] = fx_a + f"\nSELECT *, {md5_of(TRX_COLS)} AS transaction_id FROM trx"
+    q["quantile_sketch"] = sketch_sql("category", [("q1", 0.25), ("median", 0.5), ("q3", 0.75)])
+    q["sketch_median"] = sketch_sql(None, [("median", 0.5)])
     q["gold_from_landed_files"] = gold_sql()
 
     # ---------------------------------------------------------- cleaning

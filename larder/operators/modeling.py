@@ -8,6 +8,8 @@ aggregations (exact AUC, MAE, R2) that can be checked against SQL.
 
 from __future__ import annotations
 
+import json
+
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, RegressionEvaluator
@@ -18,6 +20,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from larder.functions.ranking import exclusive_prefix_sums
+from larder.sources import files
+from larder.sources.writers import replace_folder
 
 # Candidate features (in order), targets, forest size, split.
 FEATURES = (
@@ -70,7 +74,10 @@ def model_frame(gold: DataFrame) -> tuple[DataFrame, list[str]]:
 def fit_classifier(train: DataFrame, label: str = CLASS_LABEL, seed: int = SEED,
                    num_trees: int = NUM_TREES) -> PipelineModel:
     rf = RandomForestClassifier(featuresCol="features", labelCol=label, numTrees=num_trees, seed=seed)
-    return Pipeline(stages=[rf]).fit(train)
+    model = Pipeline(stages=[rf]).fit(train)
+    # The training summary holds the session, which executors cannot take once it has observed a write.
+    model.stages[-1]._java_obj.setSummary(train.sparkSession.sparkContext._jvm.scala.Option.empty())
+    return model
 
 
 def fit_regressor(train: DataFrame, label: str = REGRESSION_LABEL, seed: int = SEED,
@@ -153,3 +160,28 @@ def score_products(gold: DataFrame, clf: PipelineModel, reg: PipelineModel) -> D
         "rawPrediction", "probability")
     r = reg.transform(c).withColumnRenamed("prediction", "predicted_rop")
     return r.drop("features")
+
+
+# ------------------------------------------------------------ saved models
+
+def save_models(spark, clf: PipelineModel, reg: PipelineModel, features: list[str], path: str) -> None:
+    """Both forests and the names of their features, replaced together under ``path``."""
+    def fill(folder: str) -> None:
+        clf.write().save(f"{folder}/classifier")
+        reg.write().save(f"{folder}/regressor")
+        files.create_text(spark, f"{folder}/features.json", json.dumps(features))
+
+    path = path.rstrip("/")
+    if files.exists(spark, path):
+        replace_folder(spark, path, fill)
+    else:
+        fill(path)
+
+
+def load_models(spark, path: str, gold: DataFrame | None = None) -> tuple[PipelineModel, PipelineModel]:
+    """The saved (classifier, regressor); with ``gold``, its features must be those the models were fitted on."""
+    path = path.rstrip("/")
+    wanted = json.loads(files.read_text(spark, f"{path}/features.json"))
+    if gold is not None and model_frame(gold)[1] != wanted:
+        raise ValueError(f"the models were fitted on {wanted}, the table has {model_frame(gold)[1]}")
+    return PipelineModel.load(f"{path}/classifier"), PipelineModel.load(f"{path}/regressor")

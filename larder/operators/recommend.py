@@ -23,6 +23,7 @@ INSIGHTS = {
           "Belum diperlukan tindakan restock dalam waktu dekat."),
 }
 PRIORITY_ORDER = (HIGH, MEDIUM, LOW)
+SCORE_COLUMNS = ("predicted_stockout", "predicted_rop", "stock_on_hand")
 
 
 def _num(name: str) -> Column:

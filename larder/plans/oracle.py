@@ -291,6 +291,10 @@ UNION ALL SELECT 'suppliers', CAST(count(*) AS BIGINT) FROM ({SUPPLIERS_A})"""
     q["bronze_suppliers"] = f"SELECT * FROM ({SUPPLIERS_A})"
     q["bronze_landing_incremental"] = _sm() + "SELECT * FROM sm"
     q["replace_survives_failure"] = f"""SELECT i.*, k.kept_by FROM ({INVENTORY}) i, (VALUES ('folder'), ('version')) k(kept_by)"""
+    q["scan_csv_quoted_breaks"] = f"""SELECT * REPLACE (CASE WHEN product_id % 3 = 0
+       THEN 'first "line",' || chr(10) || product_name || chr(13) || chr(10) || chr(10) || 'last' ELSE product_name END AS product_name)
+FROM ({INVENTORY})"""
+    q["score_saved_models"] = "SELECT CAST(count(*) AS BIGINT) AS n_products, CAST(0 AS BIGINT) AS n_different FROM part"
     q["gold_incremental"] = gold_sql()
     q["silver_incremental"] = fx_a + f"\nSELECT *, {md5_of(TRX_COLS)} AS transaction_id FROM trx"
     q["quantile_sketch"] = sketch_sql("category", [("q1", 0.25), ("median", 0.5), ("q3", 0.75)])

@@ -10,11 +10,12 @@ from pyspark.sql import functions as F
 from larder.functions import quantiles as Q
 from larder.functions.lineage import stage
 from larder.operators import cleaning as C
+from larder.operators import modeling as M
 from larder.plans import fixtures as fx
 from larder.plans.incremental import incremental_gold
-from larder.plans.layers import silver_tables
+from larder.plans.layers import gold_table, silver_tables
 from larder.session import scratch_path
-from larder.sources import tables, writers
+from larder.sources import readers, tables, writers
 from larder.streaming.silver import clean_movements_incrementally
 
 #: Dates that cut the movements into three deliveries.
@@ -88,6 +89,32 @@ def sketch_median(spark, sf):
     return Q.quantiles(rows, [0.5], ["median"]).withColumn("n_rows", n)
 
 
+def scan_csv_quoted_breaks(spark, sf):
+    """Inventory whose names hold line breaks and quotes, through CSV files that many tasks read."""
+    inv = fx.inventory(spark, sf)
+    name = F.concat(F.lit('first "line",\n'), F.col("product_name"), F.lit("\r\n\nlast"))
+    path = scratch_path(spark, "quoted-csv")
+    writers.write_csv(inv.withColumn("product_name", F.when(F.col("product_id") % 3 == 0, name).otherwise(F.col("product_name"))), path)
+    return readers.read_csv(spark, path, schema=inv.schema, multi_line=None)
+
+
+def score_saved_models(spark, sf):
+    """Products scored by the fitted forests and by their saved copies, and how many scores differ."""
+    gold = gold_table(spark, sf)
+    frame, feats = M.model_frame(gold)
+    train = frame.where("split = 'train'")
+    fitted = M.fit_classifier(train, num_trees=10), M.fit_regressor(train, num_trees=10)
+    path = scratch_path(spark, "saved-models")
+    M.save_models(spark, *fitted, feats, path)
+    before = M.score_products(gold, *fitted).select("product_id", F.struct("predicted_stockout", "predicted_rop").alias("fitted"))
+    after = M.score_products(gold, *M.load_models(spark, path, gold)).select(
+        "product_id", F.struct("predicted_stockout", "predicted_rop").alias("loaded"))
+    both = before.join(after, "product_id", "full_outer")
+    return both.agg(F.count(F.lit(1)).alias("n_products"),
+                    F.count(F.when(~F.col("fitted").eqNullSafe(F.col("loaded")), 1)).alias("n_different"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    own = (replace_survives_failure, gold_incremental, silver_incremental, quantile_sketch, sketch_median)
+    own = (replace_survives_failure, gold_incremental, silver_incremental, quantile_sketch, sketch_median,
+           scan_csv_quoted_breaks, score_saved_models)
     return {f.__name__: f for f in own}

@@ -13,20 +13,28 @@ from larder.sources.readers import read_csv, read_raw_files
 from larder.sources.writers import write_csv, write_parquet
 
 
-def land_raw_documents(spark: SparkSession, src: str, dest: str, glob: str | None = None) -> DataFrame:
-    """Land files unchanged as ``(path, length, content)`` Parquet rows."""
+def land_raw_documents(spark: SparkSession, src: str, dest: str, glob: str | None = None,
+                       counts: dict[str, int] | None = None) -> DataFrame:
+    """Land files unchanged as ``(path, length, content)`` Parquet rows (``counts["suppliers"]``: how many, if asked for)."""
     raw = read_raw_files(spark, src, glob).select("path", "length", "content")
-    write_parquet(raw, dest)
+    n = write_parquet(raw, dest)
+    if counts is not None:
+        counts["suppliers"] = n
     return spark.read.parquet(dest)
 
 
 def land_bronze(spark: SparkSession, movements: DataFrame, inventory_csv: str, documents_dir: str, raw_root: str,
-                inventory_schema=None, documents_glob: str | None = "*.json", multi_line: bool = False) -> dict[str, DataFrame]:
-    """Write the raw zone and return the landed datasets (re-read; ``inventory_schema`` only types what is returned)."""
+                inventory_schema=None, documents_glob: str | None = "*.json", multi_line: bool | None = None,
+                counts: dict[str, int] | None = None) -> dict[str, DataFrame]:
+    """Write the raw zone and return the landed datasets (re-read; ``inventory_schema`` only types what is returned).
+
+    ``counts`` is filled with the rows written of each dataset.
+    """
     root = raw_root.rstrip("/")
-    write_parquet(movements, f"{root}/stock_transactions")
-    write_csv(read_csv(spark, inventory_csv, multi_line=multi_line), f"{root}/grocery_inventory")
-    docs = land_raw_documents(spark, documents_dir, f"{root}/suppliers", glob=documents_glob)
+    counts = {} if counts is None else counts
+    counts["stock_transactions"] = write_parquet(movements, f"{root}/stock_transactions")
+    counts["grocery_inventory"] = write_csv(read_csv(spark, inventory_csv, multi_line=multi_line), f"{root}/grocery_inventory")
+    docs = land_raw_documents(spark, documents_dir, f"{root}/suppliers", glob=documents_glob, counts=counts)
     return {
         "stock_transactions": spark.read.parquet(f"{root}/stock_transactions"),
         "grocery_inventory": read_csv(spark, f"{root}/grocery_inventory", schema=inventory_schema, multi_line=multi_line),

@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from larder.sources import quoted_csv
+
 
 #: What a bare empty CSV field stands for while it is read, so that a quoted one stays empty text.
 NO_VALUE = "\ue000"
@@ -16,23 +18,35 @@ def read_parquet(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None = None,
-             infer_schema: bool = False, multi_line: bool = False) -> DataFrame:
+             infer_schema: bool = False, multi_line: bool | None = False) -> DataFrame:
     """CSV with a header row and doubled quotes inside quoted fields.
 
     With ``schema`` every field is read as text and cast leniently (ISO dates
     and timestamps of any precision; what does not fit is NULL), padding kept.
     Inference costs a full extra pass over the files; it never samples, since
     a type guessed from a sample turns the values that do not fit into NULLs.
-    ``multi_line`` allows line breaks inside quoted fields; a file is then one
-    task, so it is off unless asked for.
+    ``multi_line`` allows line breaks inside quoted fields: records are cut by
+    quote parity across splits (``sources.quoted_csv``), so a file is still read
+    by many tasks (except with inference, where Spark reads it whole). None
+    looks at the files first, one scan that ends at the first such line.
     """
-    r = spark.read.option("header", True).option("escape", '"').option("multiLine", multi_line).option("nullValue", NO_VALUE)
-    if schema is None:
-        return r.option("inferSchema", infer_schema).csv(path)
+    if multi_line is None:
+        multi_line = quoted_csv.has_quoted_breaks(spark, path)
     if isinstance(schema, str):
         schema = T.StructType.fromDDL(schema)
-    text = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
-    fields = r.schema(text).csv(path)
+    options = {"escape": '"', "nullValue": NO_VALUE}
+    r = spark.read.option("header", True).option("multiLine", multi_line).options(**options)
+    if schema is None and (infer_schema or not multi_line):
+        return r.option("inferSchema", infer_schema).csv(path)
+    if multi_line:
+        fields = quoted_csv.read(spark, path, options)
+        if schema is None:
+            return fields
+        # As in Spark's reader, the schema names the columns by position.
+        fields = fields.select(*[fields[f"`{n}`"].alias(f.name) for n, f in zip(fields.columns, schema.fields)],
+                               *[F.lit(None).cast("string").alias(f.name) for f in schema.fields[len(fields.columns):]])
+    else:
+        fields = r.schema(T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])).csv(path)
     return fields.select(*[
         fields[f"`{f.name}`"] if isinstance(f.dataType, T.StringType)
         else F.trim(fields[f"`{f.name}`"]).try_cast(f.dataType).alias(f.name) for f in schema.fields])

@@ -66,9 +66,9 @@ def quantiles(sketched: DataFrame, probs: Sequence[float], names: Sequence[str]
     """
     keys = [c for c in sketched.columns if c not in ("bucket", "n", "low", "high")]
     names = list(names or [f"q_{i}" for i in range(len(probs))])
-    upto = Window.partitionBy(*(keys or [F.lit(0)])).orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0)
-    whole = Window.partitionBy(*(keys or [F.lit(0)]))
-    ranked = sketched.withColumns({"_upto": F.sum("n").over(upto), "_all": F.sum("n").over(whole)})
+    upto = Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, 0)
+    ranked = sketched.withColumnRenamed("bucket", "_bucket").withColumn("_upto", F.sum("n").over(upto))
+    ranked = ranked.withColumn("_all", F.sum("n").over(upto.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)))
     middle = F.col("low") + (F.col("high") - F.col("low")) / 2
     picked = []
     for p, name in zip(probs, names):

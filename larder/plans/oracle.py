@@ -294,6 +294,8 @@ UNION ALL SELECT 'suppliers', CAST(count(*) AS BIGINT) FROM ({SUPPLIERS_A})"""
     q["scan_csv_quoted_breaks"] = f"""SELECT * REPLACE (CASE WHEN product_id % 3 = 0
        THEN 'first "line",' || chr(10) || product_name || chr(13) || chr(10) || chr(10) || 'last' ELSE product_name END AS product_name)
 FROM ({INVENTORY})"""
+    q["scan_json_array"] = f"SELECT * FROM ({SUPPLIERS_A})"
+    q["land_chunked_files"] = f"SELECT * FROM ({SUPPLIERS_A})"
     q["score_saved_models"] = "SELECT CAST(count(*) AS BIGINT) AS n_products, CAST(0 AS BIGINT) AS n_different FROM part"
     q["gold_incremental"] = gold_sql()
     q["silver_incremental"] = fx_a + f"\nSELECT *, {md5_of(TRX_COLS)} AS transaction_id FROM trx"

@@ -15,7 +15,8 @@ from larder.plans import fixtures as fx
 from larder.plans.incremental import incremental_gold
 from larder.plans.layers import gold_table, silver_tables
 from larder.session import scratch_path
-from larder.sources import readers, tables, writers
+from larder.sources import json_arrays, readers, tables, writers
+from larder.sources.landing import land_chunked_documents
 from larder.streaming.silver import clean_movements_incrementally
 
 #: Dates that cut the movements into three deliveries.
@@ -98,6 +99,23 @@ def scan_csv_quoted_breaks(spark, sf):
     return readers.read_csv(spark, path, schema=inv.schema, multi_line=None)
 
 
+def scan_json_array(spark, sf):
+    """Supplier documents, few large arrays, read by byte ranges."""
+    path = scratch_path(spark, "array-json")
+    suppliers = fx.suppliers_per_product(spark, sf)
+    writers.write_json_documents(suppliers, path, num_files=1)
+    return json_arrays.read(spark, path, suppliers.schema)
+
+
+def land_chunked_files(spark, sf):
+    """Supplier documents landed in chunks of 64 KB, records read back out of the chunks."""
+    docs = scratch_path(spark, "chunk-docs")
+    suppliers = fx.suppliers_per_product(spark, sf)
+    writers.write_json_documents(suppliers, docs, num_files=2)
+    landed = land_chunked_documents(spark, docs, scratch_path(spark, "chunks"), chunk_bytes=64 << 10)
+    return json_arrays.parse(json_arrays.pieces_of_chunks(landed), suppliers.schema)
+
+
 def score_saved_models(spark, sf):
     """Products scored by the fitted forests and by their saved copies, and how many scores differ."""
     gold = gold_table(spark, sf)
@@ -116,5 +134,5 @@ def score_saved_models(spark, sf):
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     own = (replace_survives_failure, gold_incremental, silver_incremental, quantile_sketch, sketch_median,
-           scan_csv_quoted_breaks, score_saved_models)
+           scan_csv_quoted_breaks, scan_json_array, land_chunked_files, score_saved_models)
     return {f.__name__: f for f in own}

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from larder.sources import json_arrays
 from larder.sources.readers import read_csv, read_raw_files
 from larder.sources.writers import write_csv, write_parquet
 
@@ -23,6 +24,17 @@ def land_raw_documents(spark: SparkSession, src: str, dest: str, glob: str | Non
     return spark.read.parquet(dest)
 
 
+def land_chunked_documents(spark: SparkSession, src: str, dest: str, separator: str = json_arrays.SEPARATOR,
+                           chunk_bytes: int = json_arrays.CHUNK_BYTES) -> DataFrame:
+    """Land documents as ``(path, at, content)`` rows of about ``chunk_bytes``: no limit on a file, many tasks read one.
+
+    For files too large for a row (2 GB) or a task; ``json_arrays.pieces_of_chunks``
+    with ``json_arrays.parse`` reads array documents back without putting them together.
+    """
+    write_parquet(json_arrays.chunks(json_arrays.pieces(spark, src, separator), separator, chunk_bytes), dest)
+    return spark.read.parquet(dest)
+
+
 def land_bronze(spark: SparkSession, movements: DataFrame, inventory_csv: str, documents_dir: str, raw_root: str,
                 inventory_schema=None, documents_glob: str | None = "*.json", multi_line: bool | None = None,
                 counts: dict[str, int] | None = None) -> dict[str, DataFrame]:

@@ -58,9 +58,12 @@ def merge(first: DataFrame, *others: DataFrame) -> DataFrame:
     return union.groupBy(*keys, "bucket").agg(F.sum("n").alias("n"), F.min("low").alias("low"), F.max("high").alias("high"))
 
 
-def quantiles(sketched: DataFrame, probs: Sequence[float], names: Sequence[str] | None = None) -> DataFrame:
+def quantiles(sketched: DataFrame, probs: Sequence[float], names: Sequence[str] | None = None,
+              count: str | None = None) -> DataFrame:
     """``(keys…, q_0, …)``: the values at rank ceil(p · n) for each probability, from the sketch's rows alone.
 
+    ``count`` names a further column with n, the values sketched.
+
     The running sum goes over one key's buckets: thousands of rows, whatever
     the number of values (without keys they are one window task).
     """
@@ -75,6 +78,8 @@ def quantiles(sketched: DataFrame, probs: Sequence[float], names: Sequence[str]
         wanted = F.greatest(F.ceil(F.col("_all") * F.lit(float(p))), F.lit(1))
         here = (F.col("_upto") >= wanted) & (F.col("_upto") - F.col("n") < wanted)
         picked.append(F.max(F.when(here, middle)).alias(name))
+    if count:
+        picked.append(F.max("_all").alias(count))
     return ranked.groupBy(*keys).agg(*picked)
 
 

@@ -2,8 +2,9 @@
 
 Per text the rules' measures are taken with built-in functions. Then, instead
 of fixed cutoffs, each measure's bound is set by the documents themselves: a
-mergeable quantile sketch (KLL) per language and source, merged to one per
-language and one overall, gives the quartiles of each group; the bound is the
+mergeable quantile sketch (counts of logarithmic buckets, 0.05 % relative error,
+nothing drawn) per language and source, merged to one per language and one
+overall, gives the quartiles of each group; the bound is the
 upper fence of the quartiles, ``FENCE`` spreads above the third, where a
 spread is the interquartile range but at least the measure's ``FLOOR``. A group
 with fewer than ``LEAST_ROWS`` rows uses its language's fence, then the overall
@@ -24,6 +25,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from larder.functions.quantiles import merge, quantiles, sketch
 from larder.llm.common import stage
 
 LEAST_WORDS = 50
@@ -32,7 +34,6 @@ REPEAT_PERCENT = 50
 FLOOR = {"symbol_share": 0.02, "dup_line_share": 0.12, "repeat_share": 0.1, "word_length": 0.5}
 FENCE = 4.0
 LEAST_ROWS = 100
-SKETCH_K = 400
 BLANK = r"[\x20\x09-\x0D]+"
 SYMBOLS = r"[#*$%&|<>]"
 
@@ -101,26 +102,30 @@ def measures(docs: DataFrame, keep: list[str]) -> DataFrame:
 
 
 def thresholds(measured: DataFrame) -> DataFrame:
-    """(lang, source, limit_<measure>...) for every group, from merged quantile sketches."""
-    sketched = measured.where(~F.col("base_failed")).groupBy("lang", "source").agg(
-        F.count("*").alias("n"), *[F.kll_sketch_agg_double(m, SKETCH_K).alias(m) for m in FLOOR])
-    groups = measured.select("lang", "source").distinct()
-    merged = [F.kll_merge_agg_double(m, SKETCH_K).alias(m) for m in FLOOR]
-    by_lang = sketched.groupBy("lang").agg(F.sum("n").alias("n"), *merged)
-    overall = sketched.agg(F.sum("n").alias("n"), *merged)
+    """(lang, source, limit_<measure>...) for every group, from merged quantile sketches.
 
-    def fences(df: DataFrame, keys: list[str], tag: str, least: int) -> DataFrame:
-        def fence(m: str) -> Column:
-            q1, q3 = (F.kll_sketch_get_quantile_double(m, F.lit(q)) for q in (0.25, 0.75))
-            return q3 + FENCE * F.greatest(q3 - q1, F.lit(FLOOR[m]))
+    A sketch is counts of logarithmic buckets (``functions.quantiles``), one row
+    a bucket that occurs: merging is a sum, so limits are the same whatever the
+    partitioning and after any retried task.
+    """
+    values = F.inline(F.array(*[F.struct(F.lit(m).alias("measure"), F.col(m).alias("value")) for m in FLOOR]))
+    stacked = measured.where(~F.col("base_failed")).select("lang", "source", values)
+    own = stage(sketch(stacked, "value", ["lang", "source", "measure"]), "quality-sketches")
+    by_lang, overall = merge(own.drop("source")), merge(own.drop("lang", "source"))
+    groups = measured.select("lang", "source").distinct()
+    floor = F.coalesce(*[F.when(F.col("measure") == m, F.lit(v)) for m, v in FLOOR.items()])
+    fence = F.col("q3") + FENCE * F.greatest(F.col("q3") - F.col("q1"), floor)
 
-        enough = F.col("n") >= least
-        return df.select(*[F.col(k).alias(f"{tag}_{k}") for k in keys], *[F.when(enough, fence(m)).alias(f"{tag}_{m}") for m in FLOOR])
+    def fences(sketched: DataFrame, keys: list[str], tag: str, least: int) -> DataFrame:
+        found = quantiles(sketched, [0.25, 0.75], ["q1", "q3"], count="n")
+        limit = F.when(F.col("n") >= least, fence)
+        return found.groupBy(*[F.col(k).alias(f"{tag}_{k}") for k in keys]).agg(
+            *[F.max(F.when(F.col("measure") == m, limit)).alias(f"{tag}_{m}") for m in FLOOR])
 
-    own = fences(sketched, ["lang", "source"], "own", LEAST_ROWS)
+    mine = fences(own, ["lang", "source"], "own", LEAST_ROWS)
     lang = fences(by_lang, ["lang"], "lang", LEAST_ROWS)
     whole = fences(overall, [], "all", 1)
-    found = groups.join(own, F.col("lang").eqNullSafe(F.col("own_lang")) & F.col("source").eqNullSafe(F.col("own_source")), "left")
+    found = groups.join(mine, F.col("lang").eqNullSafe(F.col("own_lang")) & F.col("source").eqNullSafe(F.col("own_source")), "left")
     found = found.join(lang.withColumnRenamed("lang_lang", "_lang"), F.col("lang").eqNullSafe(F.col("_lang")), "left")
     return found.select("lang", "source", *[
         F.coalesce(F.col(f"own_{m}"), F.col(f"lang_{m}"), whole.select(f"all_{m}").scalar()).alias(f"limit_{m}") for m in FLOOR])

@@ -461,3 +461,25 @@ def test_unlike_short_documents_pack_in_proportion():
     started = time.time()
     docs = [np.array([2 + i % 60000, 2 + (i * 7 + 1) % 60000, 1], np.uint16) for i in range(60_000)]
     assert len({p[0] for p in packing.pack(docs)}) == 60_000 and time.time() - started < 30
+
+
+def test_quality_limits_repeat_at_any_partitioning(spark):
+    """Limits and verdicts are equal bit for bit on reruns, and the fences are those of exact quartiles but for the sketch's error."""
+    import math
+    import random
+
+    rnd = random.Random(8)
+    rows = [(i, " ".join(rnd.choice(["alpha", "be", "gammas", "#", "delta-", "x" * rnd.randint(1, 9)]) + str(rnd.randint(0, 400))
+                         for _ in range(rnd.randint(45, 90))), ("en", "de", None)[i % 3], ("a", "b")[i % 2], 1) for i in range(1_500)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    results = [sorted(map(tuple, quality.quality_filter(df.repartition(n)).collect())) for n in (1, 3, 8)]
+    assert results[0] == results[1] == results[2]
+    got = quality.quality_filter(df, ["doc_id", "lang", "source"]).collect()
+    for lang in ("en", "de", None):
+        for source in ("a", "b"):
+            group = [r for r in got if r.lang == lang and r.source == source]
+            fit = sorted(r.word_length for r in group if not r.base_failed)
+            if len(fit) >= quality.LEAST_ROWS:
+                q1, q3 = (fit[math.ceil(p * len(fit)) - 1] for p in (0.25, 0.75))
+                want = q3 + quality.FENCE * max(q3 - q1, quality.FLOOR["word_length"])
+                assert all(abs(r.limit_word_length - want) < 0.01 * want for r in group)

@@ -53,9 +53,10 @@ def default_tokenizer() -> str:
 
 
 def encoder(path: str, cache_words: int = CACHE_WORDS) -> tuple[Callable[[str | None], bytes], str]:
-    """Text to ids without special tokens (their strings are ordinary text), and the ids' type (16 bits if all fit).
+    """Text to ids as the tokenizer gives them without adding special tokens, and the ids' type (16 bits if all fit).
 
-    White space separates words for this tokenizer, so a text's ids are its
+    Where a text holds the string of one of the tokenizer's own added tokens, that
+    is its id, and the parts around it are encoded each for itself. White space separates words for this tokenizer, so a text's ids are its
     words' ids in a row; within a word of Latin letters and ASCII marks, its
     pieces are letters, single digits, runs of marks, and clitics.
     """
@@ -64,7 +65,9 @@ def encoder(path: str, cache_words: int = CACHE_WORDS) -> tuple[Callable[[str |
     from tokenizers import Tokenizer, pre_tokenizers
 
     whole = Tokenizer.from_file(path)
-    whole.encode_special_tokens = True
+    added = {t.content: i for i, t in whole.get_added_tokens_decoder().items()}
+    marks = re.compile("(" + "|".join(map(re.escape, sorted(added, key=len, reverse=True))) + ")") if added else None
+    whole.encode_special_tokens = True  # the words below hold none
     merges = whole.model
     code = "H" if whole.get_vocab_size() <= 1 << 16 else "I"
     to_bytes = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
@@ -110,6 +113,11 @@ def encoder(path: str, cache_words: int = CACHE_WORDS) -> tuple[Callable[[str |
     def encode(text: str | None) -> bytes:
         if not text:
             return b""
+        if any(mark in text for mark in added):
+            return b"".join(struct.pack(f"<{code}", added[p]) if p in added else plain(p) for p in marks.split(text))
+        return plain(text)
+
+    def plain(text: str) -> bytes:
         parts = blank.findall(text) if odd_space.search(text) else text.split()
         return b"".join(map(words.__getitem__, parts))
 

@@ -399,7 +399,6 @@ def test_packing_round_trip(docs, clashing, no_docs):
     from tokenizers import Tokenizer
 
     whole = Tokenizer.from_file(packing.default_tokenizer())
-    whole.encode_special_tokens = True
     got = packing.pack_documents(docs, shard_bytes=4000).collect()
     ids = {}
     for i, t in _texts(docs):
@@ -427,9 +426,9 @@ def test_encoder_equals_the_tokenizer():
     from tokenizers import Tokenizer
 
     whole = Tokenizer.from_file(packing.default_tokenizer())
-    whole.encode_special_tokens = True
     encode, kind = packing.encoder(packing.default_tokenizer())
-    for t in ("a\x1cb c's don't 'LL it'S x", "Ünï cödé, ÀÉ. ß ÿ Ÿ ªº µ", "İstanbul ΣΑΣ", "é äx <|endoftext|>", "12 3,4. ... ,. a.b,c 中文 🙂",
+    for t in ("a\x1cb c's don't 'LL it'S x", "Ünï cödé, ÀÉ. ß ÿ Ÿ ªº µ", "İstanbul ΣΑΣ", "é äx <|endoftext|>", "hello <|startoftext|> x", "a<|endoftext|><|startoftext|>b <|ENDOFTEXT|>", "<|endoftext|>", "e<|endoftext|>\u0301",
+              "12 3,4. ... ,. a.b,c 中文 🙂",
               "\u0085 \x0b\x0c\x1d", "Ã© é Ã©", "it's THEY'LL a'b 'tis x=\"1\" naïve's çà,, d'É", "x" * 300 + " .", "²½ ¼x", "", "Ā ſ ŉ Œ œ"):
         assert np.frombuffer(encode(t), kind).tolist() == whole.encode(t, add_special_tokens=False).ids, t
 

@@ -65,6 +65,7 @@ CONTEXT = 40
 WIDE_AT = re.compile(r"\s?(?:@|\(at\)|\[at\]|\{at\})\s?|\sat\s(?=[A-Za-z0-9-]{1,63}\sdot\s)", re.I)
 WIDE_LABEL = re.compile("[A-Za-z0-9-]{1,63}")
 WIDE_DOT = re.compile(r"\s?(?:\.|\(dot\)|\[dot\]|\{dot\})\s?(?=[A-Za-z0-9-])|\sdot\s(?=[A-Za-z0-9-])", re.I)
+#: Parts of an address are proposed up to this length of its local part and this many dots; a longer one only whole.
 MOST_LOCAL = 64
 MOST_DOTS = 5
 #: Tried at the start of every digit group, so a run of five groups gives two.
@@ -131,18 +132,30 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 
 def _emails(text: str) -> Iterator[tuple[int, int, int]]:
-    """At each mark every start of the local part (after each of its separators) with every end of the domain."""
+    """At each mark every start of the local part (after each of its separators) with every end of the domain.
+
+    A run longer than ``MOST_LOCAL`` characters or ``MOST_DOTS`` dots is taken
+    whole on that side, not in parts, so that no span cuts it; a domain also up
+    to its first dot beside a blank, which may end a sentence.
+    """
     for at in WIDE_AT.finditer(text):
         left = at.start()
-        while left > max(0, at.start() - MOST_LOCAL) and text[left - 1] in LOCAL:
+        while left > 0 and text[left - 1] in LOCAL:
             left -= 1
-        starts = [i for i in range(left, at.start()) if text[i].isalnum() and (i == left or not text[i - 1].isalnum())]
-        if left < at.start() and left not in starts:
-            starts.append(left)
-        ends, end = [], WIDE_LABEL.match(text, at.end())
-        while starts and end and len(ends) < MOST_DOTS and (dot := WIDE_DOT.match(text, end.end())):
+        if at.start() - left > MOST_LOCAL:
+            starts = [left]
+        else:
+            starts = [i for i in range(left, at.start()) if text[i].isalnum() and (i == left or not text[i - 1].isalnum())]
+            if left < at.start() and left not in starts:
+                starts.append(left)
+        ends, end, tight = [], WIDE_LABEL.match(text, at.end()), 0
+        while starts and end and (dot := WIDE_DOT.match(text, end.end())):
             end = WIDE_LABEL.match(text, dot.end())
+            if dot.group() == "." and tight == len(ends):
+                tight += 1
             ends.append(end.end())
+        if len(ends) > MOST_DOTS:
+            ends = [ends[tight - 1], ends[-1]] if 0 < tight < len(ends) else ends[-1:]
         for start in starts:
             for e in ends:
                 yield start, 0, e

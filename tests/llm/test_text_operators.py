@@ -217,6 +217,18 @@ def test_pii_candidates_overlap():
             assert {(s + (text[s] == "("), e) for s, k, e in pii.candidates(text) if k == kind} == want, text
 
 
+@pytest.mark.parametrize("datum", ["jo (at) a.b.c.d.e.f.g.h.com", "abcdefg." * 9 + "z (at) mail.example.com"])
+def test_pii_long_addresses_are_taken_whole(pii_model, datum):
+    for text in (f"Please write to {datum} now", f"Please write to {datum}. Then we meet"):
+        at = text.index(datum)
+        proposed = {(s, e) for s, k, e in pii.candidates(text) if k == 0}
+        assert (at, at + len(datum)) in proposed
+        assert all(e >= at + len(datum) for _, e in proposed) or datum.startswith("abc")
+        assert all(s == at for s, _ in proposed) or datum.startswith("jo")
+    text = f"please write to {datum} today"
+    assert [text[s:e] for s, k, e in pii.spans(text, pii_model)[1] if k == 0] == [datum]
+
+
 @pytest.mark.parametrize("text, added", [("tel 555-123-4567 555-987-6543", ["555-123-4567", "555-987-6543"]),
                                          ("paid 4111 1111 1111 1111 12/27 123 ok", ["4111 1111 1111 1111"])])
 def test_pii_neighbouring_numbers_are_found(pii_model, text, added):

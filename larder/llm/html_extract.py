@@ -8,13 +8,16 @@ node's exact content marginal; the text of nodes with a marginal of one half or
 more is the page's main text. A batch of pages is one forest, passed level by level.
 
 Training maximises the conditional likelihood of labelled pages with the same
-messages: ``seed_pages`` (layouts made here by a rule, every node labelled), and a
+messages: ``seed_trees`` (layouts made here by a rule, every node labelled: half
+with an element that names itself the content, half with blocks right below the
+body, containers of unknown names, table layouts or no tags at all), and a
 bounded sample (``SAMPLE_PAGES``, by a hash over the whole table) of the pages
 with just one article or main element, labelled by their semantic tags.
 
 Text: character references are decoded, white space inside a block becomes one
 space (a line break is white space), blocks are joined in page order by a
-line feed. Scripts, styles and controls never hold text; formulas are inline text. A block left open
+line feed. Scripts and styles never hold text; formulas and labels are inline text, what stands
+in for media and buttons is a block that the model judges. A block left open
 ends where HTML ends it; a tag that closes nothing is ignored.
 
 Edge cases: a null or empty page, or one without content, has an empty text;
@@ -53,10 +56,13 @@ TAGS = {
     "tr": "table", "td": "cell", "th": "cell", "caption": "cell", "figure": "figure", "figcaption": "figure",
     "blockquote": "quote", "pre": "quote", "address": "address", "details": "section", "summary": "p", "dialog": "dialog",
     "hgroup": "section", "center": "div", "html": "html", "head": "hidden", "noscript": "hidden", "template": "hidden",
-    "select": "hidden", "button": "hidden", "iframe": "hidden", "object": "hidden", "svg": "hidden", "canvas": "hidden",
-    "audio": "hidden", "video": "hidden", "label": "hidden"}
+    "select": "hidden", "button": "form", "iframe": "hidden", "object": "figure", "svg": "hidden", "canvas": "hidden",
+    "audio": "figure", "video": "figure"}
 KINDS = sorted(set(TAGS.values()))
-ENDS_P = frozenset(t for t, k in TAGS.items() if k not in ("hidden", "cell") and t not in ("html", "body", "tr", "thead", "tbody", "tfoot"))
+#: Elements that may stand inside a paragraph.
+PHRASING = frozenset(("button", "object", "audio", "video"))
+ENDS_P = frozenset(t for t, k in TAGS.items() if k not in ("hidden", "cell") and t not in ("html", "body", "tr", "thead", "tbody", "tfoot")
+                   ) - PHRASING
 #: A start tag ends an open element of its group, up to the element that holds such groups.
 SIBLINGS = {"li": ({"li"}, {"ul", "ol", "menu"}), "dd": ({"dd", "dt"}, {"dl"}), "dt": ({"dd", "dt"}, {"dl"}),
             "tr": ({"tr", "td", "th"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"})}
@@ -189,7 +195,7 @@ def parse(page: str | None, labelled: bool = False) -> Tree:
 
 #: Kinds whose descendants carry a mark of them.
 REGIONS = ("article", "main", "nav", "header", "footer", "aside", "form", "dialog")
-N_FEATURES = 1 + len(KINDS) + len(HINT_NAMES) * 2 + 16 + len(REGIONS) + 2
+N_FEATURES = 1 + len(KINDS) + len(HINT_NAMES) * 2 + 16 + len(REGIONS) + 5
 
 
 class Forest:
@@ -247,7 +253,12 @@ class Forest:
         x[:, j:j + len(REGIONS)] = region
         bad = above[:, [i for i, k in enumerate(HINT_NAMES) if k != "content"]].any(1) | region[:, 2:].any(1)
         heart = region[:, :2].any(1)
-        x[:, j + len(REGIONS)], x[:, j + len(REGIONS) + 1] = heart & ~bad, ~heart & bad
+        j += len(REGIONS)
+        x[:, j], x[:, j + 1] = heart & ~bad, ~heart & bad
+        # Whether the page names its content anywhere: if so the rest of it is judged otherwise than on a page that does not.
+        named = (heart | above[:, HINT_NAMES.index("content")].astype(bool)) & ~bad
+        has = np.repeat(np.maximum.reduceat(named, roots), sizes) if n else named
+        x[:, j + 2], x[:, j + 3], x[:, j + 4] = has & ~named, ~has & ~bad, ~has & bad
         self.x = x
 
     def marginals(self, weights: np.ndarray, pair: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -389,9 +400,44 @@ def seed_pages(n: int = SEEDS, seed: int = 5) -> list[str]:
         before = "".join(around(False) for _ in range(rng.randint(0, 4)))
         after = "".join(around(True) for _ in range(rng.randint(0, 5)))
         pages.append(f'<html><head><title>{words(1, 4)}</title></head><body data-keep="0">{before}{heart}{after}</body></html>')
+
+    def off(k: int, late: bool) -> str:
+        """Surroundings that are marked as such wherever they stand."""
+        return "".join(re.sub(r"^<([a-z]+)", r'<\1 data-keep="0"', around(late)) for _ in range(rng.randint(0, k)))
+
+    def unnamed() -> str:
+        return one("", "", f' class="{rng.choice(vocabulary)}"', f' id="{rng.choice(vocabulary)}-{rng.randint(1, 9)}"', ' class="lead"',
+                   ' class="col-8"', ' class="wrap inner"')
+
+    for _ in range(n):
+        body = inner()
+        form = rng.randrange(6)
+        if form <= 1:  # blocks right below the body
+            page = f'<html><body data-keep="1">{off(3, False)}{body}{off(4, True)}</body></html>'
+        elif form == 2:  # a container of no known name
+            page = f'<html><body data-keep="0">{off(3, False)}<div{unnamed()} data-keep="1">{body}</div>{off(4, True)}</body></html>'
+        elif form == 3:
+            page = f'<div{unnamed()} data-keep="1">{body}</div>'
+        elif form == 4:  # a table as layout
+            menu = one("", f'<td data-keep="0"><ul>{links(4)}</ul></td>', f'<td data-keep="0"><a href="/">{words(1, 2)}</a><br><a href="/b">{words(1, 2)}</a></td>')
+            page = f'<html><body data-keep="0">{off(2, False)}<table><tr>{menu}<td data-keep="1">{body}</td></tr></table>{off(2, True)}</body></html>'
+        else:
+            page = f'<html><body data-keep="1"><center{unnamed()}>{body}</center></body></html>'
+        pages.append(page)
     return pages
 
 
+def seed_trees() -> list[Tree]:
+    """The labelled seed layouts, and texts without tags, which are content as a whole."""
+    pages = seed_pages()
+    trees = [parse(p, labelled=True) for p in pages]
+    for t in trees[-SEEDS // 10:]:
+        plain = parse(". ".join(text for _, text, _ in t.segments))
+        plain.label[0] = "1"
+        trees.append(plain)
+    return trees
+
+
 def sample(pages: DataFrame, most: int = SAMPLE_PAGES) -> list[Tree]:
     """Whole trees, without texts, of a bounded number of the table's pages that label themselves."""
     source = pages.select(F.col("html").cast("string").alias("html")).where("html is not null")
@@ -426,7 +472,7 @@ def sample(pages: DataFrame, most: int = SAMPLE_PAGES) -> list[Tree]:
 
 def train(pages: DataFrame, most: int = SAMPLE_PAGES) -> Model:
     """Model of the seed layouts and a bounded sample of the table's pages (of each at most its parsed tree reaches the driver)."""
-    return fit([parse(p, labelled=True) for p in seed_pages()] + sample(pages, most))
+    return fit(seed_trees() + sample(pages, most))
 
 
 def extract(texts: list, model: Model) -> list[str]:

@@ -295,5 +295,33 @@ def test_registered_queries():
     from larder.llm import queries
 
     names = list(queries.queries())
-    assert [n.split("_")[0] for n in names[:-1]] == [f"op{i}" for i in range(1, 11)] and names[-1] == "pipeline"
+    assert [n.split("_")[0] for n in names[:-1]] == [f"op{i}" for i in range(1, 14)] and names[-1] == "pipeline"
     assert set(queries.oracle_sql()) <= set(names)
+
+
+PROSE = ("The quick survey of the northern orchards began in May, when the growers met. They counted every tree, and wrote the "
+         "numbers down.")
+
+
+@pytest.fixture(scope="module")
+def seeds_model():
+    return html_extract.fit(html_extract.seed_trees())
+
+
+@pytest.mark.parametrize("page, text", [
+    (f"<html><body><p>{PROSE}</p><p>{PROSE} {PROSE}</p></body></html>", f"{PROSE}\n{PROSE} {PROSE}"),
+    (f'<html><body><nav><ul><li><a href="/">Home</a></li><li><a href="/b">News</a></li></ul></nav><h1>Orchard survey</h1><p>{PROSE}</p>'
+     f"<p>{PROSE}</p><footer>&copy; 2024 Orchard people</footer></body></html>", f"Orchard survey\n{PROSE}\n{PROSE}"),
+    (f"<div><h1>Orchard survey</h1><p>{PROSE}</p><p>{PROSE}</p></div>", f"Orchard survey\n{PROSE}\n{PROSE}"),
+    (f'<html><body><div class="lead"><p>{PROSE}</p><p>{PROSE}</p></div></body></html>', f"{PROSE}\n{PROSE}"),
+    (f"<html><body><table><tr><td><h1>Title</h1><p>{PROSE}</p></td></tr></table></body></html>", f"Title\n{PROSE}"),
+    (f'<html><body><table><tr><td><a href="/">Home</a><br><a href="/a">News</a></td><td><p>{PROSE}</p><p>{PROSE}</p></td></tr></table>'
+     "</body></html>", f"{PROSE}\n{PROSE}"),
+    ("Just plain text without tags, but with sentences.", "Just plain text without tags, but with sentences."),
+    (f"<html><body><article><p>We asked, and then <label>the patient</label> answered.</p><p>{PROSE}</p></article></body></html>",
+     f"We asked, and then the patient answered.\n{PROSE}"),
+    (f'<html><body><div class="cookie-banner"><p>We use cookies. Please accept.</p></div><h1>Orchard survey</h1><p>{PROSE}</p>'
+     f'<p>{PROSE}</p><div class="ad">Buy now, it is cheap.</div></body></html>', f"Orchard survey\n{PROSE}\n{PROSE}"),
+    (f'<html><body><article><p>{PROSE}</p><form><label>Your name</label><button>Send</button></form></article></body></html>', PROSE)])
+def test_pages_without_a_named_container(seeds_model, page, text):
+    assert html_extract.extract([page], seeds_model) == [text]

@@ -75,7 +75,7 @@ def encoder(path: str, cache_words: int = CACHE_WORDS) -> tuple[Callable[[str |
     mapped = {ord(c): to_bytes.pre_tokenize_str(c.lower())[0][0] for c in letters}
     latin = re.compile(f"[!-~{letters}]+")
     piece = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[a-z{letters}]+|[0-9]|[^0-9{letters}]+")
-    odd_space = re.compile("[\x1c-\x1f]")
+    odd_space = "\x1c\x1d\x1e\x1f"
     blank = re.compile("[^ \t\n\r\x0b\x0c]+")
     known: dict[str, bytes] = {}
 
@@ -118,7 +118,7 @@ def encoder(path: str, cache_words: int = CACHE_WORDS) -> tuple[Callable[[str |
         return plain(text)
 
     def plain(text: str) -> bytes:
-        parts = blank.findall(text) if odd_space.search(text) else text.split()
+        parts = blank.findall(text) if any(c in text for c in odd_space) else text.split()
         return b"".join(map(words.__getitem__, parts))
 
     return encode, "<u2" if code == "H" else "<u4"

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -108,20 +110,40 @@ def parse_json_documents(raw: DataFrame, element_schema: T.StructType) -> DataFr
     return _exploded(raw, element_schema).select("_e.*")
 
 
-def _exploded(raw: DataFrame, element_schema: T.DataType) -> DataFrame:
-    arr = _elements(element_schema)
+def _exploded(raw: DataFrame, element_schema: T.DataType, refine: Callable[[Column], Column] = lambda parsed: parsed) -> DataFrame:
+    arr = refine(_elements(element_schema))
     bad = F.raise_error(F.concat(F.lit("not a JSON array document: "), F.col("path"))).cast(T.ArrayType(element_schema))
     return raw.select(F.explode(F.coalesce(arr, bad)).alias("_e"))
 
 
+def _with_exact_numbers(parsed: Column) -> Column:
+    """``parsed`` (maps of text) with top-level numbers as the variant parser reads them: decimals, not doubles.
+
+    A document that the variant parser refuses (a name twice in an object) stays as parsed.
+    """
+    text = F.decode(F.col("content"), "UTF-8")
+    exact = F.try_variant_get(F.try_parse_json(text), "$", "array<map<string,variant>>")
+
+    def value(variants: Column):
+        def of(name: Column, written: Column) -> Column:
+            v = variants[name]
+            return F.when(F.schema_of_variant(v).startswith("DECIMAL"), F.try_variant_get(v, "$", "string")).otherwise(written)
+        return of
+
+    return F.coalesce(F.zip_with(parsed, exact, lambda m, v: F.coalesce(F.transform_values(m, value(v)), m)), parsed)
+
+
 def json_document_records(raw: DataFrame) -> DataFrame:
     """Rows of landed JSON-array documents with every value as text, a column for each name found.
 
     For documents of unknown schema: names come from all records (collected: one
-    string a column), nested values stay JSON text, numbers are written as doubles
-    print. Bad documents fail as in ``parse_json_documents``.
+    string a column), nested values stay JSON text. Numbers of up to 38 digits keep
+    all their digits (without trailing zeros of a fraction); longer fractions and
+    those with an exponent, and fractions inside nested values, are written as
+    doubles print. Bad documents fail as in ``parse_json_documents``.
     """
-    rows = _exploded(raw, T.MapType(T.StringType(), T.StringType()))
+    element = T.MapType(T.StringType(), T.StringType())
+    rows = _exploded(raw, element, _with_exact_numbers)
     names = sorted(r[0] for r in rows.select(F.explode(F.map_keys("_e"))).distinct().collect())
     return rows.select(*[F.col("_e")[n].alias(n) for n in names])
 

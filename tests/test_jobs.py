@@ -68,6 +68,18 @@ def test_documents_of_unknown_schema(spark, tmp_path):
     assert sorted(map(tuple, got.collect())) == [("1", '{"x":[1,2]}', None), ("2.5", None, None), ("b", None, None)]
 
 
+def test_numbers_of_landed_documents_keep_their_digits(spark, tmp_path):
+    from larder.sources import readers
+
+    (tmp_path / "a.json").write_text('[{"d": 12345678901234567.89, "i": 123456789012345678901234567890123456789012, "e": 1e3},\n'
+                                     ' {"d": -0.10, "i": 7, "e": "0.10", "n": [1.5]}]')
+    got = readers.json_document_records(readers.read_raw_files(spark, str(tmp_path), "a.json"))
+    assert got.columns == ["d", "e", "i", "n"]
+    assert sorted(map(tuple, got.collect()), key=repr) == [
+        ("-0.1", "0.10", "7", "[1.5]"),
+        ("12345678901234567.89", "1000.0", "123456789012345678901234567890123456789012", None)]
+
+
 def test_silver_job_with_parquet_movements_and_sampled_inference(spark):
     from larder.plans.jobs import run_silver
 

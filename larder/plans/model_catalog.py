@@ -20,7 +20,8 @@ def _frame(spark: SparkSession, sf: str):
     return M.model_frame(gold_table(spark, sf))
 
 
-def _fitted(spark: SparkSession, sf: str, kind: str):
+def fitted(spark: SparkSession, sf: str, kind: str):
+    """The forest of the gold table's training rows (``clf`` or ``reg``), fitted once a session."""
     key = (spark.sparkContext.applicationId, input_state(spark, sf), sf, kind)
     with _FIT_LOCK:
         if key not in _MODELS:
@@ -60,7 +61,7 @@ def train_test_split(spark, sf):
 
 
 def rf_stockout(spark, sf):
-    pred = M.classifier_predictions(_fitted(spark, sf, "clf"), _test(spark, sf))
+    pred = M.classifier_predictions(fitted(spark, sf, "clf"), _test(spark, sf))
     return pred.select("product_id", M.CLASS_LABEL, "prediction", "p_risk")
 
 
@@ -113,14 +114,14 @@ def auc_exact(spark, sf):
 
 
 def auc_model(spark, sf):
-    pred = stage(M.classifier_predictions(_fitted(spark, sf, "clf"), _test(spark, sf)).select(
+    pred = stage(M.classifier_predictions(fitted(spark, sf, "clf"), _test(spark, sf)).select(
         M.CLASS_LABEL, "rawPrediction", "p_risk"), "class-predictions")
     exact = M.auc_by_aggregation(pred, M.CLASS_LABEL, "p_risk")
     return exact.withColumn("evaluator_auc", F.lit(M.evaluator_auc(pred)).cast("double"))
 
 
 def rf_reorder_point(spark, sf):
-    pred = _fitted(spark, sf, "reg").transform(_test(spark, sf))
+    pred = fitted(spark, sf, "reg").transform(_test(spark, sf))
     return pred.select("product_id", M.REGRESSION_LABEL, "prediction")
 
 
@@ -137,7 +138,7 @@ def regression_metrics_model(spark, sf):
 
 
 def score_products(spark, sf):
-    scored = M.score_products(gold_table(spark, sf), _fitted(spark, sf, "clf"), _fitted(spark, sf, "reg"))
+    scored = M.score_products(gold_table(spark, sf), fitted(spark, sf, "clf"), fitted(spark, sf, "reg"))
     return scored.select("product_id", "stock_on_hand", "predicted_stockout", "predicted_rop")
 
 
@@ -156,7 +157,7 @@ def recommendations_from_model_output(spark, sf):
 
 def feature_importance(spark, sf):
     _, feats = _frame(spark, sf)
-    return M.feature_importance(_fitted(spark, sf, "clf"), feats, spark)
+    return M.feature_importance(fitted(spark, sf, "clf"), feats, spark)
 
 
 def model_queries():

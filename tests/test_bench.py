@@ -18,4 +18,5 @@ def test_bench_prints_one_json_line(tmp_path):
     d = json.loads(lines[0])
     assert d["unit"] == "sec" and d["sf"] == 0.001 and d["metric"] == "total_query_seconds"
     assert set(d["queries"]) == {"silver_layer", "gold_layer", "gold_features", "priority_summary"}
+    assert d["training_text"] == {}
     assert abs(d["value"] - sum(d["queries"].values())) < 1e-6

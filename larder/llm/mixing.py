@@ -1,19 +1,21 @@
 """Mixing sources to target weights, in blocks of a fixed number of words.
 
 Each source's words, in a fixed order of its documents, are packed into blocks
-of ``BLOCK_WORDS`` (the last one may be shorter). The mix is a row of slots, cut
-into output shards. For each shard the sources' slot counts are a multinomial
-draw, with probabilities in proportion to what each source still owes, so that
-the totals meet the targets. A source's slots are numbered through all shards;
-number r stands for block ``permutation(r mod blocks)`` of its pass ``r div
+of ``BLOCK_WORDS`` (the last one may be shorter). The mix is a set of slots, dealt
+to output shards of about ``SHARD_SLOTS``. How many slots a source gives to each
+shard is a multinomial draw with the source's total held, so the totals meet the
+targets; a source's slots are drawn in runs of ``RUN_SLOTS``, each by a task of its
+own, from a seed of source and run. A source's slots are numbered through all
+shards; number r stands for block ``permutation(r mod blocks)`` of its pass ``r div
 blocks``, each pass with its own keyed pseudorandom permutation, so a block is
 drawn as often as any other, or once more. Blocks and slots meet in a join on
 the block's index.
 
 Targets: sources in code point order, null last, weigh 1, 2, 3, repeating; a
 target stops at ``MOST`` times its source's size and the excess is shared
-by weight among the others. Only one row a source, and one a source and shard
-(``MOST_SHARDS`` shards at most), pass through the driver.
+by weight among the others. Sources are a table, numbered by a range shuffle; there
+may be as many as documents. Only sums over all sources reach the driver, one
+row for each time that the excess is shared again.
 
 Word offsets come from sums within (source, hash bucket) groups and the sums of
 the groups before, so a source with a third of all rows is spread over many
@@ -38,54 +40,41 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
+from larder.functions.ranking import ordinals
 from larder.llm.common import TMP, slices, stage
 
 BLOCK_WORDS = 64
 SHARD_SLOTS = 4096
-MOST_SHARDS = 4096
+RUN_SLOTS = 1 << 16
+MOST_RUN_TASKS = 100_000
 MOST = 3
 BUCKET_ROWS = 20_000
 SEED = 20_240_601
 WORD = r"[^\x20\x09-\x0D]+"
 
 
-def targets(sizes: list[int], most: int = MOST) -> list[float]:
-    """Words wanted of each source, by weights 1, 2, 3, repeating, under the limits."""
-    weights = [1 + i % 3 for i in range(len(sizes))]
-    out, left, open_ = [0.0] * len(sizes), float(sum(sizes)), set(range(len(sizes)))
-    while open_:
-        unit = left / sum(weights[i] for i in open_)
-        over = {i for i in open_ if unit * weights[i] > most * sizes[i]}
-        if not over:
-            for i in open_:
-                out[i] = unit * weights[i]
+def _sources(totals: DataFrame, block_words: int, most: int = MOST) -> DataFrame:
+    """(sid, source, size, target, blocks, draws) of the sources in ``totals`` (source, words)."""
+    by_source = totals.groupBy("source").agg(F.sum("words").alias("size"))
+    numbered = stage(ordinals(by_source, [F.col("source").isNull(), F.col("source")], "sid"), "mix-numbered")
+    weight, limit = F.col("sid") % 3 + 1, F.col("size") * most
+    unit, stopped = 0.0, None
+    while True:  # the level only rises, so a source once at its limit stays there
+        over = F.lit(unit) * weight > limit
+        got = numbered.agg(F.sum("size").alias("all"), F.sum(F.when(over, limit)).alias("given"),
+                           F.sum(F.when(~over, weight)).alias("open"), F.count(F.when(over, 1)).alias("stopped")).first()
+        if got["stopped"] == stopped or not got["open"]:
             break
-        for i in over:
-            out[i] = float(most * sizes[i])
-            left -= out[i]
-        open_ -= over
-    return out
-
-
-def draw(wanted: np.ndarray, shard_slots: int = SHARD_SLOTS, seed: int = SEED) -> list[tuple[int, int, int, int]]:
-    """(shard, source, first number, count): multinomial counts of each shard by what the sources still owe."""
-    left = wanted.astype(np.int64).copy()
-    total = int(left.sum())
-    size = max(shard_slots, -(-total // MOST_SHARDS))
-    rng = np.random.default_rng(seed)
-    done, plan, shard = np.zeros_like(left), [], 0
-    while total:
-        n = min(size, total)
-        took = np.zeros_like(left)
-        while (need := n - int(took.sum())) > 0:  # what a source can't give is drawn again from the others
-            p = (left - took).astype(float)
-            took = np.minimum(left, took + rng.multinomial(need, p / p.sum()))
-        plan += [(shard, int(s), int(done[s]), int(took[s])) for s in np.flatnonzero(took)]
-        done += took
-        left -= took
-        total -= n
-        shard += 1
-    return plan
+        unit, stopped = (got["all"] - (got["given"] or 0)) / got["open"], got["stopped"]
+    target = F.when(over, limit.cast("double")).otherwise(F.lit(unit) * weight)
+    blocks = F.expr(f"(size + {block_words - 1}) div {block_words}")
+    draws = F.when(F.col("size") > 0, F.rint(F.col("target") * F.col("blocks") / F.col("size"))).otherwise(0).cast("long")
+    return numbered.select("sid", "source", "size", target.alias("target"), blocks.alias("blocks")).withColumn("draws", draws)
+
+
+def drawn_shards(sid: int, run: int, n: int, shards: int, seed: int = SEED) -> np.ndarray:
+    """Ascending shards of a run's ``n`` slots: each shard's count is multinomial."""
+    return np.sort(np.random.default_rng([seed, sid, run]).integers(0, shards, n))
 
 
 def permuted(index: np.ndarray, size: np.ndarray, key: np.ndarray) -> np.ndarray:
@@ -110,9 +99,9 @@ def _scrambled(v: np.ndarray) -> np.ndarray:
 
 
 class Mix:
-    """The parts of a mix: ``docs`` (staged, with sid, size, start), ``sources`` and ``slots``."""
+    """The parts of a mix: ``docs`` (staged, with sid, size, start), ``sources`` (staged) and ``slots``."""
 
-    def __init__(self, docs: DataFrame, sources: list[dict], slots: DataFrame):
+    def __init__(self, docs: DataFrame, sources: DataFrame, slots: DataFrame):
         self.docs, self.sources, self.slots = docs, sources, slots
 
 
@@ -126,51 +115,54 @@ def plan(docs: DataFrame, keep: list[Column], block_words: int = BLOCK_WORDS, se
     rows = sized.count()
     buckets = max(1, -(-rows // BUCKET_ROWS))
     sized = sized.withColumn(TMP + "bucket", F.pmod(TMP + "hash", F.lit(buckets)))
-    totals = sized.groupBy(TMP + "source", TMP + "bucket").agg(F.sum(TMP + "size").alias("words"))
-    by_source = totals.groupBy(F.col(TMP + "source").alias("source")).agg(F.sum("words").alias("words")).collect()
-    by_source = sorted(by_source, key=lambda r: (r["source"] is None, (r["source"] or "").encode("utf-8", "surrogatepass")))
-    sizes = [int(r["words"]) for r in by_source]
-    want = targets(sizes)
-    blocks = [-(-n // block_words) for n in sizes]
-    draws = np.array([round(t * b / n) if n else 0 for t, b, n in zip(want, blocks, sizes)], np.int64)
-    sources = [{"sid": i, "source": r["source"], "size": sizes[i], "target": want[i], "blocks": blocks[i], "draws": int(draws[i])}
-               for i, r in enumerate(by_source)]
-    spark = docs.sparkSession
-    named = spark.createDataFrame(
-        [(s["sid"], s["source"], s["size"], s["target"]) for s in sources],
-        "sid int, source string, source_size long, target double").withColumnsRenamed({"source": TMP + "of"})
-    before = F.sum("words").over(Window.partitionBy(TMP + "source").orderBy(TMP + "bucket").rowsBetween(Window.unboundedPreceding, -1))
-    offsets = totals.select(F.col(TMP + "source").alias("_s"), F.col(TMP + "bucket").alias("_b"), F.coalesce(before, F.lit(0)).alias("_before"))
+    totals = stage(sized.groupBy(F.col(TMP + "source").alias("source"), F.col(TMP + "bucket").alias("bucket")).agg(
+        F.sum(TMP + "size").alias("words")), "mix-totals")
+    sources = stage(_sources(totals, block_words), "mix-sources")
+    before = F.sum("words").over(Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1))
+    named = sources.select(F.col("source").alias("_of"), "sid", F.col("size").alias("source_size"), "target")
+    # sources meet the buckets, not the documents: a key of the documents' join has one bucket's rows
+    offsets = totals.select(F.col("source").alias("_s"), F.col("bucket").alias("_b"), F.coalesce(before, F.lit(0)).alias("_before"))
+    offsets = offsets.join(named, F.col("_s").eqNullSafe(F.col("_of"))).drop("_of")
     inside = F.sum(TMP + "size").over(Window.partitionBy(TMP + "source", TMP + "bucket").orderBy(TMP + "hash", TMP + "id").rowsBetween(
         Window.unboundedPreceding, -1))
     placed = sized.withColumn("_inside", F.coalesce(inside, F.lit(0)))
     placed = placed.join(offsets, F.col(TMP + "source").eqNullSafe(F.col("_s")) & (F.col(TMP + "bucket") == F.col("_b")), "left")
-    placed = placed.join(named, F.col(TMP + "source").eqNullSafe(F.col(TMP + "of")), "left")
     start = (F.col("_inside") + F.coalesce("_before", F.lit(0))).alias("start")
     out = placed.select(*[F.col(f"`{c}`") for c in sized.columns if not c.startswith(TMP)], "sid",
                         F.col(TMP + "size").alias("size"), "source_size", "target", start)
-    slots = _slots(spark, draw(draws, seed=seed), blocks, seed)
-    return Mix(stage(out, "mix-placed"), sources, slots)
+    return Mix(stage(out, "mix-placed"), sources, _slots(sources, seed=seed))
 
 
-def _slots(spark, counts: list[tuple[int, int, int, int]], blocks: list[int], seed: int) -> DataFrame:
+def _slots(sources: DataFrame, shard_slots: int = SHARD_SLOTS, seed: int = SEED) -> DataFrame:
     """(shard, sid, number, block): one row for each slot of the mix."""
-    rows = [(shard, s, first, n, blocks[s]) for shard, s, first, n in counts]
-    drawn = spark.createDataFrame(rows, "shard int, sid int, first long, n long, blocks long")
-    if len(rows) > 1:
-        drawn = drawn.repartition(min(len(rows), max(1, spark.sparkContext.defaultParallelism)), "shard", "sid")
-    numbered = drawn.select("shard", "sid", "blocks", F.explode(F.sequence(F.col("first"), F.col("first") + F.col("n") - 1)).alias("number"))
+    total = sources.agg(F.sum("draws")).first()[0] or 0
+    shards = max(1, -(-total // shard_slots))
+    runs = sources.where("draws > 0").select("sid", "blocks", "draws", F.explode(F.expr(f"sequence(0, (draws - 1) div {RUN_SLOTS})")).alias("run"))
+    runs = runs.repartition(min(MOST_RUN_TASKS, 1 + total // RUN_SLOTS), "sid", "run")
+
+    def together(held: list) -> pa.RecordBatch:
+        n = [len(number) for _, _, number, _ in held]
+        sid, size = (np.repeat(np.array([h[k] for h in held], np.int64), n) for k in (0, 1))
+        number, shard = (np.concatenate([h[k] for h in held]) for k in (2, 3))
+        key = _scrambled(sid.astype(np.uint64) * np.uint64(1_000_003) + (number // size).astype(np.uint64) * np.uint64(7919) + np.uint64(seed))
+        block = permuted(number % size, size, key)
+        return pa.RecordBatch.from_arrays([pa.array(shard), pa.array(sid), pa.array(number), pa.array(block)],
+                                          names=["shard", "sid", "number", "block"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, rows = [], 0
         for batch in batches:
-            number, size = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("number", "blocks"))
-            sid = batch.column("sid").to_numpy(zero_copy_only=False).astype(np.uint64)
-            key = _scrambled(sid * np.uint64(1_000_003) + (number // size).astype(np.uint64) * np.uint64(7919) + np.uint64(seed))
-            block = permuted(number % size, size, key)
-            yield pa.RecordBatch.from_arrays([batch.column("shard"), batch.column("sid"), batch.column("number"), pa.array(block)],
-                                             names=["shard", "sid", "number", "block"])
-
-    return numbered.mapInArrow(run, "shard int, sid int, number long, block long")
+            for sid, blocks, draws, at in zip(*(batch.column(c).to_pylist() for c in ("sid", "blocks", "draws", "run"))):
+                number = np.arange(at * RUN_SLOTS, min(draws, (at + 1) * RUN_SLOTS), dtype=np.int64)
+                held.append((sid, blocks, number, drawn_shards(sid, at, len(number), shards, seed)))
+                rows += len(number)
+                if rows >= RUN_SLOTS:
+                    yield together(held)
+                    held, rows = [], 0
+        if held:
+            yield together(held)
+
+    return runs.mapInArrow(run, "shard long, sid long, number long, block long")
 
 
 def pieces(mix: Mix, keep: list[str], block_words: int = BLOCK_WORDS) -> DataFrame:

@@ -364,11 +364,34 @@ def test_language_score_is_the_whole_texts(docs):
 
 # --- mixing
 
-def test_targets():
-    assert mixing.targets([100, 100, 100]) == pytest.approx([50, 100, 150])
-    got = mixing.targets([1, 1000, 10, 0])
-    assert got[0] == 3 and got[2] == 30 and got[3] == 0 and got[1] == pytest.approx(978)
-    assert mixing.targets([]) == [] and mixing.targets([0, 0]) == [0, 0]
+def _targets(sizes, most=3):
+    """By hand: shared by weight, the excess over a limit shared again until none is above."""
+    weights = [1 + i % 3 for i in range(len(sizes))]
+    out, left, open_ = [0.0] * len(sizes), float(sum(sizes)), set(range(len(sizes)))
+    while open_:
+        unit = left / sum(weights[i] for i in open_)
+        over = {i for i in open_ if unit * weights[i] > most * sizes[i]}
+        for i in over or open_:
+            out[i] = float(most * sizes[i]) if over else unit * weights[i]
+            left -= out[i]
+        open_ -= over or open_
+    return out
+
+
+def _source_rows(spark, sizes):
+    names = [f"s{i:06d}" for i in range(len(sizes) - 1)] + [None] * bool(sizes)
+    totals = spark.createDataFrame([(n, w) for n, size in zip(names, sizes) for w in (size - size // 3, size // 3)], "source string, words long")
+    return names, sorted(mixing._sources(totals, 64).collect(), key=lambda r: r["sid"])
+
+
+def test_targets(spark):
+    rng = np.random.default_rng(5)
+    for sizes in ([100, 100, 100], [1, 1000, 10, 0], [], [0, 0], [7], [int(x) for x in rng.lognormal(6, 3, 3000)]):
+        names, got = _source_rows(spark, sizes)
+        assert [r["source"] for r in got] == names and [r["size"] for r in got] == sizes
+        assert [r["target"] for r in got] == pytest.approx(_targets(sizes))
+        assert all(r["blocks"] == -(-r["size"] // 64) for r in got)
+        assert all(r["draws"] == (round(r["target"] * r["blocks"] / r["size"]) if r["size"] else 0) for r in got)
 
 
 def test_permutation_is_one(size=1000):
@@ -378,14 +401,32 @@ def test_permutation_is_one(size=1000):
         assert sorted(got) == list(range(n))
 
 
-def test_draw_meets_the_totals():
-    want = np.array([5, 0, 9000, 1234])
-    plan = mixing.draw(want, shard_slots=100)
-    assert [sum(n for _, s, _, n in plan if s == k) for k in range(4)] == want.tolist()
-    for k in range(4):
-        numbers = [x for _, s, first, n in plan if s == k for x in range(first, first + n)]
-        assert numbers == list(range(want[k]))
-    assert plan == mixing.draw(want, shard_slots=100)
+def test_draw_meets_the_totals(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "RUN_SLOTS", 500)
+    want = {0: 5, 1: 0, 2: 9000, 3: 1234}
+    sources = spark.createDataFrame([(s, 40, n) for s, n in want.items()], "sid long, blocks long, draws long")
+    rows = [tuple(r) for r in mixing._slots(sources, shard_slots=100).collect()]
+    for s, n in want.items():
+        own = sorted(r[2:] for r in rows if r[1] == s)
+        assert [number for number, _ in own] == list(range(n))
+        for at in range(0, n - 39, 40):  # a pass holds every block once
+            assert sorted(b for _, b in own[at:at + 40]) == list(range(40))
+    assert {r[0] for r in rows} <= set(range(103))
+    assert sorted(rows) == sorted(tuple(r) for r in mixing._slots(sources.repartition(3), shard_slots=100).collect())
+    # multinomial counts: chi square of the large source over the shards, 102 degrees of freedom
+    counts = np.bincount([r[0] for r in rows if r[1] == 2], minlength=103)
+    assert 55 < ((counts - 9000 / 103)**2 / (9000 / 103)).sum() < 165
+
+
+def test_mix_of_many_sources(spark):
+    """One source a document: nothing a source passes through the driver."""
+    docs = spark.range(20_000).select(F.col("id").alias("doc_id"), F.concat(F.lit("host"), "id").alias("source"),
+                                      F.expr("repeat('a word ', cast(1 + id % 50 as int))").alias("text"))
+    got = mixing.taken_words(docs).collect()
+    assert len(got) == 20_000 and all(0 <= r["taken"] <= 3 * r["size"] and r["source_size"] == r["size"] for r in got)
+    order = sorted(got, key=lambda r: f"host{r['doc_id']}")
+    assert [r["target"] for r in order] == pytest.approx(_targets([r["size"] for r in order]))
+    assert all(abs(r["taken"] - r["target"]) <= 64 for r in got)
 
 
 def test_mix_takes_what_it_should(docs, clashing, no_docs):

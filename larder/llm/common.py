@@ -14,10 +14,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from larder.functions.lineage import stage
+from larder.functions.skew import hot_keys, replicate_for_salts, salt_rows
 
 #: Prefix of working columns; an input column that starts with it is dropped.
 TMP = "__llm_"
 
+#: Edges of a node that one task joins, at most (or a 10,000th part of all).
+HUB_EDGES = 1_000_000
+
 #: Bytes of ASCII letters lower-cased (A-Z only).
 LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 
@@ -146,10 +150,15 @@ def components(links: DataFrame, max_rounds: int = 60) -> DataFrame:
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
-    """Each node's larger neighbours are linked to the smallest of it and its neighbours."""
+    """Each node's larger neighbours are linked to the smallest of it and its neighbours.
+
+    A hub's edges are salted, so a component that holds most nodes is no single task's.
+    """
     both = edges.union(edges.select(F.col("b"), F.col("a"))).toDF("u", "v")
-    least = both.groupBy("u").agg(F.min("v").alias("m"))
-    out = both.where("v > u").join(least, "u").select(F.least("m", "u").alias("a"), F.col("v").alias("b"))
+    least = stage(both.groupBy("u").agg(F.min("v").alias("m"), F.count(F.when(F.col("v") > F.col("u"), 1)).alias("n")), "least")
+    hot = hot_keys(least, "u", "n", HUB_EDGES)
+    larger = salt_rows(edges.toDF("u", "v"), F.col("u"), hot)  # a < b in every edge
+    out = larger.join(replicate_for_salts(least, F.col("u"), hot), ["u", "_salt"]).select(F.least("m", "u").alias("a"), F.col("v").alias("b"))
     return out.where("a <> b").distinct()
 
 

@@ -28,11 +28,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
+from larder.functions.skew import hot_keys, replicate_for_salts, salt_rows
 from larder.llm.common import LOWER, TMP, add_columns, components, number_rows, stage
 
 SHINGLE_WORDS = 3
 MAX_BITS = 2
 HASH_SEED = 42
+SALT_ROWS = 1_000_000
 
 
 def _fingerprinter(words_each: int, numbered: bool):
@@ -118,12 +120,15 @@ def _grouped(printed: DataFrame, max_bits: int) -> DataFrame:
 def simhash_components(docs: DataFrame, words_each: int = SHINGLE_WORDS, max_bits: int = MAX_BITS) -> DataFrame:
     """Every row's (doc_id, fingerprint, component_id); see the module's text."""
     printed = stage(fingerprints(docs.select("doc_id", "text"), words_each).drop("text"), "simhash")
-    classes = printed.groupBy(TMP + "fp").agg(F.min("doc_id").alias("first"))
+    classes = printed.groupBy(TMP + "fp").agg(F.min("doc_id").alias("first"), F.count("*").alias("copies"))
     # class grain from here on: copies come back only in the last join
     classes = stage(_grouped(classes, max_bits), "simhash-classes")
     least = classes.groupBy(F.col(TMP + "of").alias("of")).agg(F.min("first").alias("component_id"))
     named = classes.select(F.col(TMP + "fp").alias("node"), F.col(TMP + "of").alias("of")).join(least, "of").drop("of")
-    return printed.join(named, F.col(TMP + "fp") == F.col("node"), "left").select(
+    hot = hot_keys(classes, TMP + "fp", "copies", SALT_ROWS)
+    named = replicate_for_salts(named, F.col("node"), hot).withColumnRenamed("_salt", "_part")
+    same = (F.col(TMP + "fp") == F.col("node")) & (F.col("_salt") == F.col("_part"))
+    return salt_rows(printed, F.col(TMP + "fp"), hot).join(named, same, "left").select(
         "doc_id", F.lower(F.lpad(F.hex(TMP + "fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 

@@ -3,13 +3,17 @@
 Rows with equal label and vector form a class first, so copies cost one row.
 Class vectors, scaled to length one, go to coarse inverted lists (nearest of k
 centroids); the residual to the centroid is coded in ``SUBSPACES`` subspaces of
-``CODES`` words each. Every class is a query. It probes each list that can hold
-a vector within the radius r of the similarity: a vector of list l lies on l's
-side of the plane between l and the query's own list 0, so l is needed only if
-d(q, l)^2 - d(q, 0)^2 <= 2 r |l - 0| and d(q, l) is at most r more than the
-distance of the list's widest member; nothing within the radius lies elsewhere. In a probed list, distances come from the query's lookup tables (one a subspace) and
-the codes. A member whose coded distance is within r plus its own coding error
-is a candidate, again a bound that loses nothing, and the exact cosine decides.
+``CODES`` words each. Every class is a query. A vector of list l lies on l's side
+of the plane between l and the query's own list, so a partner within the radius r
+of the similarity lies in l only if the step to it crosses that plane. Of a step of
+length r, the part across a plane has a standard deviation of r times the share of
+the sample's variance across it (at least r / sqrt(dimensions)); the query probes l
+if the plane is within ``PROBE_DEVIATIONS`` of these (never more than r, beyond
+which nothing can lie) and l's widest member can be within r. In up to nine
+dimensions that loses no pair; in more, a pair near the limit may be missed, or be
+counted on one side only, and the tests measure the recall against brute force. In a probed list, distances come from the query's lookup tables (one a
+subspace) and the codes. A member whose coded distance is within r plus its own
+coding error is a candidate, a bound that loses nothing, and the exact cosine decides.
 
 Quantisers are fitted on a bounded sample (``SAMPLE_ROWS`` classes, by a hash);
 every class is indexed. Lists and their queries are cut into blocks of
@@ -32,6 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from larder.functions.skew import hot_keys, replicate_for_salts, salt_rows
 from larder.llm.common import components, stage
 
 SIMILARITY = 0.98
@@ -41,17 +46,32 @@ LIST_ROWS = 2048
 MOST_LISTS = 4096
 SAMPLE_ROWS = 20_000
 BLOCK_ROWS = 1024
+PROBE_DEVIATIONS = 3.0
 PAIRS_AT_ONCE = 1 << 16
+SALT_ROWS = 1_000_000
 SLACK = 1e-6
 
 
 class Quantiser:
     """Centroids of the lists and codebooks of the residuals, for vectors of one length."""
 
-    def __init__(self, centroids: np.ndarray, books: list[np.ndarray], first: int):
+    def __init__(self, centroids: np.ndarray, books: list[np.ndarray], first: int, sample: np.ndarray):
         self.centroids, self.books, self.first = centroids, books, first
         self.cuts = np.cumsum([0] + [b.shape[1] for b in books])
-        self.apart = np.sqrt(np.maximum(_squares(centroids, centroids), 0))
+        self.apart = np.sqrt(_squares(centroids, centroids))
+        # a unit step's standard deviation across the plane between two lists, times the lists' distance
+        values, axes = np.linalg.eigh(np.cov(sample.T, bias=True).reshape(sample.shape[1], -1))
+        values = np.maximum(values, 0)
+        turned = centroids @ axes * np.sqrt(values / (values.sum() or 1.0))
+        self.across = np.maximum(np.sqrt(_squares(turned, turned)), self.apart / np.sqrt(sample.shape[1]))
+
+    def probed(self, x: np.ndarray, radius: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Each vector's own list, the lists it probes (a mask) and its squared distances to all."""
+        far = _squares(x, self.centroids)
+        near = far.argmin(1)
+        gap = far - far[np.arange(len(x)), near][:, None]  # twice the way to the plane, times the lists' distance
+        step = np.minimum(self.apart, PROBE_DEVIATIONS * self.across)[near]
+        return near, gap <= 2 * radius * step + SLACK, far
 
     def coded(self, residual: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Codes and coding errors."""
@@ -115,7 +135,7 @@ def fit(vectors: list[np.ndarray], rows: int) -> dict[int, Quantiser]:
         residual = x - centers[_squares(x, centers).argmin(1)]
         edges = np.linspace(0, length, min(SUBSPACES, length) + 1).astype(int)
         books = [_kmeans(residual[:8192, a:b], CODES, rng) for a, b in zip(edges[:-1], edges[1:])]
-        out[length] = Quantiser(centers, books, first)
+        out[length] = Quantiser(centers, books, first, x)
         first += len(centers)
     return out
 
@@ -142,11 +162,8 @@ def _index(classes: DataFrame, quantisers, radius: float) -> DataFrame:
                         own[i], codes[i], errors[i], away[i], probes[i], gaps[i] = -int(length), b"", 0.0, 0.0, [-int(length)], [0.0]
                     continue
                 x = _unit(np.array([vectors[i] for i in at], float))
-                far = _squares(x, q.centroids)
-                near = far.argmin(1)
+                near, reach, far = q.probed(x, radius)
                 code, error = q.coded(x - q.centroids[near])
-                gap = far - far[np.arange(len(at)), near][:, None]
-                reach = gap <= 2 * radius * q.apart[near] + SLACK
                 for j, i in enumerate(at):
                     own[i], codes[i], errors[i] = q.first + int(near[j]), code[j].tobytes(), float(error[j])
                     away[i] = float(np.sqrt(far[j, near[j]]))
@@ -170,7 +187,7 @@ def _search(index: DataFrame, quantisers, similarity: float, radius: float) -> D
         F.col("label").alias("_label"), F.col("list").alias("at"), "widest", F.ceil(F.col("rows") / BLOCK_ROWS).cast("int").alias("nm"))
 
     def probing(*columns: str) -> DataFrame:
-        """Queries and the lists of their label that they probe: nothing within the radius lies beyond a list's widest member either."""
+        """Queries and the lists of their label that they probe: nothing within the radius lies beyond a list's widest member."""
         each = index.select("label", *columns, F.explode(F.arrays_zip("probes", "gaps")).alias("probe"))
         return each.join(groups, (F.col("label") == F.col("_label")) & (F.col("probe.probes") == F.col("at"))).where(
             F.col("probe.gaps") <= F.col("widest") + radius + SLACK).drop("probe", "_label", "widest")
@@ -249,12 +266,16 @@ def embedding_components(vectors: DataFrame, similarity: float = SIMILARITY) ->
     named = classes.join(links, "cid", "left").join(groups, F.col("cid") == F.col("node"), "left").select(
         "label", "embedding", "first", "n", F.coalesce("links", F.lit(0)).alias("links"), F.coalesce("component", "cid").alias("of"))
     least = named.groupBy("of").agg(F.min("first").alias("component_id"))
-    named = named.join(least, "of").select(
+    named = stage(named.join(least, "of").select(
         F.xxhash64("label", "embedding").alias("key"), F.col("label").alias("_label"), F.col("embedding").alias("_embedding"),
-        (F.col("links") + F.col("n") - 1).alias("n_links"), "component_id")
-    keyed = rows.withColumn("key", F.when(_valid(), F.xxhash64("label", "embedding")))
-    named = named.withColumnRenamed("key", "_key")
-    same = (F.col("key") == F.col("_key")) & (F.col("label") == F.col("_label")) & (F.col("embedding") == F.col("_embedding"))
+        F.col("n").alias("copies"), (F.col("links") + F.col("n") - 1).alias("n_links"), "component_id"), "vector-named")
+    # rows that link with nothing meet no class: their key only spreads them
+    keyed = rows.withColumn("key", F.when(_valid(), F.xxhash64("label", "embedding")).otherwise(F.xxhash64("vec_id")))
+    hot = hot_keys(named, "key", "copies", SALT_ROWS)
+    keyed = salt_rows(keyed, F.col("key"), hot)
+    named = replicate_for_salts(named, F.col("key"), hot).withColumnsRenamed({"key": "_key", "_salt": "_part"})
+    same = (F.col("key") == F.col("_key")) & (F.col("_salt") == F.col("_part")) & (F.col("label") == F.col("_label")) & (
+        F.col("embedding") == F.col("_embedding"))
     component = F.when(F.col("_key").isNull(), F.col("vec_id")).otherwise(F.col("component_id"))
     return keyed.join(named, same, "left").select(
         "vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"),

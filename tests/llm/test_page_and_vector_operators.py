@@ -1,10 +1,11 @@
 """URL filter, HTML extraction, embedding near-duplicates, components, the pipeline."""
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from larder.llm import embed_dedup, html_extract, url_filter
+from larder.llm import common, embed_dedup, html_extract, url_filter
 from larder.llm.common import components, table
 
 
@@ -266,6 +267,59 @@ def test_embedding_bounds_lose_nothing_in_small_blocks(spark, monkeypatch):
     assert sorted([tuple(r) for r in got.collect()], key=repr) == _brute([(a, [float(x) for x in v], c) for a, v, c in rows])
 
 
+def test_embedding_joins_and_hubs_are_salted(spark, monkeypatch):
+    monkeypatch.setattr(embed_dedup, "SALT_ROWS", 20)
+    monkeypatch.setattr(common, "HUB_EDGES", 3)
+    monkeypatch.setattr(embed_dedup, "BLOCK_ROWS", 16)
+    rng = np.random.default_rng(8)
+    centers = rng.normal(size=(6, 8))
+    rows = [(i, (centers[i % 6] + rng.normal(size=8) * 0.08).astype("f4").tolist(), 0) for i in range(200)]
+    rows += [(300 + i, rows[0][1], 0) for i in range(150)] + [(500 + i, None, 0) for i in range(50)]
+    got = embed_dedup.embedding_components(spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int"))
+    assert sorted([tuple(r) for r in got.collect()], key=repr) == _brute([(a, None if v is None else [float(x) for x in v], c) for a, v, c in rows])
+
+
+def _unit_rows(rng, n, centers=None):
+    x = rng.normal(size=(n, 64)) if centers is None else centers[rng.integers(0, len(centers), n)] + 0.5 * rng.normal(size=(n, 64))
+    return x / np.linalg.norm(x, axis=1)[:, None]
+
+
+@pytest.mark.parametrize("clustered", [False, True])
+def test_probes_grow_little_and_find_the_partners(clustered, monkeypatch):
+    """Per vector, from 50,000 to 500,000 vectors (25 and 244 lists), with partners at the very limit of 0.98."""
+    rng = np.random.default_rng(9)
+    centers = rng.normal(size=(300, 64)) if clustered else None
+    sample = list(_unit_rows(rng, 6000, centers))
+    asked = []
+    for rows in (50_000, 500_000):
+        q = embed_dedup.fit(sample, rows)[64]
+        x = _unit_rows(rng, 2000, centers)
+        step = rng.normal(size=x.shape)
+        step -= (step * x).sum(1)[:, None] * x
+        near = 0.98 * x + np.sqrt(1 - 0.98**2) * step / np.linalg.norm(step, axis=1)[:, None]
+        _, mask, _ = q.probed(x, np.sqrt(0.04))
+        own, _, _ = q.probed(near, np.sqrt(0.04))
+        assert len(q.centroids) == round(rows / embed_dedup.LIST_ROWS)
+        assert mask[np.arange(len(x)), own].mean() > 0.99
+        asked.append(mask.sum(1).mean())
+    assert asked[0] < 8 and asked[1] < 3 * asked[0]
+
+
+def test_embedding_recall_on_50000_vectors(spark):
+    """All links between 50,000 clustered vectors with planted near copies, against brute force in blocks."""
+    rng = np.random.default_rng(10)
+    x = _unit_rows(rng, 40_000, rng.normal(size=(300, 64)))
+    near = x[:10_000] + rng.normal(size=(10_000, 64)) * rng.uniform(0, 0.2, 10_000)[:, None] / 8
+    x = np.concatenate([x, near]).astype("f4")
+    unit = x.astype(float) / np.linalg.norm(x.astype(float), axis=1)[:, None]
+    want = np.concatenate([(unit[i:i + 2000] @ unit.T >= 0.98).sum(1) - 1 for i in range(0, len(unit), 2000)])
+    frame = pd.DataFrame({"vec_id": np.arange(len(x)), "label": 0, "embedding": list(x)})
+    got = embed_dedup.embedding_components(spark.createDataFrame(frame, "vec_id long, label int, embedding array<float>")).toPandas()
+    links = got.sort_values("vec_id")["n_links"].to_numpy()
+    assert want.sum() > 15_000 and (links <= want).all()
+    assert links.sum() / want.sum() > 0.999
+
+
 # --- pipeline
 
 def test_pipeline_stages(spark, docs, clashing):

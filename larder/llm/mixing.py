@@ -174,10 +174,15 @@ def pieces(mix: Mix, keep: list[str], block_words: int = BLOCK_WORDS) -> DataFra
     return some.select("*", low.alias("from"), high.alias("to"))
 
 
+def _drawn(mix: Mix) -> DataFrame:
+    """(sid, block, times) of the blocks drawn. They grow with the input and shuffle small, so they are never broadcast."""
+    return mix.slots.groupBy("sid", "block").agg(F.count("*").alias("times")).hint("merge")
+
+
 def taken_words(docs: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
     """Per document: doc_id, size, source_size, target, and the words that the mix takes of it."""
     mix = plan(docs, ["doc_id"], block_words)
-    drawn = mix.slots.groupBy("sid", "block").agg(F.count("*").alias("times"))
+    drawn = _drawn(mix)
     took = pieces(mix, [], block_words).join(drawn, ["sid", "block"]).groupBy("sid", "start").agg(
         F.sum((F.col("to") - F.col("from")) * F.col("times")).alias("taken"))
     return _with_taken(mix.docs, took)
@@ -211,7 +216,7 @@ def mixed_documents(docs: DataFrame, block_words: int = BLOCK_WORDS) -> DataFram
     columns = [c for c in docs.columns if not c.startswith(TMP)]
     numbered = stage(docs.select(*[F.col(f"`{c}`") for c in columns], F.monotonically_increasing_id().alias(TMP + "row")), "mix-rows")
     mix = plan(numbered, [F.col(TMP + "row").alias("row")], block_words)
-    drawn = mix.slots.groupBy("sid", "block").agg(F.count("*").alias("times"))
+    drawn = _drawn(mix)
     parts = pieces(mix, ["row"], block_words).join(drawn, ["sid", "block"]).select(
         "row", F.struct("from", "to", "times").alias("part"))
     parts = parts.groupBy(F.col("row").alias(TMP + "key")).agg(F.array_sort(F.collect_list("part")).alias(TMP + "parts"))

@@ -48,12 +48,13 @@ def _mark_hot(df: DataFrame, key_cols: Sequence[Column], hot: DataFrame) -> Data
     return joined.drop(*[f"_hk{i}" for i in range(len(key_cols))])
 
 
-def salt_rows(rows: DataFrame, key_cols: Column | Sequence[Column], hot: DataFrame) -> DataFrame:
-    """Add ``_salt``: a content hash below the key's salts for hot keys, 0 otherwise."""
+def salt_rows(rows: DataFrame, key_cols: Column | Sequence[Column], hot: DataFrame, by: Sequence[str] | None = None,
+              name: str = "_salt") -> DataFrame:
+    """Add ``name``: a hash of the columns ``by`` (all by default) below the key's salts for hot keys, 0 otherwise."""
     key_cols = [key_cols] if isinstance(key_cols, Column) else list(key_cols)
-    salt = F.pmod(F.xxhash64(*[rows[c] for c in rows.columns]), F.col("_salts")).cast("int")
+    salt = F.pmod(F.xxhash64(*[rows[f"`{c}`"] for c in by or rows.columns]), F.col("_salts")).cast("int")
     marked = _mark_hot(rows, key_cols, hot)
-    return marked.withColumn("_salt", F.coalesce(salt, F.lit(0))).drop("_salts")
+    return marked.withColumn(name, F.coalesce(salt, F.lit(0))).drop("_salts")
 
 
 def replicate_for_salts(side: DataFrame, key_cols: Column | Sequence[Column], hot: DataFrame) -> DataFrame:

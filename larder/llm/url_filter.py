@@ -34,6 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from larder.functions.skew import hot_keys, replicate_for_salts, salt_rows
 from larder.llm.common import TMP, add_columns, number_rows, slices, stage
 
 #: (host, path, verdict); the rules of the contract.
@@ -45,11 +46,8 @@ BITS = 6
 STEPS = float(1 << 32)
 #: Orders with so few contexts that their counts are sent to all tasks.
 SMALL_ORDERS = 2
-#: The dense small-table form (``slots``, ``Model``), which the tests hold the interpolation against; no query uses it.
-HASHED = 1 << 14
-CONTEXTS = [min(SYMBOLS**k, HASHED) if k > 2 else SYMBOLS**k for k in range(ORDER + 1)]
-STARTS = np.concatenate([[0], np.cumsum(CONTEXTS)])
-SLOTS = int(STARTS[-1]) * SYMBOLS
+#: Rows of one run of characters, or of one URL, that one task joins, at most (or a 10,000th part of all).
+KEY_ROWS = 1_000_000
 FOLDS = 5
 BINS = 2001
 SPREAD = 10.0
@@ -96,50 +94,6 @@ def _symbols() -> np.ndarray:
     return out
 
 
-def slots(urls: list[bytes], symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Count slots (order, character) of the URLs laid end to end, and the URLs' lengths (with an end mark)."""
-    joined = b"".join(b"\0" * ORDER + u + b"\n" for u in urls)
-    codes = symbols[np.frombuffer(joined, np.uint8)]
-    codes[np.frombuffer(joined, np.uint8) == 0] = 0
-    n = np.array([len(u) + 1 for u in urls], np.int64)
-    ends = np.cumsum(n + ORDER)
-    real = np.ones(len(codes), bool)
-    real[(ends - n - ORDER)[:, None] + np.arange(ORDER)] = False
-    at = np.flatnonzero(real)
-    out = np.empty((ORDER + 1, len(at)), np.int64)
-    context = np.zeros(len(at), np.int64)
-    for k in range(ORDER + 1):
-        if k:
-            context = context * SYMBOLS + codes[at - k]
-        own = context if CONTEXTS[k] == SYMBOLS**k else (context * 0x9E3779B1 >> 11) % CONTEXTS[k]
-        out[k] = (STARTS[k] + own) * SYMBOLS + codes[at]
-    return out, n
-
-
-class Model:
-    """Both classes' counts in dense arrays, summed per context."""
-
-    def __init__(self, counts: np.ndarray):
-        self.counts = counts.reshape(2, -1, SYMBOLS)
-        self.total = self.counts.sum(2)
-        self.kinds = (self.counts > 0).sum(2).astype(np.float32)
-
-    def scores(self, urls: list[bytes], symbols: np.ndarray) -> np.ndarray:
-        """Mean log-likelihood difference per character, accepted minus rejected."""
-        if not urls:
-            return np.zeros(0)
-        slot, n = slots(urls, symbols)
-        logs = []
-        for c in range(2):
-            p = np.full(slot.shape[1], 1 / SYMBOLS)
-            for k in range(ORDER + 1):
-                context = slot[k] >> 6
-                kinds, total = self.kinds[c][context], self.total[c][context]
-                p = (self.counts[c].ravel()[slot[k]] + kinds * p + 1e-9 * p) / (total + kinds + 1e-9)
-            logs.append(np.log(p))
-        return np.add.reduceat(logs[0] - logs[1], np.concatenate([[0], np.cumsum(n)[:-1]])) / n
-
-
 class Counts:
     """The written table (run, n0, n1) of both classes' runs, and the threshold."""
 
@@ -215,8 +169,8 @@ def _end(order: int) -> Column:
 
 
 def ratios(runs: DataFrame, counts: DataFrame) -> DataFrame:
-    """(run, ratio) of the distinct ``runs``: log-likelihood of the last character as accepted minus as rejected."""
-    out = runs.select("run").distinct().withColumns({f"p{c}": F.lit(1 / SYMBOLS) for c in range(2)})
+    """(run, ratio) of ``runs``, each once: log-likelihood of the last character as accepted minus as rejected."""
+    out = runs.select("run").withColumns({f"p{c}": F.lit(1 / SYMBOLS) for c in range(2)})
     for k in range(ORDER + 1):
         sums = [F.sum(f"n{c}").alias(f"n{c}") for c in range(2)]
         own = counts.groupBy(_end(k).alias("end")).agg(*sums)
@@ -234,11 +188,17 @@ def ratios(runs: DataFrame, counts: DataFrame) -> DataFrame:
 
 
 def scores(urls: DataFrame, model: Counts) -> DataFrame:
-    """(row, score) of numbered URLs: mean log-likelihood difference per character, accepted minus rejected."""
-    laid = _laid_out(urls)
+    """(row, score) of numbered URLs: mean log-likelihood difference per character, accepted minus rejected.
+
+    Every URL holds the runs of its scheme, so runs are counted first and the frequent ones salted.
+    """
+    laid = _laid_out(urls).select("row", "run")
+    runs = stage(laid.groupBy("run").agg(F.count("*").alias("n")), "url-runs")
     step = F.round(F.col("ratio") * F.lit(STEPS)).cast("long")
-    known = ratios(laid, model.runs).select("run", step.alias("steps"))
-    return laid.join(known, "run").groupBy("row").agg((F.sum(F.col("steps").cast("decimal(20,0)")) / F.lit(STEPS) / F.count("*")).cast("double").alias("score"))
+    known = ratios(runs, model.runs).select("run", step.alias("steps"))
+    hot = hot_keys(runs, "run", "n", KEY_ROWS)
+    laid, known = salt_rows(laid, F.col("run"), hot), replicate_for_salts(known, F.col("run"), hot)
+    return laid.join(known, ["run", "_salt"]).groupBy("row").agg((F.sum(F.col("steps").cast("decimal(20,0)")) / F.lit(STEPS) / F.count("*")).cast("double").alias("score"))
 
 
 def train(pages: DataFrame, rules: tuple = RULES) -> Counts | None:
@@ -287,7 +247,12 @@ def url_filter(pages: DataFrame, model: Counts | None, rules: tuple = RULES) ->
         return found.withColumn("verdict", F.coalesce("verdict", F.lit("allow"))).withColumn("score", F.lit(0.0))
     key = F.coalesce(F.col("url").cast("string"), F.lit(""))
     urls = _numbered(pages.select(key.alias("url")), rules)
+    hot = hot_keys(urls, "url", "times", KEY_ROWS)
     scored = urls.join(scores(urls, model), "row").select(F.col("url").alias(TMP + "url"), "score")
-    found = found.withColumn(TMP + "key", key).join(scored, F.col(TMP + "key") == F.col(TMP + "url"), "left").drop(TMP + "key", TMP + "url")
+    scored = replicate_for_salts(scored, F.col(TMP + "url"), hot).withColumnRenamed("_salt", TMP + "part")
+    plain = [f.name for f in found.schema.fields if isinstance(f.dataType, T.AtomicType)]
+    keyed = salt_rows(found.withColumn(TMP + "key", key), F.col(TMP + "key"), hot, plain, TMP + "salt")
+    same = (F.col(TMP + "key") == F.col(TMP + "url")) & (F.col(TMP + "salt") == F.col(TMP + "part"))
+    found = keyed.join(scored, same, "left").drop(*[TMP + c for c in ("key", "url", "salt", "part")])
     judged = F.when(F.col("score") >= model.threshold, "allow").otherwise("block")
     return found.withColumn("verdict", F.coalesce("verdict", judged))

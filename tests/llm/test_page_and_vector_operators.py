@@ -57,14 +57,65 @@ def test_url_models_tell_the_labelled_apart(spark):
     assert got.where("verdict not in ('allow', 'block') or verdict is null").count() == 0
 
 
+# The models in dense arrays by hashed contexts, for small tables: the written counts are held against them.
+HASHED = 1 << 14
+CONTEXTS = [min(url_filter.SYMBOLS**k, HASHED) if k > 2 else url_filter.SYMBOLS**k for k in range(url_filter.ORDER + 1)]
+STARTS = np.concatenate([[0], np.cumsum(CONTEXTS)])
+SLOTS = int(STARTS[-1]) * url_filter.SYMBOLS
+
+
+def slots(urls: list[bytes], symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Count slots (order, character) of the URLs laid end to end, and the URLs' lengths (with an end mark)."""
+    joined = b"".join(b"\0" * url_filter.ORDER + u + b"\n" for u in urls)
+    codes = symbols[np.frombuffer(joined, np.uint8)]
+    codes[np.frombuffer(joined, np.uint8) == 0] = 0
+    n = np.array([len(u) + 1 for u in urls], np.int64)
+    ends = np.cumsum(n + url_filter.ORDER)
+    real = np.ones(len(codes), bool)
+    real[(ends - n - url_filter.ORDER)[:, None] + np.arange(url_filter.ORDER)] = False
+    at = np.flatnonzero(real)
+    out = np.empty((url_filter.ORDER + 1, len(at)), np.int64)
+    context = np.zeros(len(at), np.int64)
+    for k in range(url_filter.ORDER + 1):
+        if k:
+            context = context * url_filter.SYMBOLS + codes[at - k]
+        own = context if CONTEXTS[k] == url_filter.SYMBOLS**k else (context * 0x9E3779B1 >> 11) % CONTEXTS[k]
+        out[k] = (STARTS[k] + own) * url_filter.SYMBOLS + codes[at]
+    return out, n
+
+
+class DenseModel:
+    """Both classes' counts in dense arrays, summed per context."""
+
+    def __init__(self, counts: np.ndarray):
+        self.counts = counts.reshape(2, -1, url_filter.SYMBOLS)
+        self.total = self.counts.sum(2)
+        self.kinds = (self.counts > 0).sum(2).astype(np.float32)
+
+    def scores(self, urls: list[bytes], symbols: np.ndarray) -> np.ndarray:
+        """Mean log-likelihood difference per character, accepted minus rejected."""
+        if not urls:
+            return np.zeros(0)
+        slot, n = slots(urls, symbols)
+        logs = []
+        for c in range(2):
+            p = np.full(slot.shape[1], 1 / url_filter.SYMBOLS)
+            for k in range(url_filter.ORDER + 1):
+                context = slot[k] >> 6
+                kinds, total = self.kinds[c][context], self.total[c][context]
+                p = (self.counts[c].ravel()[slot[k]] + kinds * p + 1e-9 * p) / (total + kinds + 1e-9)
+            logs.append(np.log(p))
+        return np.add.reduceat(logs[0] - logs[1], np.concatenate([[0], np.cumsum(n)[:-1]])) / n
+
+
 def test_url_scores_equal_a_direct_model():
     """The counts' interpolation, character by character."""
     symbols = url_filter._symbols()
     train = [[b"http://a.org/x", b"http://b.org/y"], [b"http://a.net/zz"]]
-    counts = np.zeros((2, url_filter.SLOTS), np.float32)
+    counts = np.zeros((2, SLOTS), np.float32)
     for c in range(2):
-        counts[c] = np.bincount(url_filter.slots(train[c], symbols)[0].ravel(), minlength=url_filter.SLOTS)
-    model = url_filter.Model(counts)
+        counts[c] = np.bincount(slots(train[c], symbols)[0].ravel(), minlength=SLOTS)
+    model = DenseModel(counts)
     url = b"http://a.org/zz"
     logs = np.zeros(2)
     for c in range(2):

@@ -8,6 +8,10 @@ where the automaton, started at a place, passes all mandatory wording exactly.
 All templates run together: every word that can start one opens a run, and a run
 holds a set of states, so the work is a few steps a word of a candidate place.
 
+Whole licences (``license_texts``, labels that end in ``-text``) are accepted only with
+all their conditions and the disclaimer; the labels of ``OPENINGS`` stand for
+notices and first words, by which texts name a licence.
+
 The base labels come from fixed phrases whose words stand consecutively; they
 are independent of the templates, whose labels are added.
 
@@ -30,6 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from larder.llm.common import LOWER, add_columns
+from larder.llm.license_texts import WHOLE
 
 # fixed values: base phrases and labels
 PHRASES = {"mit license": "mit", "apache license": "apache", "general public license": "gpl"}
@@ -37,8 +42,8 @@ PHRASES = {"mit license": "mit", "apache license": "apache", "general public lic
 #: Lower-cases A-Z and turns every ASCII byte outside a word into a blank.
 WORDS = bytes(b if b >= 128 or chr(b).isdigit() or chr(b).islower() else 32 for b in LOWER)
 
-#: Label and wording of the templates: the notices and openings by which texts name a licence, not whole licences.
-TEMPLATES = {
+#: Label and wording of the notices and openings by which texts name a licence.
+OPENINGS = {
     "apache-2.0-notice": "licensed under the apache license <<opt: version >> 2 0 <<opt: the license you may not use this "
                          "<<any: 2 >> except in compliance with the license >>",
     "mit-notice": "<<opt: this <<any: 2 >> is >> released under the <<opt: terms of the >> mit license",
@@ -63,6 +68,7 @@ TEMPLATES = {
     "mpl-2.0-notice": "this source code form is subject to the terms of the mozilla public license v 2 0",
     "all-rights-reserved": "copyright <<any: 8 >> all rights reserved",
 }
+TEMPLATES = OPENINGS | WHOLE
 
 
 class Automaton:

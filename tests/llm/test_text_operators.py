@@ -10,7 +10,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from larder.llm import boosting, lang_id, license_scan, mixing, packing, pii, quality, simhash
+from larder.llm import boosting, lang_id, license_scan, license_texts, mixing, packing, pii, quality, simhash
 
 WS = "[^\x20\x09-\x0d]+"
 
@@ -269,6 +269,36 @@ def test_license_version_is_mandatory(version, labels):
     assert set(got[2]) == labels and (got[3] == 1) == bool(labels)
 
 
+BSD = [license_texts.BSD_CONDITIONS, license_texts.BSD_ADVERTISING, license_texts.BSD_NAMES, license_texts.BSD_DISCLAIMER]
+
+
+def whole_text(wording, holder="the widget authors"):
+    """A licence as it stands in a file: regions without marks, any-word regions filled where a name belongs."""
+    wording = re.sub(r"<<any: 1 >>", "", wording)
+    return re.sub(r"<<any: \d+ >>", holder, wording).replace("<<opt:", "").replace(">>", "")
+
+
+@pytest.mark.parametrize("label", sorted(license_texts.WHOLE))
+def test_whole_licences(label):
+    """The whole text is accepted under its own label alone, an altered or cut one is not, wherever it is altered."""
+    by_start = license_scan.compiled()
+    labels = lambda text: {x for x in license_scan.scan(license_scan.words_of(text), by_start)[2] if x.endswith("-text")}
+    text = whole_text(license_texts.WHOLE[label])
+    assert labels(text) == labels("Copyright (c) 2020 Jo. " + text.upper() + " Thanks to all.") == {label}
+    words = text.split()
+    for at in (3, len(words) // 2, len(words) - 8, len(words) - 1):
+        assert labels(" ".join(words[:at] + ["wholly", "altered", "wording"] * 10 + words[at + 1:])) == set()
+    assert labels(" ".join(words[:-1])) == set()
+
+
+def test_clauses_tell_the_bsd_licences_apart():
+    by_start = license_scan.compiled()
+    for clauses, label in (((0, 3), "bsd-2-clause-text"), ((0, 2, 3), "bsd-3-clause-text"), ((0, 1, 2, 3), "bsd-4-clause-text"), ((0, 2), None)):
+        text = " ".join(f"{k + 1}. {whole_text(BSD[c])}" if k and c < 3 else whole_text(BSD[c]) for k, c in enumerate(clauses))
+        found = license_scan.scan(license_scan.words_of(text), by_start)[2]
+        assert found == {"bsd-redistribution", *([label] if label else [])}
+
+
 def test_automaton_regions():
     a = license_scan.Automaton("a <<opt: b <<any: 1 >> >> c")
     assert [a.run(x.encode().split(), 0)[0] for x in ("a c", "a b c", "a b z c", "a b z z c", "a z c")] == [True, True, True, False, False]

@@ -15,7 +15,7 @@ from larder.plans import fixtures as fx
 from larder.plans.incremental import incremental_gold
 from larder.plans.layers import gold_table, silver_tables
 from larder.session import scratch_path
-from larder.sources import json_arrays, readers, tables, writers
+from larder.sources import files, json_arrays, readers, tables, writers
 from larder.sources.landing import land_chunked_documents
 from larder.streaming.silver import clean_movements_incrementally
 
@@ -63,14 +63,19 @@ def gold_incremental(spark, sf):
 
 
 def silver_incremental(spark, sf):
-    """Movement files streamed into silver, a file at a time, with a whole delivery repeated later."""
+    """Movement files streamed into silver, two deliveries at a time, with a whole delivery repeated later.
+
+    A delivery is written by the tasks that read it, so its files grow in number, not in size.
+    """
     src, silver = scratch_path(spark, "inc-files"), scratch_path(spark, "inc-moves")
     moves = fx.stock_move(spark, sf)
+    held = []
     for part in _deliveries(moves):
-        writers.write_parquet(part, src, num_files=1, mode="append")
+        writers.write_parquet(part, src, mode="append")
+        held.append(sum(n.endswith(".parquet") for n in files.names(spark, src)))
     checkpoint = scratch_path(spark, "inc-ckpt")
-    clean_movements_incrementally(spark, src, moves.schema, silver, checkpoint, max_files_per_trigger=2)
-    writers.write_parquet(_deliveries(moves)[1], src, num_files=2, mode="append")
+    clean_movements_incrementally(spark, src, moves.schema, silver, checkpoint, max_files_per_trigger=held[1])
+    writers.write_parquet(_deliveries(moves)[1], src, mode="append")
     return clean_movements_incrementally(spark, src, moves.schema, silver, checkpoint)
 
 

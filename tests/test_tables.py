@@ -1,5 +1,6 @@
 """Replaces that fail, versioned tables, increments, saved models, counted writes."""
 
+import os
 import random
 
 import pytest
@@ -249,3 +250,27 @@ def test_jobs_with_versions_increments_breaks_and_csv_scores(spark, tmp_path):
     by_csv = {r.priority: r.n_products for r in
               run_recommendations(spark, f"{root}/scores-csv", f"{root}/recs-csv", scored_format="csv").collect()}
     assert by_csv == by_parquet and sum(by_csv.values()) == 200
+
+
+def test_deliveries_grow_in_files_not_in_the_size_of_one(spark, tmp_path, monkeypatch):
+    from larder.plans import table_catalog
+
+    rows = spark.range(4000).selectExpr(
+        "id AS l_orderkey", "id % 50 AS l_partkey", "id % 7 AS l_suppkey", "cast(id % 4 as int) AS l_linenumber",
+        "cast(id % 9 as double) AS l_quantity", "'A' AS l_returnflag", "'F' AS l_linestatus",
+        "cast(date_add(date'1993-01-01', cast(id % 2000 as int)) as timestamp_ntz) AS l_shipdate")
+    rows.repartition(4).write.parquet(str(tmp_path / "lineitem.parquet"))
+    seen, scratch = {}, table_catalog.scratch_path
+    monkeypatch.setattr(table_catalog, "scratch_path", lambda s, name: seen.setdefault(name, scratch(s, name)))
+    key = "spark.sql.files.openCostInBytes"
+    old = spark.conf.get(key)
+    spark.conf.set(key, str(128 << 20))  # each input file is a task of its own
+    try:
+        got = table_catalog.silver_incremental(spark, str(tmp_path))
+        assert got.count() == 4000 and got.select("transaction_id").distinct().count() == 4000
+    finally:
+        spark.conf.set(key, old)
+    files = [f for f in os.listdir(seen["inc-files"]) if f.endswith(".parquet")]
+    assert len(files) == 16  # four deliveries of four files
+    batches = [f for f in os.listdir(seen["inc-ckpt"] + "/commits") if f.isdigit()]
+    assert len(batches) == 3  # as with one file a delivery

@@ -22,6 +22,11 @@ QUANTITY_COLUMN = "quantity"
 TRANSACTION_ID = "transaction_id"
 DEDUP_KEY = "id"
 SUPPLIER_ID = "supplier_id"
+# How whole rows of a fact table are dealt to tasks: the share of rows in which frequent ones are looked for,
+# the copies there that make a row frequent, and the most rows taken as frequent.
+FREQUENT_SHARE = 1 / 512
+FREQUENT_COPIES = 1000
+MOST_FREQUENT = 10_000
 
 
 def normalize_columns(df: DataFrame, collapse: bool = False) -> DataFrame:
@@ -126,6 +131,25 @@ def dedup_rows(df: DataFrame) -> DataFrame:
     return df.dropDuplicates()
 
 
+def dedup_fact_rows(df: DataFrame, share: float = FREQUENT_SHARE, copies: int = FREQUENT_COPIES) -> DataFrame:
+    """Drop whole-row duplicates of a table whose rows are mostly distinct.
+
+    Combining before the shuffle would hold a map task's whole split in a hash
+    table and spill it, so rows are shuffled first and each task drops the
+    duplicates of its own part. Rows of very many copies (some half a million or
+    more, looked for in a sample that decides nothing else) are combined before
+    the shuffle instead, so none of them lands whole in one task.
+    """
+    columns = [df[f"`{c}`"] for c in df.columns]
+    hashed = F.xxhash64(*columns)
+    counts = df.select(hashed.alias("_row")).sample(share, seed=1).groupBy("_row").agg(F.count(F.lit(1)).alias("_n"))
+    frequent = [r[0] for r in counts.where(F.col("_n") >= copies).orderBy(F.desc("_n")).limit(MOST_FREQUENT).collect()]
+    if not frequent:
+        return dedup_rows(df.repartition(*columns))
+    often = hashed.isin(frequent)
+    return dedup_rows(df.where(~often).repartition(*columns)).unionByName(dedup_rows(df.where(often)))
+
+
 def rename_supplier_id(df: DataFrame) -> DataFrame:
     """``id`` → ``supplier_id`` unless ``supplier_id`` already exists."""
     if SUPPLIER_ID not in df.columns and DEDUP_KEY in df.columns:
@@ -158,7 +182,7 @@ def clean_transactions(df: DataFrame, datetime_formats: list[str] | None = None)
     df = normalize_columns(df).transform(trim_strings)
     df = parse_datetimes(df, datetime_formats)
     df = cast_with_default(df, QUANTITY_COLUMN, 0.0)
-    df = dedup_by_key(df, DEDUP_KEY) if DEDUP_KEY in df.columns else dedup_rows(df)
+    df = dedup_by_key(df, DEDUP_KEY) if DEDUP_KEY in df.columns else dedup_fact_rows(df)
     return with_transaction_id(df)
 
 

@@ -127,3 +127,35 @@ def test_salted_anomalies_equal_unsalted(spark, monkeypatch):
     monkeypatch.setattr(D, "hot_keys", lambda c, k, n: skew.hot_keys(c, k, n, rows_per_salt=50))
     salted = sorted(map(tuple, D.outflow_anomalies(sales, "product_id", "quantity_change", k=1.0).collect()))
     assert plain == salted and plain
+
+
+def _planned(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_fact_rows_are_shuffled_before_their_duplicates_go(spark):
+    moves = spark.range(2000).selectExpr("id % 1500 AS product_id", "cast(id % 1500 as double) AS quantity_change",
+                                         "if(id % 1500 < 9, 'sale', 'purchase') AS transaction_type",
+                                         "date_add(date'2024-01-01', cast(id % 1500 as int)) AS transaction_date")
+    clean = C.clean_transactions(moves)
+    plan = _planned(clean)
+    # one exchange, with no aggregate below it that would hold a split's distinct rows
+    assert plan.count("Exchange ") == 1 and "Aggregate" in plan.split("Exchange ")[0]
+    assert "Aggregate" not in plan.split("Exchange ")[1]
+    assert clean.count() == 1500
+
+
+def test_frequent_fact_rows_are_combined_before_the_shuffle(spark):
+    rows = spark.range(6000).selectExpr(
+        "if(id < 3000, 7, id) AS a", "if(id < 3000, null, cast('NaN' as double)) AS b",
+        "if(id % 2 = 0, 0.0D, -0.0D) AS c", "if(id < 3000, null, 'x') AS `d.e`")
+    rows = rows.unionByName(rows.where("a % 3 = 0"))
+    plain, spread = C.dedup_rows(rows), C.dedup_fact_rows(rows, share=1.0, copies=100)
+    plan = _planned(spread)
+    assert "Union" in plan and plan.count("Exchange ") == 2
+    frequent = plan.split("Exchange ")[2]
+    assert "Aggregate" in frequent  # combined below its exchange
+    assert _planned(C.dedup_fact_rows(rows, share=1.0, copies=10_000)).count("Exchange ") == 1
+    for got in (spread, C.dedup_fact_rows(rows, share=1.0, copies=10_000)):
+        assert got.columns == rows.columns
+        assert sorted(map(str, got.collect())) == sorted(map(str, plain.collect()))

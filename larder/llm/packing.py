@@ -78,25 +78,39 @@ def encoder(path: str, cache_words: int = CACHE_WORDS) -> tuple[Callable[[str |
     odd_space = "\x1c\x1d\x1e\x1f"
     blank = re.compile("[^ \t\n\r\x0b\x0c]+")
     known: dict[str, bytes] = {}
+    packers = [struct.Struct(f"<{n}{code}").pack for n in range(65)]
 
-    def merged(part: str, known: dict) -> bytes:
+    def pieces_of(part: str) -> bytes:
         """Ids of one piece, in byte symbols."""
+        ids = [t.id for t in merges.tokenize(part)]
+        return packers[len(ids)](*ids) if len(ids) < len(packers) else struct.pack(f"<{len(ids)}{code}", *ids)
+
+    def merged(part: str, known: dict) -> bytes:
         got = known.get(part)
         if got is None:
-            ids = [t.id for t in merges.tokenize(part)]
-            got = struct.pack(f"<{len(ids)}{code}", *ids)
+            got = pieces_of(part)
             if len(known) >= cache_words:
                 known.clear()
             known[part] = got
         return got
 
+    ends = {mark: pieces_of(mark) for mark in ".,"}
+
     class Words(dict):
         def __missing__(self, word: str) -> bytes:
-            body, mark = (word[:-1], word[-1]) if word[-1] in ".," else (word, "")
-            if body.isalpha() and body.isascii():  # its byte symbols are itself, so words and pieces share a place
-                got = merged(body.lower(), self)
-                if mark:
-                    got += merged(mark, self)
+            end = ends.get(word[-1])
+            body = word if end is None else word[:-1]
+            if body.isalpha() and max(body) < "\u0100":  # one piece of letters
+                low = body.lower()
+                if not low.isascii():
+                    low = low.translate(mapped)
+                    got = merged(low, known)
+                elif low == word:  # its byte symbols are itself, so words and pieces share a place
+                    got = pieces_of(low)
+                else:
+                    got = merged(low, self)
+                if end is not None:
+                    got += end
             elif latin.fullmatch(word):
                 got = b"".join([merged(p.translate(mapped), known) for p in piece.findall(word.lower())])
             else:
@@ -168,27 +182,36 @@ class Index:
         self.doc, self.weight = doc[order], weight[order]
         self.first = np.concatenate([[0], np.cumsum(np.bincount(term, minlength=len(df)))])
         self.open = np.ones(len(df), bool)
+        self.held = n
+
+    def forget(self, unused: np.ndarray) -> None:
+        """Drop the used documents from the lists, whose order stays."""
+        keep = unused[self.doc]
+        self.first = np.concatenate([[0], np.cumsum(keep)])[self.first]
+        self.doc, self.weight = self.doc[keep], self.weight[keep]
+        self.held = int(np.count_nonzero(unused))
 
     def neighbours(self, seed: int, unused: np.ndarray) -> np.ndarray:
         """Unused documents that share a weighted term, best first (ties: lowest first)."""
         query = self.terms[self.bounds[seed]:self.bounds[seed + 1]]
         query = query[self.open[query]]
-        sizes = self.first[query + 1] - self.first[query]
-        at = np.repeat(self.first[query] - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())
-        found = self.doc[at]
-        left = unused[found].astype(bool)
-        if not left.any():
+        spans = [slice(a, b) for a, b in zip(self.first[query].tolist(), self.first[query + 1].tolist()) if a < b]
+        found = np.concatenate([self.doc[s] for s in spans]) if spans else np.zeros(0, np.int64)
+        if len(found):
+            weight = np.concatenate([self.weight[s] for s in spans])
+            if len(found) * 8 < self.n:
+                some, place = np.unique(found, return_inverse=True)
+                score = np.bincount(place, weight)
+            else:
+                score = np.bincount(found, weight, self.n)
+                some = np.flatnonzero(score)
+                score = score[some]
+            left = unused[some]
+            found, score = some[left], score[left]
+        if not len(found):
             self.open[query] = False  # documents are never unused again, so such a term finds nothing later
-            return np.zeros(0, np.int64)
-        found, weight = found[left], self.weight[at][left]
-        if len(found) * 8 < self.n:
-            some, place = np.unique(found, return_inverse=True)
-            score = np.bincount(place, weight)
-        else:
-            score = np.bincount(found, weight, self.n)
-            some = np.flatnonzero(score)
-            score = score[some]
-        return some[np.argsort(-score, kind="stable")]
+            return found
+        return found[np.argsort(-score, kind="stable")]
 
 
 def pack(docs: list[np.ndarray], window: int = WINDOW) -> list[tuple[int, int, int, int, int]]:
@@ -202,6 +225,7 @@ def pack(docs: list[np.ndarray], window: int = WINDOW) -> list[tuple[int, int, i
     room = 0
     near: list[int] = []
     to_ask: list[int] = []  # the window's documents that have not asked, the latest last
+    rest = len(docs)  # unused documents
     while left:
         if not room:
             if out:
@@ -221,7 +245,10 @@ def pack(docs: list[np.ndarray], window: int = WINDOW) -> list[tuple[int, int, i
                     cursor += 1
                 seed = cursor
             unused[seed] = False
+            rest -= 1
             at = 0
+            if rest * 5 < index.held * 4:
+                index.forget(unused)
         n = min(room, sizes[seed] - at)
         out.append((seed, at, n, sequence, size - room))
         room -= n

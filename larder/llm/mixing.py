@@ -220,7 +220,8 @@ def mixed_documents(docs: DataFrame, block_words: int = BLOCK_WORDS) -> DataFram
     parts = pieces(mix, ["row"], block_words).join(drawn, ["sid", "block"]).select(
         "row", F.struct("from", "to", "times").alias("part"))
     parts = parts.groupBy(F.col("row").alias(TMP + "key")).agg(F.array_sort(F.collect_list("part")).alias(TMP + "parts"))
-    joined = numbered.join(parts, F.col(TMP + "row") == F.col(TMP + "key"))
+    # the parts grow with the documents, so they are shuffled at any size, never broadcast
+    joined = numbered.join(parts.hint("merge"), F.col(TMP + "row") == F.col(TMP + "key"))
     schema = T.StructType([f for f in docs.schema.fields if f.name in columns])
     names, word = [f.name for f in schema.fields], re.compile("[^\\x20\\x09-\\x0D]+")
 

@@ -303,3 +303,15 @@ def test_query_equals_sql(spark, duck, name):
     assert sorted(columns) == sorted(found.columns)
     want = sorted((tuple(r) for r in cursor.fetchall()), key=repr)
     assert rows_of(found, columns) == want and sql
+
+
+@pytest.mark.parametrize("name", sorted(queries.base_oracle_sql()))
+def test_base_query_equals_sql(spark, duck, name):
+    from support import SF_SMALL
+
+    found = queries.base_queries()[name](spark, SF_SMALL)
+    cursor = duck.execute(queries.base_oracle_sql()[name])
+    columns = [d[0] for d in cursor.description]
+    assert sorted(columns) == sorted(found.columns)
+    want = sorted((tuple(r) for r in cursor.fetchall()), key=repr)
+    assert rows_of(found, columns) == want and queries.base_oracle_sql()[name]

@@ -565,3 +565,36 @@ def test_quality_limits_repeat_at_any_partitioning(spark):
                 q1, q3 = (fit[math.ceil(p * len(fit)) - 1] for p in (0.25, 0.75))
                 want = q3 + quality.FENCE * max(q3 - q1, quality.FLOOR["word_length"])
                 assert all(abs(r.limit_word_length - want) < 0.01 * want for r in group)
+
+
+def test_mixed_documents_meet_their_parts_by_shuffle_at_any_size(spark):
+    docs = spark.range(300).selectExpr("id AS doc_id", "concat('s', id % 4) AS source", "repeat(concat('w', id, ' '), 90) AS text")
+    out = mixing.mixed_documents(docs)
+    out.collect()
+    plan = out._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert plan.count("SortMergeJoin") == 2 and "BroadcastHashJoin" not in plan
+
+
+def test_packing_index_forgets_used_documents_and_finds_the_same():
+    draw = np.random.default_rng(3)
+    docs = [np.append(draw.integers(2, 400, draw.integers(0, 60)), 1).astype(np.uint16) for _ in range(200)]
+    whole, short, unused = packing.Index(docs), packing.Index(docs), np.ones(200, bool)
+    unused[draw.permutation(200)[:150]] = False
+    short.forget(unused)
+    assert len(short.doc) < len(whole.doc) / 2 and set(short.doc.tolist()) <= set(np.flatnonzero(unused).tolist())
+    for seed in range(200):
+        shared = [d for d in np.flatnonzero(unused) if np.isin(whole.terms[whole.bounds[seed]:whole.bounds[seed + 1]], docs[d][:-1]).any()]
+        got = whole.neighbours(seed, unused).tolist()
+        assert got == short.neighbours(seed, unused).tolist() and sorted(got) == shared
+
+
+def test_encoder_of_new_words_equals_the_tokenizer():
+    from tokenizers import Tokenizer
+
+    path = packing.default_tokenizer()
+    encode, kind = packing.encoder(path, cache_words=5)
+    whole = Tokenizer.from_file(path)
+    for text in ("Abc abc, ABC. abc abc", "ciónes. Ciónes, \u00df\u00e4\u00b5 \u00aa\u00ba. \u212aelvin \u0130a \u00ff\u00ff.", ". , .. a.b, don't 12, x" + "y" * 90,
+                 "\u4e2d\u6587 mixed\u4e2d. stra\u00dfe, \u00d7 \u00f7."):
+        got = np.frombuffer(encode(text), kind).tolist()
+        assert got == whole.encode(text, add_special_tokens=False).ids

@@ -186,7 +186,7 @@ class Index:
 
     def forget(self, unused: np.ndarray) -> None:
         """Drop the used documents from the lists, whose order stays."""
-        keep = unused[self.doc]
+        keep = unused[self.doc].astype(bool)
         self.first = np.concatenate([[0], np.cumsum(keep)])[self.first]
         self.doc, self.weight = self.doc[keep], self.weight[keep]
         self.held = int(np.count_nonzero(unused))
@@ -206,7 +206,7 @@ class Index:
                 score = np.bincount(found, weight, self.n)
                 some = np.flatnonzero(score)
                 score = score[some]
-            left = unused[some]
+            left = unused[some].astype(bool)
             found, score = some[left], score[left]
         if not len(found):
             self.open[query] = False  # documents are never unused again, so such a term finds nothing later

@@ -10,13 +10,15 @@ is blocked when the calibrated difference is below the threshold.
 The counts are gathered from all labelled URLs of the table outside the calibration
 fold (a fifth, by a hash of the URL) into a written table keyed by the exact context
 and character, which grows with the input like the work of the tasks. Every distinct
-URL is laid out as its runs of ``ORDER`` + 1 characters; the distinct runs get both
-classes' probabilities from the counts of their ends (orders 0 to 2, at most
-262,144 rows by the alphabet, are sent to all tasks; 3 and 4 are joined), and the
-runs' log ratios are joined back and summed by URL, in whole steps of
-1 / ``STEPS``, so the sum does not depend on the order. The driver gets
-the fold's score histogram (``BINS`` bins) only; the threshold is its cut with
-the best mean of both classes' rates.
+URL is laid out as its runs of ``ORDER`` + 1 characters; the distinct runs and the
+counts are grouped by the two characters before the last, which decide all
+counts of orders 2 to 4 (a group has at most 262,144 distinct runs by the
+alphabet), and get both classes' probabilities there. The runs' log ratios are
+joined back, those of frequent runs by broadcast, and summed by URL, in whole
+steps of 1 / ``STEPS``, so the sum does not depend on the order. The driver gets
+the counts of pairs of characters (at most 4,096 rows by the alphabet; orders 0
+and 1) and the fold's score histogram (``BINS`` bins) only; the threshold is its
+cut with the best mean of both classes' rates.
 
 Edge cases: a null URL or one without ``://`` has an empty host and path and
 is judged by the models (a null as empty); without labelled URLs of both
@@ -44,9 +46,9 @@ SYMBOLS = 64
 #: Bits of a character, and the steps of a log ratio's unit in sums.
 BITS = 6
 STEPS = float(1 << 32)
-#: Orders with so few contexts that their counts are sent to all tasks.
-SMALL_ORDERS = 2
-#: Rows of one run of characters, or of one URL, that one task joins, at most (or a 10,000th part of all).
+#: A run of more than this part of all characters is frequent; so fewer runs than this are.
+FREQUENT = 10_000
+#: Rows of one URL that one task joins, at most (or a 10,000th part of all).
 KEY_ROWS = 1_000_000
 FOLDS = 5
 BINS = 2001
@@ -95,10 +97,10 @@ def _symbols() -> np.ndarray:
 
 
 class Counts:
-    """The written table (run, n0, n1) of both classes' runs, and the threshold."""
+    """The written table (run, n0, n1) of both classes' runs, their pairs of characters, and the threshold."""
 
-    def __init__(self, runs: DataFrame):
-        self.runs, self.threshold = runs, 0.0
+    def __init__(self, runs: DataFrame, pairs: np.ndarray):
+        self.runs, self.pairs, self.threshold = runs, pairs, 0.0
 
 
 def _judge(urls: list, rules: dict[str, list]) -> tuple[list, list, list, list]:
@@ -163,42 +165,69 @@ def _laid_out(urls: DataFrame) -> DataFrame:
     return urls.select("url", "row", "times", "c").mapInArrow(run, "row long, times long, c int, run long")
 
 
-def _end(order: int) -> Column:
-    """The last ``order`` + 1 characters of a run."""
-    return F.col("run").bitwiseAND(F.lit((1 << BITS * (order + 1)) - 1).cast("long"))
+def pair_counts(counts: DataFrame) -> np.ndarray:
+    """Both classes' counts by character before and last character (class, before, last)."""
+    out = np.zeros((2, SYMBOLS * SYMBOLS))
+    pair = F.col("run").bitwiseAND(F.lit(SYMBOLS * SYMBOLS - 1).cast("long"))
+    for r in counts.groupBy(pair.alias("pair")).agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1")).collect():
+        out[:, r["pair"]] = r["n0"], r["n1"]
+    return out.reshape(2, SYMBOLS, SYMBOLS)
 
 
-def ratios(runs: DataFrame, counts: DataFrame) -> DataFrame:
-    """(run, ratio) of ``runs``, each once: log-likelihood of the last character as accepted minus as rejected."""
-    out = runs.select("run").withColumns({f"p{c}": F.lit(1 / SYMBOLS) for c in range(2)})
-    for k in range(ORDER + 1):
-        sums = [F.sum(f"n{c}").alias(f"n{c}") for c in range(2)]
-        own = counts.groupBy(_end(k).alias("end")).agg(*sums)
-        context = F.shiftright("end", BITS).alias("context")
-        whole = own.groupBy(context).agg(*[F.sum(f"n{c}").alias(f"t{c}") for c in range(2)],
-                                         *[F.sum((F.col(f"n{c}") > 0).cast("int")).alias(f"k{c}") for c in range(2)])
-        if k <= SMALL_ORDERS:
-            own, whole = F.broadcast(own), F.broadcast(whole)
-        out = out.withColumn("end", _end(k)).withColumn("context", F.shiftright(_end(k), BITS))
-        out = out.join(own, "end", "left").join(whole, "context", "left")
-        n, t, kinds = ([F.coalesce(F.col(f"{name}{c}"), F.lit(0)).cast("double") for c in range(2)] for name in ("n", "t", "k"))
-        out = out.select("run", *[((n[c] + kinds[c] * F.col(f"p{c}") + 1e-9 * F.col(f"p{c}")) / (t[c] + kinds[c] + 1e-9)).alias(f"p{c}")
-                                  for c in range(2)])
-    return out.select("run", (F.log("p0") - F.log("p1")).alias("ratio"))
+def _interpolated(p: np.ndarray, n: np.ndarray, total: np.ndarray, kinds: np.ndarray) -> np.ndarray:
+    """Witten-Bell: the next lower order's ``p`` weighs as much as the context has ``kinds`` of characters."""
+    return (n + kinds * p + 1e-9 * p) / (total + kinds + 1e-9)
+
+
+def probability(runs: np.ndarray, n: np.ndarray, pairs: np.ndarray) -> np.ndarray:
+    """Probability of each run's last character, by one class's counts ``n`` of the runs (repeats are summed) and of ``pairs``.
+
+    ``runs`` hold all counted runs that share with any of them the two characters before the last.
+    """
+    before, last = runs >> BITS & SYMBOLS - 1, runs & SYMBOLS - 1
+    singles = pairs.sum(0)
+    p = _interpolated(np.full(len(runs), 1 / SYMBOLS), singles[last], singles.sum(), float((singles > 0).sum()))
+    p = _interpolated(p, pairs[before, last], pairs.sum(1)[before], (pairs > 0).sum(1).astype(float)[before])
+    for k in range(2, ORDER + 1):
+        ends, at = np.unique(runs & (1 << BITS * (k + 1)) - 1, return_inverse=True)
+        own = np.bincount(at, n)
+        _, of = np.unique(ends >> BITS, return_inverse=True)
+        p = _interpolated(p, own[at], np.bincount(of, own)[of][at], np.bincount(of, own > 0)[of][at])
+    return p
+
+
+def ratios(runs: DataFrame, model: Counts) -> DataFrame:
+    """(run, n, ratio) of ``runs`` (run, n), each once: log-likelihood of the last character as accepted minus as rejected."""
+    pairs = model.pairs
+
+    def group(rows: pa.Table) -> pa.Table:
+        run = rows.column("run").to_numpy()
+        p = [probability(run, rows.column(f"n{c}").to_numpy(), pairs[c]) for c in range(2)]
+        out = pa.table([rows.column("run"), rows.column("n"), *map(pa.array, p)], names=["run", "n", "p0", "p1"])
+        return out.filter(pa.array(rows.column("n").to_numpy() > 0))
+
+    both = runs.select("run", "n", *[F.lit(0).cast("long").alias(f"n{c}") for c in range(2)]).union(
+        model.runs.select("run", F.lit(0).cast("long"), "n0", "n1"))
+    context = F.shiftright("run", BITS).bitwiseAND(F.lit(SYMBOLS * SYMBOLS - 1).cast("long"))
+    found = both.groupBy(context.alias("context")).applyInArrow(group, "run long, n long, p0 double, p1 double")
+    return found.select("run", "n", (F.log("p0") - F.log("p1")).alias("ratio"))
 
 
 def scores(urls: DataFrame, model: Counts) -> DataFrame:
     """(row, score) of numbered URLs: mean log-likelihood difference per character, accepted minus rejected.
 
-    Every URL holds the runs of its scheme, so runs are counted first and the frequent ones salted.
+    Every URL holds the runs of its scheme: the ratios of frequent runs are sent to all tasks, so their characters
+    are summed where they are read, and no run left for the shuffle holds more than a ``FREQUENT``-th part of all.
     """
     laid = _laid_out(urls).select("row", "run")
-    runs = stage(laid.groupBy("run").agg(F.count("*").alias("n")), "url-runs")
     step = F.round(F.col("ratio") * F.lit(STEPS)).cast("long")
-    known = ratios(runs, model.runs).select("run", step.alias("steps"))
-    hot = hot_keys(runs, "run", "n", KEY_ROWS)
-    laid, known = salt_rows(laid, F.col("run"), hot), replicate_for_salts(known, F.col("run"), hot)
-    return laid.join(known, ["run", "_salt"]).groupBy("row").agg((F.sum(F.col("steps").cast("decimal(20,0)")) / F.lit(STEPS) / F.count("*")).cast("double").alias("score"))
+    known = ratios(laid.groupBy("run").agg(F.count("*").alias("n")), model).select("run", "n", step.alias("steps"))
+    known = stage(known, "url-runs")
+    share = known.select(F.sum("n") / F.lit(FREQUENT)).scalar()
+    frequent = F.broadcast(known.where(F.col("n") > share).select("run", "steps"))
+    others = laid.join(frequent, "run", "left_anti").join(known.where(F.col("n") <= share).select("run", "steps"), "run")
+    found = laid.join(frequent, "run").select("row", "steps").union(others.select("row", "steps"))
+    return found.groupBy("row").agg((F.sum(F.col("steps").cast("decimal(20,0)")) / F.lit(STEPS) / F.count("*")).cast("double").alias("score"))
 
 
 def train(pages: DataFrame, rules: tuple = RULES) -> Counts | None:
@@ -208,7 +237,7 @@ def train(pages: DataFrame, rules: tuple = RULES) -> Counts | None:
     runs = stage(_laid_out(urls.where("not fold")).groupBy("run").agg(*each), "url-counts")
     if not all(runs.agg(*[F.max(f"n{c}") for c in range(2)]).first()):
         return None
-    model = Counts(runs)
+    model = Counts(runs, pair_counts(runs))
     fold = urls.where("fold")
     place = F.rint((F.col("score") + SPREAD) / (2 * SPREAD) * (BINS - 1))
     place = F.least(F.greatest(place, F.lit(0.0)), F.lit(BINS - 1.0)).cast("int")

@@ -168,6 +168,57 @@ def test_url_scores_equal_exact_counts(spark):
         assert got[j]["verdict"] == (verdicts[j] or ("allow" if got[j]["score"] >= model.threshold else "block"))
 
 
+def url_scores(spark, urls, model):
+    numbered = spark.createDataFrame([(i, u, 1, 0) for i, u in enumerate(urls)], "row long, url string, times long, c int")
+    return url_filter.scores(numbered, model)
+
+
+@pytest.fixture(scope="module")
+def trained_urls(spark):
+    urls = [f"http://{'abcdefgh'[i % 8]}{i}.{('net', 'org')[i % 2]}/{('', 'fr/')[i % 2]}{i * 7919}" for i in range(300)]
+    return urls, url_filter.train(spark.createDataFrame(list(enumerate(urls)), "page_id long, url string"))
+
+
+def test_url_scoring_sends_one_table_and_joins_characters_once(spark, trained_urls):
+    """The counts' orders are grouped, not joined one by one: the many broadcasts took the driver past its memory."""
+    urls, model = trained_urls
+    plan = url_scores(spark, urls, model)._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert len([x for x in plan.splitlines() if "Join " in x]) <= 3 and "_salt" not in plan
+    assert plan.count("BroadcastExchange") <= 3
+    ratios = url_filter.ratios(model.runs.select("run", F.lit(1).cast("long").alias("n")), model)._jdf.queryExecution().executedPlan().toString()
+    assert "Join " not in ratios and ratios.count("Exchange") == 1
+
+
+@pytest.mark.parametrize("parts", [1, 40, 1 << 40])
+def test_url_scores_do_not_depend_on_what_is_frequent(spark, trained_urls, monkeypatch, parts):
+    """Each character meets its run once, whether none, some or all runs are sent to all tasks."""
+    urls, model = trained_urls
+    want = {r["row"]: r["score"] for r in url_scores(spark, urls, model).collect()}
+    monkeypatch.setattr(url_filter, "FREQUENT", parts)
+    assert {r["row"]: r["score"] for r in url_scores(spark, urls, model).collect()} == want and len(want) == len(urls)
+
+
+def test_url_run_probabilities_are_those_of_their_context(spark, trained_urls):
+    """By plain sums over all counted runs; a run that was never counted is not lost."""
+    _, model = trained_urls
+    counted = {r["run"]: (r["n0"], r["n1"]) for r in model.runs.collect()}
+    asked = [*sorted(counted)[::97], 0, (1 << 30) - 1]
+    rows = spark.createDataFrame([(r, 2) for r in asked], "run long, n long")
+    got = {r["run"]: (r["n"], r["ratio"]) for r in url_filter.ratios(rows, model).collect()}
+    assert set(got) == set(asked) and {n for n, _ in got.values()} == {2}
+    for run in asked:
+        p = [1 / 64, 1 / 64]
+        for k in range(url_filter.ORDER + 1):
+            cut = (1 << 6 * (k + 1)) - 1
+            for c in range(2):
+                after = {}
+                for r, n in counted.items():
+                    if (r & cut) >> 6 == (run & cut) >> 6 and n[c]:
+                        after[r & 63] = after.get(r & 63, 0) + n[c]
+                p[c] = (after.get(run & 63, 0) + len(after) * p[c] + 1e-9 * p[c]) / (sum(after.values()) + len(after) + 1e-9)
+        assert got[run][1] == pytest.approx(np.log(p[0]) - np.log(p[1]), abs=1e-12)
+
+
 def test_url_edges(spark):
     rows = [(1, None), (2, ""), (3, "http://a.net/x" * 500), (4, "http://a.net/x"), (4, "http://a.net/x"), (None, "é\0")]
     own = spark.createDataFrame(rows, "page_id long, url string").withColumn("rule", F.lit(1)).withColumn("score", F.lit("s"))
